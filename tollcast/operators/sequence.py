@@ -29,10 +29,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 
 _PART_BITS = 33
 _ROW_MASK = (1 << _PART_BITS) - 1
@@ -45,16 +46,28 @@ def _cols(cols) -> list[Column]:
 
 
 def add_sequence(df: DataFrame, order, num_partitions: int | None = None,
-                 seq_col: str = "_seq") -> DataFrame:
+                 seq_col: str = "_seq", pin: str = "persist") -> DataFrame:
     """Dense 0-based global position under ``order`` (a unique ordering).
 
     One range shuffle; the offset table has one row per partition.
+
+    The range-partitioned frame is read twice (partition sizes, then rows).
+    Range bounds are sampled per shuffle, so two independent shuffles could
+    cut the order differently; ``pin`` makes both reads use one: ``persist``
+    (cached blocks; a lost block is recomputed from the same shuffle
+    dependency, hence the same bounds) or ``checkpoint`` (written to the
+    shared ``spark.checkpoint.dir``, lineage cut).
     """
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     oc = _cols(order)
     t = (df.repartitionByRange(n, *oc).sortWithinPartitions(*oc)
          .withColumn("_mid", F.monotonically_increasing_id()))
+    if pin == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        t = t.checkpoint(eager=True)
+    else:
+        t = t.persist(StorageLevel.MEMORY_AND_DISK)
     t = t.withColumns({"_pid": F.shiftright(F.col("_mid"), _PART_BITS),
                        "_rn": F.col("_mid").bitwiseAND(F.lit(_ROW_MASK))})
     sizes = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
