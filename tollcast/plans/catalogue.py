@@ -781,13 +781,15 @@ def _lr_pred(spark, d):
 
 def q_lr_score(spark: SparkSession, d: str) -> DataFrame:
     p = _lr_pred(spark, d)
-    return p.select("l_orderkey", "l_partkey", "l_suppkey", _r(F.col("label"), R4).alias("label"),
+    # labels carry at most 7 decimals: rounding them at 4 would hit exact
+    # decimal ties, which engines break differently; 8 places has none.
+    return p.select("l_orderkey", "l_partkey", "l_suppkey", _r(F.col("label"), 8).alias("label"),
                     _r(F.col("prediction"), R4).alias("prediction"))
 
 
 SQL_LR_SCORE = f"""
 WITH {_SQL_LR}
-SELECT l_orderkey, l_partkey, l_suppkey, round(y, 4) AS label, round(pred, 4) AS prediction
+SELECT l_orderkey, l_partkey, l_suppkey, round(y, 8) AS label, round(pred, 4) AS prediction
 FROM p"""
 
 
