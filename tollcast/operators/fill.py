@@ -62,21 +62,38 @@ def zero_impute(df: DataFrame, cols=None) -> DataFrame:
     return df.fillna(0, subset=list(cols) if cols else None)
 
 
-def column_means(df: DataFrame, cols) -> dict:
-    """A10: means of the columns, one distributed aggregate, one row back."""
-    row = df.agg(*[F.avg(F.col(f"`{c}`")).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols if row[c] is not None}
+def column_means(df: DataFrame, cols, with_null_flags: bool = False):
+    """A10: means of the columns, one distributed aggregate, one row back.
 
-
-def mean_impute(df: DataFrame, cols, fit: DataFrame | None = None) -> DataFrame:
+    With ``with_null_flags`` also returns which columns hold a NULL.
+    """
+    aggs = [F.avg(F.col(f"`{c}`")).alias(f"m_{i}") for i, c in enumerate(cols)]
+    aggs += [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(cols)]
+    aggs.append(F.count(F.lit(1)).alias("_rows"))
+    row = df.agg(*aggs).first()
+    means = {c: row[f"m_{i}"] for i, c in enumerate(cols) if row[f"m_{i}"] is not None}
+    if not with_null_flags:
+        return means
+    has_null = {c for i, c in enumerate(cols) if row[f"n_{i}"] < row["_rows"]}
+    return means, has_null
+
+
+def mean_impute(df: DataFrame, cols, fit: DataFrame | None = None,
+                only_with_nulls: bool = False) -> DataFrame:
     """NULL -> column mean.
 
     Means come from ``fit`` (e.g. the training frame) or, by default, from
     ``df`` itself.  They are fetched as scalars (one value per column) and
-    applied as literals, like a fitted ``Imputer`` model.
+    applied as literals, like a fitted ``Imputer`` model.  Filled columns
+    become double; with ``only_with_nulls`` a column of ``df`` without NULLs
+    keeps its type and values.
     """
+    cols = list(cols)
+    if only_with_nulls:
+        _, has_null = column_means(df, cols, with_null_flags=True)
+        cols = [c for c in cols if c in has_null]
+        if not cols:
+            return df
     means = column_means(fit if fit is not None else df, cols)
-    out = df
-    for c, m in means.items():
-        out = out.withColumn(c, F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m))))
-    return out
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))
+                           for c, m in means.items()})

@@ -19,6 +19,7 @@ from ..session import scratch_path
 from ..sources import csv as csvsrc
 from ..sources import inspect as insp
 from ..sources.tables import table
+from . import features
 from . import standins as si
 
 R6 = 6
@@ -832,6 +833,94 @@ def q_tune_lr(spark: SparkSession, d: str) -> DataFrame:
     return models.tuning_table(spark, tvs, models.LR_GRID)
 
 
+# ---------------------------------------------------- end-to-end jobs
+
+def _round_doubles(df: DataFrame, n: int = R6) -> DataFrame:
+    return df.select(*[_r(F.col(f"`{f.name}`"), n).alias(f.name)
+                       if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
+def _split_logs(spark, d):
+    ev = si.events(spark, d)
+    cut = F.lit(si.EVENTS_SPLIT).cast("timestamp_ntz")
+    return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
+
+
+def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
+    opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
+    train, test = _split_logs(spark, d)
+    w = features.weather_prepared(si.weather(spark, d), "wind_speed", options=opts)
+    out = features.volume_features(train, test, w, ts="ts", keys=["event_type"],
+                                   holiday_col="holiday", options=opts)
+    return _round_doubles(out)
+
+
+def _sql_volume_features() -> str:
+    lag_cols = ", ".join(f"lag(volume, {i}) OVER w AS lag{i}" for i in range(1, 8))
+    wcols = ["temperature", "wind_speed", "n_obs"]
+    mean_cols = ", ".join([f"avg(lag{i}) AS lag{i}" for i in range(1, 8)] +
+                          [f"avg({c}) AS {c}" for c in wcols])
+    dummy_names = (cal.WEEKDAYS + [f"hour__{h}" for h in range(24)] +
+                   [f"minute_{m}" for m in cal.BIN_MINUTES])
+    hol = " OR ".join(f"CAST(x.bs AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
+                      for lo, hi in EVENT_HOLIDAYS)
+    label = (f"'[' || {_sql_ts('bs')} || ',' || {_sql_ts(chr(98) + chr(115) + ' + INTERVAL 20 minutes')}"
+             " || ')'")
+    label = label.replace("bs + INTERVAL 20 minutes", "bs + INTERVAL '20 minutes'")
+    dcols = ", ".join(dummy_names)
+
+    def enrich(src):
+        return (f"SELECT x.*, {_sql_dummies('x.bs')}, CAST({hol} AS INTEGER) AS holiday, "
+                f"wx.temperature, wx.wind_speed, wx.n_obs FROM {src} x LEFT JOIN wx "
+                f"ON wx.d = CAST(x.bs AS DATE) AND wx.h = {_sql_bucket('hour(x.bs)')}")
+    fill_w = ", ".join(f"round(coalesce(f.{c}, m.{c}), 6) AS {c}" for c in wcols)
+    tr_lags = ", ".join(f"round(coalesce(f.lag{i}, m.lag{i}), 6) AS lag{i}" for i in range(1, 8))
+    te_lags = ", ".join(f"0 AS lag{i}" for i in range(1, 8))
+    return f"""
+WITH tr AS (SELECT {_SQL_BIN} AS bs, event_type, count(*) AS volume FROM events
+            WHERE ts < TIMESTAMP '{si.EVENTS_SPLIT}' GROUP BY 1, 2),
+te AS (SELECT {_SQL_BIN} AS bs, event_type, count(*) AS volume FROM events
+       WHERE ts >= TIMESTAMP '{si.EVENTS_SPLIT}' GROUP BY 1, 2),
+ap AS (SELECT bs, event_type, volume, 0 AS part FROM tr
+       UNION ALL SELECT bs, event_type, volume, 1 AS part FROM te),
+lg AS (SELECT bs, event_type, volume, {lag_cols} FROM ap
+       WINDOW w AS (PARTITION BY event_type ORDER BY part, bs)),
+fc AS (SELECT bs + INTERVAL '2 hours' AS bs, event_type FROM te),
+wr AS (SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
+              max(value) AS wind_speed, count(*) AS n_obs
+       FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+wx AS (SELECT d, h, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed,
+              avg(n_obs) AS n_obs FROM wr GROUP BY 1, 2),
+trf AS ({enrich('lg')}),
+tef AS ({enrich('fc')}),
+m AS (SELECT {mean_cols} FROM trf)
+SELECT f.event_type, {label.replace('bs', 'f.bs')} AS time_window, f.volume, {tr_lags},
+       {", ".join("f." + c for c in dummy_names)}, f.holiday, {fill_w}, 'train' AS split
+FROM trf f, m
+UNION ALL
+SELECT f.event_type, {label.replace('bs', 'f.bs')} AS time_window, 0 AS volume, {te_lags},
+       {", ".join("f." + c for c in dummy_names)}, f.holiday, {fill_w}, 'test' AS split
+FROM tef f, m"""
+
+
+SQL_VOLUME_FEATURES = _sql_volume_features()
+
+
+def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
+    """Trips = events keyed by user, travel time = value (threshold 100);
+    route features from the order whose key equals the user id."""
+    opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
+    train, test = _split_logs(spark, d)
+    w = features.weather_prepared(si.weather(spark, d), "wind_speed", options=opts)
+    rf = _route_features(spark, d).withColumnRenamed("o_orderkey", "user_id")
+    out = features.travel_time_features(
+        train, test, w, rf, ts="ts", keys=["user_id"], value="value",
+        order_tiebreak="event_id", threshold=T_REPAIR, target="avg_travel_time",
+        options=opts)
+    return _round_doubles(out)
+
+
 # ------------------------------------------------------------- registry
 
 QUERIES = {
@@ -854,6 +943,7 @@ QUERIES = {
     "lr_coefficients": q_lr_coefficients, "lr_score": q_lr_score,
     "regression_metrics": q_regression_metrics, "rf_score": q_rf_score,
     "gbt_score": q_gbt_score, "tune_lr": q_tune_lr,
+    "volume_features": q_volume_features, "travel_time_features": q_travel_time_features,
 }
 
 ORACLE_SQL = {
@@ -877,4 +967,5 @@ ORACLE_SQL = {
     "corr_matrix": SQL_CORR_MATRIX, "string_index": SQL_STRING_INDEX, "onehot": SQL_ONEHOT,
     "assemble": SQL_ASSEMBLE, "lr_coefficients": SQL_LR_COEFFICIENTS,
     "lr_score": SQL_LR_SCORE, "regression_metrics": SQL_REGRESSION_METRICS,
+    "volume_features": SQL_VOLUME_FEATURES,
 }
