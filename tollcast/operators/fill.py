@@ -97,3 +97,12 @@ def mean_impute(df: DataFrame, cols, fit: DataFrame | None = None,
     means = column_means(fit if fit is not None else df, cols)
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))
                            for c, m in means.items()})
+
+
+def apply_means(df: DataFrame, means: dict) -> DataFrame:
+    """Fill NULLs with given means (columns become double)."""
+    present = {c: m for c, m in means.items() if c in df.columns}
+    if not present:
+        return df
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))
+                           for c, m in present.items()})

@@ -55,9 +55,14 @@ def _calendar_weather(df: DataFrame, weather: DataFrame | None, o: JobOptions,
     return out
 
 
-def _label_and_align(train: DataFrame, test: DataFrame, keys, target: str,
+def _label_and_align(train: DataFrame, test: DataFrame, keys, fill_cols,
                      o: JobOptions) -> DataFrame:
-    """Window label, keys first, test aligned to train, mean fill, one frame."""
+    """Window label, keys first, test aligned to train, mean fill, one frame.
+
+    ``fill_cols`` are the columns that can be NULL by construction (lags,
+    left-joined weather and route features); their means come from one
+    aggregate over the persisted training frame.
+    """
     def label(df):
         return df.withColumn("time_window", tf.window_label("bin_start", o.minutes)).drop("bin_start")
 
@@ -65,12 +70,11 @@ def _label_and_align(train: DataFrame, test: DataFrame, keys, target: str,
     # model fits all read them.
     train = align.key_first(label(train), [*keys, "time_window"]).persist()
     test = align.align_schema(label(test), train.columns, fill=0)
-    numeric = [f.name for f in train.schema.fields
-               if f.name not in (*keys, "time_window")
-               and f.dataType.typeName() in ("double", "long", "integer", "float")]
-    train_f = fill.mean_impute(train, numeric, only_with_nulls=True)
-    test_f = fill.mean_impute(test, numeric, fit=train if o.means_from_train else None,
-                              only_with_nulls=True)
+    fill_cols = [c for c in fill_cols if c in train.columns]
+    train_means = fill.column_means(train, fill_cols)
+    test_means = train_means if o.means_from_train else fill.column_means(test, fill_cols)
+    train_f = fill.apply_means(train, train_means)
+    test_f = fill.apply_means(test, test_means)
     return (train_f.withColumn("split", F.lit("train"))
             .unionByName(test_f.withColumn("split", F.lit("test"))))
 
@@ -108,7 +112,17 @@ def volume_features(train_log: DataFrame, test_log: DataFrame, weather: DataFram
     test = _forecast_rows(te, target, o)
     train = _calendar_weather(train, weather, o, holiday_col)
     test = _calendar_weather(test, weather, o, holiday_col)
-    return _label_and_align(train, test, keys, target, o)
+    return _label_and_align(train, test, keys, _fill_cols(o, weather), o)
+
+
+def _fill_cols(o: JobOptions, weather: DataFrame | None, extra: DataFrame | None = None,
+               keys=()) -> list:
+    cols = [f"lag{i}" for i in range(1, o.n_lags + 1)]
+    if weather is not None:
+        cols += [c for c in weather.columns if c not in ("date", "hour")]
+    if extra is not None:
+        cols += [c for c in extra.columns if c not in keys]
+    return cols
 
 
 def travel_time_features(train_trips: DataFrame, test_trips: DataFrame,
@@ -138,7 +152,7 @@ def travel_time_features(train_trips: DataFrame, test_trips: DataFrame,
     if route_feats is not None:
         train = joins.feature_join(train, route_feats, keys)
         test = joins.feature_join(test, route_feats, keys)
-    return _label_and_align(train, test, keys, target, o)
+    return _label_and_align(train, test, keys, _fill_cols(o, weather, route_feats, keys), o)
 
 
 def weather_prepared(weather: DataFrame, sentinel_col: str = "wind_direction",
