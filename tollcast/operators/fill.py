@@ -18,43 +18,57 @@ from .sequence import DEFAULT_BUCKET_ROWS, ordered_scan
 
 
 def expected_grid(observed: DataFrame, keys, bin_col: str = "bin_start", minutes: int = 20,
-                  start=None, end=None) -> DataFrame:
+                  start=None, end=None, hours=None) -> DataFrame:
     """(keys, bin) for every bin from ``start`` to ``end`` inclusive per key.
 
     ``start``/``end`` default to the key's first and last observed bin; pass
     timestamp strings to use fixed bounds (e.g. a forecast horizon).
+    ``hours`` keeps only bins starting in those hours of the day (e.g. the
+    blocks before the forecast windows).
     """
     lo = F.min(bin_col) if start is None else F.lit(start).cast("timestamp_ntz")
     hi = F.max(bin_col) if end is None else F.lit(end).cast("timestamp_ntz")
     bounds = observed.groupBy(*keys).agg(lo.alias("_lo"), hi.alias("_hi"))
-    return bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", interval(minutes=minutes)))
+    grid = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", interval(minutes=minutes)))
                          .alias(bin_col))
+    if hours is not None:
+        grid = grid.filter(F.hour(bin_col).isin(list(hours)))
+    return grid
 
 
 def missing_windows(observed: DataFrame, keys, bin_col: str = "bin_start", minutes: int = 20,
-                    start=None, end=None) -> DataFrame:
+                    start=None, end=None, hours=None) -> DataFrame:
     """Grid rows with no observation (left anti join)."""
-    grid = expected_grid(observed, keys, bin_col, minutes, start, end)
+    grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
     return grid.join(observed.select(*keys, bin_col), [*keys, bin_col], "left_anti")
 
 
 def locf_fill(observed: DataFrame, keys, value: str, bin_col: str = "bin_start",
-              minutes: int = 20, start=None, end=None, order=None,
+              minutes: int = 20, start=None, end=None, order=None, hours=None,
               filled_col: str = "filled", bucket_rows: int = DEFAULT_BUCKET_ROWS,
               num_partitions: int | None = None) -> DataFrame:
-    """Every grid row; a missing row takes the last value of the same key.
-
-    ``order`` is the walk-back order (default: time).  A position column
-    reproduces a walk in some other sequence, e.g. all mornings then all
-    afternoons.  Rows before the key's first value stay NULL.
+    """All observed rows plus one row per expected window with no
+    observation, valued with the last value found walking back over the
+    expected windows of the same key (NULL if none).
+
+    ``order`` is the walk-back order over grid rows (default: time); a
+    position column reproduces a walk in another sequence, e.g. all mornings
+    then all afternoons.  When the grid covers every window (no ``hours``),
+    the result is exactly the filled grid.
     """
-    grid = expected_grid(observed, keys, bin_col, minutes, start, end)
+    grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
     joined = grid.join(observed, [*keys, bin_col], "left")
     joined = joined.withColumn(filled_col, F.col(value).isNull().cast("int"))
     walk = list(order) if order else [bin_col]
     out = ordered_scan(joined, list(keys), walk, ffill={"_v": (value, True)},
                        bucket_rows=bucket_rows, num_partitions=num_partitions)
-    return out.withColumn(value, F.col("_v")).drop("_v")
+    out = out.withColumn(value, F.col("_v")).drop("_v")
+    if hours is None and start is None and end is None:
+        return out
+    # observed rows off the grid are kept as they are
+    fills = out.filter(F.col(filled_col) == 1)
+    kept = observed.withColumn(filled_col, F.lit(0))
+    return kept.unionByName(fills.select(*kept.columns))
 
 
 def zero_impute(df: DataFrame, cols=None) -> DataFrame:

@@ -189,6 +189,14 @@ SELECT {_sql_ts('b')} AS bin_start, event_type, count(*) AS volume
 FROM (SELECT {_SQL_BIN} AS b, event_type FROM events) GROUP BY b, event_type"""
 
 
+def q_stream_bin_count(spark: SparkSession, d: str) -> DataFrame:
+    """A2 as a Structured Streaming job over the events file (watermark 1 h)."""
+    from ..streaming.bins import stream_bin_count
+    schema = si.events(spark, d).schema
+    out = stream_bin_count(spark, d, schema, "ts", ["event_type"], "events.parquet")
+    return out.withColumn("bin_start", _s("bin_start"))
+
+
 def q_bin_count_fine(spark: SparkSession, d: str) -> DataFrame:
     b = bins.bin_count(si.events(spark, d), "ts", ["event_type", "user_id"])
     return b.withColumn("bin_start", _s("bin_start"))
@@ -928,6 +936,7 @@ QUERIES = {
     "row_count": q_row_count, "head_n": q_head_n, "drop_rename": q_drop_rename,
     "key_first": q_key_first, "filter_keys": q_filter_keys, "distinct_keys": q_distinct_keys,
     "bin_mean": q_bin_mean, "bin_count": q_bin_count, "bin_count_fine": q_bin_count_fine,
+    "stream_bin_count": q_stream_bin_count,
     "bin_offset": q_bin_offset, "lags_by_key": q_lags_by_key, "lags_global": q_lags_global,
     "seq_repair": q_seq_repair, "seq_repair_twice": q_seq_repair_twice,
     "sentinel_repair": q_sentinel_repair, "missing_windows": q_missing_windows,
@@ -952,6 +961,7 @@ ORACLE_SQL = {
     "drop_rename": SQL_DROP_RENAME, "key_first": SQL_KEY_FIRST,
     "filter_keys": SQL_FILTER_KEYS, "distinct_keys": SQL_DISTINCT_KEYS,
     "bin_mean": SQL_BIN_MEAN, "bin_count": SQL_BIN_COUNT, "bin_count_fine": SQL_BIN_COUNT_FINE,
+    "stream_bin_count": SQL_BIN_COUNT,
     "bin_offset": SQL_BIN_OFFSET, "lags_by_key": SQL_LAGS_BY_KEY,
     "lags_global": SQL_LAGS_GLOBAL, "seq_repair": SQL_SEQ_REPAIR,
     "seq_repair_twice": SQL_SEQ_REPAIR_TWICE, "sentinel_repair": SQL_SENTINEL_REPAIR,
