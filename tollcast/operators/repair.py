@@ -22,6 +22,7 @@ a run with only one side uses that side.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +96,8 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
         df.withColumns({"_av": F.when(x <= t, x), "_ao": F.when(x <= t, anchor_ord)}),
         keys, order, ffill={"_a0": ("_av", True), "_aord": ("_ao", True)},
         leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions)
+    # read twice below (kept rows, island rows): compute the scan once
+    s = s.persist(StorageLevel.MEMORY_AND_DISK)
     is_fix = (x > t) & F.col("_aord").isNotNull()
     keep = s.filter(~is_fix | is_fix.isNull()).select(*[F.col(f"`{c}`") for c in cols])
     outl = s.filter(is_fix)

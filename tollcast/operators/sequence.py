@@ -158,6 +158,9 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
         run[f"_be{i}"] = F.last(tagged(src), ignorenulls=True).over(bwd_excl)
     s = s.withColumns(run) if run else s
     real = s.filter(~F.col("_halo"))
+    if fsrc or bsrc:
+        # read by the bucket summary and by the final join: window once
+        real = real.persist(StorageLevel.MEMORY_AND_DISK)
 
     if fsrc or bsrc:
         # Carry: one summary row per bucket, running value over the buckets.
