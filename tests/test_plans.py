@@ -52,3 +52,17 @@ def test_corr_matrix_one_pass(spark):
     f = _formatted(C.q_corr_matrix(spark, SF001))
     import re
     assert len(re.findall(r"^\(\d+\) Scan parquet", f, flags=re.M)) == 1
+
+
+def test_auto_takes_scan_for_a_hot_key(spark):
+    from tollcast.operators.lags import add_lags
+    rows = [(0 if i < 60 else i, i, float(i)) for i in range(80)]  # key 0 holds 60 rows
+    df = spark.createDataFrame(rows, "k long, t long, v double")
+    hot = add_lags(df, "v", 2, partition_by=["k"], order=["t"], bucket_rows=20)
+    assert "hashpartitioning(_bkt" in _formatted(hot)
+    small = add_lags(df, "v", 2, partition_by=["k"], order=["t"], bucket_rows=100)
+    f = _formatted(small)
+    assert "_bkt" not in f and "hashpartitioning(k" in f
+    a = sorted(map(tuple, hot.collect()))
+    b = sorted(map(tuple, small.collect()))
+    assert a == b

@@ -46,7 +46,7 @@ def missing_windows(observed: DataFrame, keys, bin_col: str = "bin_start", minut
 def locf_fill(observed: DataFrame, keys, value: str, bin_col: str = "bin_start",
               minutes: int = 20, start=None, end=None, order=None, hours=None,
               filled_col: str = "filled", bucket_rows: int = DEFAULT_BUCKET_ROWS,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, method: str = "auto") -> DataFrame:
     """All observed rows plus one row per expected window with no
     observation, valued with the last value found walking back over the
     expected windows of the same key (NULL if none).
@@ -61,7 +61,7 @@ def locf_fill(observed: DataFrame, keys, value: str, bin_col: str = "bin_start",
     joined = joined.withColumn(filled_col, F.col(value).isNull().cast("int"))
     walk = list(order) if order else [bin_col]
     out = ordered_scan(joined, list(keys), walk, ffill={"_v": (value, True)},
-                       bucket_rows=bucket_rows, num_partitions=num_partitions)
+                       bucket_rows=bucket_rows, num_partitions=num_partitions, method=method)
     out = out.withColumn(value, F.col("_v")).drop("_v")
     if hours is None and start is None and end is None:
         return out

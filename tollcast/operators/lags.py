@@ -4,11 +4,13 @@
 the positional shift over the whole table's order (the traffic job's
 behaviour, where rows sorted by (bin, route) are shifted across routes).
 
-``method="scan"`` (default) runs on balanced buckets with halo rows
+``method="scan"`` runs on balanced buckets with halo rows
 (``sequence.ordered_scan``): no task ever holds more than one bucket, even for
 a global order or a key with a third of the rows.  ``method="window"`` is the
 plain ``Window.partitionBy(keys)`` plan: one shuffle fewer, fine when keys are
-many and balanced, and never used for an empty key list.
+many and balanced, and never used for an empty key list.  ``method="auto"``
+(default) measures the largest key group first and takes the plain plan only
+when that group fits in one bucket.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from .sequence import DEFAULT_BUCKET_ROWS, ordered_scan
 
 
 def add_lags(df: DataFrame, value: str, k: int = 7, partition_by=(), order=("bin_start",),
-             prefix: str = "lag", method: str = "scan",
+             prefix: str = "lag", method: str = "auto",
              bucket_rows: int = DEFAULT_BUCKET_ROWS, num_partitions: int | None = None
              ) -> DataFrame:
     names = {f"{prefix}{i}": (value, i) for i in range(1, k + 1)}
@@ -30,4 +32,4 @@ def add_lags(df: DataFrame, value: str, k: int = 7, partition_by=(), order=("bin
         w = Window.partitionBy(*partition_by).orderBy(*order)
         return df.withColumns({n: F.lag(F.col(v), i).over(w) for n, (v, i) in names.items()})
     return ordered_scan(df, list(partition_by), list(order), lags=names,
-                        bucket_rows=bucket_rows, num_partitions=num_partitions)
+                        bucket_rows=bucket_rows, num_partitions=num_partitions, method=method)

@@ -37,14 +37,15 @@ WIND_SENTINEL = 999017.0
 def sentinel_repair(df: DataFrame, col: str, sentinel: float = WIND_SENTINEL, keys=(),
                     order=(), out: str | None = None,
                     bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, method: str = "auto") -> DataFrame:
     out = out or col
     x = F.col(col)
     good = F.when(x != F.lit(sentinel), x)
     scanned = ordered_scan(
         df.withColumn("_good", good), list(keys), list(order),
         ffill={"_p": ("_good", False)}, bfill={"_q": ("_good", False)},
-        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions)
+        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions,
+        method=method)
     p, q, n = F.col("_p"), F.col("_q"), F.col("_n")
     fixed = (F.when(x.isNull() | (x != F.lit(sentinel)), x)
              .when(p.isNull() & q.isNull(), x)
@@ -76,18 +77,18 @@ def _fold_island(arr, a0, threshold: float):
 def outlier_repair(df: DataFrame, col: str, threshold: float = TRAVEL_TIME_THRESHOLD,
                    keys=(), order=(), out: str | None = None, passes: int = 1,
                    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, method: str = "auto") -> DataFrame:
     """W2 (``passes=1``) and W3 (``passes=2``: the repair applied again to its output)."""
     out = out or col
     cur = df if out == col else df.withColumn(out, F.col(col))
     for _ in range(passes):
         cur = _repair_once(cur, out, threshold, list(keys), list(order),
-                           bucket_rows, num_partitions)
+                           bucket_rows, num_partitions, method)
     return cur
 
 
 def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
-                 bucket_rows, num_partitions) -> DataFrame:
+                 bucket_rows, num_partitions, method) -> DataFrame:
     cols = df.columns
     x = F.col(col)
     t = F.lit(threshold)
@@ -95,7 +96,8 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
     s = ordered_scan(
         df.withColumns({"_av": F.when(x <= t, x), "_ao": F.when(x <= t, anchor_ord)}),
         keys, order, ffill={"_a0": ("_av", True), "_aord": ("_ao", True)},
-        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions)
+        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions,
+        method=method)
     # read twice below (kept rows, island rows): compute the scan once
     s = s.persist(StorageLevel.MEMORY_AND_DISK)
     is_fix = (x > t) & F.col("_aord").isNotNull()

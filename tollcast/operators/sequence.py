@@ -84,11 +84,39 @@ def _key_struct(keys) -> Column:
     return F.struct(*_cols(keys)) if keys else F.lit(0)
 
 
+def largest_group(df: DataFrame, keys) -> int:
+    """Row count of the largest key group (whole table for no keys): one
+    aggregate with partial counts per task, one number back."""
+    if not keys:
+        return df.count()
+    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
+    return int(row.m or 0)
+
+
+def _window_scan(df: DataFrame, keys, order, lags, leads, ffill, bfill) -> DataFrame:
+    """Plain key-partitioned windows (used only below the size bound)."""
+    oc = _cols(order)
+    w = Window.partitionBy(*keys).orderBy(*oc)
+    wd = Window.partitionBy(*keys).orderBy(*[c.desc() for c in oc])
+    cols: dict[str, Column] = {}
+    for out, (src, k) in lags.items():
+        cols[out] = F.lag(F.col(src), k).over(w)
+    for out, (src, k) in leads.items():
+        cols[out] = F.lead(F.col(src), k).over(w)
+    for out, (src, incl) in ffill.items():
+        cols[out] = F.last(F.col(src), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, 0 if incl else -1))
+    for out, (src, incl) in bfill.items():
+        cols[out] = F.last(F.col(src), ignorenulls=True).over(
+            wd.rowsBetween(Window.unboundedPreceding, 0 if incl else -1))
+    return df.withColumns(cols)
+
+
 def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
                  leads: dict | None = None, ffill: dict | None = None,
                  bfill: dict | None = None, segment_start: str | None = None,
                  keep_seq: str | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, method: str = "auto") -> DataFrame:
     """Positional look-ups within each key, in ``order``.
 
     ``lags``/``leads``: ``{out: (column, k)}`` value ``k`` rows back/ahead in
@@ -99,9 +127,24 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
     ``segment_start``: output column with the position of the key's first row.
     ``keep_seq``: output column name for the global position.
     ``keys`` may be empty: the scan then runs over the whole table's order.
+
+    ``method``: ``scan`` always uses the balanced buckets; ``auto`` first
+    measures the largest key group and, only when it holds at most
+    ``bucket_rows`` rows (so no task can get more than a bucket's worth of
+    one key), uses plain key-partitioned windows (one shuffle); ``window``
+    forces that plan for keys known to be small.
     """
     lags, leads, ffill, bfill = lags or {}, leads or {}, ffill or {}, bfill or {}
     keys = list(keys)
+    if method not in ("auto", "scan", "window"):
+        raise ValueError("method must be auto, scan or window")
+    if method != "scan" and not (segment_start or keep_seq):
+        if method == "window" and not keys:
+            raise ValueError("method='window' needs keys; a global window is one task")
+        if method == "auto":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)  # sized, then scanned
+        if method == "window" or largest_group(df, keys) <= bucket_rows:
+            return _window_scan(df, keys, order, lags, leads, ffill, bfill)
     before = max([k for _, k in lags.values()] + [1 if segment_start else 0] + [0])
     after = max([k for _, k in leads.values()] + [0])
     B = max(int(bucket_rows), before, after, 1)

@@ -39,10 +39,11 @@ class JobOptions:
     grid_hours: tuple | None = (6, 7, 15, 16)
     bucket_rows: int | None = None
     num_partitions: int | None = None
+    scan_method: str = "auto"          # "scan" = always the balanced buckets
 
 
 def _scan_kw(o: JobOptions) -> dict:
-    kw = {}
+    kw = {"method": o.scan_method}
     if o.bucket_rows:
         kw["bucket_rows"] = o.bucket_rows
     if o.num_partitions:
