@@ -1,13 +1,12 @@
 """Calendar features (F2, F5-F10): weekday, hour and minute parts, fixed-domain
 dummies, the 3-hour weather bucket and the holiday flag.
 
-All are column expressions (whole-stage codegen, no join, no Python).
+All are column expressions (whole-stage codegen, no Python); the holiday
+flag can also go through its generated date table with a bounded broadcast.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,19 +65,6 @@ def dummies(df: DataFrame, ts: str, weekdays: bool = True, hours: bool = True,
     return df.withColumns(cols)
 
 
-def pivot_dummies(df: DataFrame, col: str, key_cols: list[str], prefix: str = "") -> DataFrame:
-    """F10 for an open domain: one flag column per observed value via ``pivot``.
-
-    The value list is computed by Spark (one distinct job); prefer
-    ``dummies`` whenever the domain is known.
-    """
-    flags = (df.groupBy(*key_cols).pivot(col).agg(F.lit(1)).na.fill(0))
-    if prefix:
-        flags = flags.select(*key_cols, *[F.col(f"`{c}`").alias(f"{prefix}{c}")
-                                          for c in flags.columns if c not in key_cols])
-    return flags
-
-
 def hour_bucket(hour) -> Column:
     """3-hour weather bucket: 23,0,1 -> 0; 2,3,4 -> 3; ...; 20,21,22 -> 21."""
     h = _c(hour)
@@ -121,7 +107,12 @@ def holiday_dates(spark: SparkSession, ranges=HOLIDAY_RANGES) -> DataFrame:
     return out
 
 
-def date_range(lo: str, hi: str) -> list[date]:
-    """Plain list of the dates of an inclusive range (for building parameters)."""
-    a, b = date.fromisoformat(lo), date.fromisoformat(hi)
-    return [a + timedelta(days=i) for i in range((b - a).days + 1)]
+def holiday_flag_by_table(df: DataFrame, date_col: str, ranges=HOLIDAY_RANGES,
+                          out: str = "is_holiday") -> DataFrame:
+    """F8 through the F7 date table: left join on the date.  The table has one
+    row per day of the ranges (a bound fixed by the parameters), so it is
+    broadcast; the fact side is never shuffled."""
+    days = holiday_dates(df.sparkSession, ranges).distinct().withColumn("_hol", F.lit(1))
+    days = days.withColumnRenamed("date", "_hday")
+    joined = df.join(F.broadcast(days), F.col(date_col) == F.col("_hday"), "left")
+    return joined.withColumn(out, F.coalesce(F.col("_hol"), F.lit(0))).drop("_hday", "_hol")

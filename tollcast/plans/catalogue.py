@@ -503,14 +503,20 @@ FROM events"""
 
 
 def q_holiday_flag(spark: SparkSession, d: str) -> DataFrame:
-    ev = si.events(spark, d)
-    return ev.select("event_id", F.to_date("ts").cast("string").alias("date"),
-                     cal.is_holiday(F.to_date("ts"), EVENT_HOLIDAYS).alias("is_holiday"))
+    """The flag two ways: a literal range test, and a join with the generated
+    holiday date table (both must agree)."""
+    ev = si.events(spark, d).select("event_id", F.to_date("ts").alias("d"))
+    flagged = cal.holiday_flag_by_table(ev, "d", EVENT_HOLIDAYS, out="is_holiday_table")
+    return flagged.select("event_id", F.col("d").cast("string").alias("date"),
+                          cal.is_holiday("d", EVENT_HOLIDAYS).alias("is_holiday"),
+                          "is_holiday_table")
 
 
-SQL_HOLIDAY_FLAG = "SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, CAST(" + " OR ".join(
+_SQL_HOLIDAY = "CAST(" + " OR ".join(
     f"CAST(ts AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'" for lo, hi in EVENT_HOLIDAYS
-) + " AS INTEGER) AS is_holiday FROM events"
+) + " AS INTEGER)"
+SQL_HOLIDAY_FLAG = (f"SELECT event_id, strftime(ts, '%Y-%m-%d') AS date, {_SQL_HOLIDAY} AS is_holiday, "
+                    f"{_SQL_HOLIDAY} AS is_holiday_table FROM events")
 
 
 # --------------------------------------------------------------- joins
@@ -869,6 +875,9 @@ def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
     return _round_doubles(out)
 
 
+SQL_PLUS_20 = "bs + INTERVAL '20 minutes'"
+
+
 def _sql_volume_features() -> str:
     lag_cols = ", ".join(f"lag(volume, {i}) OVER w AS lag{i}" for i in range(1, 8))
     wcols = ["temperature", "wind_speed", "n_obs"]
@@ -878,9 +887,7 @@ def _sql_volume_features() -> str:
                    [f"minute_{m}" for m in cal.BIN_MINUTES])
     hol = " OR ".join(f"CAST(x.bs AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
                       for lo, hi in EVENT_HOLIDAYS)
-    label = (f"'[' || {_sql_ts('bs')} || ',' || {_sql_ts(chr(98) + chr(115) + ' + INTERVAL 20 minutes')}"
-             " || ')'")
-    label = label.replace("bs + INTERVAL 20 minutes", "bs + INTERVAL '20 minutes'")
+    label = (f"'[' || {_sql_ts('bs')} || ',' || {_sql_ts(SQL_PLUS_20)} || ')'")
     dcols = ", ".join(dummy_names)
 
     def enrich(src):
