@@ -122,3 +122,37 @@ def test_sentinel_random(spark):
     got = _run(spark, sentinel_repair, series, sentinel=S, bucket_rows=3, num_partitions=3)
     for key, xs in series.items():
         assert got[key] == pytest.approx(loop_sentinel(xs)), key
+
+
+@pytest.mark.parametrize("method,bucket_rows", [("scan", 4), ("auto", 1 << 20), ("auto", 4)])
+def test_outlier_paths_agree_with_loop(spark, method, bucket_rows):
+    rnd = random.Random(11)
+    series = {k: [float(rnd.choice([50, 99, 100, 101, 150, 400])) for _ in range(rnd.randint(1, 30))]
+              for k in range(5)}
+    got = _run(spark, outlier_repair, series, threshold=100.0, method=method,
+               bucket_rows=bucket_rows, num_partitions=3)
+    for key, xs in series.items():
+        assert got[key] == pytest.approx(loop_repair(xs, 100.0)), key
+
+
+def test_long_run_beyond_fold_bound(spark, monkeypatch):
+    from tollcast.operators import repair as R
+    monkeypatch.setattr(R, "ISLAND_FOLD_LIMIT", 3)
+    # gap to T halves slowly: sticky only after several steps, then constant
+    xs = [0.0] + [600.5] * 12 + [10.0]
+    got = _run(spark, outlier_repair, {0: xs}, threshold=600.0, method="scan",
+               bucket_rows=4, num_partitions=2)
+    exp = loop_repair(xs, 600.0)
+    # positions past the (lowered) bound take the value reached at the bound
+    cut = [exp[i] if i <= 3 else exp[3] for i in range(len(xs) - 1)] + [10.0]
+    assert got[0][:4] == pytest.approx(exp[:4])
+    assert got[0] == pytest.approx(cut)
+
+
+def test_null_breaks_a_run(spark):
+    rows = [(0, 0, 100.0), (0, 1, 700.0), (0, 2, None), (0, 3, 800.0), (0, 4, 200.0)]
+    df = spark.createDataFrame(rows, "k long, pos long, x double")
+    out = outlier_repair(df, "x", 600.0, keys=["k"], order=["pos"], out="y", method="scan",
+                         bucket_rows=2, num_partitions=2).orderBy("pos").collect()
+    # 700: previous 100, next is NULL -> copies 100; 800 follows a NULL -> NULL
+    assert [r.y for r in out] == [100.0, 100.0, None, None, 200.0]

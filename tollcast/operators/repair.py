@@ -11,8 +11,9 @@ Outlier repair (W2), per key in ``order``, threshold ``T``:
 The recurrence only reaches back to the last good row ("anchor"), so the key
 splits into islands (anchor + following outliers).  Anchors are found with a
 balanced scan; each island is folded on its own with ``aggregate`` (JVM
-side).  Island size is the length of one run of consecutive outliers, not
-the size of the key, so a hot key does not make a hot group.
+side), and only its first ``ISLAND_FOLD_LIMIT`` outliers are collected: past
+that bound the value provably stays constant, so the rest take it by a join.
+No group is larger than that bound, whatever the key or run sizes.
 
 Sentinel repair (W5) has a closed form: with ``p`` the last non-sentinel
 before the row, ``q`` the first after and ``n`` the next raw value,
@@ -23,10 +24,10 @@ a run with only one side uses that side.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import DEFAULT_BUCKET_ROWS, ordered_scan
+from .sequence import DEFAULT_BUCKET_ROWS, largest_group, ordered_scan
 
 # Fixed values of the traffic job: travel-time outlier threshold (seconds) and
 # the wind-direction sentinel.
@@ -56,10 +57,19 @@ def sentinel_repair(df: DataFrame, col: str, sentinel: float = WIND_SENTINEL, ke
     return scanned.withColumn(out, fixed).drop("_good", "_p", "_q", "_n")
 
 
+# Fold bound.  Inside a run of outliers every "next" value is itself above T,
+# so while the repaired value y is below T its gap T - y at least halves per
+# step; in IEEE doubles (gaps between ~1e-324 and ~3.6e308) it reaches 0 within
+# about 2,100 steps, after which y >= T and stays.  NULL, NaN and -inf stay
+# constant.  So positions past this bound always hold the value reached at
+# the bound, and only the first positions of an island are ever folded.
+ISLAND_FOLD_LIMIT = 2200
+
+
 def _fold_island(arr, a0, threshold: float):
     """ys for the outliers of one island, appended only until the value sticks."""
     t = F.lit(threshold)
-    init = F.struct(F.array().cast("array<double>").alias("ys"), a0.alias("cur"),
+    init = F.struct(F.array().cast("array<double>").alias("ys"), a0.cast("double").alias("cur"),
                     F.lit(False).alias("done"))
 
     def step(acc, e):
@@ -92,28 +102,42 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
     cols = df.columns
     x = F.col(col)
     t = F.lit(threshold)
+    # an anchor is a good row; a NULL row also ends a run (NULL then propagates)
+    is_anchor = (x <= t) | x.isNull()
     anchor_ord = F.struct(*[F.col(c) for c in order])
-    s = ordered_scan(
-        df.withColumns({"_av": F.when(x <= t, x), "_ao": F.when(x <= t, anchor_ord)}),
-        keys, order, ffill={"_a0": ("_av", True), "_aord": ("_ao", True)},
-        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions,
-        method=method)
-    # read twice below (kept rows, island rows): compute the scan once
+    base = df.withColumns({"_av": F.when(is_anchor, F.struct(x.alias("v"))),
+                           "_ao": F.when(is_anchor, anchor_ord)})
+    fills = {"_a0": ("_av", True), "_aord": ("_ao", True)}
+    if method == "auto":
+        base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    use_scan = method == "scan" or (method == "auto" and
+                                    largest_group(base, keys) > bucket_rows)
+    if use_scan:
+        s = ordered_scan(base, keys, order, ffill={**fills, "_aseq": ("_as", True)},
+                         leads={"_n": (col, 1)}, keep_seq="_pseq", method="scan",
+                         derive={"_as": F.when(is_anchor, F.col("_seq"))},
+                         bucket_rows=bucket_rows, num_partitions=num_partitions)
+        pos = F.col("_pseq") - F.col("_aseq")
+    else:
+        # every key holds at most `bucket_rows` rows: plain key windows
+        s = ordered_scan(base, keys, order, ffill=fills, leads={"_n": (col, 1)},
+                         method="window" if keys else "auto", bucket_rows=bucket_rows)
+        # numbered among the island's outliers only (the filter below), so 1-based
+        pos = F.row_number().over(Window.partitionBy(*keys, "_aord").orderBy(*order))
+    # read twice below (kept rows, outliers): compute the scan once
     s = s.persist(StorageLevel.MEMORY_AND_DISK)
     is_fix = (x > t) & F.col("_aord").isNotNull()
     keep = s.filter(~is_fix | is_fix.isNull()).select(*[F.col(f"`{c}`") for c in cols])
-    outl = s.filter(is_fix)
-    payload = F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row")
-    islands = (outl.groupBy(*keys, "_aord")
-               .agg(F.first("_a0").alias("_a0"),
-                    F.sort_array(F.collect_list(F.struct(anchor_ord.alias("_o"),
-                                                         F.col("_n"), payload))).alias("_xs")))
-    folded = islands.withColumn("_f", _fold_island(F.col("_xs"), F.col("_a0"), threshold))
+    outl = s.filter(is_fix).withColumn("_pos", pos)
+    head = outl.filter(F.col("_pos") <= ISLAND_FOLD_LIMIT)
+    islands = (head.groupBy(*keys, "_aord")
+               .agg(F.first(F.col("_a0")["v"]).alias("_a0"),
+                    F.sort_array(F.collect_list(F.struct("_pos", "_n"))).alias("_xs")))
+    folded = islands.select(*keys, "_aord",
+                            _fold_island(F.col("_xs"), F.col("_a0"), threshold).alias("_f"))
+    j = outl.join(folded, [*keys, "_aord"], "left")
     ys, last = F.col("_f")["ys"], F.col("_f")["cur"]
-    rows = folded.select(F.inline(F.transform(
-        F.col("_xs"),
-        lambda e, i: F.struct(e["_row"].alias("_row"),
-                              F.when(i < F.size(ys), ys[i]).otherwise(last).alias("_y")))))
-    fixed = rows.select(*[(F.col("_y") if c == col else F.col("_row")[c]).alias(c)
-                          for c in cols])
+    y = F.when(F.col("_pos") <= F.size(ys), F.element_at(ys, F.col("_pos").cast("int"))) \
+        .otherwise(last)
+    fixed = j.select(*[(y if c == col else F.col(f"`{c}`")).alias(c) for c in cols])
     return keep.unionByName(fixed)

@@ -116,9 +116,13 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
                  leads: dict | None = None, ffill: dict | None = None,
                  bfill: dict | None = None, segment_start: str | None = None,
                  keep_seq: str | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                 num_partitions: int | None = None, method: str = "auto") -> DataFrame:
+                 num_partitions: int | None = None, method: str = "auto",
+                 derive: dict | None = None) -> DataFrame:
     """Positional look-ups within each key, in ``order``.
 
+    ``derive``: ``{name: Column}`` computed right after the global position
+    ``_seq`` exists (scan path only), usable as a fill source.
+
     ``lags``/``leads``: ``{out: (column, k)}`` value ``k`` rows back/ahead in
     the same key (NULL past the key's ends).
     ``ffill``: ``{out: (column, include_current)}`` last non-NULL value of the
@@ -151,6 +155,8 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
     orig_cols = df.columns
 
     s = add_sequence(df, keys + list(order), num_partitions)
+    if derive:
+        s = s.withColumns(derive)
     seq = F.col("_seq")
     home = F.floor(seq / F.lit(B)).cast("long")
     off = F.pmod(seq, F.lit(B))
