@@ -6,6 +6,7 @@ rescan and recompute the feature plan.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -28,6 +29,17 @@ RF_GRID_VOLUME = {"maxDepth": [4, 8, 12, 20], "maxBins": [10, 20, 60],
                   "numTrees": [100, 500, 1000]}
 
 
+def training_frame(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Persisted training data spread over at least the cluster's default
+    parallelism: tree and iterative fits make many passes over it, and a
+    frame read from a few large row groups would otherwise keep them on a few
+    cores.  Already well-partitioned frames are only persisted."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def index_stage(col: str, out: str | None = None, handle_invalid: str = "keep") -> StringIndexer:
     """M1: category -> index by descending frequency (ties: ascending value)."""
     return StringIndexer(inputCol=col, outputCol=out or f"{col}_index",

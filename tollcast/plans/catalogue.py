@@ -767,7 +767,7 @@ def _lr_frame(spark, d):
 def _lr_fit(spark, d):
     from pyspark.ml.feature import VectorAssembler
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(_lr_frame(spark, d))
-    df = df.cache()
+    df = models.training_frame(df)
     return df, models.linear_regression().fit(df)
 
 
@@ -834,19 +834,19 @@ def _tree_frame(spark, d):
 
 
 def q_rf_score(spark: SparkSession, d: str) -> DataFrame:
-    df = _tree_frame(spark, d).cache()
+    df = models.training_frame(_tree_frame(spark, d))
     m = models.random_forest().fit(df)
     return models.score(m, df, keep=["l_orderkey", "l_partkey", "l_suppkey"])
 
 
 def q_gbt_score(spark: SparkSession, d: str) -> DataFrame:
-    df = _tree_frame(spark, d).cache()
+    df = models.training_frame(_tree_frame(spark, d))
     m = models.gradient_boosted().fit(df)
     return models.score(m, df, keep=["l_orderkey", "l_partkey", "l_suppkey"])
 
 
 def q_tune_lr(spark: SparkSession, d: str) -> DataFrame:
-    df = _tree_frame(spark, d).cache()
+    df = models.training_frame(_tree_frame(spark, d))
     est = models.linear_regression()
     tvs = models.tune(est, models.LR_GRID, df)
     return models.tuning_table(spark, tvs, models.LR_GRID)
