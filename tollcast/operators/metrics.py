@@ -24,6 +24,7 @@ def regression_metrics(pred: DataFrame, label: str = "label",
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.lit(1.0) - F.sum(err * err) / (F.var_pop(y) * F.count(y))).alias("r2"),
+        # try_divide: a constant label gives NULL instead of an ANSI error
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(y) * F.count(y))).alias("r2"),
         mape(y, p).alias("mape"),
     )
