@@ -11,7 +11,7 @@ from tollcast.sources.tables import DRIVER_TABLES
 
 from conftest import SF001
 
-SLOW = {"rf_score", "gbt_score", "tune_lr", "travel_time_features"}
+SLOW = {"rf_score", "gbt_score", "tune_lr"}
 
 
 def _norm(v):

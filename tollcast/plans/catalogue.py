@@ -927,6 +927,86 @@ FROM tef f, m"""
 SQL_VOLUME_FEATURES = _sql_volume_features()
 
 
+_RF_COLS = ["inlink_crscount", "outlink_crscount", "length", "linkcnt"] + \
+    [f"lane{n}_length" for n in routes.LANE_CLASSES] + \
+    [f"lane{n}_count" for n in routes.LANE_CLASSES]
+
+
+def _sql_travel_time_features() -> str:
+    """Whole task-1 job: repair (twice on train, once on test) by recursive
+    CTE, bins, test grid in the forecast-input hours with walk-back fill,
+    lags, forecast rows, calendar, weather, route features, alignment and
+    mean fill from the training rows."""
+    split = si.EVENTS_SPLIT
+    hours = ", ".join(str(h) for h in features.JobOptions().grid_hours)
+    lag_cols = ", ".join(f"lag(v, {i}) OVER w AS lag{i}" for i in range(1, 8))
+    wcols = ["temperature", "wind_speed", "n_obs"]
+    fill_cols = [f"lag{i}" for i in range(1, 8)] + wcols + _RF_COLS
+    mean_cols = ", ".join(f"avg({c}) AS {c}" for c in fill_cols)
+    dummy_names = (cal.WEEKDAYS + [f"hour__{h}" for h in range(24)] +
+                   [f"minute_{m}" for m in cal.BIN_MINUTES])
+    hol = " OR ".join(f"CAST(x.bs AS DATE) BETWEEN DATE '{lo}' AND DATE '{hi}'"
+                      for lo, hi in EVENT_HOLIDAYS)
+    label = f"'[' || {_sql_ts('f.bs')} || ',' || {_sql_ts('f.' + SQL_PLUS_20)} || ')'"
+    rf_sel = ", ".join(f"rf.{c}" for c in _RF_COLS)
+
+    def enrich(src):
+        return (f"SELECT x.*, {_sql_dummies('x.bs')}, CAST({hol} AS INTEGER) AS is_holiday, "
+                f"wx.temperature, wx.wind_speed, wx.n_obs, {rf_sel} FROM {src} x LEFT JOIN wx "
+                f"ON wx.d = CAST(x.bs AS DATE) AND wx.h = {_sql_bucket('hour(x.bs)')} "
+                f"LEFT JOIN rf ON rf.user_id = x.user_id")
+    filled = ", ".join(f"round(coalesce(f.{c}, m.{c}), 6) AS {c}" for c in fill_cols
+                       if not c.startswith("lag"))
+    tr_lags = ", ".join(f"round(coalesce(f.lag{i}, m.lag{i}), 6) AS lag{i}" for i in range(1, 8))
+    te_lags = ", ".join(f"round(coalesce(0, m.lag{i}), 6) AS lag{i}" for i in range(1, 8))
+    dsel = ", ".join("f." + c for c in dummy_names)
+    return f"""
+WITH RECURSIVE
+tr_src AS (SELECT event_id, user_id, ts, value AS x FROM events WHERE ts < TIMESTAMP '{split}'),
+te_src AS (SELECT event_id, user_id, ts, value AS x FROM events WHERE ts >= TIMESTAMP '{split}'),
+{_sql_repair_pass('a1', 'tr_src', T_REPAIR)},
+a2_src AS (SELECT event_id, user_id, ts, y AS x FROM a1),
+{_sql_repair_pass('a2', 'a2_src', T_REPAIR)},
+{_sql_repair_pass('b1', 'te_src', T_REPAIR)},
+trb AS (SELECT {_SQL_BIN} AS bs, user_id, avg(y) AS v FROM a2 GROUP BY 1, 2),
+teb AS (SELECT {_SQL_BIN} AS bs, user_id, avg(y) AS v FROM b1 GROUP BY 1, 2),
+rg AS (SELECT user_id, min(bs) AS lo, max(bs) AS hi FROM teb GROUP BY 1),
+g AS (SELECT * FROM (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL '20 minutes')) AS bs
+                     FROM rg) WHERE hour(bs) IN ({hours})),
+gl AS (SELECT g.user_id, g.bs, teb.v,
+              last_value(teb.v IGNORE NULLS) OVER (PARTITION BY g.user_id ORDER BY g.bs
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fv
+       FROM g LEFT JOIN teb ON teb.user_id = g.user_id AND teb.bs = g.bs),
+te_all AS (SELECT bs, user_id, v FROM teb
+           UNION ALL SELECT bs, user_id, fv AS v FROM gl WHERE v IS NULL),
+ap AS (SELECT bs, user_id, v, 0 AS part FROM trb
+       UNION ALL SELECT bs, user_id, v, 1 AS part FROM te_all),
+lg AS (SELECT bs, user_id, v, {lag_cols} FROM ap
+       WINDOW w AS (PARTITION BY user_id ORDER BY part, bs)),
+fc AS (SELECT bs + INTERVAL '2 hours' AS bs, user_id FROM te_all),
+wr AS (SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
+              max(value) AS wind_speed, count(*) AS n_obs
+       FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+wx AS (SELECT d, h, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed,
+              avg(n_obs) AS n_obs FROM wr GROUP BY 1, 2),
+{_SQL_ROUTES.strip()},
+rf AS (SELECT rl.o_orderkey AS user_id, {_SQL_ROUTE_FEATURES}
+       FROM rl LEFT JOIN links l ON l.link_id = rl.link_id GROUP BY rl.o_orderkey),
+trf AS ({enrich('lg')}),
+tef AS ({enrich('fc')}),
+m AS (SELECT {mean_cols} FROM trf)
+SELECT f.user_id, {label} AS time_window, round(f.v, 6) AS avg_travel_time, {tr_lags},
+       {dsel}, f.is_holiday, {filled}, 'train' AS split
+FROM trf f, m
+UNION ALL
+SELECT f.user_id, {label} AS time_window, 0.0 AS avg_travel_time, {te_lags},
+       {dsel}, f.is_holiday, {filled}, 'test' AS split
+FROM tef f, m"""
+
+
+SQL_TRAVEL_TIME_FEATURES = _sql_travel_time_features()
+
+
 def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
     """Trips = events keyed by user, travel time = value (threshold 100);
     route features from the order whose key equals the user id."""
@@ -990,4 +1070,5 @@ ORACLE_SQL = {
     "assemble": SQL_ASSEMBLE, "lr_coefficients": SQL_LR_COEFFICIENTS,
     "lr_score": SQL_LR_SCORE, "regression_metrics": SQL_REGRESSION_METRICS,
     "volume_features": SQL_VOLUME_FEATURES,
+    "travel_time_features": SQL_TRAVEL_TIME_FEATURES,
 }
