@@ -83,3 +83,15 @@ def test_bin_offset_right_label(spark):
     got = sorted(r.b for r in out.collect())
     assert got == [_ts(8, 5), _ts(8, 25)]
     assert F  # keep import
+
+
+def test_grid_spans_chunks(spark, monkeypatch):
+    from tollcast.operators import fill as FL
+    monkeypatch.setattr(FL, "GRID_CHUNK", 4)
+    obs = spark.createDataFrame([("A", _ts(8, 0)), ("A", _ts(11, 20)), ("B", _ts(9, 0))],
+                                "k string, bin_start timestamp_ntz")
+    g = FL.expected_grid(obs, ["k"]).orderBy("k", "bin_start").collect()
+    a = [r.bin_start for r in g if r.k == "A"]
+    assert len(a) == 11 and a[0] == _ts(8, 0) and a[-1] == _ts(11, 20)
+    assert len(set(a)) == 11
+    assert [r.bin_start for r in g if r.k == "B"] == [_ts(9, 0)]

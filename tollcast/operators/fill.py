@@ -17,6 +17,9 @@ from ..functions.timefns import interval
 from .sequence import DEFAULT_BUCKET_ROWS, ordered_scan
 
 
+GRID_CHUNK = 1024
+
+
 def expected_grid(observed: DataFrame, keys, bin_col: str = "bin_start", minutes: int = 20,
                   start=None, end=None, hours=None) -> DataFrame:
     """(keys, bin) for every bin from ``start`` to ``end`` inclusive per key.
@@ -29,8 +32,13 @@ def expected_grid(observed: DataFrame, keys, bin_col: str = "bin_start", minutes
     lo = F.min(bin_col) if start is None else F.lit(start).cast("timestamp_ntz")
     hi = F.max(bin_col) if end is None else F.lit(end).cast("timestamp_ntz")
     bounds = observed.groupBy(*keys).agg(lo.alias("_lo"), hi.alias("_hi"))
-    grid = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", interval(minutes=minutes)))
-                         .alias(bin_col))
+    # two levels, so no generated array exceeds GRID_CHUNK elements however
+    # long a key lives: chunk starts first, then the windows of each chunk
+    step = interval(minutes=minutes)
+    chunks = bounds.select(*keys, "_hi", F.explode(F.sequence(
+        "_lo", "_hi", interval(minutes=minutes * GRID_CHUNK))).alias("_c"))
+    last = F.least(F.col("_c") + interval(minutes=minutes * (GRID_CHUNK - 1)), F.col("_hi"))
+    grid = chunks.select(*keys, F.explode(F.sequence("_c", last, step)).alias(bin_col))
     if hours is not None:
         grid = grid.filter(F.hour(bin_col).isin(list(hours)))
     return grid
