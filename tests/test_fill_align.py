@@ -95,3 +95,23 @@ def test_grid_spans_chunks(spark, monkeypatch):
     assert len(a) == 11 and a[0] == _ts(8, 0) and a[-1] == _ts(11, 20)
     assert len(set(a)) == 11
     assert [r.bin_start for r in g if r.k == "B"] == [_ts(9, 0)]
+
+
+def test_gap_fill_walk_order_option(spark):
+    """Q3: walking the grid as all mornings then all afternoons lets the first
+    afternoon window inherit the last morning value."""
+    d1m, d2m = dt.datetime(2016, 10, 18, 8, 0), dt.datetime(2016, 10, 19, 8, 0)
+    d1a = dt.datetime(2016, 10, 18, 17, 0)
+    obs = spark.createDataFrame([("A", d1m, 1.0), ("A", d2m, 2.0), ("A", d1a, None)],
+                                "k string, bin_start timestamp_ntz, v double").filter("v IS NOT NULL")
+    grid_obs = obs.unionByName(spark.createDataFrame(
+        [("A", dt.datetime(2016, 10, 19, 17, 0), 9.0)], "k string, bin_start timestamp_ntz, v double"))
+    part = F.when(F.hour("bin_start") < 12, 0).otherwise(1)
+    out = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), order=[part, "bin_start"],
+                         method="scan", bucket_rows=2, num_partitions=2)
+    got = {r.bin_start: r.v for r in out.collect()}
+    # 18th 17:00 is missing; by position it follows the 19th 08:00 morning (2.0)
+    assert got[d1a] == 2.0
+    by_time = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), method="scan",
+                             bucket_rows=2, num_partitions=2)
+    assert {r.bin_start: r.v for r in by_time.collect()}[d1a] == 1.0
