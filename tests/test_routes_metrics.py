@@ -1,14 +1,39 @@
-"""Route features golden values (shipped links/routes), metrics, models."""
-import os
-
+"""Route features golden values, CSV formats, metrics, models."""
 import pytest
 from pyspark.sql import functions as F
 
 from tollcast.operators import metrics, models, routes
-from tollcast.sources.csv import read_csv
-
-from conftest import REF_DATA, SF001
-
+from tollcast.session import scratch_path
+from tollcast.sources.csv import SCHEMAS, read_csv
+
+from conftest import SF001
+
+# The traffic task's link table (link_id, length, width, lanes,
+# in_top, out_top, lane_width) and route table (intersection, tollgate, link list).
+LINKS = [
+    ("100", 58, 3, 1, "105", "111", 3), ("101", 84, 3, 1, "116", "121", 3),
+    ("102", 131, 9, 3, "115", "109", 3), ("103", 23, 12, 4, "111", "122,116", 3),
+    ("104", 293, 9, 3, "109", "112", 3), ("105", 78, 6, 2, "", "100", 3),
+    ("106", 15, 3, 1, "121", "113", 3), ("107", 34, 9, 3, "123", "108", 3),
+    ("108", 40, 9, 3, "107", "119,120", 3), ("109", 135, 9, 3, "102", "104", 3),
+    ("110", 109, 9, 3, "", "123", 3), ("111", 121, 12, 4, "100,112", "103", 3),
+    ("112", 199, 9, 3, "104", "111", 3), ("113", 144, 6, 2, "106", "", 3),
+    ("114", 198, 3, 1, "119", "118", 3), ("115", 107, 9, 3, "", "102", 3),
+    ("116", 180, 9, 3, "118,103", "101", 3), ("117", 136, 3, 1, "120", "", 3),
+    ("118", 206, 9, 3, "114", "116,122", 3), ("119", 9, 3, 1, "108", "114", 3),
+    ("120", 6, 3, 1, "108", "117", 3), ("121", 118, 3, 1, "101", "106", 3),
+    ("122", 197, 3, 1, "118,103", "", 3), ("123", 59, 9, 3, "110", "107", 3),
+]
+ROUTES = [
+    ("A", 2, "110,123,107,108,120,117"),
+    ("A", 3, "110,123,107,108,119,114,118,122"),
+    ("B", 1, "105,100,111,103,116,101,121,106,113"),
+    ("B", 3, "105,100,111,103,122"),
+    ("C", 1, "115,102,109,104,112,111,103,116,101,121,106,113"),
+    ("C", 3, "115,102,109,104,112,111,103,122"),
+]
+
+# Golden route features, computed independently (FIXTURES.md section 3).
 GOLDEN = {
     ("A", 2): (0, 1, 384, 6, 142, 0, 242, 0, 2, 0, 4, 0),
     ("A", 3): (1, 2, 852, 8, 404, 0, 448, 0, 3, 0, 5, 0),
@@ -22,10 +47,21 @@ COLS = ["inlink_crscount", "outlink_crscount", "length", "linkcnt", "lane1_lengt
         "lane3_count", "lane4_count"]
 
 
-@pytest.mark.skipif(not os.path.isdir(REF_DATA), reason="shipped CSVs not present")
+def _write_quoted_csv(spark, name, header, rows):
+    """A CSV in the traffic files' format: header row, every value quoted."""
+    path = scratch_path(spark, name)
+    lines = [",".join(f'"{h}"' for h in header)]
+    lines += [",".join(f'"{v}"' for v in r) for r in rows]
+    spark.createDataFrame([("\n".join(lines),)], "t string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    return path
+
+
 def test_route_features_golden(spark):
-    links = read_csv(spark, os.path.join(REF_DATA, "links (table 3).csv"), "links")
-    rts = read_csv(spark, os.path.join(REF_DATA, "routes (table 4).csv"), "routes")
+    links = read_csv(spark, _write_quoted_csv(spark, "links", SCHEMAS["links"].names, LINKS),
+                     "links")
+    rts = read_csv(spark, _write_quoted_csv(spark, "routes", SCHEMAS["routes"].names, ROUTES),
+                   "routes")
     rl = routes.route_links(rts, routes.link_flags(links), ["intersection_id", "tollgate_id"])
     feats = routes.route_features(rl, ["intersection_id", "tollgate_id"])
     got = {(r.intersection_id, r.tollgate_id): tuple(r[c] for c in COLS)
@@ -35,11 +71,16 @@ def test_route_features_golden(spark):
         assert sum(v[4:8]) == v[2] and sum(v[8:12]) == v[3]
 
 
-@pytest.mark.skipif(not os.path.isdir(REF_DATA), reason="shipped CSVs not present")
 def test_weather_csv_schema(spark):
-    w = read_csv(spark, os.path.join(REF_DATA, "weather (table 7)_test1.csv"), "weather")
-    assert w.count() == 56
-    assert dict(w.dtypes)["date"] == "date"
+    rows = [("2016-10-18", 0, "1015.2000", "1020.3000", "62.0000", "2.1000", "20.5000",
+             "87.0000", "0.0000"),
+            ("2016-10-18", 3, "1014.5000", "1019.5000", "999017.0000", "2.5000", "23.3000",
+             "73.0000", "0.0000")]
+    w = read_csv(spark, _write_quoted_csv(spark, "weather", SCHEMAS["weather"].names, rows),
+                 "weather")
+    got = w.collect()
+    assert dict(w.dtypes)["date"] == "date" and dict(w.dtypes)["hour"] == "int"
+    assert [r.wind_direction for r in got] == [62.0, 999017.0]
 
 
 def test_mape_fixture(spark):
