@@ -27,7 +27,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequence import DEFAULT_BUCKET_ROWS, largest_group, ordered_scan
+from .sequence import DEFAULT_BUCKET_ROWS, _window_scan, largest_group, ordered_scan
 
 # Fixed values of the traffic job: travel-time outlier threshold (seconds) and
 # the wind-direction sentinel.
@@ -91,6 +91,10 @@ def outlier_repair(df: DataFrame, col: str, threshold: float = TRAVEL_TIME_THRES
     """W2 (``passes=1``) and W3 (``passes=2``: the repair applied again to its output)."""
     out = out or col
     cur = df if out == col else df.withColumn(out, F.col(col))
+    if method == "auto":
+        # key sizes do not change between passes: measure them once
+        cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+        method = "scan" if largest_group(cur, list(keys)) > bucket_rows else "small"
     for _ in range(passes):
         cur = _repair_once(cur, out, threshold, list(keys), list(order),
                            bucket_rows, num_partitions, method)
@@ -108,11 +112,8 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
     base = df.withColumns({"_av": F.when(is_anchor, F.struct(x.alias("v"))),
                            "_ao": F.when(is_anchor, anchor_ord)})
     fills = {"_a0": ("_av", True), "_aord": ("_ao", True)}
-    if method == "auto":
-        base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    use_scan = method == "scan" or (method == "auto" and
-                                    largest_group(base, keys) > bucket_rows)
-    if use_scan:
+    # "scan": balanced buckets; "small"/"window": every key fits one bucket
+    if method == "scan":
         s = ordered_scan(base, keys, order, ffill={**fills, "_aseq": ("_as", True)},
                          leads={"_n": (col, 1)}, keep_seq="_pseq", method="scan",
                          derive={"_as": F.when(is_anchor, F.col("_seq"))},
@@ -120,8 +121,7 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
         pos = F.col("_pseq") - F.col("_aseq")
     else:
         # every key holds at most `bucket_rows` rows: plain key windows
-        s = ordered_scan(base, keys, order, ffill=fills, leads={"_n": (col, 1)},
-                         method="window" if keys else "auto", bucket_rows=bucket_rows)
+        s = _window_scan(base, keys, order, {}, {"_n": (col, 1)}, fills, {})
         # numbered among the island's outliers only (the filter below), so 1-based
         pos = F.row_number().over(Window.partitionBy(*keys, "_aord").orderBy(*order))
     # read twice below (kept rows, outliers): compute the scan once
