@@ -594,6 +594,11 @@ def q_route_features(spark: SparkSession, d: str) -> DataFrame:
     return _route_features(spark, d)
 
 
+_RF_COLS = ["inlink_crscount", "outlink_crscount", "length", "linkcnt"] + \
+    [f"lane{n}_length" for n in routes.LANE_CLASSES] + \
+    [f"lane{n}_count" for n in routes.LANE_CLASSES]
+
+
 _SQL_ROUTE_FEATURES = ",\n".join([
     "CAST(coalesce(sum(CAST(contains(l.in_top, ',') AS INTEGER)), 0) AS BIGINT) AS inlink_crscount",
     "CAST(coalesce(sum(CAST(contains(l.out_top, ',') AS INTEGER)), 0) AS BIGINT) AS outlink_crscount",
@@ -610,15 +615,20 @@ FROM rl LEFT JOIN links l ON l.link_id = rl.link_id GROUP BY rl.o_orderkey"""
 
 
 def q_feature_join(spark: SparkSession, d: str) -> DataFrame:
+    """Orders without links get NULL features, so (as after any left merge)
+    the feature columns are doubles."""
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return joins.feature_join(o, _route_features(spark, d), ["o_orderkey"])
+    j = joins.feature_join(o, _route_features(spark, d), ["o_orderkey"])
+    return j.select("o_orderkey", "o_custkey", "o_totalprice",
+                    *[F.col(c).cast("double").alias(c) for c in _RF_COLS])
 
 
 SQL_FEATURE_JOIN = f"""
 WITH {_SQL_ROUTES},
 rf AS (SELECT rl.o_orderkey, {_SQL_ROUTE_FEATURES}
        FROM rl LEFT JOIN links l ON l.link_id = rl.link_id GROUP BY rl.o_orderkey)
-SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, rf.* EXCLUDE (o_orderkey)
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice,
+       {", ".join(f"CAST(rf.{c} AS DOUBLE) AS {c}" for c in _RF_COLS)}
 FROM orders o LEFT JOIN rf ON rf.o_orderkey = o.o_orderkey"""
 
 
@@ -927,11 +937,6 @@ FROM tef f, m"""
 SQL_VOLUME_FEATURES = _sql_volume_features()
 
 
-_RF_COLS = ["inlink_crscount", "outlink_crscount", "length", "linkcnt"] + \
-    [f"lane{n}_length" for n in routes.LANE_CLASSES] + \
-    [f"lane{n}_count" for n in routes.LANE_CLASSES]
-
-
 def _sql_travel_time_features() -> str:
     """Whole task-1 job: repair (twice on train, once on test) by recursive
     CTE, bins, test grid in the forecast-input hours with walk-back fill,
