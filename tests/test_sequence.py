@@ -80,3 +80,11 @@ def test_volume_job_partition_invariant(spark, parts):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     base = sorted(map(tuple, C.q_volume_features(spark, SF001).collect()), key=repr)
     assert got == base
+
+
+def test_add_sequence_checkpoint_pin(spark):
+    df = spark.range(0, 300).selectExpr("id", "(id * 37) % 300 AS o")
+    out = add_sequence(df, ["o", "id"], num_partitions=5, pin="checkpoint").toPandas()
+    out = out.sort_values("_seq")
+    assert out["_seq"].tolist() == list(range(300))
+    assert out["o"].tolist() == sorted(out["o"].tolist())
