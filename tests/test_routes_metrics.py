@@ -135,3 +135,12 @@ def test_tune_fits_every_grid_point(spark):
     tvs = models.tune(models.linear_regression(), grid, df, parallelism=2)
     table = models.tuning_table(spark, tvs, grid)
     assert table.count() == 4
+
+
+def test_time_split_holdout(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", 1.0), ("2024-01-20 00:00:00", 2.0)],
+                               "s string, v double").selectExpr(
+        "to_timestamp_ntz(s) AS ts", "v")
+    train, valid = models.time_split(df, "ts", "2024-01-16")
+    assert [r.v for r in train.collect()] == [1.0]
+    assert [r.v for r in valid.collect()] == [2.0]

@@ -97,6 +97,14 @@ def score(model, df: DataFrame, keep=(), label: str = "label",
     return model.transform(df).select(*keep, label, prediction)
 
 
+def time_split(df: DataFrame, ts_col: str, cutoff: str):
+    """Q11: time-based holdout: rows before ``cutoff`` train, the rest
+    validate (metrics on rows the model has not seen, next to the in-sample
+    figure).  Two filters on the same frame; no random sampling."""
+    cut = F.lit(cutoff).cast(dict(df.dtypes)[ts_col])
+    return df.filter(F.col(ts_col) < cut), df.filter(F.col(ts_col) >= cut)
+
+
 def param_grid(estimator, grid: dict) -> list:
     """Every combination of the named parameter values."""
     b = ParamGridBuilder()
