@@ -66,3 +66,23 @@ def test_auto_takes_scan_for_a_hot_key(spark):
     a = sorted(map(tuple, hot.collect()))
     b = sorted(map(tuple, small.collect()))
     assert a == b
+
+
+def test_single_task_windows_only_over_summaries(spark):
+    """In the balanced-scan plans, a window without a partition spec (one
+    task) only runs over the per-partition counts or the per-bucket summaries,
+    never over the data rows."""
+    import re
+    for q in (C.q_lags_global, C.q_sentinel_repair, C.q_locf_grid):
+        f = _formatted(q(spark, SF001))
+        seen = 0
+        for line in f.splitlines():
+            if not line.startswith("Arguments:") or "windowspecdefinition" not in line:
+                continue
+            for m in re.finditer(r"(\w+)\((\w+)#\d+L?(?:, [^)]*)?\) windowspecdefinition\((\w+)#\d+L? (ASC|DESC)",
+                                 line):
+                source, order_col = m.group(2), m.group(3)
+                assert order_col in ("_pid", "_bkt"), line
+                assert re.fullmatch(r"_cnt|_L\d+|_M\d+", source), line
+                seen += 1
+        assert seen >= 1  # the offsets window at least
