@@ -115,3 +115,16 @@ def test_gap_fill_walk_order_option(spark):
     by_time = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), method="scan",
                              bucket_rows=2, num_partitions=2)
     assert {r.bin_start: r.v for r in by_time.collect()}[d1a] == 1.0
+
+
+def test_bin_count_augmented(spark):
+    from tollcast.operators import bins
+    df = spark.createDataFrame([(_ts(8, 7),), (_ts(8, 3),), (_ts(8, 22),)], "ts timestamp_ntz")
+    out = bins.bin_count_augmented(df, "ts", [], [(5, "right"), (55, "left")], out="volume")
+    got = sorted((r.shift, r.bin_start, r.volume) for r in out.collect())
+    assert ("0/left", _ts(8, 0), 2) in got and ("0/left", _ts(8, 20), 1) in got
+    # 5-minute offset, right label: 08:03 -> (07:45, 08:05] labelled 08:05
+    assert ("5/right", _ts(8, 5), 1) in got and ("5/right", _ts(8, 25), 2) in got
+    # 55-minute offset is the 15-minute grid (:15, :35, :55), left label
+    assert ("55/left", _ts(7, 55), 2) in got and ("55/left", _ts(8, 15), 1) in got
+    assert sum(v for s, _, v in got if s == "55/left") == 3

@@ -44,8 +44,10 @@ def bin_start(col, minutes: int = 20, offset_minutes: int = 0) -> Column:
     Bins are aligned to the epoch (every 20-minute bin starts at :00, :20, :40),
     like a time grouper with the same frequency.
     """
+    # an offset only matters modulo the width (a 55-minute base on 20-minute
+    # bins is the 15-minute grid), and the window function wants it below it
     w = F.window(_c(col), f"{minutes} minutes", f"{minutes} minutes",
-                 f"{offset_minutes} minutes")
+                 f"{offset_minutes % minutes} minutes")
     return w.start
 
 
