@@ -144,3 +144,16 @@ def test_time_split_holdout(spark):
     train, valid = models.time_split(df, "ts", "2024-01-16")
     assert [r.v for r in train.collect()] == [1.0]
     assert [r.v for r in valid.collect()] == [2.0]
+
+
+def test_profile_exact_and_approx(spark):
+    from tollcast.operators import profile
+    df = spark.range(1, 102).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b")
+    ex = {r.col_name: r for r in profile.profile(df, ["a", "b"], num_partitions=3).collect()}
+    ap = {r.col_name: r for r in profile.profile(df, ["a", "b"], exact=False).collect()}
+    # 1..101: quartiles by linear interpolation are 26, 51, 76
+    assert (ex["a"].q25, ex["a"].q50, ex["a"].q75) == (26.0, 51.0, 76.0)
+    assert ex["a"]["count"] == 101 and ex["a"]["min"] == 1.0 and ex["a"]["max"] == 101.0
+    for c in ("a", "b"):
+        for q in ("q25", "q50", "q75"):
+            assert abs(ap[c][q] - ex[c][q]) <= 1.0
