@@ -31,3 +31,14 @@ def test_schema_shape_head(spark):
     shp = insp.shape_frame(df, "t").first()
     assert (shp.n_rows, shp.n_cols) == (3, 2)
     assert [r.id for r in insp.head(df, 2, [F.col("id")]).collect()] == [1, 2]
+
+
+def test_parquet_sink_partitioned_by_date_prunes(spark):
+    df = spark.createDataFrame([("2016-10-18", 1.0), ("2016-10-19", 2.0), ("2016-10-19", 3.0)],
+                               "d string, v double").withColumn("date", F.to_date("d")).drop("d")
+    path = scratch_path(spark, "t_parquet")
+    csvsrc.write_parquet(df, path, partition_by=["date"])
+    back = spark.read.parquet(path).filter(F.col("date") == F.lit("2016-10-19").cast("date"))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert sorted(r.v for r in back.collect()) == [2.0, 3.0]
