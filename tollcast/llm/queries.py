@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, token_count
-from .common import read
+from . import (decontaminate, language, packing, quality_compression, quality_rules, secrets, sharding,
+               simhash, token_count, toxicity)
+from .common import fold, read
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    profiles = language.learn_profiles(docs.filter(fold("doc_id", 4) != 2))
+    out = language.identify(docs, profiles)
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    counts = [F.size(k).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op3_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read(spark, sf_dir, "documents"), shards=24)
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,13 +33,42 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), capacity=1024, end_id=2)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "posterior")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality_compression.learn(docs.filter(fold("doc_id", 3) != 1),
+                                      labels.filter(fold("doc_id", 3) != 1))
+    out = quality_compression.score(docs, model)
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.learn(docs.filter(fold("doc_id", 5) != 0), labels.filter(fold("doc_id", 5) != 0))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash_dedup, op6_best_fit_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_secret_scan, op3_balanced_shards, op4_simhash_dedup, op5_decontamination,
+    op6_best_fit_packing, op7_quality_rules, op8_quality_classifier, op9_toxicity, op10_token_counts)}
+
+#: Only where SQL gives the same rows; the others are tested by brute force.
 ORACLE_SQL: dict[str, str] = {}
