@@ -27,6 +27,7 @@ def test_statistics_against_plain_python(documents):
         s = Q.text_statistics(t)
         assert (*s[:4], s[5]) == plain_statistics(t)
         assert s[6:8] == (sum(c.isalpha() and c.isupper() for c in t or ""), sum(map(str.isalpha, t or "")))
+        assert s[9] == sum(any(map(str.isalpha, w)) for w in re.findall(r"[^\x20\x09-\x0D]+", t or ""))
 
 
 def test_unequal_windows_with_equal_numbers_are_told_apart(monkeypatch):
@@ -37,15 +38,19 @@ def test_unequal_windows_with_equal_numbers_are_told_apart(monkeypatch):
 
 def test_em_recovers_accuracies_of_planted_rules():
     rng = np.random.default_rng(3)
-    good = rng.random(60_000) < 0.8
-    accuracy, speaks = np.array([.95, .9, .75, .6]), np.array([.9, .5, .8, .7])
-    right = rng.random((len(good), 4)) < accuracy
-    votes = np.where(right == good[:, None], 1, -1) * (rng.random((len(good), 4)) < speaks)
+    good = rng.random(80_000) < 0.85
+    says_bad = np.where(good[:, None], [.01, .02, .005, .0], [.6, .5, .3, .0])  # rates of a bad vote
+    says_good = np.where(good[:, None], [.95, .9, .5, .8], [.2, .3, .4, .7])
+    draw = rng.random((len(good), 4))
+    votes = np.where(draw < says_bad, -1, np.where(draw > 1 - says_good, 1, 0))
     patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    model = Q.LabelModel(4).fit(patterns.astype(float), counts.astype(float))
-    assert np.abs(model.accuracy - accuracy).max() < 0.03 and abs(model.prior - 0.8) < 0.03
+    model = Q.LabelModel(4, prior=0.85).fit(patterns.astype(float), counts.astype(float))
+    for rule in range(3):
+        right = (~good)[votes[:, rule] == -1].mean()
+        assert abs(model.accuracy(-1)[rule] - right) < 0.1
     kept = model.posterior(patterns.astype(float))[back] >= 0.5
-    assert (kept == good).mean() > (votes.min(axis=1) >= 0)[good].mean()  # better than all must pass
+    assert (kept == good).mean() > ((votes >= 0).all(axis=1) == good).mean()  # better than all must pass
+    assert kept[good].mean() > 0.98
 
 
 def test_verdicts_agree_with_labels(spark):
@@ -55,7 +60,7 @@ def test_verdicts_agree_with_labels(spark):
     good = [r for r in rows if r.quality == 1 and not r.base_failed]
     bad = [r for r in rows if r.quality == 0]
     assert sum(r.kept for r in good) / len(good) > 0.98
-    assert sum(r.kept for r in bad) / len(bad) < 0.3
+    assert sum(r.kept for r in bad) / len(bad) < 0.15
     for r in rows:
         assert r.base_failed == (r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words)
         assert not (r.base_failed and r.kept) and 0 <= r.posterior <= 1

@@ -49,7 +49,7 @@ def test_a_third_of_all_rows_in_one_group(spark):
     rows = S.shard_documents(docs, shards=8).collect()
     checked(rows, docs.collect(), 8)
     hot = Counter(r.shard for r in rows if r["size"] == len("same text") + 8)
-    assert hot.most_common(1)[0][1] > 300  # drawn together, as far as a shard of 375 holds them
+    assert hot.most_common(1)[0][1] > 250  # drawn together, in a shard of 375 that holds pairs too
     broken, groups = broken_groups(rows, docs.collect())
     assert len(broken) <= 0.2 * groups
 

@@ -3,7 +3,7 @@
 Each rule votes good (+1), bad (-1) or abstains (0) on a document.  Votes of
 one pattern are alike, so one aggregate counts the patterns (at most 3 to the
 number of rules, whatever the corpus), expectation-maximisation on these
-counts estimates how often a rule is right when it votes, and every pattern
+counts estimates how right each rule's votes are, and every pattern
 gets a posterior probability of good quality.  That probability replaces
 "must pass all rules".
 
@@ -12,7 +12,7 @@ folder and read twice, for the counts and for the verdicts.
 
 Defined cases: a NULL text has no words and fails the base rules; repeated
 rows get equal results; an empty table gives an empty result; votes that do
-not occur leave a rule's accuracy at its prior.
+not occur leave a rule's accuracy where it started.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ _SPACES = " \t\n\v\f\r"
 _WINDOW = 5
 
 _STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_lines long, "
-          "n_repeat_words long, n_upper long, n_letters long, n_ends long, n_alpha_words long")
+          "n_repeat_words long, n_upper long, n_letters long, n_ends long, n_letter_words long")
 
 
 def repeated_words(words: list, window: int = _WINDOW) -> int:
@@ -75,13 +75,16 @@ def text_statistics(text: str | None) -> tuple[int, ...]:
     text = text or ""
     words = text.encode("utf-8").split()  # bytes: only \x20 and \x09-\x0D part words
     lines = [x for x in text.split("\n") if x.strip(_SPACES)]
-    kinds = np.bincount(_kinds()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")],
-                        minlength=3)
-    upper, letters = int(kinds[2]), int(kinds[1] + kinds[2])
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    kinds = _kinds()[points]
+    letter = np.flatnonzero(kinds)
+    space = (points == 32) | ((points >= 9) & (points <= 13))
+    word = np.cumsum(space)[letter]  # letters with no space between them are in one word
+    with_letter = int((np.diff(word) > 0).sum()) + 1 if len(letter) else 0
     return (len(words), len(text) - sum(map(text.count, _SPACES)), sum(map(text.count, SYMBOLS)),
-            len(lines) - len(set(lines)), len(lines), repeated_words(words), upper, letters,
+            len(lines) - len(set(lines)), len(lines), repeated_words(words), int((kinds == 2).sum()), len(letter),
             sum(x.rstrip(_SPACES)[-1] in ".!?\"')" for x in lines),
-            sum(map(bytes.isalpha, words)))
+            with_letter)
 
 
 def statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -108,6 +111,7 @@ def votes() -> dict[str, Column]:
     repeats, symbols = _share("n_repeat_words", "n_words"), _share("n_symbols", "n_words")
     lines, upper = _share("n_dup_lines", "n_lines"), _share("n_upper", "n_letters")
     letters, ends = _share("n_letters", "word_chars"), _share("n_ends", "n_lines")
+    worded = _share("n_letter_words", "n_words")
     return {
         "length": _vote(words >= 30, words < 10),
         "word_size": _vote((size >= 3) & (size <= 9), (size < 2) | (size > 14)),
@@ -115,38 +119,51 @@ def votes() -> dict[str, Column]:
         "duplicate_lines": _vote((lines < 0.05) & (F.col("n_lines") > 1), lines > 0.3),
         "repeats": _vote(repeats < 0.05, repeats > 0.2),
         "capitals": _vote(upper < 0.15, upper > 0.4),
-        "letters": _vote(letters > 0.9, letters < 0.7),
-        "line_ends": _vote(ends >= 0.7, ends < 0.1),
+        "letters": _vote(letters > 0.9, letters < 0.67),
+        "letter_words": _vote(worded > 0.9, worded < 0.8),
+        "line_ends": _vote(ends >= 0.7, (ends < 0.1) & (F.col("n_lines") >= 3)),
     }
 
 
 class LabelModel:
-    """Accuracies of independent voters, fitted by expectation-maximisation.
+    """Rules as voters of unknown accuracy, fitted by expectation-maximisation.
 
-    ``accuracy[j]`` is the chance that rule j's vote is right, given that it
-    votes.  A Beta prior (as ``strength`` votes of ``start`` accuracy) keeps
-    rules better than chance at the outset and defines those never used.
+    For each rule and each vote, a rate for good and one for bad documents:
+    how often it votes so.  A vote's weight is the logarithm of their ratio, an
+    abstention says nothing.  The share of good documents is a parameter (where
+    silence says nothing, votes alone do not tell it); ``strength`` documents'
+    worth of the starting rates keep rules that seldom vote in place.
     """
 
-    def __init__(self, rules: int, prior: float = 0.85, start: float = 0.8, strength: float = 20):
-        self.prior, self.accuracy = prior, np.full(rules, start)
-        self._right, self._all = start * strength, strength
+    #: Starting rates of a good and of a bad vote, for good and for bad documents.
+    START = {1: (0.9, 0.7), -1: (0.01, 0.4)}
+
+    def __init__(self, rules: int, prior: float = 0.85, strength: float = 20):
+        self.prior, self.strength = prior, strength
+        self.rates = {v: [np.full(rules, r) for r in rates] for v, rates in self.START.items()}
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        odds = np.log(self.accuracy / (1 - self.accuracy))
-        return 1 / (1 + np.exp(-(math.log(self.prior / (1 - self.prior)) + patterns @ odds)))
+        odds = math.log(self.prior / (1 - self.prior))
+        odds = odds + sum((patterns == v) @ np.log(good / bad) for v, (good, bad) in self.rates.items())
+        return 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+
+    def accuracy(self, vote: int) -> np.ndarray:
+        """How often each rule's vote of this kind is right."""
+        good, bad = self.prior * self.rates[vote][0], (1 - self.prior) * self.rates[vote][1]
+        return (good if vote == 1 else bad) / (good + bad)
 
-    def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> LabelModel:
-        voted = np.abs(patterns) * counts[:, None]
+    def fit(self, patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> LabelModel:
         for _ in range(rounds):
             good = self.posterior(patterns)
-            right = np.where(patterns > 0, good[:, None], 1 - good[:, None]) * voted
-            accuracy = (right.sum(axis=0) + self._right) / (voted.sum(axis=0) + self._all)
-            prior = ((good * counts).sum() + 0.85 * self._all) / (counts.sum() + self._all)
-            moved = np.abs(accuracy - self.accuracy).max()
-            self.accuracy = np.clip(accuracy, 0.05, 0.995)
-            self.prior = float(np.clip(prior, 0.01, 0.995))
-            if moved < 1e-6:
+            moved = 0.0
+            for v, start in self.START.items():
+                for k, weight in enumerate((good * counts, (1 - good) * counts)):
+                    rate = ((weight @ (patterns == v) + self.strength * start[k])
+                            / (weight.sum() + self.strength))
+                    rate = np.clip(rate, 1e-4, 1 - 1e-4)
+                    moved = max(moved, float(np.abs(rate - self.rates[v][k]).max()))
+                    self.rates[v][k] = rate
+            if moved < 1e-7:
                 break
         return self
 

@@ -1,13 +1,14 @@
 """Balanced label propagation into shards, in DataFrame functions only.
 
 Documents that share a link key are linked, through the key and never pair by
-pair.  They start in the shard that the hash of a row number names.  In each round
-every key names the shard that holds most of its documents, each document
-takes the strongest of its keys' shards as its wish, and quotas decide: a
-shard takes no more than its room, as a share of the wishes drawn by hash, by
+pair.  They start in the shard that the hash of a row number names.  In each
+round every key names, of the shards with room, the one that holds most of its
+documents; a document in a shard that holds fewer wishes to go there, by the
+strongest of its keys; and quotas decide: a shard takes no more linked rows
+than its quota has room for, as a share of the wishes drawn by hash, by
 document where a key holds more than a fraction of a shard and by key
 otherwise, so that small groups move whole.  Wishes and loads are
-pre-aggregated to a few numbers for each shard.
+pre-aggregated to a number for each shard.
 
 The law is ``rows``: shard counts differ by one at most.  After the rounds,
 rows beyond a shard's quota fill the gaps of the others, those without a link
@@ -30,14 +31,12 @@ from pyspark.sql import functions as F
 from .common import written
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 8
 LAW = "rows"
 #: Rows ranked together for their slots.
 BLOCK_ROWS = 20_000
 #: A key of more than this share of a shard's quota moves document by document.
 LARGE_KEY = 0.125
-#: Room above the quota during the rounds; the last step evens it out.
-SLACK = 0.05
 
 
 def _lookup(values: list, index: Column) -> Column:
@@ -49,8 +48,7 @@ def _unit(*cols) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS,
-              slack: float = SLACK) -> DataFrame:
+def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
     """(id, shard, linked) per row of ``rows`` (id), from ``links`` (id, key).
 
     Ids must be distinct; a key may link any number of rows.
@@ -64,30 +62,30 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
     start = rows.select("id", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
     cur = written(start.join(linked, "id", "left").select(
         "id", "shard", F.coalesce("linked", F.lit(False)).alias("linked")), "labels-0")
+    # how strongly a key is in a shard; equal counts go by hash, so that ties do not all name one shard
+    strength = F.struct(F.col("c"), F.xxhash64("key", "shard").alias("h"), F.col("shard"))
     for r in range(1, rounds + 1):
-        moving = cur.filter("linked")
-        cells = (links.join(moving, "id").groupBy("key", "size", "shard")
-                 .agg(F.count(F.lit(1)).alias("c")))
-        # equal counts: the shard by the key's hash, so ties do not all name one shard
-        order = F.struct(F.col("c"), F.xxhash64("key", "shard"), F.col("shard"))
-        best = cells.groupBy("key").agg(F.max(order).alias("b"))
-        best = best.select("key", F.col("b.c").alias("c"), F.col("b.shard").alias("to"))
+        room = [quota] * shards  # for linked rows: the others give way to them at the end
+        for s, n in cur.filter("linked").groupBy("shard").count().collect():  # a number a shard
+            room[s] -= n
+        free = [s for s in range(shards) if room[s] >= 1]
+        placed = links.join(cur.filter("linked"), "id")
+        cells = (placed.groupBy("key", "shard").agg(F.count(F.lit(1)).alias("c"))
+                 .withColumn("own", strength))
+        best = cells.filter(F.col("shard").isin(free)).groupBy("key").agg(F.max("own").alias("best"))
+        better = (cells.join(best, "key").filter("best > own")
+                  .select("key", "shard", F.col("best.c").alias("c"), F.col("best.shard").alias("to")))
         wish = F.max(F.struct(F.col("c"), F.xxhash64("key").alias("h"), F.col("key"), F.col("to"), F.col("size")))
-        wishes = (links.join(best, "key").groupBy("id").agg(wish.alias("w"))
+        wishes = (placed.join(better, ["key", "shard"]).groupBy("id").agg(wish.alias("w"))
                   .select("id", "w.key", "w.to", "w.size"))
-        asked = moving.join(wishes, "id").withColumn(
-            "draw", F.when(F.col("size") > large, _unit("id", F.lit(r))).otherwise(_unit("key", F.lit(r))))
-        want = written(asked.select("id", "shard", "to", "draw").filter("shard <> to"), f"wishes-{r}")
-        load, enter, leave = [0] * shards, [0] * shards, [0] * shards
-        for s, n in cur.groupBy("shard").count().collect():  # a number a shard
-            load[s] = n
-        for s, t, n in want.groupBy("shard", "to").count().collect():  # shards * shards numbers
-            enter[t] += n
-            leave[s] += n
+        want = written(wishes.select("id", "to", F.when(F.col("size") > large, _unit("id", F.lit(r))).otherwise(
+            _unit("key", F.lit(r))).alias("draw")), f"wishes-{r}")
+        enter = [0] * shards
+        for t, n in want.groupBy("to").count().collect():  # a number a shard
+            enter[t] = n
         if not sum(enter):
             break
-        share = [min(1.0, max(0.0, (1 + slack) * quota - load[s] + 0.5 * leave[s]) / enter[s])
-                 if enter[s] else 0.0 for s in range(shards)]
+        share = [min(1.0, room[s] / enter[s]) if enter[s] else 0.0 for s in range(shards)]
         moved = want.filter(F.col("draw") < _lookup(share, F.col("to"))).select("id", "to")
         cur = written(cur.join(moved, "id", "left").select(
             "id", F.coalesce("to", "shard").alias("shard"), "linked"), f"labels-{r}")
