@@ -3,8 +3,8 @@
 Features of a whole text: densities of lexicon words (plain, and behind
 digits, signs, dots or stretched letters), their weight, how near they stand
 to a second-person word, capitals, punctuation and the rate of obfuscated
-words.  The lexicon is a short fixed list and the words that a bounded sample
-of labelled rows shows much more often in toxic texts.
+words.  The lexicon is a short fixed list and the words and word beginnings
+that a bounded sample of labelled rows shows much more often in toxic texts.
 
 What is learned from: a hash sample of the labelled rows, expected to hold
 ``sample_docs`` documents of each class, whole texts.  Three quarters of it
@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from .common import keep_probability, written
 
 SAMPLE_DOCS = 3000
-LEXICON_WORDS = 60
-#: Toxic documents a word must stand in, and how many times likelier than in others, to be learned.
-MIN_DOCS, MIN_RATIO = 5, 4.0
+LEXICON_WORDS = 200
+#: Toxic documents an entry must stand in, and how many times likelier than in others, to be learned.
+MIN_DOCS, MIN_RATIO = 5, 15.0
+#: Letters of the word beginnings that may be entries (written with a star).
+STEMS = (4, 5, 6)
 TREES, DEPTH = 24, 3
 #: Words between a lexicon word and a second-person word that count as near.
 NEAR = 5
@@ -70,12 +72,17 @@ def plain_form(word: str) -> str:
 
 
 class Lexicon:
-    """Words with weights; remembers what it knows of a word, within a bound."""
+    """Words and word beginnings with weights; remembers what it knows of a word, within a bound."""
 
     def __init__(self, weights: dict[str, float], entries: int = 300_000):
         self.weights, self.entries = weights, entries
         self._known: dict[str, tuple[float, int]] = {}
 
+    def weight(self, core: str) -> float:
+        """The greatest weight of the word and its beginnings."""
+        get = self.weights.get
+        return max(get(core, 0.0), *(get(core[:k] + "*", 0.0) for k in STEMS if len(core) > k), 0.0)
+
     def look(self, word: str) -> tuple[float, int]:
         """(weight, signs: 1 in the lexicon, 2 only in plain form, 4 obfuscated, 8 stretched)."""
         got = self._known.get(word)
@@ -83,12 +90,11 @@ class Lexicon:
             if len(self._known) >= self.entries:
                 self._known.clear()
             core = word.strip(_EDGE)
-            weight, signs = self.weights.get(core, 0.0), 0
-            if weight:
-                signs = 1
+            weight = self.weight(core)
+            signs = 1 if weight else 0
             odd, long = _MIXED.search(core) is not None, _STRETCH.search(core) is not None
             if not weight and (odd or long):
-                weight = self.weights.get(plain_form(core), 0.0)
+                weight = self.weight(plain_form(core))
                 signs = 2 if weight else 0
             got = self._known[word] = (weight, signs | 4 * odd | 8 * (long and core.isalpha()))
         return got
@@ -128,9 +134,14 @@ def _features(weights: dict[str, float]):
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON_WORDS) -> dict[str, float]:
-    """Weights of the fixed words and of those that a sample (text, y) shows far more in toxic texts."""
-    words = sample.select("y", F.explode(F.array_distinct(
-        F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")).filter("length(word) > 2")
+    """Weights of the fixed words, and of the words and word beginnings that a sample (text, y)
+    shows far more in toxic texts."""
+    def entries(word):
+        stems = [F.when(F.length(word) > k, F.concat(F.substring(word, 1, k), F.lit("*"))) for k in STEMS]
+        return F.array_compact(F.array(word, *stems))
+
+    long = F.filter(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")), lambda w: F.length(w) > 2)
+    words = sample.select("y", F.explode(F.array_distinct(F.flatten(F.transform(long, entries)))).alias("word"))
     totals = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, fine = max(1, totals.get(1, 0)), max(1, totals.get(0, 0))
     counts = words.groupBy("word").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("fine"))
@@ -138,7 +149,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_WORDS) -> dict[str, flo
     top = (counts.withColumn("ratio", ratio).filter((F.col("bad") >= MIN_DOCS) & (F.col("ratio") >= MIN_RATIO))
            .orderBy(F.desc(F.col("bad") * F.log("ratio")), "word").limit(size).collect())  # `size` rows
     weights = dict.fromkeys(SEED_LEXICON, 1.0)
-    weights.update({r["word"]: min(5.0, math.log(r["ratio"])) for r in top})
+    weights.update({r["word"]: min(8.0, math.log(r["ratio"])) for r in top})
     return weights
 
 
