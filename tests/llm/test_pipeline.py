@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from tollcast.llm import decontaminate, language, packing, secrets, simhash
@@ -66,5 +67,14 @@ def test_odd_rows(spark, odd_documents, no_documents):
             assert out.collect() == []
         else:
             assert {r.doc_id for r in out.collect()} <= {1, 4, 5, 6, 7, None}
+    clash = {c: c[::-1] for c in ("row", "id", "h", "p", "clean", "_id", "_th", "_lost", "__m", "__all", "__text", "key", "lang_pred")}
+    wide = spark.read.parquet(f"{SF001}/documents.parquet").limit(30)
+    for name, value in clash.items():
+        wide = wide.withColumn(name, F.lit(value))
+    out = wide
+    for _, stage in P.STAGES[:-1]:
+        out = written(stage(spark, out, SF001), "test-wide")
+        assert out.columns == wide.columns
+    assert all(r[c] == v for r in out.collect() for c, v in clash.items()) and out.count() > 10
     assert {f.__module__ for _, f in P.STAGES} == {"corpus_pipeline"}
     assert [decontaminate, packing, secrets, simhash]

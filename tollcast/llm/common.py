@@ -38,6 +38,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of ``df`` as one struct, so that columns put beside it clash with
+    none of them; ``select("row.*")`` gives them back if it is named ``row``."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def fold(doc_id: str, parts: int) -> Column:
     """crc32 of the id's text modulo ``parts``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % F.lit(parts)

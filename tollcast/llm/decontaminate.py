@@ -40,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, written
 
 #: Usual BM25 constants.
 K1, B = 1.2, 0.75
@@ -278,13 +278,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def drop_contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                       least: float = OVERLAP, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` that hold no test item, their columns as they were."""
-    cols = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs
+    out = docs.select(packed(docs).alias("row"))
     for index in item_blocks(items, block_bytes=block_bytes):
         def clean(index=index):
             @F.pandas_udf("boolean")
             def none_found(texts: pd.Series) -> pd.Series:
                 return pd.Series([not m for m in index.matches(texts, threshold, least)], dtype=bool)
             return none_found.asNondeterministic()
-        out = out.withColumn("__clean", clean()(F.col("text"))).filter("__clean").select(*cols)
-    return out
+        out = out.select("row", clean()(F.col("row.text")).alias("clean")).filter("clean").select("row")
+    return out.select("row.*")

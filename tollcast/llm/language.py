@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep_probability
+from .common import keep_probability, packed
 
 UNKNOWN = "und"
 PROFILE_SIZE = 400
@@ -140,9 +140,8 @@ def keep_identified(docs: DataFrame, profiles: Profiles, languages: list[str] |
                     min_score: float = 0.0) -> DataFrame:
     """The rows whose text is in a learned language (of ``languages``, if given) with a
     score above ``min_score``; their columns as they were."""
-    cols = docs.columns
-    rows = docs.withColumn("__lang", language_of(F.col("text"), profiles))
-    good = (F.col("__lang.lang_pred") != UNKNOWN) & (F.col("__lang.score") > min_score)
+    rows = docs.select(packed(docs).alias("row"), language_of(F.col("text"), profiles).alias("p"))
+    good = (F.col("p.lang_pred") != UNKNOWN) & (F.col("p.score") > min_score)
     if languages is not None:
-        good = good & F.col("__lang.lang_pred").isin(languages)
-    return rows.filter(good).select(*[F.col(f"`{c}`") for c in cols])
+        good = good & F.col("p.lang_pred").isin(languages)
+    return rows.filter(good).select("row.*")

@@ -24,6 +24,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import packed
+
 #: Fixed patterns of the base kinds, in their order, with the least length of a hit.
 ASSIGN = (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
           r"""([A-Za-z0-9+/_.=-]+)""")
@@ -174,11 +176,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", n_chars:
            window: int = WINDOW, thresholds: dict | None = None, allowed=ALLOWED) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``mark`` (spans that overlap by one) and
     ``n_chars``, where there is such a column, counted anew for the changed rows."""
-    cols = docs.columns
-    found = with_spans(docs, text, window, thresholds, allowed)
-    kinds = (*BASE_KINDS, ENTROPY_KIND)
-    found = found.withColumn("__all", _in_order(kinds, "__"))
-    t, spans = F.col(text), F.col("__all")
+    rows = docs.select(packed(docs).alias("row"), F.col(text).alias("text"))
+    found = with_spans(rows, "text", window, thresholds, allowed)
+    found = found.withColumn("__all", _in_order((*BASE_KINDS, ENTROPY_KIND), "__"))
+    t, spans = F.col("text"), F.col("__all")
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -190,7 +191,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", n_chars:
         acc["out"], F.substring(t, acc["at"] + 1, F.length(t))))
     found = found.withColumn("__text", F.when(F.size(spans) > 0, clean).otherwise(t))
     values = {text: F.col("__text")}
-    if n_chars in cols:
-        values[n_chars] = F.when(F.size(spans) > 0, F.length("__text").cast(docs.schema[n_chars].dataType)) \
-            .otherwise(F.col(n_chars))
-    return found.select(*[values.get(c, F.col(f"`{c}`")).alias(c) for c in cols])
+    if n_chars in docs.columns:
+        old = F.col(f"row.`{n_chars}`")
+        values[n_chars] = F.when(F.size(spans) > 0, F.length("__text").cast(
+            docs.schema[n_chars].dataType)).otherwise(old)
+    return found.select(*[values.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -35,6 +35,8 @@ ROUNDS = 8
 LAW = "rows"
 #: Rows ranked together for their slots.
 BLOCK_ROWS = 20_000
+#: Parts in which the rows of a key are joined.
+SALTS = 32
 #: A key of more than this share of a shard's quota moves document by document.
 LARGE_KEY = 0.125
 
@@ -57,7 +59,10 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
     quota = max(1.0, total / shards)
     large = max(1.0, LARGE_KEY * quota)
     sizes = links.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    links = written(links.join(sizes, "key"), "links")
+    # a key may hold a third of all rows: its rows meet their size in SALTS parts
+    dealt = links.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    copies = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    links = written(dealt.join(copies, ["key", "salt"]).drop("salt"), "links")
     linked = links.select("id").distinct().withColumn("linked", F.lit(True))
     start = rows.select("id", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int").alias("shard"))
     cur = written(start.join(linked, "id", "left").select(

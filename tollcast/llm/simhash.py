@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import packed, written
 from .graph import connected_components
 
 PARTS = 4
@@ -349,12 +349,9 @@ def one_per_component(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3
     marks = written(lost.select("_id", "_th", F.lit(True).alias("_lost")).unionAll(
         again.join(lost, again["_id"].eqNullSafe(lost["_id"]) & (again["_th"] == lost["_th"]),
                    "left_anti").select("_id", "_th", F.lit(False).alias("_lost"))), "dedup-marks")
-    cols = docs.columns
-    same = F.col("d.doc_id").eqNullSafe(F.col("m._id")) & (F.col("d._h") == F.col("m._th"))
-    rows = docs.withColumn("_h", F.xxhash64("text")).alias("d").join(marks.alias("m"), same, "left")
-    kept = rows.filter("m._lost is null").select(*[F.col(f"d.`{c}`") for c in cols])
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))
+    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+    kept = rows.join(marks, same, "left").filter("_lost is null").select("row.*")
     # equal rows of a kept document: rare, so only these are brought together
-    repeated = (docs.withColumn("_h", F.xxhash64("text")).alias("d")
-                .join(marks.filter("not _lost").alias("m"), same)
-                .dropDuplicates(["_id", "_th"]).select(*[F.col(f"d.`{c}`") for c in cols]))
+    repeated = rows.join(marks.filter("not _lost"), same).dropDuplicates(["_id", "_th"]).select("row.*")
     return kept.unionAll(repeated)
