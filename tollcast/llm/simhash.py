@@ -339,19 +339,20 @@ def one_per_component(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3
                       parts: int = PARTS) -> DataFrame:
     """The rows of ``docs`` with one document of each component left: the one of the
     smallest doc_id, NULL ids last, ties by text hash; of equal rows one stays."""
-    found = written(near_duplicates(docs, shingle_words, max_bits, parts), "near-duplicates")
-    key = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")
-    best = found.groupBy("component").agg(F.min(key).alias("best"), F.count(F.lit(1)).alias("n"))
-    lost = (found.join(best.filter("n > 1"), "component").filter(key != F.col("best"))
-            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct())
-    again = (found.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-             .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")))
-    marks = written(lost.select("_id", "_th", F.lit(True).alias("_lost")).unionAll(
-        again.join(lost, again["_id"].eqNullSafe(lost["_id"]) & (again["_th"] == lost["_th"]),
-                   "left_anti").select("_id", "_th", F.lit(False).alias("_lost"))), "dedup-marks")
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))
-    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
-    kept = rows.join(marks, same, "left").filter("_lost is null").select("row.*")
+    found = written(near_duplicates(docs, shingle_words, max_bits, parts).select(
+        "component", F.struct("doc_id", "text_hash").alias("k")), "near-duplicates")
+    rank = F.struct(F.col("k.doc_id").isNull().alias("n"), "k")
+    best = found.groupBy("component").agg(F.min(rank).alias("best"), F.count(F.lit(1)).alias("n"))
+    # written: a large component is then one side of a plain join, which may be split
+    best = written(best.filter("n > 1").select("component", F.col("best.k").alias("best")), "dedup-best")
+    lost = found.join(best, "component").filter("k <> best").select("k").distinct()
+    again = found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
+    lost = written(lost, "dedup-lost")
+    again = written(again.join(lost, "k", "left_anti"), "dedup-repeated")
+    rows = docs.select(packed(docs).alias("row"), F.struct(
+        F.col("doc_id"), F.xxhash64("text").alias("text_hash")).alias("k"))
+    # a merge join at any size: what is dropped grows with the corpus and is never broadcast
+    kept = rows.join(lost.unionAll(again).hint("merge"), "k", "left_anti").select("row.*")
     # equal rows of a kept document: rare, so only these are brought together
-    repeated = rows.join(marks.filter("not _lost"), same).dropDuplicates(["_id", "_th"]).select("row.*")
+    repeated = rows.join(again, "k").dropDuplicates(["k"]).select("row.*")
     return kept.unionAll(repeated)
