@@ -16,7 +16,7 @@ def test_gap_fill_fixture(spark):
     obs = spark.createDataFrame([("A", _ts(8, 20), 5.0), ("A", _ts(9, 20), 7.0)],
                                 "k string, bin_start timestamp_ntz, v double")
     out = fill.locf_fill(obs, ["k"], "v", start="2016-10-18 08:00:00",
-                         end="2016-10-18 09:40:00", bucket_rows=2, num_partitions=2)
+                         end="2016-10-18 09:40:00", bucket_hours=1)
     got = [r.v for r in out.orderBy("bin_start").collect()]
     assert got == [None, 5.0, 5.0, 5.0, 7.0, 7.0]
     filled = [r.filled for r in out.orderBy("bin_start").collect()]
@@ -33,8 +33,8 @@ def test_missing_windows(spark):
 def test_global_vs_key_lags(spark):
     rows = [(0, "A", 1.0), (0, "B", 2.0), (1, "A", 3.0), (1, "B", 4.0)]
     df = spark.createDataFrame(rows, "t long, k string, v double")
-    g = lags.add_lags(df, "v", 1, partition_by=(), order=["t", "k"], bucket_rows=1)
-    k = lags.add_lags(df, "v", 1, partition_by=["k"], order=["t"], bucket_rows=1)
+    g = lags.add_lags(df, "v", 1, partition_by=(), order=["t", "k"], bucket_width=1)
+    k = lags.add_lags(df, "v", 1, partition_by=["k"], order=["t"], bucket_width=1)
     w = lags.add_lags(df, "v", 1, partition_by=["k"], order=["t"], method="window")
     assert [r.lag1 for r in g.orderBy("t", "k").collect()] == [None, 1.0, 2.0, 3.0]
     assert [r.lag1 for r in k.orderBy("t", "k").collect()] == [None, None, 1.0, 2.0]
@@ -108,15 +108,46 @@ def test_gap_fill_walk_order_option(spark):
         [("A", dt.datetime(2016, 10, 19, 17, 0), 9.0)], "k string, bin_start timestamp_ntz, v double"))
     part = F.when(F.hour("bin_start") < 12, 0).otherwise(1)
     out = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), order=[part, "bin_start"],
-                         method="scan", bucket_rows=2, num_partitions=2)
+                         bucket_hours=1)
     got = {r.bin_start: r.v for r in out.collect()}
     # 18th 17:00 is missing; by position it follows the 19th 08:00 morning (2.0)
     assert got[d1a] == 2.0
-    by_time = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), method="scan",
-                             bucket_rows=2, num_partitions=2)
+    by_time = fill.locf_fill(grid_obs, ["k"], "v", hours=(8, 17), bucket_hours=1)
     assert {r.bin_start: r.v for r in by_time.collect()}[d1a] == 1.0
 
 
+@pytest.mark.parametrize("how", [{}, {"hours": (8, 9)}, {"start": "2016-10-18 08:00:00", "end": "2016-10-18 09:00:00"}])
+def test_observed_windows_stay_once_whatever_their_value_and_key(spark, how):
+    rows = [("A", _ts(8, 0), 1.0), ("A", _ts(8, 40), None), ("A", _ts(9, 0), 3.0),
+            (None, _ts(8, 0), 5.0), (None, _ts(8, 40), 6.0), ("B", _ts(12, 0), 7.0)]
+    obs = spark.createDataFrame(rows, "k string, bin_start timestamp_ntz, v double")
+    out = fill.locf_fill(obs, ["k"], "v", **how).collect()
+    seen = [(r.k, r.bin_start, r.v) for r in out if r.filled == 0]
+    assert sorted(seen, key=repr) == sorted(rows, key=repr)
+    fills = {(r.k, r.bin_start): r.v for r in out if r.filled == 1}
+    assert fills[("A", _ts(8, 20))] == 1.0 and fills[(None, _ts(8, 20))] == 5.0
+    assert not {(k, b) for k, b, _ in rows} & set(fills)
+    missing = {(r.k, r.bin_start) for r in fill.missing_windows(obs, ["k"], **how).collect()}
+    assert missing == set(fills)
+
+
+def test_listed_grid_has_unobserved_keys_and_the_lists_order(spark):
+    keys = spark.createDataFrame([("A",), ("C",), (None,)], "k string")
+    obs = spark.createDataFrame([("A", _ts(17, 0), 4.0)], "k string, bin_start timestamp_ntz, v double")
+    windows = ["2016-10-18 17:00:00", "2016-10-18 08:00:00"]
+    out = fill.locf_fill(obs, ["k"], "v", order=["position"], grid=fill.listed_grid(keys, ["k"], windows)).collect()
+    got = {(r.k, r.bin_start): (r.v, r.filled, r.position) for r in out}
+    assert got[("A", _ts(17, 0))] == (4.0, 0, None) and got[("A", _ts(8, 0))] == (4.0, 1, 1)
+    assert got[("C", _ts(8, 0))] == (None, 1, 1) and got[(None, _ts(17, 0))] == (None, 1, 0) and len(out) == 6
+
+
+def test_means_type_does_not_depend_on_the_data(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "a int, b int")
+    out = fill.mean_impute(df, ["a", "b"])
+    assert dict(out.dtypes) == {"a": "double", "b": "double"}
+    assert [(r.a, r.b) for r in out.collect()] == [(1.0, None), (2.0, None)]
+
+
 def test_bin_count_augmented(spark):
     from tollcast.operators import bins
     df = spark.createDataFrame([(_ts(8, 7),), (_ts(8, 3),), (_ts(8, 22),)], "ts timestamp_ntz")

@@ -63,3 +63,20 @@ def test_list_helpers(spark):
     assert [(r.k, r.pos, r.item) for r in ex] == [("r", 0, "1"), ("r", 1, "2"), ("r", 2, "3")]
     flags = [r[0] for r in df.select(lists.has_many("l")).collect()]
     assert flags == [1, 0, 0]
+
+
+def test_labels_do_not_move_with_the_session_zone(spark):
+    """Two windows around a daylight-saving gap keep their own labels under any zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    want = ["[2024-03-10 02:20:00,2024-03-10 02:40:00)", "[2024-03-10 03:20:00,2024-03-10 03:40:00)"]
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.sql("SELECT to_timestamp_ntz(s) AS t FROM VALUES ('2024-03-10 02:20:00'), "
+                           "('2024-03-10 03:20:00') AS v(s)")
+            got = df.select(tf.window_label("t").alias("w"),
+                            tf.fmt_ts(tf.parse_window_start(tf.window_label("t"))).alias("p")).collect()
+            assert sorted(r.w for r in got) == want
+            assert all(r.w[1:20] == r.p for r in got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -20,7 +20,7 @@ def loop_repair(xs, t):
             continue
         prev = y[k - 1]
         nxt = xs[k + 1] if k + 1 < len(xs) else None
-        if prev < t:
+        if prev < t:  # false for NaN, which stays
             y[k] = prev if nxt is None else (prev + nxt) / 2.0
         else:
             y[k] = prev
@@ -73,9 +73,8 @@ FIXTURES = [
 
 def test_outlier_fixtures(spark):
     series = {i: xs for i, (xs, _, _) in enumerate(FIXTURES)}
-    one = _run(spark, outlier_repair, series, threshold=600.0, bucket_rows=2, num_partitions=3)
-    two = _run(spark, outlier_repair, series, threshold=600.0, passes=2, bucket_rows=2,
-               num_partitions=3)
+    one = _run(spark, outlier_repair, series, threshold=600.0, bucket_width=2)
+    two = _run(spark, outlier_repair, series, threshold=600.0, passes=2, bucket_width=2)
     for i, (_, e1, e2) in enumerate(FIXTURES):
         assert one[i] == e1, (i, one[i])
         assert two[i] == e2, (i, two[i])
@@ -84,7 +83,7 @@ def test_outlier_fixtures(spark):
 def test_sentinel_fixtures(spark):
     series = {0: [10, S, 20], 1: [10, S, S, 40], 2: [10, S, S, S, 30], 3: [S, S, 5, S],
               4: [S, S]}
-    got = _run(spark, sentinel_repair, series, sentinel=S, bucket_rows=2, num_partitions=2)
+    got = _run(spark, sentinel_repair, series, sentinel=S, bucket_width=2)
     assert got[0] == [10, 15, 20]
     assert got[1] == [10, 10, 25, 40]
     assert got[2] == [10, 10, 10, 20, 30]
@@ -106,8 +105,7 @@ def test_outlier_random_runs(spark, seed):
                 xs.append(float(rnd.choice([600, 599, 100, 10, 300])))
         series[key] = xs[:n]
     for passes in (1, 2):
-        got = _run(spark, outlier_repair, series, threshold=600.0, passes=passes,
-                   bucket_rows=5, num_partitions=4)
+        got = _run(spark, outlier_repair, series, threshold=600.0, passes=passes, bucket_width=5)
         for key, xs in series.items():
             exp = loop_repair(xs, 600.0)
             if passes == 2:
@@ -119,40 +117,56 @@ def test_sentinel_random(spark):
     rnd = random.Random(7)
     series = {k: [S if rnd.random() < 0.4 else float(rnd.randint(0, 360))
                   for _ in range(rnd.randint(1, 40))] for k in range(5)}
-    got = _run(spark, sentinel_repair, series, sentinel=S, bucket_rows=3, num_partitions=3)
+    got = _run(spark, sentinel_repair, series, sentinel=S, bucket_width=3)
     for key, xs in series.items():
         assert got[key] == pytest.approx(loop_sentinel(xs)), key
 
 
-@pytest.mark.parametrize("method,bucket_rows", [("scan", 4), ("auto", 1 << 20), ("auto", 4)])
-def test_outlier_paths_agree_with_loop(spark, method, bucket_rows):
+@pytest.mark.parametrize("width", [1, 4, 1 << 20])
+def test_bucket_widths_agree_with_loop(spark, width):
     rnd = random.Random(11)
     series = {k: [float(rnd.choice([50, 99, 100, 101, 150, 400])) for _ in range(rnd.randint(1, 30))]
               for k in range(5)}
-    got = _run(spark, outlier_repair, series, threshold=100.0, method=method,
-               bucket_rows=bucket_rows, num_partitions=3)
+    got = _run(spark, outlier_repair, series, threshold=100.0, bucket_width=width)
     for key, xs in series.items():
         assert got[key] == pytest.approx(loop_repair(xs, 100.0)), key
 
 
-def test_long_run_beyond_fold_bound(spark, monkeypatch):
-    from tollcast.operators import repair as R
-    monkeypatch.setattr(R, "ISLAND_FOLD_LIMIT", 3)
-    # gap to T halves slowly: sticky only after several steps, then constant
-    xs = [0.0] + [600.5] * 12 + [10.0]
-    got = _run(spark, outlier_repair, {0: xs}, threshold=600.0, method="scan",
-               bucket_rows=4, num_partitions=2)
+INF = float("inf")
+
+
+@pytest.mark.parametrize("xs", [
+    [0.0] + [600.0000000000001] * 2500 + [10.0],          # the distance halves to the last bit
+    [-1.7e308] + [600.0000000000001] * 2400 + [INF, 700.0, 5.0],
+    [-INF] + [700.0] * 2498 + [INF, 700.0, 800.0, 1.0],    # minus infinity stays until plus infinity
+    [-INF, 700.0, 1.0], [1.0, INF, 700.0], [0.0, 700.0, -INF, 900.0]])
+def test_runs_of_any_length_against_the_loop(spark, xs):
+    got = _run(spark, outlier_repair, {0: xs}, threshold=600.0, bucket_width=1000)[0]
     exp = loop_repair(xs, 600.0)
-    # positions past the (lowered) bound take the value reached at the bound
-    cut = [exp[i] if i <= 3 else exp[3] for i in range(len(xs) - 1)] + [10.0]
-    assert got[0][:4] == pytest.approx(exp[:4])
-    assert got[0] == pytest.approx(cut)
+    # NaN counts as above everything, so a NaN once reached stays
+    for i, (a, b) in enumerate(zip(got, exp)):
+        assert a == b or (a != a and b != b), (i, a, b)
 
 
-def test_null_breaks_a_run(spark):
-    rows = [(0, 0, 100.0), (0, 1, 700.0), (0, 2, None), (0, 3, 800.0), (0, 4, 200.0)]
+def test_missing_readings_stay_and_are_passed_over(spark):
+    rows = [(0, 0, 100.0), (0, 1, 700.0), (0, 2, None), (0, 3, float("nan")), (0, 4, 800.0), (0, 5, None),
+            (0, 6, 200.0)]
     df = spark.createDataFrame(rows, "k long, pos long, x double")
-    out = outlier_repair(df, "x", 600.0, keys=["k"], order=["pos"], out="y", method="scan",
-                         bucket_rows=2, num_partitions=2).orderBy("pos").collect()
-    # 700: previous 100, next is NULL -> copies 100; 800 follows a NULL -> NULL
-    assert [r.y for r in out] == [100.0, 100.0, None, None, 200.0]
+    for width in (2, 100):
+        out = outlier_repair(df, "x", 600.0, keys=["k"], order=["pos"], out="y", bucket_width=width)
+        y = [r.y for r in out.orderBy("pos").collect()]
+        # 700: previous 100, next reading 800; 800: previous 450, next reading 200
+        assert y[:3] == [100.0, 450.0, None] and y[3] != y[3] and y[4:] == [325.0, None, 200.0]
+        s = sentinel_repair(df, "x", 800.0, keys=["k"], order=["pos"], out="y", bucket_width=width)
+        z = [r.y for r in s.orderBy("pos").collect()]
+        assert z[:3] == [100.0, 700.0, None] and z[3] != z[3] and z[4:] == [450.0, None, 200.0]
+
+
+@pytest.mark.parametrize("key", ["a", None])
+def test_no_row_is_lost_and_null_keys_repair(spark, key):
+    rows = [(key, 1, 100.0), (key, 2, 700.0), (key, 3, 200.0), (None, 4, float("nan")), ("b", 5, 900.0)]
+    df = spark.createDataFrame(rows, "k string, pos long, x double")
+    for passes in (1, 2):
+        out = outlier_repair(df, "x", 600.0, keys=["k"], order=["pos"], out="y", passes=passes).orderBy("pos").collect()
+        assert len(out) == len(rows)
+        assert [r.y for r in out[:3]] == [100.0, 150.0, 200.0] and out[4].y == 900.0

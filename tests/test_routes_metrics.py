@@ -126,6 +126,27 @@ def test_encoder_pipeline(spark):
     assert [r.f_0 for r in out] == [1.0, 0.0, 1.0, 0.0]
 
 
+def test_encoder_refuses_open_domains(spark):
+    df = spark.range(3000).selectExpr("CAST(id AS STRING) AS cat", "1.0 AS v")
+    with pytest.raises(ValueError):
+        models.fit_encoder(df, ["cat"], ["v"])
+    assert models.fit_encoder(df.limit(50), ["cat"], ["v"]) is not None
+
+
+def test_forest_does_not_depend_on_the_inputs_partitions(spark):
+    from pyspark.ml.feature import VectorAssembler
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    df = VectorAssembler(inputCols=["l_quantity", "l_tax"], outputCol="features").transform(
+        li.withColumn("label", F.col("l_extendedprice")))
+    keys = ["l_orderkey", "l_linenumber"]
+    got, cached = [], spark.sparkContext._jsc.getPersistentRDDs().size()
+    for n in (2, 7):
+        frame = models.training_frame(df.repartition(n), keys, partitions=4)
+        model = models.fit(models.random_forest(numTrees=3, maxDepth=4), frame)
+        got.append(sorted(tuple(r) for r in models.score(model, frame, keep=keys).collect()))
+    assert got[0] == got[1] and spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
 def test_tune_fits_every_grid_point(spark):
     li = spark.read.parquet(f"{SF001}/lineitem.parquet").limit(500)
     from pyspark.ml.feature import VectorAssembler

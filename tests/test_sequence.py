@@ -3,6 +3,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tollcast.operators.sequence import add_sequence, ordered_scan
 
@@ -29,34 +30,63 @@ def _expected(rows):
         "be": g.transform(lambda s: s.shift(-1).bfill())})
 
 
-@pytest.mark.parametrize("bucket_rows,parts", [(3, 1), (7, 4), (50, 17), (1 << 20, 3)])
-def test_scan_matches_pandas(spark, bucket_rows, parts):
+def _same(got, exp):
+    a, b = got.astype(float).reset_index(drop=True), exp.astype(float).reset_index(drop=True)
+    return ((a == b) | (a.isna() & b.isna())).all()
+
+
+@pytest.mark.parametrize("width", [7, 30, 400, 1 << 20])
+def test_scan_matches_pandas(spark, width):
     # one hot key holding most rows, tiny keys, a single-row key
-    rows = _rows(bucket_rows, [(1, 150), (2, 3), (3, 40), (4, 1), (5, 9)])
+    rows = _rows(width, [(1, 150), (2, 3), (3, 40), (4, 1), (5, 9)])
     df = spark.createDataFrame(rows, "id long, k long, t long, v double")
     out = ordered_scan(df, ["k"], ["t", "id"], lags={"l1": ("v", 1), "l3": ("v", 3)},
-                       leads={"n1": ("v", 1)}, ffill={"fi": ("v", True), "fe": ("v", False)},
-                       bfill={"bi": ("v", True), "be": ("v", False)}, segment_start="st",
-                       keep_seq="seq", bucket_rows=bucket_rows, num_partitions=parts)
-    got = out.toPandas().sort_values("seq").reset_index(drop=True)
+                       leads={"n1": ("v", 1), "n4": ("v", 4)}, ffill={"fi": ("v", True), "fe": ("v", False)},
+                       bfill={"bi": ("v", True), "be": ("v", False)}, bucket_width=width)
+    got = out.toPandas().sort_values(["k", "t", "id"]).reset_index(drop=True)
     pdf, exp = _expected(rows)
-    assert list(got["seq"]) == list(range(len(pdf)))
+    exp["n4"] = pdf.groupby("k")["v"].shift(-4)
     assert list(got["id"]) == list(pdf["id"])
     for c in exp.columns:
-        a, b = got[c].astype(float), exp[c].astype(float)
-        assert ((a == b) | (a.isna() & b.isna())).all(), c
-    assert list(got["seq"] - got["st"]) == list(pdf.groupby("k").cumcount())
+        assert _same(got[c], exp[c]), c
+
+
+@pytest.mark.parametrize("width", [5, 60, 1 << 20])
+def test_rows_since_a_mark(spark, width):
+    rows = [(i, k, t, v, bool(v is not None and v < 15)) for i, k, t, v in _rows(9, [(1, 120), (2, 30), (3, 1)])]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v double, m boolean")
+    out = ordered_scan(df, ["k"], ["t", "id"], since={"n": ("m", "v")}, bucket_width=width).toPandas()
+    got = {r.id: r.n for r in out.itertuples()}
+    for key in (1, 2, 3):
+        count, seen = 0, False
+        for i, _, _, v, m in sorted((r for r in rows if r[1] == key), key=lambda r: (r[2], r[0])):
+            count += v is not None
+            if m:
+                count, seen = 0, True
+            assert (got[i] == count) if seen else pd.isna(got[i])
+
+
+def test_null_keys_are_a_key(spark):
+    rows = [(i, None if i % 2 else 7, i, float(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v double")
+    out = ordered_scan(df, ["k"], ["t"], lags={"l": ("v", 1)}, bucket_width=3).collect()
+    assert len(out) == 20
+    assert all(r.l == (r.v - 2 if r.t >= 2 else None) for r in out)
 
 
 def test_global_scan_without_keys(spark):
     rows = _rows(5, [(1, 60)])
     df = spark.createDataFrame(rows, "id long, k long, t long, v double")
-    out = ordered_scan(df, [], ["t", "id"], lags={"l1": ("v", 1)}, keep_seq="seq",
-                       bucket_rows=4, num_partitions=3).toPandas().sort_values("seq")
+    out = ordered_scan(df, [], ["t", "id"], lags={"l1": ("v", 1)}, bucket_width=40)
     pdf = pd.DataFrame(rows, columns=["id", "k", "t", "v"]).sort_values(["t", "id"])
-    exp = pdf["v"].shift(1).astype(float).tolist()
-    got = out["l1"].astype(float).tolist()
-    assert all((a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(got, exp))
+    assert _same(out.toPandas().sort_values(["t", "id"])["l1"], pdf["v"].shift(1))
+
+
+def test_order_without_time_or_integer_needs_buckets(spark):
+    df = spark.createDataFrame([("a", 1.0)], "o string, v double")
+    with pytest.raises(ValueError):
+        ordered_scan(df, [], ["o"], lags={"l": ("v", 1)})
+    assert ordered_scan(df, [], ["o"], lags={"l": ("v", 1)}, buckets=[F.substring("o", 1, 1)]).count() == 1
 
 
 def test_add_sequence_dense_and_ordered(spark):
@@ -82,9 +112,7 @@ def test_volume_job_partition_invariant(spark, parts):
     assert got == base
 
 
-def test_add_sequence_checkpoint_pin(spark):
-    df = spark.range(0, 300).selectExpr("id", "(id * 37) % 300 AS o")
-    out = add_sequence(df, ["o", "id"], num_partitions=5, pin="checkpoint").toPandas()
-    out = out.sort_values("_seq")
-    assert out["_seq"].tolist() == list(range(300))
-    assert out["o"].tolist() == sorted(out["o"].tolist())
+def test_weighted_sequence(spark):
+    df = spark.range(0, 300).selectExpr("id", "(id * 37) % 300 AS o", "id % 4 AS w")
+    out = add_sequence(df, ["o"], num_partitions=5, weight="w").toPandas().sort_values("o")
+    assert out["_seq"].tolist() == (out["w"].cumsum() - out["w"]).tolist()

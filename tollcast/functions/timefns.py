@@ -1,7 +1,9 @@
 """Time arithmetic and window labels.
 
 All timestamps are ``timestamp_ntz``: wall-clock values with no session time
-zone applied, so bins and labels do not move with ``spark.sql.session.timeZone``.
+zone applied.  Texts come from the cast of such a value, never from
+``date_format``, which reads it as an instant of the session's zone; so bins and
+labels do not move with ``spark.sql.session.timeZone``.
 """
 
 from __future__ import annotations
@@ -51,9 +53,9 @@ def bin_start(col, minutes: int = 20, offset_minutes: int = 0) -> Column:
     return w.start
 
 
-def fmt_ts(col, fmt: str = TS_FORMAT) -> Column:
-    """timestamp -> text."""
-    return F.date_format(_c(col), fmt)
+def fmt_ts(col) -> Column:
+    """timestamp -> ``yyyy-MM-dd HH:mm:ss`` text."""
+    return F.substring(_c(col).cast("string"), 1, 19)
 
 
 def window_label(start, minutes: int = 20) -> Column:

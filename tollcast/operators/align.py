@@ -52,16 +52,8 @@ def append_sources(frames: dict, order, source_col: str = "source",
         u = u.unionByName(p, allowMissingColumns=True)
     seq = add_sequence(u, ["_src_rank", *order], num_partitions, seq_col=index_col)
     if old_index_col:
-        # a frame's first position = number of rows in the frames before it
-        sizes = u.groupBy("_src_rank").agg(F.count(F.lit(1)).alias("_n"))
-        starts = {}
-        acc = 0
-        counts = {r["_src_rank"]: r["_n"] for r in sizes.collect()}  # one row per frame
-        for i in range(len(names)):
-            starts[i] = acc
-            acc += counts.get(i, 0)
-        start_col = F.lit(0)
-        for i, st in starts.items():
-            start_col = F.when(F.col("_src_rank") == i, F.lit(st)).otherwise(start_col)
-        seq = seq.withColumn(old_index_col, F.col(index_col) - start_col)
+        # a frame's first position = number of rows in the frames before it; a row per frame
+        first = seq.groupBy("_src_rank").agg(F.min(index_col).alias("_first"))
+        seq = seq.join(F.broadcast(first), "_src_rank").withColumn(
+            old_index_col, F.col(index_col) - F.col("_first")).drop("_first")
     return seq.drop("_src_rank")

@@ -1,20 +1,24 @@
 """Expected-window grids, gap fill and imputation.
 
 The expected grid is generated per key with ``sequence`` + ``explode`` between
-a start and an end (the key's own first and last bin, or fixed bounds): no
-cross join.  Missing windows are an anti join of the grid with the observed
-bins.  Gap fill walks back to the last filled value of the same key with the
-balanced scan of ``sequence.ordered_scan``; filled rows are produced in one
-union, not appended one at a time.
+a start and an end (the key's own first and last bin, or fixed bounds), or is
+every key of a given table with every window of a given list: no cross join.
+Missing windows are an anti join of the grid with the observed bins.  Gap fill
+walks back to the last filled value of the same key with the balanced scan of
+``sequence.ordered_scan``; filled rows are produced in one union, not appended
+one at a time.
+
+A window is missing if no row was observed for it; an observed row whose value
+is NULL is observed.  NULL keys are keys: joins compare key structs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefns import interval
-from .sequence import DEFAULT_BUCKET_ROWS, ordered_scan
+from .sequence import ordered_scan
 
 
 GRID_CHUNK = 1024
@@ -44,39 +48,54 @@ def expected_grid(observed: DataFrame, keys, bin_col: str = "bin_start", minutes
     return grid
 
 
+def listed_grid(key_table: DataFrame, keys, windows, bin_col: str = "bin_start",
+                position_col: str = "position") -> DataFrame:
+    """Every key of ``key_table`` with every window of a list, in the list's order.
+
+    ``windows``: timestamp texts (a parameter, not data); ``position_col`` is
+    a window's place in the list.  A key without any observation is there too.
+    """
+    listed = F.array(*[F.lit(w).cast("timestamp_ntz") for w in windows])
+    return key_table.select(*keys).distinct().select(
+        *keys, F.posexplode(listed).alias(position_col, bin_col))
+
+
+def _identity(keys, bin_col: str) -> Column:
+    return F.struct(*[F.col(k) for k in [*keys, bin_col]])
+
+
 def missing_windows(observed: DataFrame, keys, bin_col: str = "bin_start", minutes: int = 20,
-                    start=None, end=None, hours=None) -> DataFrame:
+                    start=None, end=None, hours=None, grid: DataFrame | None = None) -> DataFrame:
     """Grid rows with no observation (left anti join)."""
-    grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
-    return grid.join(observed.select(*keys, bin_col), [*keys, bin_col], "left_anti")
+    if grid is None:
+        grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
+    seen = observed.select(_identity(keys, bin_col).alias("_id"))
+    return grid.withColumn("_id", _identity(keys, bin_col)).join(seen, "_id", "left_anti").drop("_id")
 
 
 def locf_fill(observed: DataFrame, keys, value: str, bin_col: str = "bin_start",
               minutes: int = 20, start=None, end=None, order=None, hours=None,
-              filled_col: str = "filled", bucket_rows: int = DEFAULT_BUCKET_ROWS,
-              num_partitions: int | None = None, method: str = "auto") -> DataFrame:
-    """All observed rows plus one row per expected window with no
-    observation, valued with the last value found walking back over the
+              filled_col: str = "filled", grid: DataFrame | None = None, **buckets) -> DataFrame:
+    """All observed rows as they are, plus one row per expected window with
+    no observation, valued with the last value found walking back over the
     expected windows of the same key (NULL if none).
 
-    ``order`` is the walk-back order over grid rows (default: time); a
-    position column reproduces a walk in another sequence, e.g. all mornings
-    then all afternoons.  When the grid covers every window (no ``hours``),
-    the result is exactly the filled grid.
+    ``grid`` gives the expected windows (default ``expected_grid``); ``order``
+    is the walk-back order over its rows (default: time), e.g. the position
+    column of ``listed_grid`` for all mornings, then all afternoons.
+    ``buckets``: how that order is cut, see ``ordered_scan``.
     """
-    grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
-    joined = grid.join(observed, [*keys, bin_col], "left")
-    joined = joined.withColumn(filled_col, F.col(value).isNull().cast("int"))
-    walk = list(order) if order else [bin_col]
-    out = ordered_scan(joined, list(keys), walk, ffill={"_v": (value, True)},
-                       bucket_rows=bucket_rows, num_partitions=num_partitions, method=method)
-    out = out.withColumn(value, F.col("_v")).drop("_v")
-    if hours is None and start is None and end is None:
-        return out
-    # observed rows off the grid are kept as they are
-    fills = out.filter(F.col(filled_col) == 1)
-    kept = observed.withColumn(filled_col, F.lit(0))
-    return kept.unionByName(fills.select(*kept.columns))
+    if grid is None:
+        grid = expected_grid(observed, keys, bin_col, minutes, start, end, hours)
+    seen = observed.select(_identity(keys, bin_col).alias("_id"), F.col(value).alias("_v"),
+                           F.lit(1).alias("_seen"))
+    joined = grid.withColumn("_id", _identity(keys, bin_col)).join(seen, "_id", "left").drop("_id")
+    walked = ordered_scan(joined, list(keys), list(order) if order else [bin_col],
+                          ffill={"_last": ("_v", True)}, **buckets)
+    fills = (walked.filter(F.col("_seen").isNull()).withColumn(value, F.col("_last"))
+             .withColumn(filled_col, F.lit(1)).drop("_v", "_seen", "_last"))
+    # other columns of either side are NULL in the rows of the other
+    return observed.withColumn(filled_col, F.lit(0)).unionByName(fills, allowMissingColumns=True)
 
 
 def zero_impute(df: DataFrame, cols=None) -> DataFrame:
@@ -84,47 +103,29 @@ def zero_impute(df: DataFrame, cols=None) -> DataFrame:
     return df.fillna(0, subset=list(cols) if cols else None)
 
 
-def column_means(df: DataFrame, cols, with_null_flags: bool = False):
-    """A10: means of the columns, one distributed aggregate, one row back.
+def column_means(df: DataFrame, cols) -> DataFrame:
+    """A10: one row of the columns' means, as doubles, from one distributed aggregate."""
+    return df.agg(*[F.avg(F.col(f"`{c}`")).cast("double").alias(c) for c in cols])
 
-    With ``with_null_flags`` also returns which columns hold a NULL.
-    """
-    aggs = [F.avg(F.col(f"`{c}`")).alias(f"m_{i}") for i, c in enumerate(cols)]
-    aggs += [F.count(F.col(f"`{c}`")).alias(f"n_{i}") for i, c in enumerate(cols)]
-    aggs.append(F.count(F.lit(1)).alias("_rows"))
-    row = df.agg(*aggs).first()
-    means = {c: row[f"m_{i}"] for i, c in enumerate(cols) if row[f"m_{i}"] is not None}
-    if not with_null_flags:
-        return means
-    has_null = {c for i, c in enumerate(cols) if row[f"n_{i}"] < row["_rows"]}
-    return means, has_null
-
-
-def mean_impute(df: DataFrame, cols, fit: DataFrame | None = None,
-                only_with_nulls: bool = False) -> DataFrame:
+
+def mean_impute(df: DataFrame, cols, fit: DataFrame | None = None) -> DataFrame:
     """NULL -> column mean.
 
     Means come from ``fit`` (e.g. the training frame) or, by default, from
-    ``df`` itself.  They are fetched as scalars (one value per column) and
-    applied as literals, like a fitted ``Imputer`` model.  Filled columns
-    become double; with ``only_with_nulls`` a column of ``df`` without NULLs
-    keeps its type and values.
+    ``df`` itself.  Every named column becomes double, whatever it holds; one
+    without any value stays NULL.
     """
     cols = list(cols)
-    if only_with_nulls:
-        _, has_null = column_means(df, cols, with_null_flags=True)
-        cols = [c for c in cols if c in has_null]
-        if not cols:
-            return df
-    means = column_means(fit if fit is not None else df, cols)
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))
-                           for c, m in means.items()})
-
-
-def apply_means(df: DataFrame, means: dict) -> DataFrame:
-    """Fill NULLs with given means (columns become double)."""
-    present = {c: m for c, m in means.items() if c in df.columns}
+    return apply_means(df, column_means(fit if fit is not None else df, cols), cols)
+
+
+def apply_means(df: DataFrame, means: DataFrame, cols) -> DataFrame:
+    """Fill NULLs with the means of a one-row frame (columns become double).
+
+    The means are a scalar subquery of the plan: nothing runs before the action.
+    """
+    present = [c for c in cols if c in df.columns]
     if not present:
         return df
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(m)))
-                           for c, m in present.items()})
+    row = means.select(F.struct(*[F.col(f"`{c}`") for c in present])).scalar()
+    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), row.getField(c)) for c in present})

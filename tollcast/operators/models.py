@@ -1,7 +1,9 @@
 """Encoding and regression models (M1-M8, M12, M13) on Spark ML.
 
-Features are persisted once before the three fits, so each fit does not
-rescan and recompute the feature plan.
+A fit makes many passes over its frame, so ``fit`` and ``tune`` hold it cached
+for as long as they run and no longer.  ``training_frame`` fixes the number of
+partitions and which rows they hold, so forests and random splits, which draw
+per partition, do not depend on the cluster's cores.
 """
 
 from __future__ import annotations
@@ -29,15 +31,25 @@ RF_GRID_VOLUME = {"maxDepth": [4, 8, 12, 20], "maxBins": [10, 20, 60],
                   "numTrees": [100, 500, 1000]}
 
 
-def training_frame(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Persisted training data spread over at least the cluster's default
-    parallelism: tree and iterative fits make many passes over it, and a
-    frame read from a few large row groups would otherwise keep them on a few
-    cores.  Already well-partitioned frames are only persisted."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+#: Partitions of a training frame: a property of the fit, not of the cluster.
+TRAIN_PARTITIONS = 16
+#: Distinct values that a categorical column may have.
+MAX_CATEGORIES = 1000
+
+
+def training_frame(df: DataFrame, keys, partitions: int = TRAIN_PARTITIONS) -> DataFrame:
+    """Rows dealt by the hash of ``keys`` (which tell rows apart) into a fixed
+    number of partitions, sorted in each."""
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def fit(estimator, frame: DataFrame):
+    """The fitted model; the frame is cached for the fit's passes only."""
+    cached = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(cached)
+    finally:
+        cached.unpersist()
 
 
 def index_stage(col: str, out: str | None = None, handle_invalid: str = "keep") -> StringIndexer:
@@ -63,8 +75,18 @@ def encoder_stages(cat_cols, num_cols, features_col: str = "features",
 
 
 def fit_encoder(df: DataFrame, cat_cols, num_cols, features_col: str = "features",
-                handle_invalid: str = "keep") -> PipelineModel:
-    """M4: fit the encoding pipeline."""
+                handle_invalid: str = "keep", max_categories: int = MAX_CATEGORIES) -> PipelineModel:
+    """M4: fit the encoding pipeline.
+
+    Indexing brings a column's distinct values to the driver, so a column with
+    more than ``max_categories`` of them (a window label, an id: an open
+    domain) is refused.
+    """
+    if cat_cols:
+        row = df.agg(*[F.approx_count_distinct(f"`{c}`", 0.02).alias(c) for c in cat_cols]).first()
+        wide = [c for c in cat_cols if row[c] > 1.1 * max_categories]
+        if wide:
+            raise ValueError(f"more than {max_categories} categories in {', '.join(wide)}")
     return Pipeline(stages=encoder_stages(cat_cols, num_cols, features_col,
                                           handle_invalid)).fit(df)
 
@@ -122,7 +144,7 @@ def tune(estimator, grid: dict, train: DataFrame, label: str = "label",
         estimator=estimator, estimatorParamMaps=param_grid(estimator, grid),
         evaluator=RegressionEvaluator(labelCol=label, metricName=metric),
         trainRatio=train_ratio, seed=seed, parallelism=parallelism)
-    return tvs.fit(train)
+    return fit(tvs, train)
 
 
 def tuning_table(spark, tvs_model, grid: dict, metric: str = "rmse") -> DataFrame:

@@ -1,13 +1,17 @@
 """Column profile and correlation matrix.
 
 Exact quartiles never gather a column into one buffer: all columns are
-unpivoted into (column, value) rows, given a dense position by the balanced
-range-partitioned sequence, and only the rows at the needed ranks are kept.
+unpivoted into (column, value) rows and counted per distinct value, with
+partial counts in every task, so a frequent value is one row before anything
+is sorted; the distinct values get a weighted dense position by the balanced
+range-partitioned sequence, and only those at the needed ranks are kept.
 ``exact=False`` uses ``percentile_approx`` (bounded sketch per task).
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,42 +44,50 @@ def profile(df: DataFrame, cols, exact: bool = True, quantiles=QUANTILES,
         approx = approx.select("col_name", *[F.col("_q")[i].alias(n)
                                              for i, n in enumerate(qnames)])
         return base.join(approx, "col_name")
-    ranked = add_sequence(long, ["col_name", "val"], num_partitions, seq_col="_pos")
+    counts = long.groupBy("col_name", "val").agg(F.count(F.lit(1)).alias("_times"))
+    ranked = add_sequence(counts, ["col_name", "val"], num_partitions, seq_col="_pos", weight="_times")
     # per-column first position and size: one row per column (schema-bounded)
     firsts = ranked.groupBy("col_name").agg(F.min("_pos").alias("_first"),
-                                            F.count(F.lit(1)).alias("_n"))
+                                            F.sum("_times").alias("_n"))
+    # a value holds the ranks from _rank to _rank + _times - 1
     r = ranked.join(F.broadcast(firsts), "col_name").withColumn(
         "_rank", F.col("_pos") - F.col("_first"))
+
+    def holds(rank):
+        return (F.col("_rank") <= rank) & (rank < F.col("_rank") + F.col("_times"))
+
     need = F.lit(False)
     for q in quantiles:
         pos = F.lit(q) * (F.col("_n") - 1)
-        need = need | (F.col("_rank") == F.floor(pos)) | (F.col("_rank") == F.ceil(pos))
+        need = need | holds(F.floor(pos)) | holds(F.ceil(pos))
     picked = r.filter(need)
     qaggs = []
     for q, name in zip(quantiles, qnames):
         pos = F.lit(q) * (F.col("_n") - 1)
-        lo = F.max(F.when(F.col("_rank") == F.floor(pos), F.col("val")))
-        hi = F.max(F.when(F.col("_rank") == F.ceil(pos), F.col("val")))
+        lo = F.max(F.when(holds(F.floor(pos)), F.col("val")))
+        hi = F.max(F.when(holds(F.ceil(pos)), F.col("val")))
         frac = F.first(pos - F.floor(pos))
         qaggs.append((lo + frac * (hi - lo)).alias(name))
     qs = picked.groupBy("col_name").agg(*qaggs)
     return base.join(qs, "col_name")
 
 
-def corr_matrix(df: DataFrame, cols) -> DataFrame:
+def corr_matrix(df: DataFrame, cols, block: int = 150) -> DataFrame:
     """Pearson correlation of every ordered column pair (pairwise-complete
-    rows), from ONE aggregate, unpivoted to (col_a, col_b, corr)."""
+    rows), unpivoted to (col_a, col_b, corr).
+
+    One aggregate holds ``block`` pairs at most (63 columns have 2,016), so no
+    stage carries thousands of running sums; each block is a pass over ``df``.
+    """
     cols = list(cols)
-    aggs, names = [], {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            name = f"c_{i}_{j}"
-            aggs.append(F.corr(F.col(f"`{a}`").cast("double"),
-                               F.col(f"`{b}`").cast("double")).alias(name))
-            names[(a, b)] = name
-            names[(b, a)] = name
-    wide = df.agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                               F.col(n).alias("corr")) for (a, b), n in names.items()])
-    return wide.select(F.inline(pairs))
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    frames = []
+    for lo in range(0, len(pairs), block):
+        part = pairs[lo:lo + block]
+        wide = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{k}")
+                        for k, (a, b) in enumerate(part)])
+        both = [(x, y, k) for k, (a, b) in enumerate(part) for x, y in dict.fromkeys([(a, b), (b, a)])]
+        frames.append(wide.select(F.inline(F.array(*[
+            F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"c{k}").alias("corr"))
+            for x, y, k in both]))))
+    return reduce(DataFrame.unionAll, frames)

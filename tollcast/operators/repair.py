@@ -1,5 +1,8 @@
 """Sequential value repair.
 
+A NULL or NaN is a missing reading: it stays as it is and is passed over, so
+"previous" and "next" mean the nearest readings that are there.
+
 Outlier repair (W2), per key in ``order``, threshold ``T``:
 
 * ``x <= T``: kept.
@@ -9,11 +12,16 @@ Outlier repair (W2), per key in ``order``, threshold ``T``:
   an outlier with no next row copies ``y'``.
 
 The recurrence only reaches back to the last good row ("anchor"), so the key
-splits into islands (anchor + following outliers).  Anchors are found with a
-balanced scan; each island is folded on its own with ``aggregate`` (JVM
-side), and only its first ``ISLAND_FOLD_LIMIT`` outliers are collected: past
-that bound the value provably stays constant, so the rest take it by a join.
-No group is larger than that bound, whatever the key or run sizes.
+splits into islands (anchor + following outliers).  Anchors and positions in
+the island come from the balanced scan.  Inside a run every next value is
+above T, so as long as the repaired value is below T its distance to T at
+least halves with each step.  Doubles span fewer than ``FOLD_STEPS`` halvings,
+hence a finite start has reached T by then and stays: the first positions of
+an island, folded with ``aggregate``, decide all others.  The one start that
+cannot halve its distance, minus infinity, has a form of its own: it stays
+until a next value of plus infinity makes it NaN.
+
+Every row goes through one join and keeps its place; NULL keys are keys.
 
 Sentinel repair (W5) has a closed form: with ``p`` the last non-sentinel
 before the row, ``q`` the first after and ``n`` the next raw value,
@@ -23,121 +31,98 @@ a run with only one side uses that side.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+import sys
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import DEFAULT_BUCKET_ROWS, _window_scan, largest_group, ordered_scan
+from .sequence import ordered_scan
 
 # Fixed values of the traffic job: travel-time outlier threshold (seconds) and
 # the wind-direction sentinel.
 TRAVEL_TIME_THRESHOLD = 600.0
 WIND_SENTINEL = 999017.0
 
+# Halvings from the greatest distance of two doubles down to below the least one.
+FOLD_STEPS = (sys.float_info.max_exp + 1) - (sys.float_info.min_exp - sys.float_info.mant_dig) + 2
+
+
+def present(x: Column) -> Column:
+    """The reading, NULL where it is missing (NULL or NaN)."""
+    x = x.cast("double")
+    return F.when(~F.isnan(x), x)
+
 
 def sentinel_repair(df: DataFrame, col: str, sentinel: float = WIND_SENTINEL, keys=(),
-                    order=(), out: str | None = None,
-                    bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                    num_partitions: int | None = None, method: str = "auto") -> DataFrame:
+                    order=(), out: str | None = None, **buckets) -> DataFrame:
+    """``buckets``: how the order is cut, see ``ordered_scan``."""
     out = out or col
     x = F.col(col)
-    good = F.when(x != F.lit(sentinel), x)
+    there = present(x)
     scanned = ordered_scan(
-        df.withColumn("_good", good), list(keys), list(order),
-        ffill={"_p": ("_good", False)}, bfill={"_q": ("_good", False)},
-        leads={"_n": (col, 1)}, bucket_rows=bucket_rows, num_partitions=num_partitions,
-        method=method)
-    p, q, n = F.col("_p"), F.col("_q"), F.col("_n")
-    fixed = (F.when(x.isNull() | (x != F.lit(sentinel)), x)
+        df.withColumns({"_x": there, "_good": F.when(there != F.lit(sentinel), there)}),
+        list(keys), list(order), ffill={"_p": ("_good", False)},
+        bfill={"_q": ("_good", False), "_next": ("_x", False)}, **buckets)
+    p, q, n = F.col("_p"), F.col("_q"), F.col("_next")
+    fixed = (F.when(F.col("_x").isNull() | (F.col("_x") != F.lit(sentinel)), x)
              .when(p.isNull() & q.isNull(), x)
              .when(p.isNull(), q)
              .when(q.isNull(), p)
              .when(n != F.lit(sentinel), (p + n) / 2.0)
              .otherwise(p))
-    return scanned.withColumn(out, fixed).drop("_good", "_p", "_q", "_n")
-
-
-# Fold bound.  Inside a run of outliers every "next" value is itself above T,
-# so while the repaired value y is below T its gap T - y at least halves per
-# step; in IEEE doubles (gaps between ~1e-324 and ~3.6e308) it reaches 0 within
-# about 2,100 steps, after which y >= T and stays.  NULL, NaN and -inf stay
-# constant.  So positions past this bound always hold the value reached at
-# the bound, and only the first positions of an island are ever folded.
-ISLAND_FOLD_LIMIT = 2200
+    return scanned.withColumn(out, fixed).drop("_x", "_good", "_p", "_q", "_next")
 
 
 def _fold_island(arr, a0, threshold: float):
-    """ys for the outliers of one island, appended only until the value sticks."""
+    """ys for the first outliers of one island, appended until the value sticks."""
     t = F.lit(threshold)
-    init = F.struct(F.array().cast("array<double>").alias("ys"), a0.cast("double").alias("cur"),
-                    F.lit(False).alias("done"))
+    init = F.struct(F.array().cast("array<double>").alias("ys"), a0.alias("cur"))
 
     def step(acc, e):
-        nxt = e["_n"].cast("double")
+        nxt = e["n"]
         y = F.when(nxt.isNull(), acc["cur"]).otherwise((acc["cur"] + nxt) / 2.0)
-        grow = F.struct(F.concat(acc["ys"], F.array(y)).alias("ys"), y.alias("cur"),
-                        F.lit(False).alias("done"))
-        stick = F.struct(acc["ys"].alias("ys"), acc["cur"].alias("cur"),
-                         F.lit(True).alias("done"))
-        return F.when(acc["done"], acc).when(acc["cur"] >= t, stick).otherwise(grow)
+        grow = F.struct(F.concat(acc["ys"], F.array(y)).alias("ys"), y.alias("cur"))
+        return F.when(acc["cur"] >= t, acc).otherwise(grow)
 
     return F.aggregate(arr, init, step)
 
 
 def outlier_repair(df: DataFrame, col: str, threshold: float = TRAVEL_TIME_THRESHOLD,
                    keys=(), order=(), out: str | None = None, passes: int = 1,
-                   bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                   num_partitions: int | None = None, method: str = "auto") -> DataFrame:
-    """W2 (``passes=1``) and W3 (``passes=2``: the repair applied again to its output)."""
+                   **buckets) -> DataFrame:
+    """W2 (``passes=1``) and W3 (``passes=2``: the repair applied again to its output).
+
+    ``buckets``: how the order is cut, see ``ordered_scan``.
+    """
     out = out or col
     cur = df if out == col else df.withColumn(out, F.col(col))
-    if method == "auto":
-        # key sizes do not change between passes: measure them once
-        cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-        method = "scan" if largest_group(cur, list(keys)) > bucket_rows else "small"
     for _ in range(passes):
-        cur = _repair_once(cur, out, threshold, list(keys), list(order),
-                           bucket_rows, num_partitions, method)
+        cur = _repair_once(cur, out, threshold, list(keys), list(order), buckets)
     return cur
 
 
-def _repair_once(df: DataFrame, col: str, threshold: float, keys, order,
-                 bucket_rows, num_partitions, method) -> DataFrame:
+def _repair_once(df: DataFrame, col: str, threshold: float, keys, order, buckets) -> DataFrame:
     cols = df.columns
-    x = F.col(col)
-    t = F.lit(threshold)
-    # an anchor is a good row; a NULL row also ends a run (NULL then propagates)
-    is_anchor = (x <= t) | x.isNull()
-    anchor_ord = F.struct(*[F.col(c) for c in order])
-    base = df.withColumns({"_av": F.when(is_anchor, F.struct(x.alias("v"))),
-                           "_ao": F.when(is_anchor, anchor_ord)})
-    fills = {"_a0": ("_av", True), "_aord": ("_ao", True)}
-    # "scan": balanced buckets; "small"/"window": every key fits one bucket
-    if method == "scan":
-        s = ordered_scan(base, keys, order, ffill={**fills, "_aseq": ("_as", True)},
-                         leads={"_n": (col, 1)}, keep_seq="_pseq", method="scan",
-                         derive={"_as": F.when(is_anchor, F.col("_seq"))},
-                         bucket_rows=bucket_rows, num_partitions=num_partitions)
-        pos = F.col("_pseq") - F.col("_aseq")
-    else:
-        # every key holds at most `bucket_rows` rows: plain key windows
-        s = _window_scan(base, keys, order, {}, {"_n": (col, 1)}, fills, {})
-        # numbered among the island's outliers only (the filter below), so 1-based
-        pos = F.row_number().over(Window.partitionBy(*keys, "_aord").orderBy(*order))
-    # read twice below (kept rows, outliers): compute the scan once
-    s = s.persist(StorageLevel.MEMORY_AND_DISK)
-    is_fix = (x > t) & F.col("_aord").isNotNull()
-    keep = s.filter(~is_fix | is_fix.isNull()).select(*[F.col(f"`{c}`") for c in cols])
-    outl = s.filter(is_fix).withColumn("_pos", pos)
-    head = outl.filter(F.col("_pos") <= ISLAND_FOLD_LIMIT)
-    islands = (head.groupBy(*keys, "_aord")
-               .agg(F.first(F.col("_a0")["v"]).alias("_a0"),
-                    F.sort_array(F.collect_list(F.struct("_pos", "_n"))).alias("_xs")))
-    folded = islands.select(*keys, "_aord",
-                            _fold_island(F.col("_xs"), F.col("_a0"), threshold).alias("_f"))
-    j = outl.join(folded, [*keys, "_aord"], "left")
-    ys, last = F.col("_f")["ys"], F.col("_f")["cur"]
-    y = F.when(F.col("_pos") <= F.size(ys), F.element_at(ys, F.col("_pos").cast("int"))) \
-        .otherwise(last)
-    fixed = j.select(*[(y if c == col else F.col(f"`{c}`")).alias(c) for c in cols])
-    return keep.unionByName(fixed)
+    there, t = present(F.col(col)), F.lit(threshold)
+    good = F.coalesce(there <= t, F.lit(False))
+    base = df.withColumns({"_x": there, "_mark": good, "_av": F.when(good, there),
+                           "_ao": F.when(good, F.struct(*[F.col(c) for c in order]))})
+    s = ordered_scan(base, keys, order, ffill={"_a0": ("_av", True), "_isle": ("_ao", True)},
+                     bfill={"_next": ("_x", False)}, since={"_pos": ("_mark", "_x")}, **buckets)
+    s = s.withColumns({"_fix": F.coalesce((F.col("_x") > t) & F.col("_isle").isNotNull(), F.lit(False)),
+                       "_in": F.struct(*[F.col(k) for k in keys], F.col("_isle"))})
+    pos, nxt = F.col("_pos"), F.col("_next")
+    first = F.when(pos <= FOLD_STEPS, F.struct(pos.alias("p"), nxt.alias("n")))
+    islands = s.filter("_fix").groupBy("_in").agg(
+        F.first("_a0").alias("_start"), F.sort_array(F.collect_list(first)).alias("_xs"),
+        F.min(F.when(nxt == F.lit(float("inf")), pos)).alias("_inf"))
+    folded = islands.select("_in", "_start", "_inf", _fold_island(
+        F.col("_xs"), F.col("_start"), threshold).alias("_f"))
+    j = s.join(folded, "_in", "left")
+    ys = F.col("_f")["ys"]
+    steps = F.when(pos <= F.size(ys), F.element_at(ys, F.greatest(pos, F.lit(1)).cast("int"))).otherwise(
+        F.col("_f")["cur"])
+    low = F.lit(float("-inf"))
+    y = F.when(F.col("_start") > low, steps).when(pos >= F.col("_inf"), F.lit(float("nan"))).otherwise(low)
+    return j.select(*[(F.when(F.col("_fix"), y).otherwise(F.col(f"`{c}`")) if c == col
+                       else F.col(f"`{c}`")).alias(c) for c in cols])

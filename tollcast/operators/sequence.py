@@ -3,42 +3,40 @@
 The traffic job's repairs, gap fill and lags are positional: "previous row",
 "next row", "last good value before this one".  ``Window.partitionBy(key)``
 would put every row of a hot key (say a third of the table) into one task.
-Instead every scan here runs in three balanced steps:
-
-1. ``add_sequence``: a dense global position ``_seq`` over (keys, order).
-   ``repartitionByRange`` with an explicit partition count samples the order
-   columns, so partitions are equal-sized whatever the key distribution; a
-   local sort and ``monotonically_increasing_id`` give the in-partition
-   position; a one-row-per-partition table of prefix counts (bounded by the
-   partition count, so safe to broadcast) turns it into a global position.
-2. Buckets of ``bucket_rows`` consecutive positions.  Each bucket gets copies
-   of the last ``before`` rows of the previous bucket and the first ``after``
-   rows of the next one ("halo" rows), so lags/leads up to that depth are
-   local.  Every bucket holds at most ``bucket_rows + before + after`` rows.
-3. Unbounded look-back/ahead (last non-null value, first non-null after) is
-   split into an in-bucket running value plus a carry: one summary row per
-   bucket, a running value over that small table, and a join on the bucket.
-
-Rows are sorted by keys first, so a key is a contiguous run of positions; a
-value found for another key is discarded by comparing the key struct that is
-carried with every value.  The order must be unique (add a tie-breaker such
+``ordered_scan`` instead cuts each key's order into buckets, by a function of
+the order columns that rises with them (a day of a timestamp, a range of an
+integer), and works in two levels:
+
+1. Windows over (key, bucket): everything that lies in the same bucket.
+2. One summary row per (key, bucket): the last and first rows needed for lags
+   and leads, the last and first non-NULL values, row counts.  Running values
+   over a key's summaries are its carries, which one join brings back.
+
+A task holds buckets, never a whole key.  Buckets are computed from the rows
+alone, so the plan is lazy: no job, no sampling and no cached frame, and any
+recomputation gives the same rows.  Keys and buckets are compared as structs,
+in which NULL equals NULL.  The order must be unique (add a tie-breaker such
 as an id column), otherwise positions among ties are not reproducible.
+
+``add_sequence`` numbers all rows by a range partitioning that is written once.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions
 
 _PART_BITS = 33
 _ROW_MASK = (1 << _PART_BITS) - 1
 
-DEFAULT_BUCKET_ROWS = 1 << 20
+#: Hours of a timestamp order, and integers of an integer order, in a bucket.
+BUCKET_HOURS = 24
+BUCKET_WIDTH = 1 << 16
+
+_TIMES = ("timestamp_ntz", "timestamp")
+_INTEGERS = ("byte", "short", "integer", "long")
 
 
 def _cols(cols) -> list[Column]:
@@ -46,210 +44,168 @@ def _cols(cols) -> list[Column]:
 
 
 def add_sequence(df: DataFrame, order, num_partitions: int | None = None,
-                 seq_col: str = "_seq", pin: str = "persist") -> DataFrame:
+                 seq_col: str = "_seq", weight: str | None = None) -> DataFrame:
     """Dense 0-based global position under ``order`` (a unique ordering).
 
-    One range shuffle; the offset table has one row per partition.
+    With ``weight``, a row counts for that many: its position is the sum of
+    the weights before it.
 
-    The range-partitioned frame is read twice (partition sizes, then rows).
-    Range bounds are sampled per shuffle, so two independent shuffles could
-    cut the order differently; ``pin`` makes both reads use one: ``persist``
-    (cached blocks; a lost block is recomputed from the same shuffle
-    dependency, hence the same bounds) or ``checkpoint`` (written to the
-    shared ``spark.checkpoint.dir``, lineage cut).
+    One range shuffle, written to ``spark.checkpoint.dir`` and read twice: for
+    the partitions' sizes and for the rows.  Range bounds are sampled per
+    shuffle, so both reads must be of one.  The offset table has one row per
+    partition.
     """
     spark = df.sparkSession
     n = num_partitions or shuffle_partitions(spark)
     oc = _cols(order)
-    t = (df.repartitionByRange(n, *oc).sortWithinPartitions(*oc)
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    if pin == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        t = t.checkpoint(eager=True)
-    else:
-        t = t.persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(spark, "sequence")
+    (df.repartitionByRange(n, *oc).sortWithinPartitions(*oc)
+     .withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path))
+    t = spark.read.schema(df.withColumn("_mid", F.lit(0).cast("long")).schema).parquet(path)
     t = t.withColumns({"_pid": F.shiftright(F.col("_mid"), _PART_BITS),
                        "_rn": F.col("_mid").bitwiseAND(F.lit(_ROW_MASK))})
-    sizes = t.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    sizes = t.groupBy("_pid").agg(size.alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
                            .cast("long").alias("_off"))
+    if weight:
+        inner = Window.partitionBy("_pid").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)
+        t = t.withColumn("_rn", F.coalesce(F.sum(weight).over(inner), F.lit(0)))
     # offsets has at most `n` rows: a proven bound, so the broadcast is safe.
     out = t.join(F.broadcast(offsets), "_pid")
-    return out.withColumn(seq_col, F.col("_off") + F.col("_rn")).drop(
+    return out.withColumn(seq_col, (F.col("_off") + F.col("_rn")).cast("long")).drop(
         "_mid", "_pid", "_rn", "_off")
 
 
-def _key_struct(keys) -> Column:
-    return F.struct(*_cols(keys)) if keys else F.lit(0)
-
-
-def largest_group(df: DataFrame, keys) -> int:
-    """Row count of the largest key group (whole table for no keys): one
-    aggregate with partial counts per task, one number back."""
-    if not keys:
-        return df.count()
-    row = df.groupBy(*keys).count().agg(F.max("count").alias("m")).first()
-    return int(row.m or 0)
+def bucket_columns(df: DataFrame, order, hours: int = BUCKET_HOURS,
+                   width: int = BUCKET_WIDTH) -> list[Column]:
+    """Columns that rise with ``order`` and hold few distinct values.
 
-
-def _window_scan(df: DataFrame, keys, order, lags, leads, ffill, bfill) -> DataFrame:
-    """Plain key-partitioned windows (used only below the size bound)."""
-    oc = _cols(order)
-    w = Window.partitionBy(*keys).orderBy(*oc)
-    wd = Window.partitionBy(*keys).orderBy(*[c.desc() for c in oc])
-    cols: dict[str, Column] = {}
-    for out, (src, k) in lags.items():
-        cols[out] = F.lag(F.col(src), k).over(w)
-    for out, (src, k) in leads.items():
-        cols[out] = F.lead(F.col(src), k).over(w)
-    for out, (src, incl) in ffill.items():
-        cols[out] = F.last(F.col(src), ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, 0 if incl else -1))
-    for out, (src, incl) in bfill.items():
-        cols[out] = F.last(F.col(src), ignorenulls=True).over(
-            wd.rowsBetween(Window.unboundedPreceding, 0 if incl else -1))
-    return df.withColumns(cols)
+    Columns before the first time column are taken as they are, the time by
+    day or part of a day; without one, the first column must be an integer.
+    """
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    out: list[Column] = []
+    for c in order:
+        if types[c] in _TIMES:
+            part = [] if hours >= 24 else [F.floor(F.hour(c) / F.lit(hours)).cast("int")]
+            return [*out, F.to_date(c), *part]
+        if types[c] == "date":
+            return [*out, F.col(c)]
+        out.append(F.col(c))
+    if types[order[0]] in _INTEGERS:
+        return [F.floor(F.col(order[0]) / F.lit(width)).cast("long")]
+    raise ValueError("name bucket columns for an order without a time or an integer first")
 
 
 def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
                  leads: dict | None = None, ffill: dict | None = None,
-                 bfill: dict | None = None, segment_start: str | None = None,
-                 keep_seq: str | None = None, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                 num_partitions: int | None = None, method: str = "auto",
-                 derive: dict | None = None) -> DataFrame:
+                 bfill: dict | None = None, since: dict | None = None,
+                 buckets: list | None = None, bucket_hours: int = BUCKET_HOURS,
+                 bucket_width: int = BUCKET_WIDTH) -> DataFrame:
     """Positional look-ups within each key, in ``order``.
 
-    ``derive``: ``{name: Column}`` computed right after the global position
-    ``_seq`` exists (scan path only), usable as a fill source.
-
     ``lags``/``leads``: ``{out: (column, k)}`` value ``k`` rows back/ahead in
     the same key (NULL past the key's ends).
     ``ffill``: ``{out: (column, include_current)}`` last non-NULL value of the
     column at or before (``True``) / strictly before (``False``) the row.
     ``bfill``: same, first non-NULL at or after / strictly after.
-    ``segment_start``: output column with the position of the key's first row.
-    ``keep_seq``: output column name for the global position.
-    ``keys`` may be empty: the scan then runs over the whole table's order.
-
-    ``method``: ``scan`` always uses the balanced buckets; ``auto`` first
-    measures the largest key group and, only when it holds at most
-    ``bucket_rows`` rows (so no task can get more than a bucket's worth of
-    one key), uses plain key-partitioned windows (one shuffle); ``window``
-    forces that plan for keys known to be small.
+    ``since``: ``{out: (mark, counted)}`` how many rows with a non-NULL
+    ``counted`` came after the last row where the boolean ``mark`` holds, up
+    to and with this row (NULL before the first such row).
+    ``keys`` may be empty: the scan then runs over the whole table's order, and
+    its summaries (a row for each bucket) are the one thing that meets in a task.
+    ``buckets``: columns that rise with ``order``; default ``bucket_columns``.
     """
-    lags, leads, ffill, bfill = lags or {}, leads or {}, ffill or {}, bfill or {}
-    keys = list(keys)
-    if method not in ("auto", "scan", "window"):
-        raise ValueError("method must be auto, scan or window")
-    if method != "scan" and not (segment_start or keep_seq):
-        if method == "window" and not keys:
-            raise ValueError("method='window' needs keys; a global window is one task")
-        if method == "auto":
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)  # sized, then scanned
-        if method == "window" or largest_group(df, keys) <= bucket_rows:
-            return _window_scan(df, keys, order, lags, leads, ffill, bfill)
-    before = max([k for _, k in lags.values()] + [1 if segment_start else 0] + [0])
-    after = max([k for _, k in leads.values()] + [0])
-    B = max(int(bucket_rows), before, after, 1)
-    orig_cols = df.columns
-
-    s = add_sequence(df, keys + list(order), num_partitions)
-    if derive:
-        s = s.withColumns(derive)
-    seq = F.col("_seq")
-    home = F.floor(seq / F.lit(B)).cast("long")
-    off = F.pmod(seq, F.lit(B))
-    ids = [home]
-    if before:
-        ids.append(F.when(off >= B - before, home + 1))
-    if after:
-        ids.append(F.when(off < after, home - 1))
-    s = s.withColumns({"_home": home, "_key": _key_struct(keys)})
-    s = s.withColumn("_bkt", F.explode(F.array_compact(F.array(*ids))))
-    s = s.withColumn("_halo", F.col("_bkt") != F.col("_home"))
-    # One hash exchange on the bucket; every window below reuses it.
-    s = s.repartition("_bkt")
-
-    w = Window.partitionBy("_bkt").orderBy("_seq")
-    wd = Window.partitionBy("_bkt").orderBy(F.col("_seq").desc())
-    key = F.col("_key")
-    cols: dict[str, Column] = {}
-    for out, (src, k) in lags.items():
-        cols[out] = F.when(F.lag(key, k).over(w).eqNullSafe(key), F.lag(F.col(src), k).over(w))
-    for out, (src, k) in leads.items():
-        cols[out] = F.when(F.lead(key, k).over(w).eqNullSafe(key), F.lead(F.col(src), k).over(w))
-    if segment_start:
-        # Halo rows lack their own look-back, so only home rows may mark.
-        cols["_segstart_mark"] = F.when(
-            ~F.col("_halo") & ~F.coalesce(F.lag(key, 1).over(w).eqNullSafe(key), F.lit(False)),
-            seq)
-
-    # In-bucket running values carry their key; a value of another key is void.
-    def tagged(src: str) -> Column:
-        return F.when(F.col(src).isNotNull(), F.struct(key.alias("k"), F.col(src).alias("v")))
-
-    fwd_incl = w.rowsBetween(Window.unboundedPreceding, 0)
-    fwd_excl = w.rowsBetween(Window.unboundedPreceding, -1)
-    bwd_incl = wd.rowsBetween(Window.unboundedPreceding, 0)
-    bwd_excl = wd.rowsBetween(Window.unboundedPreceding, -1)
-    fsrc = dict.fromkeys([src for src, _ in ffill.values()])
-    bsrc = dict.fromkeys([src for src, _ in bfill.values()])
-    if segment_start:
-        fsrc["_segstart_mark"] = None
-    s = s.withColumns(cols) if cols else s
-    run: dict[str, Column] = {}
-    for i, src in enumerate(fsrc):
-        run[f"_fi{i}"] = F.last(tagged(src), ignorenulls=True).over(fwd_incl)
-        run[f"_fe{i}"] = F.last(tagged(src), ignorenulls=True).over(fwd_excl)
-    for i, src in enumerate(bsrc):
-        run[f"_bi{i}"] = F.last(tagged(src), ignorenulls=True).over(bwd_incl)
-        run[f"_be{i}"] = F.last(tagged(src), ignorenulls=True).over(bwd_excl)
-    s = s.withColumns(run) if run else s
-    real = s.filter(~F.col("_halo"))
-    if fsrc or bsrc:
-        # read by the bucket summary and by the final join: window once
-        real = real.persist(StorageLevel.MEMORY_AND_DISK)
-
-    if fsrc or bsrc:
-        # Carry: one summary row per bucket, running value over the buckets.
-        aggs = []
-        for i, _ in enumerate(fsrc):
-            aggs.append(F.max_by(F.col(f"_fi{i}"), seq).alias(f"_L{i}"))
-        for i, _ in enumerate(bsrc):
-            aggs.append(F.min_by(F.col(f"_bi{i}"), seq).alias(f"_M{i}"))
-        summ = real.groupBy("_bkt").agg(*aggs)
-        up = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-        down = Window.orderBy(F.col("_bkt").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        carry = summ.select(
-            "_bkt",
-            *[F.last(F.col(f"_L{i}"), ignorenulls=True).over(up).alias(f"_CF{i}")
-              for i, _ in enumerate(fsrc)],
-            *[F.last(F.col(f"_M{i}"), ignorenulls=True).over(down).alias(f"_CB{i}")
-              for i, _ in enumerate(bsrc)])
-        real = real.join(carry, "_bkt", "left")
-
-    def pick(*tagged_cols: Column) -> Column:
-        return F.coalesce(*[F.when(t["k"].eqNullSafe(key), t["v"]) for t in tagged_cols])
-
-    outs: dict[str, Column] = {}
-    fidx = {src: i for i, src in enumerate(fsrc)}
-    bidx = {src: i for i, src in enumerate(bsrc)}
-    for out, (src, incl) in ffill.items():
-        i = fidx[src]
-        outs[out] = pick(F.col(f"_fi{i}" if incl else f"_fe{i}"), F.col(f"_CF{i}"))
-    for out, (src, incl) in bfill.items():
-        i = bidx[src]
-        outs[out] = pick(F.col(f"_bi{i}" if incl else f"_be{i}"), F.col(f"_CB{i}"))
-    if segment_start:
-        i = fidx["_segstart_mark"]
-        outs[segment_start] = pick(F.col(f"_fi{i}"), F.col(f"_CF{i}"))
-    if keep_seq:
-        outs[keep_seq] = seq
-    final = [F.col(f"`{c}`") for c in orig_cols] + [F.col(c) for c in lags] + \
-        [F.col(c) for c in leads] + [v.alias(k) for k, v in outs.items()]
-    return real.select(*final)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    lags, leads, ffill, bfill, since = (x or {} for x in (lags, leads, ffill, bfill, since))
+    orig = [F.col(f"`{c}`") for c in df.columns]
+    made = {f"_o{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
+    df = df.withColumns(made) if made else df
+    order = [f"_o{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
+    parts = buckets or bucket_columns(df, order, bucket_hours, bucket_width)
+    s = df.withColumns({
+        "_key": F.struct(*_cols(keys)) if keys else F.struct(F.lit(0).alias("all")),
+        "_bkt": F.struct(*[c.alias(f"b{i}") for i, c in enumerate(parts)])})
+
+    w = Window.partitionBy("_key", "_bkt").orderBy(*order)
+    wd = Window.partitionBy("_key", "_bkt").orderBy(*[F.col(c).desc() for c in order])
+    whole = Window.partitionBy("_key", "_bkt")
+    upto, before = (w.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
+    onward, after = (wd.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
+
+    k_lag = max([k for _, k in lags.values()] + [0])
+    k_lead = max([k for _, k in leads.values()] + [0])
+    cols = {"_rn": F.row_number().over(w)}
+    if k_lag or k_lead:
+        cols["_n"] = F.count(F.lit(1)).over(whole)
+    for i, (src, k) in enumerate(lags.values()):
+        cols[f"_g{i}"] = F.lag(src, k).over(w)
+    for i, (src, k) in enumerate(leads.values()):
+        cols[f"_d{i}"] = F.lead(src, k).over(w)
+    for i, (src, incl) in enumerate(ffill.values()):
+        cols[f"_f{i}"] = F.last(src, ignorenulls=True).over(upto if incl else before)
+    for i, (src, incl) in enumerate(bfill.values()):
+        cols[f"_h{i}"] = F.last(src, ignorenulls=True).over(onward if incl else after)
+    for i, (_, counted) in enumerate(since.values()):
+        cols[f"_c{i}"] = F.count(counted).over(upto)
+    s = s.withColumns(cols)
+    if since:
+        s = s.withColumns({f"_m{i}": F.max(F.when(F.col(mark), F.col(f"_c{i}"))).over(upto)
+                           for i, (mark, _) in enumerate(since.values())})
+
+    # one summary row per (key, bucket)
+    lag_src, lead_src = (list(dict.fromkeys(c for c, _ in x.values())) for x in (lags, leads))
+    f_src, b_src = (list(dict.fromkeys(c for c, _ in x.values())) for x in (ffill, bfill))
+    rn, n = F.col("_rn"), F.col("_n")
+    aggs = []
+    if lags:  # at most k_lag rows
+        tail = F.when(rn > n - k_lag, F.struct(rn.alias("r"), *_cols(lag_src)))
+        aggs.append(F.array_sort(F.collect_list(tail)).alias("_tail"))
+    if leads:
+        head = F.when(rn <= k_lead, F.struct(rn.alias("r"), *_cols(lead_src)))
+        aggs.append(F.array_sort(F.collect_list(head)).alias("_head"))
+    # wrapped, so that a value found and no value differ
+    aggs += [F.max_by(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), rn)).alias(f"_lastv{i}")
+             for i, c in enumerate(f_src)]
+    aggs += [F.min_by(F.struct(F.col(c).alias("v")), F.when(F.col(c).isNotNull(), rn)).alias(f"_firstv{i}")
+             for i, c in enumerate(b_src)]
+    for i, (_, counted) in enumerate(since.values()):
+        aggs += [F.count(counted).alias(f"_cnt{i}"), F.max(f"_m{i}").alias(f"_markat{i}")]
+    summary = s.groupBy("_key", "_bkt").agg(*aggs)
+
+    # running values over a key's summaries
+    sw = Window.partitionBy("_key").orderBy("_bkt")
+    swd = Window.partitionBy("_key").orderBy(F.col("_bkt").desc())
+    earlier, later = (x.rowsBetween(Window.unboundedPreceding, -1) for x in (sw, swd))
+    carries: dict[str, Column] = {}
+    if lags:
+        carries["_tail"] = F.flatten(F.collect_list("_tail").over(sw.rowsBetween(-k_lag, -1)))
+    if leads:
+        carries["_head"] = F.flatten(F.collect_list("_head").over(sw.rowsBetween(1, k_lead)))
+    carries |= {f"_lastv{i}": F.last(f"_lastv{i}", ignorenulls=True).over(earlier) for i in range(len(f_src))}
+    carries |= {f"_firstv{i}": F.last(f"_firstv{i}", ignorenulls=True).over(later) for i in range(len(b_src))}
+    if since:
+        summary = summary.withColumns({f"_sofar{i}": F.coalesce(F.sum(f"_cnt{i}").over(earlier), F.lit(0))
+                                       for i in range(len(since))})
+        carries |= {f"_since{i}": F.col(f"_sofar{i}") - F.last(
+            F.col(f"_sofar{i}") + F.col(f"_markat{i}"), ignorenulls=True).over(earlier) for i in range(len(since))}
+    carry = summary.select("_key", "_bkt", *[c.alias(name) for name, c in carries.items()])
+    s = s.join(carry, ["_key", "_bkt"], "left")
+
+    outs = []
+    for i, (out, (src, k)) in enumerate(lags.items()):
+        back = F.lit(k) - rn  # rows to go back beyond this bucket, less one
+        old = F.when(F.size("_tail") > back, F.element_at(F.col("_tail"), F.least(-back - 1, F.lit(-1)))[src])
+        outs.append(F.when(rn > k, F.col(f"_g{i}")).otherwise(old).alias(out))
+    for i, (out, (src, k)) in enumerate(leads.items()):
+        ahead = F.lit(k) - (n - rn)  # which of the later buckets' rows
+        new = F.when(F.size("_head") >= ahead, F.element_at(F.col("_head"), F.greatest(ahead, F.lit(1)).cast("int"))[src])
+        outs.append(F.when(n - rn >= k, F.col(f"_d{i}")).otherwise(new).alias(out))
+    for i, (out, (src, _)) in enumerate(ffill.items()):
+        outs.append(F.coalesce(F.col(f"_f{i}"), F.col(f"_lastv{f_src.index(src)}")["v"]).alias(out))
+    for i, (out, (src, _)) in enumerate(bfill.items()):
+        outs.append(F.coalesce(F.col(f"_h{i}"), F.col(f"_firstv{b_src.index(src)}")["v"]).alias(out))
+    for i, out in enumerate(since):
+        outs.append(F.coalesce(F.col(f"_c{i}") - F.col(f"_m{i}"), F.col(f"_since{i}") + F.col(f"_c{i}")).alias(out))
+    return s.select(*orig, *outs)

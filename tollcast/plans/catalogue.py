@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import timefns as tf
 from ..operators import align, bins, fill, joins, lags, metrics, models, profile, repair, routes
-from ..operators.sequence import ordered_scan
 from ..session import scratch_path
 from ..sources import csv as csvsrc
 from ..sources import inspect as insp
-from ..sources.tables import table
-from . import features
+from ..sources.tables import table, written
+from . import features, modeling
 from . import standins as si
 
 R6 = 6
@@ -29,10 +28,9 @@ SENTINEL = repair.WIND_SENTINEL
 # Holiday ranges used on the January 2024 events (parameters of the flag).
 EVENT_HOLIDAYS = [("2024-01-01", "2024-01-01"), ("2024-01-13", "2024-01-15")]
 NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-# Operator queries run the balanced scan unconditionally, so the SQL check
-# covers the plan used at scale; the end-to-end jobs use the size-checked
-# "auto" choice.
-SCAN = "scan"
+# Ordered scans cut time into buckets of so many hours: every key spans many of
+# them at any scale, so the SQL check covers look-ups across buckets.
+BUCKET_HOURS = 6
 
 
 def _s(c):
@@ -56,13 +54,35 @@ def _sql_bucket(h: str) -> str:
 
 # ----------------------------------------------------------------- sources
 
-def q_src_csv(spark: SparkSession, d: str) -> DataFrame:
+def _csv_events(spark, d):
+    """Events with quotes (JSON text), timestamps and NULLs (every tenth value)."""
+    return si.events(spark, d).select(
+        "event_id", "ts", "user_id", "event_type", "props",
+        F.when(F.col("event_id") % 10 != 0, F.round("value", 6)).alias("value"))
+
+
+def _csv_round_trip(spark, d, **how):
     path = scratch_path(spark, "src_csv")
-    csvsrc.write_csv(table(spark, d, "nation"), path, key_cols=["n_nationkey"])
-    return csvsrc.read_csv(spark, path, "n_nationkey int, n_name string, n_regionkey int")
+    csvsrc.write_csv(_csv_events(spark, d), path, key_cols=["event_id"])
+    back = csvsrc.read_csv(spark, path, **how)
+    return back.select("event_id", F.substring(F.col("ts").cast("string"), 1, 19).alias("ts"),
+                       "user_id", "event_type", "props", "value")
+
+
+def q_src_csv(spark: SparkSession, d: str) -> DataFrame:
+    return _csv_round_trip(spark, d, schema="event_id long, ts timestamp_ntz, user_id long, "
+                                            "event_type string, props string, value double")
 
 
-SQL_SRC_CSV = "SELECT n_nationkey, n_name, n_regionkey FROM nation"
+def q_src_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """Types found by a pass over the files (whole numbers come back as int)."""
+    out = _csv_round_trip(spark, d, infer=True)
+    return out.withColumns({"event_id": F.col("event_id").cast("long"), "user_id": F.col("user_id").cast("long")})
+
+
+SQL_SRC_CSV = f"""
+SELECT event_id, {_sql_ts('ts')} AS ts, user_id, event_type, props,
+       CASE WHEN event_id % 10 <> 0 THEN round(value, 6) END AS value FROM events"""
 
 
 def q_sql_project(spark: SparkSession, d: str) -> DataFrame:
@@ -88,10 +108,10 @@ SQL_DESCRIBE_SCHEMA = "\nUNION ALL\n".join(
     f"SELECT CAST({i} AS BIGINT) AS col_pos, '{n}' AS col_name, '{t}' AS data_type, "
     f"count({n}) AS non_null FROM events" for i, (n, t) in enumerate(_EVENT_TYPES))
 
-_COUNT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events"]
 _COUNT_COLS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6,
-               "orders": 6, "lineitem": 11, "events": 6}
+               "orders": 6, "lineitem": 11, "events": 6, "documents": 5, "embeddings": 3,
+               "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
+_COUNT_TABLES = list(_COUNT_COLS)
 
 
 def q_row_count(spark: SparkSession, d: str) -> DataFrame:
@@ -194,10 +214,12 @@ FROM (SELECT {_SQL_BIN} AS b, event_type FROM events) GROUP BY b, event_type"""
 
 
 def q_stream_bin_count(spark: SparkSession, d: str) -> DataFrame:
-    """A2 as a Structured Streaming job over the events file (watermark 1 h)."""
+    """A2 as a Structured Streaming job over the events file; no watermark, so no
+    row is ever late and every one is counted."""
     from ..streaming.bins import stream_bin_count
     schema = si.events(spark, d).schema
-    out = stream_bin_count(spark, d, schema, "ts", ["event_type"], "events.parquet")
+    out = stream_bin_count(spark, d, schema, "ts", ["event_type"], "events.parquet",
+                           watermark=None)
     return out.withColumn("bin_start", _s("bin_start"))
 
 
@@ -234,7 +256,7 @@ def _lag_select(df):
 def _lagged_by_key(spark, d):
     b = bins.bin_mean(si.events(spark, d), "ts", ["event_type"], "value")
     return lags.add_lags(b, "avg_value", 7, partition_by=["event_type"], order=["bin_start"],
-                         method=SCAN)
+                         bucket_hours=BUCKET_HOURS)
 
 
 def q_lags_by_key(spark: SparkSession, d: str) -> DataFrame:
@@ -244,7 +266,8 @@ def q_lags_by_key(spark: SparkSession, d: str) -> DataFrame:
 def q_lags_global(spark: SparkSession, d: str) -> DataFrame:
     b = bins.bin_mean(si.events(spark, d), "ts", ["event_type"], "value")
     return _lag_select(lags.add_lags(b, "avg_value", 7, partition_by=(),
-                                     order=["bin_start", "event_type"], method=SCAN))
+                                     order=["bin_start", "event_type"],
+                                     bucket_hours=BUCKET_HOURS))
 
 
 def _sql_lags(window: str) -> str:
@@ -274,13 +297,15 @@ def _repair_out(df):
 
 def q_seq_repair(spark: SparkSession, d: str) -> DataFrame:
     r = repair.outlier_repair(_repair_input(spark, d), "value", T_REPAIR, keys=["user_id"],
-                              order=["ts", "event_id"], out="repaired", method=SCAN)
+                              order=["ts", "event_id"], out="repaired",
+                              bucket_hours=BUCKET_HOURS)
     return _repair_out(r)
 
 
 def q_seq_repair_twice(spark: SparkSession, d: str) -> DataFrame:
     r = repair.outlier_repair(_repair_input(spark, d), "value", T_REPAIR, keys=["user_id"],
-                              order=["ts", "event_id"], out="repaired", passes=2, method=SCAN)
+                              order=["ts", "event_id"], out="repaired", passes=2,
+                              bucket_hours=BUCKET_HOURS)
     return _repair_out(r)
 
 
@@ -320,13 +345,43 @@ SELECT p2.event_id, p2.user_id, round(e.value, 6) AS value, round(p2.y, 6) AS re
 FROM p2 JOIN events e USING (event_id)"""
 
 
+def _with_missing(spark, d):
+    """Events with NULL keys (every ninth user), NULL and NaN values."""
+    v = (F.when(F.col("event_id") % 11 == 0, F.lit(None)).when(F.col("event_id") % 13 == 0, F.lit(float("nan")))
+         .otherwise(F.col("value")))
+    return si.events(spark, d).select(
+        "event_id", F.when(F.col("user_id") % 9 != 0, F.col("user_id")).alias("user_id"), "ts", v.alias("value"))
+
+
+def q_seq_repair_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """W2 with NULL keys and missing readings: none is lost, blanked or moved."""
+    r = repair.outlier_repair(_with_missing(spark, d), "value", T_REPAIR, keys=["user_id"],
+                              order=["ts", "event_id"], out="repaired", bucket_hours=BUCKET_HOURS)
+    missing = F.when(F.col("value").isNull(), "null").when(F.isnan("value"), "nan").otherwise("no")
+    return r.select("event_id", "user_id", missing.alias("missing"),
+                    *[_r(F.when(~F.isnan(c), F.col(c))).alias(c) for c in ("value", "repaired")])
+
+
+# The rule: readings that are there are repaired among themselves, key by key, NULL being a key.
+SQL_SEQ_REPAIR_NULLS = f"""
+WITH RECURSIVE all_rows AS (
+  SELECT event_id, ts, CASE WHEN user_id % 9 <> 0 THEN user_id END AS user_id,
+         CASE WHEN event_id % 11 = 0 THEN 'null' WHEN event_id % 13 = 0 THEN 'nan' ELSE 'no' END AS missing,
+         CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN value END AS value FROM events),
+src AS (SELECT event_id, coalesce(user_id, -1) AS user_id, ts, value AS x FROM all_rows WHERE missing = 'no'),
+{_sql_repair_pass('p1', 'src', T_REPAIR)}
+SELECT a.event_id, a.user_id, a.missing, round(a.value, 6) AS value, round(p1.y, 6) AS repaired
+FROM all_rows a LEFT JOIN p1 ON p1.event_id = a.event_id"""
+
+
 def q_sentinel_repair(spark: SparkSession, d: str) -> DataFrame:
     ev = si.events(spark, d).select(
         "event_id", "user_id", "ts",
         F.when(F.col("event_type") == "error", F.lit(SENTINEL)).otherwise(F.col("value"))
         .alias("value"))
     r = repair.sentinel_repair(ev, "value", SENTINEL, keys=["user_id"],
-                               order=["ts", "event_id"], out="repaired", method=SCAN)
+                               order=["ts", "event_id"], out="repaired",
+                               bucket_hours=BUCKET_HOURS)
     return _repair_out(r)
 
 
@@ -376,7 +431,7 @@ WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.event_type = g.event_type AND b.bs = g
 
 def q_locf_grid(spark: SparkSession, d: str) -> DataFrame:
     obs = bins.bin_mean(si.events(spark, d), "ts", ["event_type"], "value")
-    f = fill.locf_fill(obs, ["event_type"], "avg_value", method=SCAN)
+    f = fill.locf_fill(obs, ["event_type"], "avg_value", bucket_hours=BUCKET_HOURS)
     return f.select("event_type", _s("bin_start").alias("bin_start"),
                     _r(F.col("avg_value")).alias("avg_value"), "filled")
 
@@ -391,6 +446,71 @@ SELECT g.event_type, {_sql_ts('g.bs')} AS bin_start,
 FROM g LEFT JOIN b ON b.event_type = g.event_type AND b.bs = g.bs"""
 
 
+_GRID_HOURS = (6, 7, 15, 16)
+
+
+def _sparse_bins(spark, d):
+    """Means per window with NULL means (windows of all-NULL values) and a NULL key."""
+    ev = si.events(spark, d).select(
+        "ts", F.when(F.col("event_type") != "error", F.col("event_type")).alias("event_type"),
+        F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("value"))
+    return bins.bin_mean(ev, "ts", ["event_type"], "value")
+
+
+def q_locf_grid_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """W4 over the forecast-input hours: an observed window is observed, whatever its mean."""
+    f = fill.locf_fill(_sparse_bins(spark, d), ["event_type"], "avg_value", hours=_GRID_HOURS,
+                       bucket_hours=BUCKET_HOURS)
+    return f.select("event_type", _s("bin_start").alias("bin_start"),
+                    _r(F.col("avg_value")).alias("avg_value"), "filled")
+
+
+_SQL_SPARSE = f"""
+b AS (SELECT CASE WHEN event_type <> 'error' THEN event_type END AS event_type, {_SQL_BIN} AS bs,
+             avg(CASE WHEN event_id % 3 <> 0 THEN value END) AS v FROM events GROUP BY 1, 2)"""
+
+SQL_LOCF_GRID_NULLS = f"""
+WITH {_SQL_SPARSE},
+r AS (SELECT event_type, min(bs) AS lo, max(bs) AS hi FROM b GROUP BY 1),
+g AS (SELECT event_type, bs FROM (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL '20 minutes')) AS bs
+                                  FROM r) WHERE hour(bs) IN {_GRID_HOURS}),
+w AS (SELECT g.event_type, g.bs, b.bs IS NOT NULL AS seen,
+             last_value(b.v IGNORE NULLS) OVER (PARTITION BY g.event_type ORDER BY g.bs
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS lv
+      FROM g LEFT JOIN b ON b.event_type IS NOT DISTINCT FROM g.event_type AND b.bs = g.bs)
+SELECT event_type, {_sql_ts('bs')} AS bin_start, round(v, 6) AS avg_value, 0 AS filled FROM b
+UNION ALL
+SELECT event_type, {_sql_ts('bs')} AS bin_start, round(lv, 6) AS avg_value, 1 AS filled FROM w WHERE NOT seen"""
+
+# The window list of a forecast: all mornings first, then all afternoons (fixed parameter).
+_LISTED = [f"2024-01-{day:02d} {h:02d}:{m:02d}:00" for block in ((8, 9), (17, 18))
+           for day in range(16, 23) for h in block for m in (0, 20, 40)]
+
+
+def q_locf_grid_positions(spark: SparkSession, d: str) -> DataFrame:
+    """Given keys (also ones never observed) and a given window list, walked in the list's order."""
+    users = si.events(spark, d).select((F.col("user_id") + F.lit(0)).alias("user_id")).distinct()
+    key_table = users.unionByName(users.select((-F.col("user_id") - 1).alias("user_id")))
+    obs = bins.bin_mean(si.events(spark, d), "ts", ["user_id"], "value")
+    grid = fill.listed_grid(key_table, ["user_id"], _LISTED)
+    f = fill.locf_fill(obs, ["user_id"], "avg_value", order=["position"], grid=grid, bucket_width=10)
+    return f.filter("filled = 1").select("user_id", "position", _s("bin_start").alias("bin_start"),
+                                         _r(F.col("avg_value")).alias("avg_value"))
+
+
+SQL_LOCF_GRID_POSITIONS = f"""
+WITH u AS (SELECT DISTINCT user_id FROM events),
+k AS (SELECT user_id FROM u UNION ALL SELECT -user_id - 1 FROM u),
+l AS (SELECT * FROM (VALUES {", ".join(f"({i}, TIMESTAMP '{t}')" for i, t in enumerate(_LISTED))}) t(position, bs)),
+b AS (SELECT user_id, {_SQL_BIN} AS bs, avg(value) AS v FROM events GROUP BY 1, 2),
+w AS (SELECT k.user_id, l.position, l.bs, b.bs IS NOT NULL AS seen,
+             last_value(b.v IGNORE NULLS) OVER (PARTITION BY k.user_id ORDER BY l.position
+               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v
+      FROM k, l LEFT JOIN b ON b.user_id = k.user_id AND b.bs = l.bs)
+SELECT user_id, CAST(position AS INTEGER) AS position, {_sql_ts('bs')} AS bin_start, round(v, 6) AS avg_value
+FROM w WHERE NOT seen"""
+
+
 def q_append_sources(spark: SparkSession, d: str) -> DataFrame:
     ev = si.events(spark, d).select("event_id", "ts")
     train = ev.filter(F.col("ts") < F.lit(si.EVENTS_SPLIT).cast("timestamp_ntz"))
@@ -533,8 +653,8 @@ def q_weather_join(spark: SparkSession, d: str) -> DataFrame:
 SQL_WEATHER_JOIN = f"""
 WITH w AS (
   SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
-         max(value) AS wind_speed, count(*) AS n_obs
-  FROM events WHERE event_type = 'view' GROUP BY 1, 2),
+         CASE WHEN count(*) % 7 = 0 THEN {SENTINEL} ELSE max(value) END AS wind_speed, count(*) AS n_obs
+  FROM events GROUP BY 1, 2),
 f AS (SELECT {_SQL_BIN} AS b, event_type, count(*) AS volume FROM events GROUP BY 1, 2),
 ws AS (SELECT d, h, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed,
               avg(n_obs) AS n_obs FROM w GROUP BY d, h)
@@ -656,8 +776,7 @@ def q_zero_impute(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_mean_impute(spark: SparkSession, d: str) -> DataFrame:
-    lagged = _lagged_by_key(spark, d).cache()
-    return _lag_select(fill.mean_impute(lagged, _LAG_COLS))
+    return _lag_select(fill.mean_impute(_lagged_by_key(spark, d), _LAG_COLS))
 
 
 def _sql_impute(mean: bool) -> str:
@@ -777,8 +896,7 @@ def _lr_frame(spark, d):
 def _lr_fit(spark, d):
     from pyspark.ml.feature import VectorAssembler
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(_lr_frame(spark, d))
-    df = models.training_frame(df)
-    return df, models.linear_regression().fit(df)
+    return df, models.fit(models.linear_regression(), df)
 
 
 def q_lr_coefficients(spark: SparkSession, d: str) -> DataFrame:
@@ -843,23 +961,102 @@ def _tree_frame(spark, d):
     return VectorAssembler(inputCols=["x", "l_discount"], outputCol="features").transform(df)
 
 
+_LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "x", "label"]
+
+
+def _tree_scores(spark, d, estimator):
+    df = models.training_frame(_tree_frame(spark, d), _LINE_KEYS)
+    return models.score(models.fit(estimator, df), df, keep=["l_orderkey", "l_partkey", "l_suppkey"])
+
+
+def _label_range(scored):
+    return scored.agg(F.struct(F.min("label").alias("lo"), F.max("label").alias("hi"))).scalar()
+
+
 def q_rf_score(spark: SparkSession, d: str) -> DataFrame:
-    df = models.training_frame(_tree_frame(spark, d))
-    m = models.random_forest().fit(df)
-    return models.score(m, df, keep=["l_orderkey", "l_partkey", "l_suppkey"])
+    """A forest's prediction is a mean of label means, so it lies in the labels' range."""
+    p = _tree_scores(spark, d, models.random_forest())
+    r = _label_range(p)
+    return p.select("l_orderkey", "l_partkey", "l_suppkey", _r(F.col("label"), 8).alias("label"),
+                    F.col("prediction").between(r.getField("lo") - 1e-9, r.getField("hi") + 1e-9).alias("in_range"))
+
+
+SQL_RF_SCORE = f"""
+WITH {_SQL_LR}
+SELECT l_orderkey, l_partkey, l_suppkey, round(y, 8) AS label, true AS in_range FROM p"""
 
 
 def q_gbt_score(spark: SparkSession, d: str) -> DataFrame:
-    df = models.training_frame(_tree_frame(spark, d))
-    m = models.gradient_boosted().fit(df)
-    return models.score(m, df, keep=["l_orderkey", "l_partkey", "l_suppkey"])
+    """Boosted trees: every row gets a number, and together they beat the mean label."""
+    p = _tree_scores(spark, d, models.gradient_boosted())
+    beats = metrics.regression_metrics(p).select(F.col("r2") > 0.5).scalar()
+    return p.select("l_orderkey", "l_partkey", "l_suppkey", _r(F.col("label"), 8).alias("label"),
+                    (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("scored"),
+                    beats.alias("beats_mean"))
+
+
+SQL_GBT_SCORE = f"""
+WITH {_SQL_LR}
+SELECT l_orderkey, l_partkey, l_suppkey, round(y, 8) AS label, true AS scored, true AS beats_mean FROM p"""
+
+
+def _tuned(spark, d, estimator, grid) -> DataFrame:
+    """A row for each grid point; the mean label as prediction has the label's deviation as error."""
+    df = models.training_frame(_tree_frame(spark, d), _LINE_KEYS)
+    out = models.tuning_table(spark, models.tune(estimator, grid, df), grid)
+    spread = df.agg(F.stddev_pop("label")).scalar()
+    return out.select(*grid, (F.col("rmse") < spread).alias("beats_mean"))
+
+
+def _sql_grid(grid: dict) -> str:
+    """The cross product of the grid's values, in which every point beats the mean."""
+    lists = ", ".join(f"(VALUES {', '.join(f"('{v}')" for v in values)}) t{i}(\"{name}\")"
+                      for i, (name, values) in enumerate(grid.items()))
+    return f"SELECT {', '.join(chr(34) + n + chr(34) for n in grid)}, true AS beats_mean FROM {lists}"
+
+
+# Trees of up to these sizes are fitted; the larger points of the six grids
+# (depth 20, 1,000 trees) cost hours and are there behind the same call.
+TUNE_POINTS = {"GBT_GRID": {"maxDepth": 4, "maxIter": 10}, "GBT_GRID_VOLUME": {"maxDepth": 2, "maxIter": 20},
+               "RF_GRID": {"maxDepth": 6, "maxBins": 60, "numTrees": 20},
+               "RF_GRID_VOLUME": {"maxDepth": 8, "maxBins": 20, "numTrees": 100}}
+
+
+def small_grid(name: str) -> dict:
+    """The grid of that name up to the sizes in ``TUNE_POINTS``."""
+    return {p: [v for v in values if v <= TUNE_POINTS[name][p]] for p, values in getattr(models, name).items()}
 
 
 def q_tune_lr(spark: SparkSession, d: str) -> DataFrame:
-    df = models.training_frame(_tree_frame(spark, d))
-    est = models.linear_regression()
-    tvs = models.tune(est, models.LR_GRID, df)
-    return models.tuning_table(spark, tvs, models.LR_GRID)
+    return _tuned(spark, d, models.linear_regression(), models.LR_GRID)
+
+
+def q_tune_lr_volume(spark: SparkSession, d: str) -> DataFrame:
+    return _tuned(spark, d, models.linear_regression(), models.LR_GRID_VOLUME)
+
+
+def q_tune_gbt(spark: SparkSession, d: str) -> DataFrame:
+    return _tuned(spark, d, models.gradient_boosted(), small_grid("GBT_GRID"))
+
+
+def q_tune_gbt_volume(spark: SparkSession, d: str) -> DataFrame:
+    return _tuned(spark, d, models.gradient_boosted(), small_grid("GBT_GRID_VOLUME"))
+
+
+def q_tune_rf(spark: SparkSession, d: str) -> DataFrame:
+    return _tuned(spark, d, models.random_forest(), small_grid("RF_GRID"))
+
+
+def q_tune_rf_volume(spark: SparkSession, d: str) -> DataFrame:
+    return _tuned(spark, d, models.random_forest(), small_grid("RF_GRID_VOLUME"))
+
+
+SQL_TUNE_LR = _sql_grid(models.LR_GRID)
+SQL_TUNE_LR_VOLUME = _sql_grid(models.LR_GRID_VOLUME)
+SQL_TUNE_GBT = _sql_grid(small_grid("GBT_GRID"))
+SQL_TUNE_GBT_VOLUME = _sql_grid(small_grid("GBT_GRID_VOLUME"))
+SQL_TUNE_RF = _sql_grid(small_grid("RF_GRID"))
+SQL_TUNE_RF_VOLUME = _sql_grid(small_grid("RF_GRID_VOLUME"))
 
 
 # ---------------------------------------------------- end-to-end jobs
@@ -879,7 +1076,7 @@ def _split_logs(spark, d):
 def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
     opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
     train, test = _split_logs(spark, d)
-    w = features.weather_prepared(si.weather(spark, d), "wind_speed", options=opts)
+    w = _weather(spark, d, opts)
     out = features.volume_features(train, test, w, ts="ts", keys=["event_type"],
                                    holiday_col="holiday", options=opts)
     return _round_doubles(out)
@@ -888,6 +1085,31 @@ def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
 SQL_PLUS_20 = "bs + INTERVAL '20 minutes'"
 
 
+# Readings of the training and then the test period, one series: a sentinel
+# becomes the mean of the last good reading and the next raw one, or the one
+# good reading on its side.
+_SQL_WEATHER = f"""
+wr AS (SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
+              CASE WHEN count(*) % 7 = 0 THEN {SENTINEL} ELSE max(value) END AS raw_wind, count(*) AS n_obs
+       FROM events GROUP BY 1, 2),
+wp AS (SELECT *, lead(raw_wind) OVER o AS nx,
+              last_value(CASE WHEN raw_wind <> {SENTINEL} THEN raw_wind END IGNORE NULLS) OVER (
+                ORDER BY d, h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p,
+              first_value(CASE WHEN raw_wind <> {SENTINEL} THEN raw_wind END IGNORE NULLS) OVER (
+                ORDER BY d, h ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS q
+       FROM wr WINDOW o AS (ORDER BY d, h)),
+wx AS (SELECT d, h, temperature, CAST(n_obs AS DOUBLE) AS n_obs,
+              CASE WHEN raw_wind <> {SENTINEL} THEN raw_wind WHEN p IS NULL AND q IS NULL THEN raw_wind
+                   WHEN p IS NULL THEN q WHEN q IS NULL THEN p
+                   WHEN nx <> {SENTINEL} THEN (p + nx) / 2.0 ELSE p END AS wind_speed FROM wp),"""
+
+
+def _weather(spark, d, opts):
+    w, cut = si.weather(spark, d), F.lit(si.EVENTS_SPLIT).cast("date")
+    return features.weather_prepared(w.filter(F.col("date") < cut), w.filter(F.col("date") >= cut),
+                                     sentinel_col="wind_speed", options=opts)
+
+
 def _sql_volume_features() -> str:
     lag_cols = ", ".join(f"lag(volume, {i}) OVER w AS lag{i}" for i in range(1, 8))
     wcols = ["temperature", "wind_speed", "n_obs"]
@@ -917,11 +1139,7 @@ ap AS (SELECT bs, event_type, volume, 0 AS part FROM tr
 lg AS (SELECT bs, event_type, volume, {lag_cols} FROM ap
        WINDOW w AS (PARTITION BY event_type ORDER BY part, bs)),
 fc AS (SELECT bs + INTERVAL '2 hours' AS bs, event_type FROM te),
-wr AS (SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
-              max(value) AS wind_speed, count(*) AS n_obs
-       FROM events WHERE event_type = 'view' GROUP BY 1, 2),
-wx AS (SELECT d, h, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed,
-              avg(n_obs) AS n_obs FROM wr GROUP BY 1, 2),
+{_SQL_WEATHER}
 trf AS ({enrich('lg')}),
 tef AS ({enrich('fc')}),
 m AS (SELECT {mean_cols} FROM trf)
@@ -978,22 +1196,18 @@ teb AS (SELECT {_SQL_BIN} AS bs, user_id, avg(y) AS v FROM b1 GROUP BY 1, 2),
 rg AS (SELECT user_id, min(bs) AS lo, max(bs) AS hi FROM teb GROUP BY 1),
 g AS (SELECT * FROM (SELECT user_id, unnest(generate_series(lo, hi, INTERVAL '20 minutes')) AS bs
                      FROM rg) WHERE hour(bs) IN ({hours})),
-gl AS (SELECT g.user_id, g.bs, teb.v,
+gl AS (SELECT g.user_id, g.bs, teb.bs IS NOT NULL AS seen,
               last_value(teb.v IGNORE NULLS) OVER (PARTITION BY g.user_id ORDER BY g.bs
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fv
        FROM g LEFT JOIN teb ON teb.user_id = g.user_id AND teb.bs = g.bs),
 te_all AS (SELECT bs, user_id, v FROM teb
-           UNION ALL SELECT bs, user_id, fv AS v FROM gl WHERE v IS NULL),
+           UNION ALL SELECT bs, user_id, fv AS v FROM gl WHERE NOT seen),
 ap AS (SELECT bs, user_id, v, 0 AS part FROM trb
        UNION ALL SELECT bs, user_id, v, 1 AS part FROM te_all),
 lg AS (SELECT bs, user_id, v, {lag_cols} FROM ap
        WINDOW w AS (PARTITION BY user_id ORDER BY part, bs)),
 fc AS (SELECT bs + INTERVAL '2 hours' AS bs, user_id FROM te_all),
-wr AS (SELECT CAST(ts AS DATE) AS d, {_sql_bucket('hour(ts)')} AS h, avg(value) AS temperature,
-              max(value) AS wind_speed, count(*) AS n_obs
-       FROM events WHERE event_type = 'view' GROUP BY 1, 2),
-wx AS (SELECT d, h, avg(temperature) AS temperature, avg(wind_speed) AS wind_speed,
-              avg(n_obs) AS n_obs FROM wr GROUP BY 1, 2),
+{_SQL_WEATHER}
 {_SQL_ROUTES.strip()},
 rf AS (SELECT rl.o_orderkey AS user_id, {_SQL_ROUTE_FEATURES}
        FROM rl LEFT JOIN links l ON l.link_id = rl.link_id GROUP BY rl.o_orderkey),
@@ -1017,7 +1231,7 @@ def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
     route features from the order whose key equals the user id."""
     opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
     train, test = _split_logs(spark, d)
-    w = features.weather_prepared(si.weather(spark, d), "wind_speed", options=opts)
+    w = _weather(spark, d, opts)
     rf = _route_features(spark, d).withColumnRenamed("o_orderkey", "user_id")
     out = features.travel_time_features(
         train, test, w, rf, ts="ts", keys=["user_id"], value="value",
@@ -1026,6 +1240,111 @@ def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
     return _round_doubles(out)
 
 
+MODEL_CUTOFF = "2024-01-24 00:00:00"
+TREES = {"gbt": {"maxIter": 10, "maxDepth": 4}, "rf": {"numTrees": 20, "maxDepth": 6}}
+
+
+def _model_facts(m: DataFrame, exact: bool) -> DataFrame:
+    """What SQL can know: the linear model's metrics where it solves the normal
+    equations, for all models the rows, the labels' sum, and whether the fit beats the mean."""
+    linear = F.col("model") == "linear"
+    figures = [_r(F.when(linear, F.col(c)), R4).alias(c) for c in ("mae", "rmse", "r2")] if exact else []
+    return m.select("model", "part", "n", _r(F.col("label_sum"), R4).alias("label_sum"), *figures,
+                    F.when(F.col("part") == "in_sample", F.col("r2") > 0).alias("beats_mean"))
+
+
+def q_volume_model(spark: SparkSession, d: str) -> DataFrame:
+    """Task 2 as a whole, on two of the features, so that SQL can solve it too."""
+    m = modeling.fit_and_report(q_volume_features(spark, d), ["event_type"], "volume", MODEL_CUTOFF,
+                                numbers=["lag1", "temperature"], options=modeling.ModelOptions(**TREES))
+    return _model_facts(m, exact=True)
+
+
+_SQL_PARTS = f"""
+r AS (SELECT *, strptime(substr(time_window, 2, 19), '%Y-%m-%d %H:%M:%S') < TIMESTAMP '{MODEL_CUTOFF}' AS early
+      FROM f WHERE split = 'train'),"""
+_SQL_MODELS = "(VALUES ('linear'), ('boosted_trees'), ('random_forest')) m(model)"
+
+SQL_VOLUME_MODEL = f"""
+WITH f AS ({SQL_VOLUME_FEATURES}),{_SQL_PARTS}
+c AS (SELECT covar_pop(lag1, volume) AS c1y, covar_pop(temperature, volume) AS c2y, covar_pop(lag1, temperature) AS c12,
+             var_pop(lag1) AS c11, var_pop(temperature) AS c22, avg(lag1) AS ma, avg(temperature) AS mb, avg(volume) AS my
+      FROM r WHERE early),
+k AS (SELECT (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS ka, (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS kb, * FROM c),
+p AS (SELECT r.early, r.volume AS y, my + ka * (lag1 - ma) + kb * (temperature - mb) AS z FROM r, k),
+g AS (SELECT early, count(*) AS n, sum(y) AS label_sum, avg(abs(y - z)) AS mae, sqrt(avg((y - z) ^ 2)) AS rmse,
+             1 - sum((y - z) ^ 2) / (var_pop(y) * count(*)) AS r2 FROM p GROUP BY 1)
+SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 4) AS label_sum,
+       CASE WHEN model = 'linear' THEN round(mae, 4) END AS mae, CASE WHEN model = 'linear' THEN round(rmse, 4) END AS rmse,
+       CASE WHEN model = 'linear' THEN round(r2, 4) END AS r2, CASE WHEN early THEN true END AS beats_mean
+FROM g, {_SQL_MODELS}"""
+
+
+def q_travel_time_model(spark: SparkSession, d: str) -> DataFrame:
+    """Task 1 as a whole, on all numeric features."""
+    m = modeling.fit_and_report(q_travel_time_features(spark, d), ["user_id"], "avg_travel_time", MODEL_CUTOFF,
+                                options=modeling.ModelOptions(**TREES))
+    return _model_facts(m, exact=False)
+
+
+SQL_TRAVEL_TIME_MODEL = f"""
+WITH f AS ({SQL_TRAVEL_TIME_FEATURES}),{_SQL_PARTS}
+g AS (SELECT early, count(*) AS n, sum(avg_travel_time) AS label_sum FROM r WHERE avg_travel_time IS NOT NULL GROUP BY 1)
+SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 4) AS label_sum,
+       CASE WHEN early THEN true END AS beats_mean
+FROM g, {_SQL_MODELS}"""
+
+HOLDOUT_CUTOFF = "1999-01-01 00:00:00"
+
+
+def q_time_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """Q11: fitted on the lines shipped before a date, reported on those and on the later ones."""
+    from pyspark.ml.feature import VectorAssembler
+    x = F.col("l_extendedprice") / 1000.0
+    li = table(spark, d, "lineitem").select("l_shipdate", x.alias("x"), (x * (1 - F.col("l_discount"))).alias("label"))
+    early, late = models.time_split(VectorAssembler(inputCols=["x"], outputCol="features").transform(li),
+                                    "l_shipdate", HOLDOUT_CUTOFF)
+    model = models.fit(models.linear_regression(), early)
+    out = modeling.report("linear", "in_sample", model.transform(early), "label").unionAll(
+        modeling.report("linear", "holdout", model.transform(late), "label"))
+    return out.select("part", "n", *[_r(F.col(c), R4).alias(c) for c in ("mae", "rmse", "r2", "mape")])
+
+
+SQL_TIME_HOLDOUT = f"""
+WITH d AS (SELECT l_shipdate < TIMESTAMP '{HOLDOUT_CUTOFF}' AS early, l_extendedprice / 1000.0 AS x,
+                  l_extendedprice / 1000.0 * (1 - l_discount) AS y FROM lineitem),
+c AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS b FROM d WHERE early),
+p AS (SELECT early, y, c.s * x + c.b AS z FROM d, c)
+SELECT CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, count(*) AS n, round(avg(abs(y - z)), 4) AS mae,
+       round(sqrt(avg((y - z) ^ 2)), 4) AS rmse, round(1 - sum((y - z) ^ 2) / (var_pop(y) * count(*)), 4) AS r2,
+       round(avg(abs(CASE WHEN y = 0 THEN NULL ELSE (y - z) / y END)), 4) AS mape
+FROM p GROUP BY early"""
+
+_CORR_FEATURES = (["volume"] + _LAG_COLS + [f"hour__{h}" for h in range(24)] + cal.WEEKDAYS
+                  + ["holiday", "temperature", "wind_speed", "n_obs"])
+
+
+def q_corr_features(spark: SparkSession, d: str) -> DataFrame:
+    """A9 on the feature table: all its numeric columns, in blocks of pairs."""
+    rows = written(q_volume_features(spark, d).filter("split = 'train'").select(*_CORR_FEATURES), "corr-features")
+    return profile.corr_matrix(rows, _CORR_FEATURES).select("col_a", "col_b", _r(F.col("corr")).alias("corr"))
+
+
+def _sql_corr_features() -> str:
+    cols = ", ".join(f"corr({a}, {b}) AS c{i}_{j}" for i, a in enumerate(_CORR_FEATURES)
+                     for j, b in enumerate(_CORR_FEATURES) if j >= i)
+    pairs = [(a, b, f"c{min(i, j)}_{max(i, j)}") for i, a in enumerate(_CORR_FEATURES)
+             for j, b in enumerate(_CORR_FEATURES)]
+    rows = ", ".join(f"{{'a': '{a}', 'b': '{b}', 'c': {n}}}" for a, b, n in pairs)
+    return f"""
+WITH f AS ({SQL_VOLUME_FEATURES}), w AS (SELECT {cols} FROM f WHERE split = 'train'),
+u AS (SELECT unnest([{rows}]) AS x FROM w)
+SELECT x.a AS col_a, x.b AS col_b, round(x.c, 6) AS corr FROM u"""
+
+
+SQL_CORR_FEATURES = _sql_corr_features()
+
+
 # ------------------------------------------------------------- registry
 
 QUERIES = {
@@ -1050,6 +1369,12 @@ QUERIES = {
     "regression_metrics": q_regression_metrics, "rf_score": q_rf_score,
     "gbt_score": q_gbt_score, "tune_lr": q_tune_lr,
     "volume_features": q_volume_features, "travel_time_features": q_travel_time_features,
+    "src_csv_inferred": q_src_csv_inferred, "seq_repair_nulls": q_seq_repair_nulls,
+    "locf_grid_nulls": q_locf_grid_nulls, "locf_grid_positions": q_locf_grid_positions,
+    "tune_lr_volume": q_tune_lr_volume, "tune_gbt": q_tune_gbt, "tune_gbt_volume": q_tune_gbt_volume,
+    "tune_rf": q_tune_rf, "tune_rf_volume": q_tune_rf_volume, "volume_model": q_volume_model,
+    "travel_time_model": q_travel_time_model, "time_holdout": q_time_holdout,
+    "corr_features": q_corr_features,
 }
 
 ORACLE_SQL = {
@@ -1076,4 +1401,12 @@ ORACLE_SQL = {
     "lr_score": SQL_LR_SCORE, "regression_metrics": SQL_REGRESSION_METRICS,
     "volume_features": SQL_VOLUME_FEATURES,
     "travel_time_features": SQL_TRAVEL_TIME_FEATURES,
+    "src_csv_inferred": SQL_SRC_CSV, "seq_repair_nulls": SQL_SEQ_REPAIR_NULLS,
+    "locf_grid_nulls": SQL_LOCF_GRID_NULLS, "locf_grid_positions": SQL_LOCF_GRID_POSITIONS,
+    "rf_score": SQL_RF_SCORE, "gbt_score": SQL_GBT_SCORE, "tune_lr": SQL_TUNE_LR,
+    "tune_lr_volume": SQL_TUNE_LR_VOLUME, "tune_gbt": SQL_TUNE_GBT,
+    "tune_gbt_volume": SQL_TUNE_GBT_VOLUME, "tune_rf": SQL_TUNE_RF,
+    "tune_rf_volume": SQL_TUNE_RF_VOLUME, "volume_model": SQL_VOLUME_MODEL,
+    "travel_time_model": SQL_TRAVEL_TIME_MODEL, "time_holdout": SQL_TIME_HOLDOUT,
+    "corr_features": SQL_CORR_FEATURES,
 }

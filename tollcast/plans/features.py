@@ -1,4 +1,10 @@
-"""The two end-to-end feature jobs as lazy DataFrame plans.
+"""The two end-to-end feature jobs as DataFrame plans; neither leaves a cached frame.
+
+``volume_features`` is one lazy plan: building it runs no job.  In
+``travel_time_features`` every ordered scan reads its input twice, and scans
+stand on scans, so by default it writes the repaired windows to the shared
+checkpoint folder (``JobOptions.stages``) and goes on from these small tables;
+without that it is one lazy plan too, whose size grows with each scan.
 
 ``volume_features``: count per (window, gate keys) -> lags -> forecast
 windows (test shifted +2 h, target dropped) -> calendar dummies and holiday
@@ -22,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import timefns as tf
 from ..operators import align, bins, fill, joins, lags, repair
+from ..sources.tables import written
 
 
 @dataclass
@@ -37,18 +44,12 @@ class JobOptions:
     # 17:00-19:00, so the expected test windows (2 h earlier) start in hours
     # 6, 7, 15 and 16.  None = every window between a route's first and last.
     grid_hours: tuple | None = (6, 7, 15, 16)
-    bucket_rows: int | None = None
-    num_partitions: int | None = None
-    scan_method: str = "auto"          # "scan" = always the balanced buckets
+    bucket_hours: int = 24             # how ordered scans cut time, see ordered_scan
+    stages: bool = True                # travel time: write the repaired and the filled windows
 
 
 def _scan_kw(o: JobOptions) -> dict:
-    kw = {"method": o.scan_method}
-    if o.bucket_rows:
-        kw["bucket_rows"] = o.bucket_rows
-    if o.num_partitions:
-        kw["num_partitions"] = o.num_partitions
-    return kw
+    return {"bucket_hours": o.bucket_hours}
 
 
 def _calendar_weather(df: DataFrame, weather: DataFrame | None, o: JobOptions,
@@ -65,21 +66,19 @@ def _label_and_align(train: DataFrame, test: DataFrame, keys, fill_cols,
     """Window label, keys first, test aligned to train, mean fill, one frame.
 
     ``fill_cols`` are the columns that can be NULL by construction (lags,
-    left-joined weather and route features); their means come from one
-    aggregate over the persisted training frame.
+    left-joined weather and route features); their means are one aggregate over
+    the training frame, a scalar subquery of the plan.
     """
     def label(df):
         return df.withColumn("time_window", tf.window_label("bin_start", o.minutes)).drop("bin_start")
 
-    # Persist the training features once: the means, the test fill and the
-    # model fits all read them.
-    train = align.key_first(label(train), [*keys, "time_window"]).persist()
+    train = align.key_first(label(train), [*keys, "time_window"])
     test = align.align_schema(label(test), train.columns, fill=0)
     fill_cols = [c for c in fill_cols if c in train.columns]
     train_means = fill.column_means(train, fill_cols)
     test_means = train_means if o.means_from_train else fill.column_means(test, fill_cols)
-    train_f = fill.apply_means(train, train_means)
-    test_f = fill.apply_means(test, test_means)
+    train_f = fill.apply_means(train, train_means, fill_cols)
+    test_f = fill.apply_means(test, test_means, fill_cols)
     return (train_f.withColumn("split", F.lit("train"))
             .unionByName(test_f.withColumn("split", F.lit("test"))))
 
@@ -146,11 +145,12 @@ def travel_time_features(train_trips: DataFrame, test_trips: DataFrame,
     kw = _scan_kw(o)
     train_fixed = repair.outlier_repair(train_trips, value, threshold, keys, order, passes=2, **kw)
     test_fixed = repair.outlier_repair(test_trips, value, threshold, keys, order, passes=1, **kw)
-    tr = bins.bin_mean(train_fixed, ts, keys, value, o.minutes, out=target)
-    te = bins.bin_mean(test_fixed, ts, keys, value, o.minutes, out=target)
+    stage = written if o.stages else (lambda df, name: df)
+    tr = stage(bins.bin_mean(train_fixed, ts, keys, value, o.minutes, out=target), "train-windows")
+    te = stage(bins.bin_mean(test_fixed, ts, keys, value, o.minutes, out=target), "test-windows")
     start, end = test_windows if test_windows else (None, None)
-    te = fill.locf_fill(te, keys, target, "bin_start", o.minutes, start, end,
-                        hours=o.grid_hours, **kw).drop("filled")
+    te = stage(fill.locf_fill(te, keys, target, "bin_start", o.minutes, start, end,
+                              hours=o.grid_hours, **kw).drop("filled"), "filled-windows")
     train = _lagged(tr, te, keys, target, o)
     test = _forecast_rows(te, target, o)
     train = _calendar_weather(train, weather, o, holiday_col)
@@ -161,11 +161,15 @@ def travel_time_features(train_trips: DataFrame, test_trips: DataFrame,
     return _label_and_align(train, test, keys, _fill_cols(o, weather, route_feats, keys), o)
 
 
-def weather_prepared(weather: DataFrame, sentinel_col: str = "wind_direction",
+def weather_prepared(train: DataFrame, test: DataFrame | None = None,
+                     sentinel_col: str = "wind_direction",
                      sentinel: float = repair.WIND_SENTINEL, date_col: str = "date",
                      hour_col: str = "hour", options: JobOptions | None = None) -> DataFrame:
-    """Weather readings in (date, hour) order with the sentinel repaired over
-    that whole order (the readings form one series)."""
-    o = options or JobOptions()
-    return repair.sentinel_repair(weather, sentinel_col, sentinel, keys=(),
-                                  order=[date_col, hour_col], **_scan_kw(o))
+    """Weather readings, those of the test period after those of training, in
+    (date, hour) order each, with the sentinel repaired over that whole order
+    (the readings form one series)."""
+    both = train.withColumn("_part", F.lit(0))
+    if test is not None:
+        both = both.unionByName(test.withColumn("_part", F.lit(1)), allowMissingColumns=True)
+    return repair.sentinel_repair(both, sentinel_col, sentinel, keys=(),
+                                  order=["_part", date_col, hour_col]).drop("_part")

@@ -113,7 +113,7 @@ def write_csv(df: DataFrame, path: str, key_cols: list[str] | tuple = (),
     keys = list(key_cols)
     rest = [c for c in df.columns if c not in keys]
     out = df.select(*keys, *rest)
-    (out.write.mode(mode).option("header", True)
+    (out.write.mode(mode).option("header", True).option("escape", '"')  # quotes doubled, as read
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path))
 

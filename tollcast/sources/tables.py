@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
@@ -31,3 +33,11 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
 def sql(spark: SparkSession, text: str) -> DataFrame:
     """SQL text over registered views; Catalyst plans it like the DataFrame API."""
     return spark.sql(text)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back: later
+    reads neither compute it again nor depend on cached blocks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

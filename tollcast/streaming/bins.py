@@ -3,7 +3,8 @@
 Events arrive as files; counts per (20-minute window, keys) are kept in
 state, and the watermark bounds that state: a window is finalised (and its
 state dropped) once event time has moved ``watermark`` past its end, and
-later rows for it are discarded as late.
+later rows for it are discarded as late.  That loss is the ``watermark``
+parameter's: with ``None`` state grows with the windows and no row is late.
 
 Each micro-batch's updated windows are appended to a parquet table with the
 batch id (``foreachBatch``; the checkpoint makes a restarted query resume
@@ -44,7 +45,7 @@ def _instant_to_ntz(c):
 
 
 def windowed_counts(events: DataFrame, ts: str, keys, minutes: int = 20,
-                    watermark: str = "1 hour", out: str = "volume") -> DataFrame:
+                    watermark: str | None = "1 hour", out: str = "volume") -> DataFrame:
     """Streaming aggregate: count per (window start, keys) with a watermark."""
     ev = events
     if dict(events.dtypes)[ts] == "timestamp_ntz":
@@ -53,7 +54,7 @@ def windowed_counts(events: DataFrame, ts: str, keys, minutes: int = 20,
     else:
         et = ts
     w = F.window(F.col(et), f"{minutes} minutes")
-    res = (ev.withWatermark(et, watermark)
+    res = ((ev.withWatermark(et, watermark) if watermark else ev)
            .groupBy(w.alias("_w"), *keys)
            .agg(F.count(F.lit(1)).alias(out)))
     start = F.col("_w.start")
@@ -81,7 +82,7 @@ def latest_counts(spark: SparkSession, table_path: str, keys, out: str = "volume
 
 
 def stream_bin_count(spark: SparkSession, folder: str, schema: T.StructType, ts: str,
-                     keys, file_glob: str, minutes: int = 20, watermark: str = "1 hour",
+                     keys, file_glob: str, minutes: int = 20, watermark: str | None = "1 hour",
                      out: str = "volume") -> DataFrame:
     """Run the streaming count over the available files and return the table."""
     base = scratch_path(spark, "stream-bins")
