@@ -178,3 +178,25 @@ def test_profile_exact_and_approx(spark):
     for c in ("a", "b"):
         for q in ("q25", "q50", "q75"):
             assert abs(ap[c][q] - ex[c][q]) <= 1.0
+
+
+def test_correlations_against_pandas(spark):
+    import numpy as np
+    import pandas as pd
+    from tollcast.operators import profile
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(1e6, 1, (900, 4)), columns=list("abcd"))
+    pdf["d"] = pdf["a"] * 2 + rng.normal(0, .1, 900)
+    pdf.loc[::7, "b"] = np.nan
+    pdf["e"] = 5.0
+    pdf["f"] = np.nan
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in pdf))
+    got = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix(df.repartition(5), list(pdf)).collect()}
+    want = pdf.corr()
+    for a in "abcde":
+        for b in "abcde":
+            if pd.isna(want.loc[a, b]):
+                assert got[(a, b)] is None
+            else:
+                assert got[(a, b)] == pytest.approx(want.loc[a, b], abs=1e-7)
+    assert not any("f" in k and v is not None for k, v in got.items())

@@ -10,9 +10,9 @@ range-partitioned sequence, and only those at the needed ranks are kept.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequence import add_sequence
@@ -72,22 +72,61 @@ def profile(df: DataFrame, cols, exact: bool = True, quantiles=QUANTILES,
     return base.join(qs, "col_name")
 
 
-def corr_matrix(df: DataFrame, cols, block: int = 150) -> DataFrame:
+def _pair_moments(k: int):
+    """Per task, for each pair of columns: rows where both are there, sums, and centred products.
+
+    Arrays are matrix products over Arrow batches, shifted by the task's first
+    batch means; what a task returns is ``k * k`` rows, whatever it read.
+    """
+    def run(batches):
+        total, shift = None, None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float, na_value=np.nan)
+            there = ~np.isnan(x)
+            if shift is None and len(x):
+                n = there.sum(axis=0)
+                shift = np.where(n > 0, np.where(there, x, 0.0).sum(axis=0) / np.maximum(n, 1), 0.0)
+            if not len(x):
+                continue
+            m, x = there.astype(float), np.where(there, x - shift, 0.0)
+            part = np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+            total = part if total is None else total + part
+        if total is None:
+            return
+        n, s, q, c = total  # s[i, j]: sum of column i over the pair's rows, q: of its squares
+        some = np.maximum(n, 1)
+        i, j = np.divmod(np.arange(k * k), k)
+        yield pd.DataFrame({
+            "i": i, "j": j, "n": n.ravel(), "sx": (s + n * shift[:, None]).ravel(),
+            "sy": (s.T + n * shift[None, :]).ravel(), "cxx": (q - s * s / some).ravel(),
+            "cyy": (q.T - s.T * s.T / some).ravel(), "cxy": (c - s * s.T / some).ravel()})
+    return run
+
+
+def corr_matrix(df: DataFrame, cols) -> DataFrame:
     """Pearson correlation of every ordered column pair (pairwise-complete
-    rows), unpivoted to (col_a, col_b, corr).
+    rows; NULL without variance), as (col_a, col_b, corr).
 
-    One aggregate holds ``block`` pairs at most (63 columns have 2,016), so no
-    stage carries thousands of running sums; each block is a pass over ``df``.
+    One pass over the data for any number of columns: tasks return the moments
+    of all pairs, which are added up in one small aggregate.
     """
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    frames = []
-    for lo in range(0, len(pairs), block):
-        part = pairs[lo:lo + block]
-        wide = df.agg(*[F.corr(F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")).alias(f"c{k}")
-                        for k, (a, b) in enumerate(part)])
-        both = [(x, y, k) for k, (a, b) in enumerate(part) for x, y in dict.fromkeys([(a, b), (b, a)])]
-        frames.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"c{k}").alias("corr"))
-            for x, y, k in both]))))
-    return reduce(DataFrame.unionAll, frames)
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    parts = numbers.mapInPandas(_pair_moments(len(cols)), "i int, j int, n double, sx double, sy double, "
+                                "cxx double, cyy double, cxy double").filter("n > 0")
+
+    pair = Window.partitionBy("i", "j")  # a row a task
+    parts = parts.withColumns({f"m{a}": F.col(f"s{a}") / F.col("n") - F.sum(f"s{a}").over(pair) / F.sum("n").over(pair)
+                               for a in "xy"})
+
+    def spread(a: str, b: str):  # within the tasks, and between their means
+        return F.sum(F.col(f"c{a}{b}") + F.col("n") * F.col(f"m{a}") * F.col(f"m{b}")).alias(f"{a}{b}")
+
+    sums = parts.groupBy("i", "j").agg(spread("x", "x"), spread("y", "y"), spread("x", "y"),
+                                       F.max(F.abs("sx")).alias("sx"), F.max(F.abs("sy")).alias("sy"))
+    flat = F.lit(1e-24)  # rounding of the sums, not variance
+    varies = (F.col("xx") > flat * F.col("sx") * F.col("sx")) & (F.col("yy") > flat * F.col("sy") * F.col("sy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    corr = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))))
+    return sums.select(F.element_at(names, F.col("i") + 1).alias("col_a"),
+                       F.element_at(names, F.col("j") + 1).alias("col_b"), corr.alias("corr"))

@@ -1249,7 +1249,7 @@ def _model_facts(m: DataFrame, exact: bool) -> DataFrame:
     equations, for all models the rows, the labels' sum, and whether the fit beats the mean."""
     linear = F.col("model") == "linear"
     figures = [_r(F.when(linear, F.col(c)), R4).alias(c) for c in ("mae", "rmse", "r2")] if exact else []
-    return m.select("model", "part", "n", _r(F.col("label_sum"), R4).alias("label_sum"), *figures,
+    return m.select("model", "part", "n", _r(F.col("label_sum"), 1).alias("label_sum"), *figures,
                     F.when(F.col("part") == "in_sample", F.col("r2") > 0).alias("beats_mean"))
 
 
@@ -1274,7 +1274,7 @@ k AS (SELECT (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS ka, (c2y * c11
 p AS (SELECT r.early, r.volume AS y, my + ka * (lag1 - ma) + kb * (temperature - mb) AS z FROM r, k),
 g AS (SELECT early, count(*) AS n, sum(y) AS label_sum, avg(abs(y - z)) AS mae, sqrt(avg((y - z) ^ 2)) AS rmse,
              1 - sum((y - z) ^ 2) / (var_pop(y) * count(*)) AS r2 FROM p GROUP BY 1)
-SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 4) AS label_sum,
+SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 1) AS label_sum,
        CASE WHEN model = 'linear' THEN round(mae, 4) END AS mae, CASE WHEN model = 'linear' THEN round(rmse, 4) END AS rmse,
        CASE WHEN model = 'linear' THEN round(r2, 4) END AS r2, CASE WHEN early THEN true END AS beats_mean
 FROM g, {_SQL_MODELS}"""
@@ -1290,7 +1290,7 @@ def q_travel_time_model(spark: SparkSession, d: str) -> DataFrame:
 SQL_TRAVEL_TIME_MODEL = f"""
 WITH f AS ({SQL_TRAVEL_TIME_FEATURES}),{_SQL_PARTS}
 g AS (SELECT early, count(*) AS n, sum(avg_travel_time) AS label_sum FROM r WHERE avg_travel_time IS NOT NULL GROUP BY 1)
-SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 4) AS label_sum,
+SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 1) AS label_sum,
        CASE WHEN early THEN true END AS beats_mean
 FROM g, {_SQL_MODELS}"""
 
@@ -1325,7 +1325,7 @@ _CORR_FEATURES = (["volume"] + _LAG_COLS + [f"hour__{h}" for h in range(24)] + c
 
 
 def q_corr_features(spark: SparkSession, d: str) -> DataFrame:
-    """A9 on the feature table: all its numeric columns, in blocks of pairs."""
+    """A9 on the feature table: all its numeric columns in one pass."""
     rows = written(q_volume_features(spark, d).filter("split = 'train'").select(*_CORR_FEATURES), "corr-features")
     return profile.corr_matrix(rows, _CORR_FEATURES).select("col_a", "col_b", _r(F.col("corr")).alias("corr"))
 
