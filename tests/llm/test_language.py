@@ -50,6 +50,13 @@ def test_learned_profiles_hold_out(spark):
     assert right / len(held) > 0.97 and all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_letters_only_count():
+    model = L.Profiles.of({"en": [1], "fr": [2]}, 60)
+    for text in ("½ ² ٣", "12 _ !", "", None, "\u0301"):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("ª")[0] == "en"
+
+
 def test_sample_is_bounded_and_whole_when_large_enough(documents):
     whole = L.learn_profiles(documents, profile_size=50, sample_rows=10**6)
     again = L.learn_profiles(documents.repartition(7), profile_size=50, sample_rows=10**6)

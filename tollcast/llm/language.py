@@ -44,7 +44,7 @@ _BITS = 21
 def ngram_keys(text: str) -> np.ndarray:
     """The 1- to 3-grams of a text's lower-case letters, blanks between words; none without a letter."""
     words = _NO_LETTERS.sub(" ", text.lower()).strip()
-    if not words:
+    if not any(map(str.isalpha, words)):  # signs like one half count as word characters
         return np.zeros(0, np.int64)
     c = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
     two = (c[:-1] << _BITS) | c[1:]
