@@ -96,12 +96,30 @@ def outlier_repair(df: DataFrame, col: str, threshold: float = TRAVEL_TIME_THRES
     """
     out = out or col
     cur = df if out == col else df.withColumn(out, F.col(col))
-    for _ in range(passes):
-        cur = _repair_once(cur, out, threshold, list(keys), list(order), buckets)
-    return cur
+    return _repair(cur, out, threshold, list(keys), list(order), passes, buckets)
 
 
-def _repair_once(df: DataFrame, col: str, threshold: float, keys, order, buckets) -> DataFrame:
+def _again(folded: DataFrame, threshold: float) -> DataFrame:
+    """One more pass over the islands, on their repaired values.
+
+    After a pass an island's values lie below T up to the place where they
+    stick, and are ``cur`` from there on.  If ``cur`` is above T, that rest is
+    the next pass's run: it starts from the value before it, its next values
+    are ``cur``, and the last one's is what follows the island.
+    """
+    ys, cur, last = F.col("_f")["ys"], F.col("_f")["cur"], F.col("_last")
+    stuck = F.size(ys)
+    places = F.sequence(stuck.cast("long"), F.greatest(F.least(last, stuck + F.lit(FOLD_STEPS)), stuck.cast("long")))
+    nexts = F.transform(places, lambda j: F.struct(j.alias("p"), F.when(j < last, cur).otherwise(F.col("_after")).alias("n")))
+    start = F.when(stuck > 1, F.element_at(ys, F.greatest(stuck - 1, F.lit(1)))).otherwise(F.col("_start"))
+    rest = folded.withColumn("_rest", F.when(cur > F.lit(threshold), _fold_island(nexts, start, threshold)))
+    new = F.struct(F.concat(F.slice(ys, F.lit(1), F.greatest(stuck - 1, F.lit(0))), F.col("_rest")["ys"]).alias("ys"),
+                   F.col("_rest")["cur"].alias("cur"))
+    return rest.withColumn("_f", F.when(F.col("_rest").isNotNull(), new).otherwise(F.col("_f"))).drop("_rest")
+
+
+def _repair(df: DataFrame, col: str, threshold: float, keys, order, passes: int, buckets) -> DataFrame:
+    """All passes in one scan: a pass changes values inside islands only, so they are the same for each."""
     cols = df.columns
     there, t = present(F.col(col)), F.lit(threshold)
     good = F.coalesce(there <= t, F.lit(False))
@@ -115,10 +133,13 @@ def _repair_once(df: DataFrame, col: str, threshold: float, keys, order, buckets
     first = F.when(pos <= FOLD_STEPS, F.struct(pos.alias("p"), nxt.alias("n")))
     islands = s.filter("_fix").groupBy("_in").agg(
         F.first("_a0").alias("_start"), F.sort_array(F.collect_list(first)).alias("_xs"),
-        F.min(F.when(nxt == F.lit(float("inf")), pos)).alias("_inf"))
-    folded = islands.select("_in", "_start", "_inf", _fold_island(
+        F.min(F.when(nxt == F.lit(float("inf")), pos)).alias("_inf"),
+        F.max(pos).alias("_last"), F.max_by(nxt, pos).alias("_after"))
+    folded = islands.select("_in", "_start", "_inf", "_last", "_after", _fold_island(
         F.col("_xs"), F.col("_start"), threshold).alias("_f"))
-    j = s.join(folded, "_in", "left")
+    for _ in range(passes - 1):
+        folded = _again(folded, threshold)
+    j = s.join(folded.select("_in", "_start", "_inf", "_f"), "_in", "left")
     ys = F.col("_f")["ys"]
     steps = F.when(pos <= F.size(ys), F.element_at(ys, F.greatest(pos, F.lit(1)).cast("int"))).otherwise(
         F.col("_f")["cur"])
