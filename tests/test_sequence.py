@@ -97,19 +97,19 @@ def test_add_sequence_dense_and_ordered(spark):
     assert out["o"].is_monotonic_increasing
 
 
-@pytest.mark.parametrize("parts", [1, 4, 17])
-def test_volume_job_partition_invariant(spark, parts):
+def test_volume_job_partition_invariant(spark):
     """The flagship job gives the same rows under any partitioning."""
     from tollcast.plans import catalogue as C
     from conftest import SF001
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-        got = sorted(map(tuple, C.q_volume_features(spark, SF001).collect()), key=repr)
+        got = []
+        for parts in (1, 4, 17):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            got.append(sorted(map(tuple, C.q_volume_features(spark, SF001).collect()), key=repr))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
-    base = sorted(map(tuple, C.q_volume_features(spark, SF001).collect()), key=repr)
-    assert got == base
+    assert got[0] == got[1] == got[2]
 
 
 def test_weighted_sequence(spark):

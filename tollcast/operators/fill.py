@@ -128,4 +128,8 @@ def apply_means(df: DataFrame, means: DataFrame, cols) -> DataFrame:
     if not present:
         return df
     row = means.select(F.struct(*[F.col(f"`{c}`") for c in present])).scalar()
-    return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), row.getField(c)) for c in present})
+    # one column, named once: every mention of the subquery would be a plan of its own
+    held = df.withColumn("_means", row)
+    return held.select(*[
+        (F.coalesce(F.col(f"`{c}`").cast("double"), F.col("_means").getField(c)) if c in present
+         else F.col(f"`{c}`")).alias(c) for c in df.columns])
