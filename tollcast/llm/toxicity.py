@@ -38,7 +38,7 @@ LEXICON_WORDS = 200
 MIN_DOCS, MIN_RATIO = 5, 15.0
 #: Letters of the word beginnings that may be entries (written with a star).
 STEMS = (4, 5, 6)
-TREES, DEPTH = 24, 3
+TREES, DEPTH, LEAF_DOCS = 24, 3, 20
 #: Words between a lexicon word and a second-person word that count as near.
 NEAR = 5
 #: Share of the trees' own probability in the score: it orders texts that the curve holds equal.
@@ -188,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, se
     if len(sides) < 4:
         return ToxicityModel(weights, None, None, constant)
     trees = GBTClassifier(featuresCol="v", labelCol="y", weightCol="w", maxIter=TREES, maxDepth=DEPTH,
-                          stepSize=0.2, maxBins=32, seed=seed, minInstancesPerNode=5)
+                          stepSize=0.2, maxBins=32, seed=seed, minInstancesPerNode=LEAF_DOCS)
     trees = trees.fit(points.filter("train").coalesce(4))
     raw = trees.transform(points.filter(~F.col("train"))).select(
         vector_to_array("probability")[1].alias("p"), "y", "w")
