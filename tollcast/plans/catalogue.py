@@ -1015,18 +1015,6 @@ def _sql_grid(grid: dict) -> str:
     return f"SELECT {', '.join(chr(34) + n + chr(34) for n in grid)}, true AS beats_mean FROM {lists}"
 
 
-# Trees of up to these sizes are fitted; the larger points of the six grids
-# (depth 20, 1,000 trees) cost hours and are there behind the same call.
-TUNE_POINTS = {"GBT_GRID": {"maxDepth": 4, "maxIter": 10}, "GBT_GRID_VOLUME": {"maxDepth": 2, "maxIter": 20},
-               "RF_GRID": {"maxDepth": 6, "maxBins": 60, "numTrees": 20},
-               "RF_GRID_VOLUME": {"maxDepth": 8, "maxBins": 20, "numTrees": 100}}
-
-
-def small_grid(name: str) -> dict:
-    """The grid of that name up to the sizes in ``TUNE_POINTS``."""
-    return {p: [v for v in values if v <= TUNE_POINTS[name][p]] for p, values in getattr(models, name).items()}
-
-
 def q_tune_lr(spark: SparkSession, d: str) -> DataFrame:
     return _tuned(spark, d, models.linear_regression(), models.LR_GRID)
 
@@ -1036,27 +1024,27 @@ def q_tune_lr_volume(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_tune_gbt(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.gradient_boosted(), small_grid("GBT_GRID"))
+    return _tuned(spark, d, models.gradient_boosted(), models.GBT_GRID)
 
 
 def q_tune_gbt_volume(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.gradient_boosted(), small_grid("GBT_GRID_VOLUME"))
+    return _tuned(spark, d, models.gradient_boosted(), models.GBT_GRID_VOLUME)
 
 
 def q_tune_rf(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.random_forest(), small_grid("RF_GRID"))
+    return _tuned(spark, d, models.random_forest(), models.RF_GRID)
 
 
 def q_tune_rf_volume(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.random_forest(), small_grid("RF_GRID_VOLUME"))
+    return _tuned(spark, d, models.random_forest(), models.RF_GRID_VOLUME)
 
 
 SQL_TUNE_LR = _sql_grid(models.LR_GRID)
 SQL_TUNE_LR_VOLUME = _sql_grid(models.LR_GRID_VOLUME)
-SQL_TUNE_GBT = _sql_grid(small_grid("GBT_GRID"))
-SQL_TUNE_GBT_VOLUME = _sql_grid(small_grid("GBT_GRID_VOLUME"))
-SQL_TUNE_RF = _sql_grid(small_grid("RF_GRID"))
-SQL_TUNE_RF_VOLUME = _sql_grid(small_grid("RF_GRID_VOLUME"))
+SQL_TUNE_GBT = _sql_grid(models.GBT_GRID)
+SQL_TUNE_GBT_VOLUME = _sql_grid(models.GBT_GRID_VOLUME)
+SQL_TUNE_RF = _sql_grid(models.RF_GRID)
+SQL_TUNE_RF_VOLUME = _sql_grid(models.RF_GRID_VOLUME)
 
 
 # ---------------------------------------------------- end-to-end jobs
