@@ -18,7 +18,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(read(spark, sf_dir, "documents"))
+    found = secrets.scan(read(spark, sf_dir, "documents"), parts=True)
     counts = [F.size(k).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
 

@@ -7,7 +7,10 @@ the sum of c * log2(c) are updated by the entering and the leaving character,
 and the windows whose Shannon entropy reaches the threshold of the candidate's
 character class (hex, alphanumeric, base64) mark the span from the first to
 the last of them.  Candidates that match the allow-list, and spans that lie in
-a base span, are suppressed.
+a base span, are suppressed.  With ``parts`` the alphanumeric parts of a run
+(split at + / _ - =, a leading 0x left out) are judged by their own class too, so
+what is joined to a secret does not lift its threshold; a part with a hot window
+is a span as a whole, and the run's own span is widened to its parts' ends.
 
 Positions come without Python: splitting a text at a pattern gives the gaps
 between its matches, whose lengths are added up.  A text without a match
@@ -44,8 +47,10 @@ ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^[0-9+/_=-]+$",
     r"^([A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}$",
-    r"(?i)example|placeholder|dummy|xxxx|^0x0+",
-    r"^(sha256|sha384|sha512|md5)-",
+    r"(?i)example|placeholder|dummy|xxxx",
+    r"^0x0+$",
+    r"^(md5-([0-9a-fA-F]{32}|[A-Za-z0-9+/_-]{22}=*)|sha256-([0-9a-fA-F]{64}|[A-Za-z0-9+/_-]{43}=?)"
+    r"|sha384-([0-9a-fA-F]{96}|[A-Za-z0-9+/_-]{64})|sha512-([0-9a-fA-F]{128}|[A-Za-z0-9+/_-]{86}=*))$",
 )
 
 _SPANS = "array<struct<start:int,stop:int>>"
@@ -99,33 +104,91 @@ def hot_range(candidate: Column, window: int, threshold: Column) -> Column:
                        lambda acc: F.struct(acc["start"].alias("start"), acc["stop"].alias("stop")))
 
 
-def _entropy_spans(text: Column, window: int, thresholds: dict, allowed) -> Column:
+def _mixed(run: Column) -> Column:
+    return run.rlike("[0-9].*[0-9]") & run.rlike("[A-Za-z].*[A-Za-z]")
+
+
+def _threshold(run: Column, thresholds: dict) -> Column:
+    return (F.when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), thresholds["hex"])
+            .when(run.rlike("^[A-Za-z0-9]+$"), thresholds["alphanumeric"])
+            .otherwise(thresholds["base64"]))
+
+
+def _hot_parts(run: Column, window: int, thresholds: dict, allowed) -> Column:
+    """Spans in ``run`` of its alphanumeric parts with a hot window of the part's own class.
+
+    A leading 0x belongs to the part and not to its class.  A pattern of the
+    allow-list that begins with ^ excuses a whole run or a whole part, any
+    other one the part it is found in."""
+    pattern = f"[A-Za-z0-9]{{{window},}}"
+    found = F.regexp_extract_all(run, F.lit(pattern), F.lit(0))
+    pairs = F.arrays_zip(_positions(run, found, pattern).alias("at"), found.alias("part"))
+
+    def hot(x: Column) -> Column:
+        body = F.regexp_replace(x["part"], "^0[xX]", "")
+        ok = (F.length(body) >= window) & _mixed(body)
+        for p in allowed:
+            ok = ok & ~x["part"].rlike(p)
+        return F.when(ok, hot_range(body, window, _threshold(body, thresholds))["stop"].isNotNull()).otherwise(False)
+
+    whole = F.lit(True)
+    for p in allowed:
+        if p.startswith("^"):
+            whole = whole & ~run.rlike(p)
+    spans = F.transform(F.filter(pairs, hot), lambda x: x["at"])
+    return F.when(whole & (F.size(found) > 0), spans).otherwise(F.array().cast(_SPANS))
+
+
+def _to_part_ends(run: Column, hot: Column) -> Column:
+    """``hot`` widened to the ends of the alphanumeric parts it begins and stops in."""
+    cut = F.translate(run, "+/_=", "----")
+    before = F.substring_index(F.substring(cut, F.lit(1), hot["start"]), "-", -1)
+    after = F.substring_index(F.substring(cut, hot["stop"] + 1, F.length(run)), "-", 1)
+    return F.struct((hot["start"] - F.length(before)).alias("start"), (hot["stop"] + F.length(after)).alias("stop"))
+
+
+def _entropy_spans(text: Column, window: int, thresholds: dict, allowed, parts: bool) -> Column:
     found = F.regexp_extract_all(text, F.lit(CANDIDATE.replace("20", str(window))), F.lit(0))
     pairs = F.arrays_zip(_positions(text, found, CANDIDATE.replace("20", str(window))).alias("at"),
                          found.alias("run"))
 
     def wanted(x: Column) -> Column:
         run = x["run"]
-        ok = run.rlike("[0-9].*[0-9]") & run.rlike("[A-Za-z].*[A-Za-z]")
+        ok = _mixed(run)
         for pattern in allowed:
             ok = ok & ~run.rlike(pattern)
         return ok
 
+    def moved(s: Column, by: Column) -> Column:
+        return F.struct((by + s["start"]).alias("start"), (by + s["stop"]).alias("stop"))
+
     def span(x: Column) -> Column:
         run = x["run"]
-        threshold = (F.when(run.rlike("^([0-9a-f]+|[0-9A-F]+)$"), thresholds["hex"])
-                     .when(run.rlike("^[A-Za-z0-9]+$"), thresholds["alphanumeric"])
-                     .otherwise(thresholds["base64"]))
-        hot = hot_range(run, window, threshold)
-        return F.struct((x["at"]["start"] + hot["start"]).alias("start"),
-                        (x["at"]["start"] + hot["stop"]).alias("stop"))
-
-    spans = F.filter(F.transform(F.filter(pairs, wanted), span), lambda s: s["start"].isNotNull())
+        return moved(hot_range(run, window, _threshold(run, thresholds)), x["at"]["start"])
+
+    def spans_of(x: Column) -> Column:
+        """The run's own hot span and the hot parts outside it."""
+        run = x["run"]
+        own = F.when(wanted(x), hot_range(run, window, _threshold(run, thresholds)))
+        both = F.array(F.struct(own.alias("own"), _hot_parts(run, window, thresholds, allowed).alias("parts")))
+
+        def union(y: Column) -> Column:
+            wide = F.filter(F.array(_to_part_ends(run, y["own"])), lambda s: s["start"].isNotNull())
+            rest = F.filter(y["parts"], lambda s: ~F.exists(wide, lambda w: (w["start"] <= s["start"])
+                                                            & (s["stop"] <= w["stop"])))
+            return F.transform(F.concat(wide, rest), lambda s: moved(s, x["at"]["start"]))
+
+        return F.flatten(F.transform(both, union))
+
+    if parts:
+        spans = F.flatten(F.transform(F.filter(pairs, lambda x: _mixed(x["run"])), spans_of))
+    else:
+        spans = F.filter(F.transform(F.filter(pairs, wanted), span), lambda s: s["start"].isNotNull())
     return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(_SPANS))
 
 
 def with_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, thresholds: dict | None = None,
-               allowed=ALLOWED, prefix: str = "__") -> DataFrame:
+               allowed=ALLOWED, prefix: str = "__", parts: bool = False) -> DataFrame:
     """``docs`` with a column of spans for each kind, named prefix + kind."""
     t = F.coalesce(F.col(text), F.lit(""))
     out = docs.withColumns({f"{prefix}m": F.regexp_extract_all(t, F.lit(ASSIGN), F.lit(0)),
@@ -139,7 +202,7 @@ def with_spans(docs: DataFrame, text: str = "text", window: int = WINDOW, thresh
         f"{prefix}assign": F.when(F.size(m) > 0, assigned).otherwise(F.array().cast(_SPANS)),
         f"{prefix}access": _positions(t, F.col(f"{prefix}a"), ACCESS),
         f"{prefix}hex": _positions(t, F.col(f"{prefix}h"), HEX),
-        f"{prefix}e": _entropy_spans(t, window, thresholds or THRESHOLDS, allowed)})
+        f"{prefix}e": _entropy_spans(t, window, thresholds or THRESHOLDS, allowed, parts)})
     base = F.concat(*[F.col(f"{prefix}{k}") for k in BASE_KINDS])
     free = F.filter(F.col(f"{prefix}e"), lambda s: ~F.exists(
         base, lambda b: (b["start"] <= s["start"]) & (s["stop"] <= b["stop"])))
@@ -163,21 +226,21 @@ def _as_text(kinds, prefix: str) -> Column:
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
-         thresholds: dict | None = None, allowed=ALLOWED) -> DataFrame:
+         thresholds: dict | None = None, allowed=ALLOWED, parts: bool = False) -> DataFrame:
     """(doc_id, assign, access, hex, entropy: arrays of spans, base, spans: their listing as text)."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    found = with_spans(rows, "text", window, thresholds, allowed)
+    found = with_spans(rows, "text", window, thresholds, allowed, parts=parts)
     kinds = (*BASE_KINDS, ENTROPY_KIND)
     return found.select("doc_id", *[F.col(f"__{k}").alias(k) for k in kinds],
                         _as_text(BASE_KINDS, "__").alias("base"), _as_text(kinds, "__").alias("spans"))
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", n_chars: str = "n_chars",
-           window: int = WINDOW, thresholds: dict | None = None, allowed=ALLOWED) -> DataFrame:
+           window: int = WINDOW, thresholds: dict | None = None, allowed=ALLOWED, parts: bool = False) -> DataFrame:
     """``docs`` with every span in ``text`` replaced by ``mark`` (spans that overlap by one) and
     ``n_chars``, where there is such a column, counted anew for the changed rows."""
     rows = docs.select(packed(docs).alias("row"), F.col(text).alias("text"))
-    found = with_spans(rows, "text", window, thresholds, allowed)
+    found = with_spans(rows, "text", window, thresholds, allowed, parts=parts)
     found = found.withColumn("__all", _in_order((*BASE_KINDS, ENTROPY_KIND), "__"))
     t, spans = F.col("text"), F.col("__all")
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
