@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, packing, quality_compression, quality_rules, secrets, sharding,
+from . import (decontaminate, language, packing, pieces, quality_compression, quality_rules, secrets, sharding,
                simhash, token_count, toxicity)
 from .common import fold, read
 
@@ -66,9 +66,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"), limit=512)
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_secret_scan, op3_balanced_shards, op4_simhash_dedup, op5_decontamination,
-    op6_best_fit_packing, op7_quality_rules, op8_quality_classifier, op9_toxicity, op10_token_counts)}
+    op6_best_fit_packing, op7_quality_rules, op8_quality_classifier, op9_toxicity, op10_token_counts,
+    op13_sentencepiece)}
 
 #: Only where SQL gives the same rows; the others are tested by brute force.
 ORACLE_SQL: dict[str, str] = {}
