@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language, packing, pieces, quality_compression, quality_rules, secrets, sharding,
-               simhash, token_count, toxicity)
+from . import (conversation_repair, decontaminate, filter_audit, language, oracle, packing, pieces,
+               quality_compression, quality_rules, secrets, sharding, simhash, token_count, toxicity)
 from .common import fold, read
 
 
@@ -66,6 +66,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(read(spark, sf_dir, "documents"), limit=512)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    ids = rows.select(rows["conv_id"].alias("conv"))
+    return conversation_repair.repair(conversation_repair.damage(rows), ids).withColumnRenamed("conv", "conv_id")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encoding_digests(read(spark, sf_dir, "documents"))
 
@@ -73,7 +83,8 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_secret_scan, op3_balanced_shards, op4_simhash_dedup, op5_decontamination,
     op6_best_fit_packing, op7_quality_rules, op8_quality_classifier, op9_toxicity, op10_token_counts,
-    op13_sentencepiece)}
+    op11_filter_audit, op12_conversation_repair, op13_sentencepiece)}
 
 #: Only where SQL gives the same rows; the others are tested by brute force.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_filter_audit": oracle.FILTER_AUDIT,
+                              "op12_conversation_repair": oracle.CONVERSATION_REPAIR}
