@@ -180,7 +180,8 @@ def test_profile_exact_and_approx(spark):
             assert abs(ap[c][q] - ex[c][q]) <= 1.0
 
 
-def test_correlations_against_pandas(spark):
+@pytest.mark.parametrize("by_pairs", [True, False])
+def test_correlations_against_pandas(spark, by_pairs):
     import numpy as np
     import pandas as pd
     from tollcast.operators import profile
@@ -191,7 +192,7 @@ def test_correlations_against_pandas(spark):
     pdf["e"] = 5.0
     pdf["f"] = np.nan
     df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), ", ".join(f"{c} double" for c in pdf))
-    got = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix(df.repartition(5), list(pdf)).collect()}
+    got = {(r.col_a, r.col_b): r["corr"] for r in profile.corr_matrix(df.repartition(5), list(pdf), by_pairs=by_pairs).collect()}
     want = pdf.corr()
     for a in "abcde":
         for b in "abcde":
@@ -200,22 +201,3 @@ def test_correlations_against_pandas(spark):
             else:
                 assert got[(a, b)] == pytest.approx(want.loc[a, b], abs=1e-7)
     assert not any("f" in k and v is not None for k, v in got.items())
-
-
-@pytest.mark.parametrize("name", ["GBT_GRID", "GBT_GRID_VOLUME", "RF_GRID", "RF_GRID_VOLUME"])
-def test_tune_queries_fit_whole_grids(spark, monkeypatch, name):
-    """The grid that reaches the fits, and that of the SQL, have every declared point."""
-    import duckdb
-
-    from tollcast.plans import catalogue
-    seen = []
-    monkeypatch.setattr(catalogue, "_tuned", lambda spark, d, estimator, grid: seen.append(grid))
-    query = f"tune_{name.lower().replace('_grid', '')}"
-    catalogue.QUERIES[query](spark, "")
-    declared = getattr(models, name)
-    assert seen == [declared]
-    points = duckdb.sql(catalogue.ORACLE_SQL[query]).fetchall()
-    n = 1
-    for values in declared.values():
-        n *= len(values)
-    assert len(points) == len(set(points)) == n

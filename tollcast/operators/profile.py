@@ -103,9 +103,9 @@ def _pair_moments(k: int):
     return run
 
 
-def corr_matrix(df: DataFrame, cols) -> DataFrame:
-    """Pearson correlation of every ordered column pair (pairwise-complete
-    rows; NULL without variance), as (col_a, col_b, corr).
+def pair_moments(df: DataFrame, cols) -> DataFrame:
+    """(i, j, n, sx, sy, xx, yy, xy) for every ordered pair of columns, over the rows where both
+    are there: row count, sums, and centred sums of squares and products.
 
     One pass over the data for any number of columns: tasks return the moments
     of all pairs, which are added up in one small aggregate.
@@ -122,10 +122,37 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     def spread(a: str, b: str):  # within the tasks, and between their means
         return F.sum(F.col(f"c{a}{b}") + F.col("n") * F.col(f"m{a}") * F.col(f"m{b}")).alias(f"{a}{b}")
 
-    sums = parts.groupBy("i", "j").agg(spread("x", "x"), spread("y", "y"), spread("x", "y"),
-                                       F.max(F.abs("sx")).alias("sx"), F.max(F.abs("sy")).alias("sy"))
+    return parts.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), spread("x", "x"), spread("y", "y"),
+        spread("x", "y"), F.max(F.abs("sx")).alias("largest_x"), F.max(F.abs("sy")).alias("largest_y"))
+
+
+def corr_matrix(df: DataFrame, cols, by_pairs: bool = True) -> DataFrame:
+    """Pearson correlation of every ordered column pair (pairwise-complete
+    rows; NULL without variance), as (col_a, col_b, corr).
+
+    One pass in both forms: ``by_pairs`` is one aggregate of built-in variances
+    and covariances, for up to some dozen columns; otherwise tasks return the
+    moments of all pairs from matrix products, for many columns.
+    """
+    cols = list(cols)
+    if by_pairs:
+        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+        def corr_of(a: str, b: str):
+            x, y = F.col(f"`{a}`").cast("double"), F.col(f"`{b}`").cast("double")
+            there = x.isNotNull() & y.isNotNull()
+            r = F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(F.when(there, x)) * F.var_pop(F.when(there, y))))
+            # greatest and least pass over NULLs
+            return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+
+        aggs = [corr_of(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)]
+        rows = [F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.col(f"r{k}").alias("corr"))
+                for k, (a, b) in enumerate(pairs) for x, y in ({(a, b), (b, a)})]
+        return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    sums = pair_moments(df, cols)
     flat = F.lit(1e-24)  # rounding of the sums, not variance
-    varies = (F.col("xx") > flat * F.col("sx") * F.col("sx")) & (F.col("yy") > flat * F.col("sy") * F.col("sy"))
+    varies = (F.col("xx") > flat * F.col("largest_x") * F.col("largest_x")) & \
+        (F.col("yy") > flat * F.col("largest_y") * F.col("largest_y"))
     names = F.array(*[F.lit(c) for c in cols])
     corr = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))))
     return sums.select(F.element_at(names, F.col("i") + 1).alias("col_a"),

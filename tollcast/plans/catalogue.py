@@ -8,12 +8,14 @@ Ties are broken by an id column so positional results are reproducible.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import timefns as tf
-from ..operators import align, bins, fill, joins, lags, metrics, models, profile, repair, routes
+from ..operators import (align, bins, encode, fill, joins, lags, metrics, models, profile, repair, routes,
+                         states, tuning)
 from ..session import scratch_path
 from ..sources import csv as csvsrc
 from ..sources import inspect as insp
@@ -80,6 +82,30 @@ def q_src_csv_inferred(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"event_id": F.col("event_id").cast("long"), "user_id": F.col("user_id").cast("long")})
 
 
+def q_src_csv_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Lines with a broken number, a bad time or a missing field beside good ones, all accounted for."""
+    ev = si.events(spark, d).select("event_id", tf.fmt_ts("ts").alias("ts"), "event_type",
+                                    F.round("value", 6).cast("string").alias("value"))
+    k = F.col("event_id") % 10
+    line = F.concat_ws(",", F.col("event_id").cast("string"), F.when(k == 2, F.lit("noon")).otherwise(F.col("ts")),
+                       F.col("event_type"), F.when(k == 3, F.lit("1.2.3")).otherwise(F.coalesce("value", F.lit(""))))
+    path = scratch_path(spark, "src_csv_rejects")
+    ev.select(F.when(k == 4, F.concat_ws(",", F.col("event_id").cast("string"), F.col("ts"))).otherwise(line)
+              .alias("value")).write.text(path)
+    rows, rejects = csvsrc.read_csv_rejects(
+        spark, path, "event_id long, ts timestamp_ntz, event_type string, value double", header=False)
+    good = rows.select("event_id", _s("ts").alias("ts"), "event_type", "value", F.lit(None).cast("string").alias("reason"))
+    return good.unionAll(rejects.select(
+        F.substring_index("line", ",", 1).cast("long"), F.lit(None).cast("string"), F.lit(None).cast("string"),
+        F.lit(None).cast("double"), F.when(F.col("file") != "", F.col("reason"))))
+
+
+SQL_SRC_CSV_REJECTS = f"""
+SELECT event_id, CASE WHEN ok THEN {_sql_ts('ts')} END AS ts, CASE WHEN ok THEN event_type END AS event_type,
+       CASE WHEN ok THEN round(value, 6) END AS value,
+       CASE event_id % 10 WHEN 2 THEN 'bad ts' WHEN 3 THEN 'bad value' WHEN 4 THEN 'number of fields' END AS reason
+FROM (SELECT *, event_id % 10 NOT IN (2, 3, 4) AS ok FROM events)"""
+
 SQL_SRC_CSV = f"""
 SELECT event_id, {_sql_ts('ts')} AS ts, user_id, event_type, props,
        CASE WHEN event_id % 10 <> 0 THEN round(value, 6) END AS value FROM events"""
@@ -245,6 +271,22 @@ FROM (SELECT time_bucket(INTERVAL '20 minutes', ts, INTERVAL '5 minutes')
              + INTERVAL '20 minutes' AS b, event_type FROM events) GROUP BY b, event_type"""
 
 
+_SHIFTS = [(5, "right"), (-5, "left"), (3, "right"), (-3, "left")]
+
+
+def q_bin_augmented(spark: SparkSession, d: str) -> DataFrame:
+    """The plain bins and all shifted ones, from one scan."""
+    b = bins.bin_count_augmented(si.events(spark, d), "ts", ["event_type"], _SHIFTS, bin_col="bin_label")
+    return b.withColumn("bin_label", _s("bin_label"))
+
+
+SQL_BIN_AUGMENTED = "\nUNION ALL\n".join(f"""
+SELECT {_sql_ts('b')} AS bin_label, event_type, count(*) AS volume, '{off}/{label}' AS shift
+FROM (SELECT time_bucket(INTERVAL '20 minutes', ts, INTERVAL '{off % 20} minutes')
+             + INTERVAL '{20 if label == "right" else 0} minutes' AS b, event_type FROM events) GROUP BY b, event_type"""
+                                         for off, label in [(0, "left"), *_SHIFTS])
+
+
 # ------------------------------------------------------------------ lags
 
 def _lag_select(df):
@@ -812,6 +854,32 @@ SQL_PROFILE = "\nUNION ALL\n".join(
     for c in NUM_COLS)
 
 
+def q_profile_merge(spark: SparkSession, d: str) -> DataFrame:
+    """The profile from states of each shipping month; quantiles within the sketch's bound of the exact ranks."""
+    li = table(spark, d, "lineitem")
+    months = written(states.partial_states(li, F.trunc("l_shipdate", "month"), NUM_COLS), "profile-states")
+    merged = states.merge_states(months)
+    marks = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("val")) for c in NUM_COLS])
+    quartiles = ("q25", "q50", "q75")
+    # exact ranks of the answers: how many values lie below, and at or below
+    held = li.select(F.inline(marks)).join(F.broadcast(merged.select("col_name", *quartiles)), "col_name")
+    ranks = held.groupBy("col_name").agg(F.count("val").alias("n"), *[
+        F.count_if(cond).alias(f"{q}_{side}") for q in quartiles
+        for side, cond in (("below", F.col("val") < F.col(q)), ("upto", F.col("val") <= F.col(q)))])
+    e = F.lit(2 * states.rank_error())
+    within = F.lit(True)
+    for q, at in zip(quartiles, (0.25, 0.5, 0.75)):
+        within = within & (F.col(f"{q}_below") / F.col("n") - e <= at) & (F.col(f"{q}_upto") / F.col("n") + e >= at)
+    return merged.join(ranks, "col_name").select(
+        "col_name", "count", *[_r(F.col(c), 7).alias(c) for c in ("mean", "std", "min", "max")],  # 7: no decimal ties
+        within.alias("quartiles_within"))
+
+
+SQL_PROFILE_MERGE = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS col_name, count({c}) AS count, round(avg({c}), 7) AS mean, round(stddev_samp({c}), 7) AS std, "
+    f"round(min({c}), 7) AS min, round(max({c}), 7) AS max, true AS quartiles_within FROM lineitem" for c in NUM_COLS)
+
+
 def q_corr_matrix(spark: SparkSession, d: str) -> DataFrame:
     c = profile.corr_matrix(table(spark, d, "lineitem"), NUM_COLS)
     return c.withColumn("corr", _r(F.col("corr")))
@@ -849,6 +917,28 @@ SELECT l_orderkey, l_partkey, l_suppkey, fs.flag_status, ix.flag_index
 FROM fs JOIN ix USING (flag_status)"""
 
 
+ONEHOT_TOP = 40
+
+
+def q_onehot_open(spark: SparkSession, d: str) -> DataFrame:
+    """Window labels, whose number grows with history: the most frequent ones and one rest."""
+    ev = si.events(spark, d).select("event_id", tf.window_label(tf.bin_start("ts")).alias("time_window"))
+    known = encode.frequency_dictionary(ev, "time_window")
+    out = encode.onehot_open(ev, "time_window", known, ONEHOT_TOP)
+    places = vector_to_array("time_window_vec")
+    return out.select("event_id", "time_window", F.col("time_window_index"), F.size(places).alias("width"),
+                      (F.array_position(places, 1.0) - 1).alias("place"))
+
+
+SQL_ONEHOT_OPEN = f"""
+WITH e AS (SELECT event_id, '[' || {_sql_ts("time_bucket(INTERVAL '20 minutes', ts)")} || ',' ||
+                  {_sql_ts("time_bucket(INTERVAL '20 minutes', ts) + INTERVAL '20 minutes'")} || ')' AS time_window FROM events),
+r AS (SELECT time_window, row_number() OVER (ORDER BY count(*) DESC, time_window) - 1 AS i FROM e GROUP BY 1)
+SELECT event_id, time_window, CAST(least(i, {ONEHOT_TOP}) AS DOUBLE) AS time_window_index, {ONEHOT_TOP} AS width,
+       CASE WHEN i < {ONEHOT_TOP} THEN i ELSE -1 END AS place
+FROM e JOIN r USING (time_window)"""
+
+
 def q_onehot(spark: SparkSession, d: str) -> DataFrame:
     li = _flag_status(spark, d)
     pm = models.fit_encoder(li, ["flag_status"], [], features_col="feat",
@@ -1000,47 +1090,119 @@ WITH {_SQL_LR}
 SELECT l_orderkey, l_partkey, l_suppkey, round(y, 8) AS label, true AS scored, true AS beats_mean FROM p"""
 
 
-def _tuned(spark, d, estimator, grid) -> DataFrame:
-    """A row for each grid point; the mean label as prediction has the label's deviation as error."""
-    df = models.training_frame(_tree_frame(spark, d), _LINE_KEYS)
-    out = models.tuning_table(spark, models.tune(estimator, grid, df), grid)
-    spread = df.agg(F.stddev_pop("label")).scalar()
-    return out.select(*grid, (F.col("rmse") < spread).alias("beats_mean"))
+#: A number made of a line's keys; eight tenths of its last digits train.
+_LINE_NUMBER = "l_orderkey * 31 + l_partkey * 17 + l_suppkey"
 
 
-def _sql_grid(grid: dict) -> str:
-    """The cross product of the grid's values, in which every point beats the mean."""
+def _parts(spark, d):
+    """Lines fitted on and lines that validate, as training frames."""
+    rows = _tree_frame(spark, d)
+    train, valid = tuning.holdout(rows, F.expr(_LINE_NUMBER))
+    return models.training_frame(train, _LINE_KEYS), valid
+
+
+def _tuned(spark, d, grid, errors, exact: bool = False) -> DataFrame:
+    """A row for each grid point, with the rows of both parts; a point beats the mean if its
+    error is below the deviation of the validation labels."""
+    train, valid = _parts(spark, d)
+    out = tuning.table(spark, grid, errors(train, valid))
+    facts = valid.agg(F.struct(F.count(F.lit(1)).alias("n"), F.stddev_pop("label").alias("dev"))).scalar()
+    rmse = [_r(F.col("rmse"), R4).alias("rmse")] if exact else []
+    return out.select(*grid, *rmse, train.agg(F.count(F.lit(1))).scalar().alias("n_train"),
+                      facts.getField("n").alias("n_valid"), (F.col("rmse") < facts.getField("dev")).alias("beats_mean"))
+
+
+_SQL_TUNE_ROWS = f"""
+d AS (SELECT ({_LINE_NUMBER}) % 10 < 8 AS early, l_extendedprice / 1000.0 AS x, l_discount AS z,
+             l_extendedprice / 1000.0 * (1 - l_discount) AS y FROM lineitem),
+g AS (SELECT count(*) FILTER (early) AS n_train, count(*) FILTER (NOT early) AS n_valid,
+             stddev_pop(y) FILTER (NOT early) AS dev FROM d)"""
+
+
+def _sql_points(grid: dict) -> str:
+    """The cross product of the grid's values."""
     lists = ", ".join(f"(VALUES {', '.join(f"('{v}')" for v in values)}) t{i}(\"{name}\")"
                       for i, (name, values) in enumerate(grid.items()))
-    return f"SELECT {', '.join(chr(34) + n + chr(34) for n in grid)}, true AS beats_mean FROM {lists}"
+    return f"SELECT {', '.join(chr(34) + n + chr(34) for n in grid)} FROM {lists}"
+
+
+def _sql_grid(grid: dict) -> str:
+    """Every point with the rows of both parts; every point beats the mean."""
+    return f"""
+WITH {_SQL_TUNE_ROWS.strip()}, pt AS ({_sql_points(grid)})
+SELECT pt.*, n_train, n_valid, true AS beats_mean FROM pt, g"""
+
+
+def _sql_linear_grid(grid: dict) -> str:
+    """Every point of the elastic net on two columns: ridge points from the normal equations,
+    the others by as many sweeps of coordinate descent as the operator makes."""
+    soft = "sign({0}) * greatest(abs({0}) - l1, 0.0)"
+    b1 = soft.format("(t1 - g12 * b2)") + " / (g11 + l2)"
+    b2 = soft.format("(t2 - g12 * n1)") + " / (g22 + l2)"
+    return f"""
+WITH RECURSIVE {_SQL_TUNE_ROWS.strip()}, pt AS ({_sql_points(grid)}),
+s AS (SELECT count(*) AS n, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, stddev_samp(x) AS dx, stddev_samp(z) AS dz,
+             stddev_samp(y) AS dy, var_pop(x) AS vx, var_pop(z) AS vz, covar_pop(x, z) AS vxz, covar_pop(x, y) AS vxy,
+             covar_pop(z, y) AS vzy FROM d WHERE early),
+q AS (SELECT pt.*, s.*, CASE WHEN "fitIntercept" = 'True' THEN 0 ELSE 1 END AS c,
+             CAST("regParam" AS DOUBLE) * CAST("elasticNetParam" AS DOUBLE) / dy AS l1,
+             CAST("regParam" AS DOUBLE) * (1 - CAST("elasticNetParam" AS DOUBLE)) / dy AS l2,
+             CAST("maxIter" AS INTEGER) * {tuning.SWEEPS} AS sweeps FROM pt, s),
+m AS (SELECT q.*, (vx + c * mx * mx) / (dx * dx) AS g11, (vz + c * mz * mz) / (dz * dz) AS g22,
+             (vxz + c * mx * mz) / (dx * dz) AS g12, (vxy + c * mx * my) / (dx * dy) AS t1,
+             (vzy + c * mz * my) / (dz * dy) AS t2 FROM q),
+it AS (SELECT m.*, 0 AS k, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM m
+       UNION ALL
+       SELECT * EXCLUDE (n1) REPLACE (k + 1 AS k, n1 AS b1, {b2} AS b2)
+       FROM (SELECT *, {b1} AS n1 FROM it WHERE k < sweeps)),
+w AS (SELECT * REPLACE (CASE WHEN l1 > 0 THEN b1 ELSE (t1 * (g22 + l2) - t2 * g12) / ((g11 + l2) * (g22 + l2) - g12 * g12) END AS b1,
+                        CASE WHEN l1 > 0 THEN b2 ELSE (t2 * (g11 + l2) - t1 * g12) / ((g11 + l2) * (g22 + l2) - g12 * g12) END AS b2)
+      FROM it WHERE k = sweeps),
+e AS (SELECT w.*, b1 * dy / dx AS wx, b2 * dy / dz AS wz FROM w),
+r AS (SELECT {', '.join(chr(34) + k + chr(34) for k in grid)}, sqrt(avg((d.y - wx * d.x - wz * d.z
+             - CASE WHEN c = 0 THEN my - wx * mx - wz * mz ELSE 0 END) ^ 2)) AS rmse
+      FROM e, d WHERE NOT d.early GROUP BY ALL)
+SELECT r.* REPLACE (round(rmse, 4) AS rmse), n_train, n_valid, rmse < dev AS beats_mean FROM r, g"""
+
+
+def _linear_errors(grid):
+    return lambda train, valid: tuning.linear_grid(train, valid, ["x", "l_discount"], "label", grid)
 
 
 def q_tune_lr(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.linear_regression(), models.LR_GRID)
+    return _tuned(spark, d, models.LR_GRID, _linear_errors(models.LR_GRID), exact=True)
 
 
 def q_tune_lr_volume(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.linear_regression(), models.LR_GRID_VOLUME)
+    return _tuned(spark, d, models.LR_GRID_VOLUME, _linear_errors(models.LR_GRID_VOLUME), exact=True)
+
+
+def _boosted_errors(grid):
+    return lambda train, valid: tuning.boosted_grid(models.gradient_boosted(), train, valid, grid)
 
 
 def q_tune_gbt(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.gradient_boosted(), models.GBT_GRID)
+    return _tuned(spark, d, models.GBT_GRID, _boosted_errors(models.GBT_GRID))
 
 
 def q_tune_gbt_volume(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.gradient_boosted(), models.GBT_GRID_VOLUME)
+    return _tuned(spark, d, models.GBT_GRID_VOLUME, _boosted_errors(models.GBT_GRID_VOLUME))
+
+
+def _forest_errors(grid):
+    return lambda train, valid: tuning.forest_grid(models.random_forest(), train, valid, grid)
 
 
 def q_tune_rf(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.random_forest(), models.RF_GRID)
+    return _tuned(spark, d, models.RF_GRID, _forest_errors(models.RF_GRID))
 
 
 def q_tune_rf_volume(spark: SparkSession, d: str) -> DataFrame:
-    return _tuned(spark, d, models.random_forest(), models.RF_GRID_VOLUME)
+    return _tuned(spark, d, models.RF_GRID_VOLUME, _forest_errors(models.RF_GRID_VOLUME))
 
 
-SQL_TUNE_LR = _sql_grid(models.LR_GRID)
-SQL_TUNE_LR_VOLUME = _sql_grid(models.LR_GRID_VOLUME)
+SQL_TUNE_LR = _sql_linear_grid(models.LR_GRID)
+SQL_TUNE_LR_VOLUME = _sql_linear_grid(models.LR_GRID_VOLUME)
 SQL_TUNE_GBT = _sql_grid(models.GBT_GRID)
 SQL_TUNE_GBT_VOLUME = _sql_grid(models.GBT_GRID_VOLUME)
 SQL_TUNE_RF = _sql_grid(models.RF_GRID)
@@ -1061,15 +1223,19 @@ def _split_logs(spark, d):
     return ev.filter(F.col("ts") < cut), ev.filter(F.col("ts") >= cut)
 
 
-def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
+def _volume_features(spark, d, test_rows="true") -> DataFrame:
     opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
     train, test = _split_logs(spark, d)
     w = _weather(spark, d, opts)
-    out = features.volume_features(train, test, w, ts="ts", keys=["event_type"],
+    out = features.volume_features(train, test.filter(test_rows), w, ts="ts", keys=["event_type"],
                                    holiday_col="holiday", options=opts)
     return _round_doubles(out)
 
 
+def q_volume_features(spark: SparkSession, d: str) -> DataFrame:
+    return _volume_features(spark, d)
+
+
 SQL_PLUS_20 = "bs + INTERVAL '20 minutes'"
 
 
@@ -1098,7 +1264,7 @@ def _weather(spark, d, opts):
                                      sentinel_col="wind_speed", options=opts)
 
 
-def _sql_volume_features() -> str:
+def _sql_volume_features(test_rows: str = "true") -> str:
     lag_cols = ", ".join(f"lag(volume, {i}) OVER w AS lag{i}" for i in range(1, 8))
     wcols = ["temperature", "wind_speed", "n_obs"]
     mean_cols = ", ".join([f"avg(lag{i}) AS lag{i}" for i in range(1, 8)] +
@@ -1121,7 +1287,7 @@ def _sql_volume_features() -> str:
 WITH tr AS (SELECT {_SQL_BIN} AS bs, event_type, count(*) AS volume FROM events
             WHERE ts < TIMESTAMP '{si.EVENTS_SPLIT}' GROUP BY 1, 2),
 te AS (SELECT {_SQL_BIN} AS bs, event_type, count(*) AS volume FROM events
-       WHERE ts >= TIMESTAMP '{si.EVENTS_SPLIT}' GROUP BY 1, 2),
+       WHERE ts >= TIMESTAMP '{si.EVENTS_SPLIT}' AND {test_rows} GROUP BY 1, 2),
 ap AS (SELECT bs, event_type, volume, 0 AS part FROM tr
        UNION ALL SELECT bs, event_type, volume, 1 AS part FROM te),
 lg AS (SELECT bs, event_type, volume, {lag_cols} FROM ap
@@ -1143,7 +1309,7 @@ FROM tef f, m"""
 SQL_VOLUME_FEATURES = _sql_volume_features()
 
 
-def _sql_travel_time_features() -> str:
+def _sql_travel_time_features(test_rows: str = "true") -> str:
     """Whole task-1 job: repair (twice on train, once on test) by recursive
     CTE, bins, test grid in the forecast-input hours with walk-back fill,
     lags, forecast rows, calendar, weather, route features, alignment and
@@ -1174,7 +1340,7 @@ def _sql_travel_time_features() -> str:
     return f"""
 WITH RECURSIVE
 tr_src AS (SELECT event_id, user_id, ts, value AS x FROM events WHERE ts < TIMESTAMP '{split}'),
-te_src AS (SELECT event_id, user_id, ts, value AS x FROM events WHERE ts >= TIMESTAMP '{split}'),
+te_src AS (SELECT event_id, user_id, ts, value AS x FROM events WHERE ts >= TIMESTAMP '{split}' AND {test_rows}),
 {_sql_repair_pass('a1', 'tr_src', T_REPAIR)},
 a2_src AS (SELECT event_id, user_id, ts, y AS x FROM a1),
 {_sql_repair_pass('a2', 'a2_src', T_REPAIR)},
@@ -1214,38 +1380,46 @@ FROM tef f, m"""
 SQL_TRAVEL_TIME_FEATURES = _sql_travel_time_features()
 
 
-def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
-    """Trips = events keyed by user, travel time = value (threshold 100);
-    route features from the order whose key equals the user id."""
+def _travel_time_features(spark, d, test_rows="true") -> DataFrame:
     opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
     train, test = _split_logs(spark, d)
     w = _weather(spark, d, opts)
-    rf = _route_features(spark, d).withColumnRenamed("o_orderkey", "user_id")
     out = features.travel_time_features(
-        train, test, w, rf, ts="ts", keys=["user_id"], value="value",
+        train, test.filter(test_rows), w, _user_routes(spark, d), ts="ts", keys=["user_id"], value="value",
         order_tiebreak="event_id", threshold=T_REPAIR, target="avg_travel_time",
         options=opts)
     return _round_doubles(out)
 
 
+def _user_routes(spark, d) -> DataFrame:
+    return _route_features(spark, d).withColumnRenamed("o_orderkey", "user_id")
+
+
+def q_travel_time_features(spark: SparkSession, d: str) -> DataFrame:
+    """Trips = events keyed by user, travel time = value (threshold 100);
+    route features from the order whose key equals the user id."""
+    return _travel_time_features(spark, d)
+
+
 MODEL_CUTOFF = "2024-01-24 00:00:00"
 TREES = {"gbt": {"maxIter": 10, "maxDepth": 4}, "rf": {"numTrees": 20, "maxDepth": 6}}
 
 
-def _model_facts(m: DataFrame, exact: bool) -> DataFrame:
-    """What SQL can know: the linear model's metrics where it solves the normal
+def _model_facts(m: DataFrame, exact: str | None = None) -> DataFrame:
+    """What SQL can know: the metrics of the model that it solves by the normal
     equations, for all models the rows, the labels' sum, and whether the fit beats the mean."""
-    linear = F.col("model") == "linear"
-    figures = [_r(F.when(linear, F.col(c)), R4).alias(c) for c in ("mae", "rmse", "r2")] if exact else []
+    solved = F.col("model") == F.lit(exact)
+    figures = [_r(F.when(solved, F.col(c)), R4).alias(c) for c in ("mae", "rmse", "r2")] if exact else []
     return m.select("model", "part", "n", _r(F.col("label_sum"), 1).alias("label_sum"), *figures,
                     F.when(F.col("part") == "in_sample", F.col("r2") > 0).alias("beats_mean"))
 
 
 def q_volume_model(spark: SparkSession, d: str) -> DataFrame:
-    """Task 2 as a whole, on two of the features, so that SQL can solve it too."""
-    m = modeling.fit_and_report(q_volume_features(spark, d), ["event_type"], "volume", MODEL_CUTOFF,
-                                numbers=["lag1", "temperature"], options=modeling.ModelOptions(**TREES))
-    return _model_facts(m, exact=True)
+    """Task 2 as a whole, on all numeric features, and a linear model on two of them that SQL can solve."""
+    m = modeling.fit_and_report(
+        q_volume_features(spark, d), ["event_type"], "volume", MODEL_CUTOFF,
+        options=modeling.ModelOptions(**TREES, linear_subset=["lag1", "temperature"]))
+    return _model_facts(m, "linear_subset")
 
 
 _SQL_PARTS = f"""
@@ -1263,16 +1437,16 @@ p AS (SELECT r.early, r.volume AS y, my + ka * (lag1 - ma) + kb * (temperature -
 g AS (SELECT early, count(*) AS n, sum(y) AS label_sum, avg(abs(y - z)) AS mae, sqrt(avg((y - z) ^ 2)) AS rmse,
              1 - sum((y - z) ^ 2) / (var_pop(y) * count(*)) AS r2 FROM p GROUP BY 1)
 SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, round(label_sum, 1) AS label_sum,
-       CASE WHEN model = 'linear' THEN round(mae, 4) END AS mae, CASE WHEN model = 'linear' THEN round(rmse, 4) END AS rmse,
-       CASE WHEN model = 'linear' THEN round(r2, 4) END AS r2, CASE WHEN early THEN true END AS beats_mean
-FROM g, {_SQL_MODELS}"""
+       CASE WHEN model = 'linear_subset' THEN round(mae, 4) END AS mae, CASE WHEN model = 'linear_subset' THEN round(rmse, 4) END AS rmse,
+       CASE WHEN model = 'linear_subset' THEN round(r2, 4) END AS r2, CASE WHEN early THEN true END AS beats_mean
+FROM g, (SELECT model FROM {_SQL_MODELS} UNION ALL SELECT 'linear_subset')"""
 
 
 def q_travel_time_model(spark: SparkSession, d: str) -> DataFrame:
     """Task 1 as a whole, on all numeric features."""
     m = modeling.fit_and_report(q_travel_time_features(spark, d), ["user_id"], "avg_travel_time", MODEL_CUTOFF,
                                 options=modeling.ModelOptions(**TREES))
-    return _model_facts(m, exact=False)
+    return _model_facts(m)
 
 
 SQL_TRAVEL_TIME_MODEL = f"""
@@ -1282,6 +1456,77 @@ SELECT model, CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, n, ro
        CASE WHEN early THEN true END AS beats_mean
 FROM g, {_SQL_MODELS}"""
 
+#: Windows to forecast: seven mornings, then seven afternoons, from the first test day.
+FORECAST_WINDOWS = [f"2024-01-{day} {h:02d}:{m:02d}:00" for hours in ((8, 9), (17, 18)) for day in range(16, 23)
+                    for h in hours for m in cal.BIN_MINUTES]
+#: Test rows that are known: the two hours before each block of windows.
+_KNOWN_HOURS = f"hour(ts) IN ({', '.join(map(str, features.JobOptions().grid_hours))})"
+_SUBSET = ["lag1", "temperature"]
+
+
+def _forecasts(f: DataFrame, key: str, label: str, exogenous, key_table: DataFrame) -> DataFrame:
+    """A linear model on two features, whose recursion SQL can follow, and a forest on all of
+    them, whose predictions lie in the labels' range."""
+    everything = modeling.numeric_columns(f, without=(label, key))
+    out = modeling.forecast(f, [key], label, FORECAST_WINDOWS, exogenous, {
+        "linear": (_SUBSET, models.linear_regression(label)),
+        "random_forest": (everything, models.random_forest(label, **TREES["rf"]))}, key_table=key_table)
+    known = f.filter((F.col("split") == "train") & F.col(label).isNotNull())
+    r = known.agg(F.struct(F.min(label).alias("lo"), F.max(label).alias("hi"))).scalar()
+    linear, y = F.col("model") == "linear", F.col(label)
+    return out.select("model", key, "time_window", F.when(linear, _r(y, R4)).alias(label),
+                      F.when(~linear, y.between(r.getField("lo") - 1e-9, r.getField("hi") + 1e-9)).alias("in_range"))
+
+
+def q_volume_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of the 84 listed windows for every key, each from the prediction before it."""
+    opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
+    w = _weather(spark, d, opts)
+    return _forecasts(_volume_features(spark, d, _KNOWN_HOURS), "event_type", "volume",
+                      lambda g: features.calendar_weather(g, w, opts, "holiday"), si.events(spark, d))
+
+
+def q_travel_time_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """Mean times of the 84 listed windows for every key, each from the prediction before it."""
+    opts = features.JobOptions(holidays=EVENT_HOLIDAYS)
+    w, routes_ = _weather(spark, d, opts), _user_routes(spark, d)
+    return _forecasts(_travel_time_features(spark, d, _KNOWN_HOURS), "user_id", "avg_travel_time",
+                      lambda g: joins.feature_join(features.calendar_weather(g, w, opts, "is_holiday"), routes_,
+                                                   ["user_id"]), si.events(spark, d))
+
+
+def _sql_forecast(features_sql: str, key: str, label: str) -> str:
+    from ..operators.forecast import blocks
+    listed = ", ".join(f"(TIMESTAMP '{w}', {s}, TIMESTAMP '{b}')" for w, s, b in blocks(FORECAST_WINDOWS))
+    window = f"'[' || {_sql_ts('bs')} || ',' || {_sql_ts(SQL_PLUS_20)} || ')'"
+    step = "my + ka * (coalesce({0}, ma) - ma) + kb * (coalesce(g.temperature, mb) - mb)"
+    return f"""
+WITH RECURSIVE {_SQL_WEATHER.strip()}
+f AS ({features_sql}),
+r AS (SELECT *, strptime(substr(time_window, 2, 19), '%Y-%m-%d %H:%M:%S') AS bs FROM f
+      WHERE split = 'train' AND {label} IS NOT NULL),
+c AS (SELECT covar_pop(lag1, {label}) AS c1y, covar_pop(temperature, {label}) AS c2y, covar_pop(lag1, temperature) AS c12,
+             var_pop(lag1) AS c11, var_pop(temperature) AS c22, avg(lag1) AS ma, avg(temperature) AS mb, avg({label}) AS my FROM r),
+k AS (SELECT (c1y * c22 - c2y * c12) / (c11 * c22 - c12 * c12) AS ka, (c2y * c11 - c1y * c12) / (c11 * c22 - c12 * c12) AS kb, * FROM c),
+w(bs, step, block) AS (VALUES {listed}),
+ky AS (SELECT DISTINCT {key} FROM events),
+g AS (SELECT ky.{key}, w.*, wx.temperature FROM ky CROSS JOIN w
+      LEFT JOIN wx ON wx.d = CAST(w.bs AS DATE) AND wx.h = {_sql_bucket('hour(w.bs)')}),
+og AS (SELECT b.{key}, b.block, arg_max(r.{label}, r.bs) AS lag1 FROM (SELECT DISTINCT {key}, block FROM g) b
+       LEFT JOIN r ON r.{key} = b.{key} AND r.bs < b.block GROUP BY 1, 2),
+p AS (SELECT g.{key}, g.bs, g.block, g.step, {step.format('og.lag1')} AS z
+      FROM g JOIN og ON og.{key} = g.{key} AND og.block = g.block, k WHERE g.step = 1
+      UNION ALL
+      SELECT g.{key}, g.bs, g.block, g.step, {step.format('p.z')} AS z
+      FROM p JOIN g ON g.{key} = p.{key} AND g.block = p.block AND g.step = p.step + 1, k)
+SELECT 'linear' AS model, {key}, {window} AS time_window, round(z, 4) AS {label}, CAST(NULL AS BOOLEAN) AS in_range FROM p
+UNION ALL
+SELECT 'random_forest', {key}, {window}, NULL, true FROM g"""
+
+
+SQL_VOLUME_FORECAST = _sql_forecast(_sql_volume_features(_KNOWN_HOURS), "event_type", "volume")
+SQL_TRAVEL_TIME_FORECAST = _sql_forecast(_sql_travel_time_features(_KNOWN_HOURS), "user_id", "avg_travel_time")
+
 HOLDOUT_CUTOFF = "1999-01-01 00:00:00"
 
 
@@ -1309,13 +1554,14 @@ SELECT CASE WHEN early THEN 'in_sample' ELSE 'holdout' END AS part, count(*) AS
 FROM p GROUP BY early"""
 
 _CORR_FEATURES = (["volume"] + _LAG_COLS + [f"hour__{h}" for h in range(24)] + cal.WEEKDAYS
+                  + [f"minute_{m}" for m in cal.BIN_MINUTES]
                   + ["holiday", "temperature", "wind_speed", "n_obs"])
 
 
 def q_corr_features(spark: SparkSession, d: str) -> DataFrame:
     """A9 on the feature table: all its numeric columns in one pass."""
     rows = written(q_volume_features(spark, d).filter("split = 'train'").select(*_CORR_FEATURES), "corr-features")
-    return profile.corr_matrix(rows, _CORR_FEATURES).select("col_a", "col_b", _r(F.col("corr")).alias("corr"))
+    return profile.corr_matrix(rows, _CORR_FEATURES, by_pairs=False).select("col_a", "col_b", _r(F.col("corr")).alias("corr"))
 
 
 def _sql_corr_features() -> str:
@@ -1362,7 +1608,9 @@ QUERIES = {
     "tune_lr_volume": q_tune_lr_volume, "tune_gbt": q_tune_gbt, "tune_gbt_volume": q_tune_gbt_volume,
     "tune_rf": q_tune_rf, "tune_rf_volume": q_tune_rf_volume, "volume_model": q_volume_model,
     "travel_time_model": q_travel_time_model, "time_holdout": q_time_holdout,
-    "corr_features": q_corr_features,
+    "corr_features": q_corr_features, "volume_forecast": q_volume_forecast,
+    "travel_time_forecast": q_travel_time_forecast, "bin_augmented": q_bin_augmented,
+    "src_csv_rejects": q_src_csv_rejects, "onehot_open": q_onehot_open, "profile_merge": q_profile_merge,
 }
 
 ORACLE_SQL = {
@@ -1396,5 +1644,7 @@ ORACLE_SQL = {
     "tune_gbt_volume": SQL_TUNE_GBT_VOLUME, "tune_rf": SQL_TUNE_RF,
     "tune_rf_volume": SQL_TUNE_RF_VOLUME, "volume_model": SQL_VOLUME_MODEL,
     "travel_time_model": SQL_TRAVEL_TIME_MODEL, "time_holdout": SQL_TIME_HOLDOUT,
-    "corr_features": SQL_CORR_FEATURES,
+    "corr_features": SQL_CORR_FEATURES, "volume_forecast": SQL_VOLUME_FORECAST,
+    "travel_time_forecast": SQL_TRAVEL_TIME_FORECAST, "bin_augmented": SQL_BIN_AUGMENTED,
+    "src_csv_rejects": SQL_SRC_CSV_REJECTS, "onehot_open": SQL_ONEHOT_OPEN, "profile_merge": SQL_PROFILE_MERGE,
 }

@@ -52,8 +52,9 @@ def _scan_kw(o: JobOptions) -> dict:
     return {"bucket_hours": o.bucket_hours}
 
 
-def _calendar_weather(df: DataFrame, weather: DataFrame | None, o: JobOptions,
-                      holiday_col: str) -> DataFrame:
+def calendar_weather(df: DataFrame, weather: DataFrame | None, o: JobOptions,
+                     holiday_col: str) -> DataFrame:
+    """Rows of ``bin_start`` with what is known of a window beforehand."""
     out = cal.dummies(df, "bin_start")
     out = out.withColumn(holiday_col, cal.is_holiday(F.to_date("bin_start"), o.holidays))
     if weather is not None:
@@ -114,8 +115,8 @@ def volume_features(train_log: DataFrame, test_log: DataFrame, weather: DataFram
     te = bins.bin_count(test_log, ts, keys, o.minutes, out=target)
     train = _lagged(tr, te, keys, target, o)
     test = _forecast_rows(te, target, o)
-    train = _calendar_weather(train, weather, o, holiday_col)
-    test = _calendar_weather(test, weather, o, holiday_col)
+    train = calendar_weather(train, weather, o, holiday_col)
+    test = calendar_weather(test, weather, o, holiday_col)
     return _label_and_align(train, test, keys, _fill_cols(o, weather), o)
 
 
@@ -153,8 +154,8 @@ def travel_time_features(train_trips: DataFrame, test_trips: DataFrame,
                               hours=o.grid_hours, **kw).drop("filled"), "filled-windows")
     train = _lagged(tr, te, keys, target, o)
     test = _forecast_rows(te, target, o)
-    train = _calendar_weather(train, weather, o, holiday_col)
-    test = _calendar_weather(test, weather, o, holiday_col)
+    train = calendar_weather(train, weather, o, holiday_col)
+    test = calendar_weather(test, weather, o, holiday_col)
     if route_feats is not None:
         train = joins.feature_join(train, route_feats, keys)
         test = joins.feature_join(test, route_feats, keys)

@@ -1,14 +1,17 @@
-"""Features to models in one job per task.
+"""Features to models and forecasts in one job per task.
 
 ``fit_and_report`` takes a feature frame with train rows, encodes it, fits
 linear regression, gradient-boosted trees and a random forest, and returns one
 row of metrics per model for the rows it was fitted on and for a time holdout.
 The feature frame is written once to the shared checkpoint folder, since
-every fit and every report reads it.
+every fit and every report reads it.  ``forecast`` fits one model on all train
+rows and predicts the listed windows of every key, each from the predictions
+before it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import timefns as tf
-from ..operators import metrics, models
+from ..operators import fill, metrics, models
+from ..operators import forecast as fc
 from ..sources.tables import written
 
 METRICS = ("n", "label_sum", "mae", "rmse", "r2", "mape")
@@ -25,11 +29,13 @@ METRICS = ("n", "label_sum", "mae", "rmse", "r2", "mape")
 @dataclass
 class ModelOptions:
     """``categories``: columns of a fixed, small domain to index and one-hot;
-    open domains (window labels, ids) are left out by default."""
+    open domains (window labels, ids) are left out by default.  ``linear_subset``:
+    numeric columns of a further linear model, reported under that name."""
 
     categories: tuple = ()
     partitions: int = models.TRAIN_PARTITIONS
     max_categories: int = models.MAX_CATEGORIES
+    linear_subset: list | None = None
     lr: dict | None = None
     gbt: dict | None = None
     rf: dict | None = None
@@ -70,9 +76,47 @@ def fit_and_report(features: DataFrame, keys, label: str, cutoff: str,
         "linear": models.linear_regression(label, **(o.lr or {})),
         "boosted_trees": models.gradient_boosted(label, **(o.gbt or {})),
         "random_forest": models.random_forest(label, **(o.rf or {}))}
+    fits = {name: (encoder, e) for name, e in estimators.items()}
+    if o.linear_subset:
+        fits["linear_subset"] = (models.fit_encoder(before, [], o.linear_subset), estimators["linear"])
     out = []
-    for name, estimator in estimators.items():
-        model = models.fit(estimator, encoder.transform(frame))
+    for name, (enc, estimator) in fits.items():
+        model = models.fit(estimator, enc.transform(frame))
         for part, df in (("in_sample", frame), ("holdout", after)):
-            out.append(report(name, part, model.transform(encoder.transform(df)), label))
+            out.append(report(name, part, model.transform(enc.transform(df)), label))
+    return reduce(DataFrame.unionAll, out)
+
+
+def forecast(features: DataFrame, keys, label: str, windows, exogenous: Callable[[DataFrame], DataFrame],
+             fits: dict[str, tuple[list, object]], key_table: DataFrame | None = None, n_lags: int = 7,
+             minutes: int = 20, options: ModelOptions | None = None, **buckets) -> DataFrame:
+    """(model, keys, time_window, ``label``): predictions of the listed windows for every key.
+
+    ``fits`` gives each model's numeric columns and estimator, fitted on all
+    train rows.  Lags are real: the train rows' last labels before a block of
+    windows, then the block's own predictions.  ``exogenous`` adds to rows of
+    ``bin_start`` what is known of a window beforehand (calendar, weather,
+    features of the key).  What is missing is filled with the train rows' means.
+    """
+    o, keys = options or ModelOptions(), list(keys)
+    rows = training_rows(features, keys, label)
+    frame = models.training_frame(rows, [*keys, "time_window"], o.partitions)
+    observed = rows.select(*keys, F.col("window_start").alias("bin_start"), label)
+    starts = {b for _, _, b in fc.blocks(windows, minutes)}
+    origins = written(fc.last_values(observed, keys, label, starts, n_lags, **buckets), "forecast-origins")
+    grid = fc.forecast_grid(rows if key_table is None else key_table, keys, windows, minutes)
+    grid = written(exogenous(grid), "forecast-windows")
+    out = []
+    for name, (numbers, estimator) in fits.items():
+        encoder = models.fit_encoder(rows, list(o.categories), numbers, max_categories=o.max_categories)
+        model = models.fit(estimator, encoder.transform(frame))
+        means = fill.column_means(rows, numbers)
+
+        def predict(df: DataFrame, encoder=encoder, model=model, means=means, numbers=numbers) -> DataFrame:
+            return model.transform(encoder.transform(fill.apply_means(df, means, numbers)))
+
+        done = fc.recursive_forecast(grid, origins, predict, keys, n_lags)
+        out.append(done.select(F.lit(name).alias("model"), *keys,
+                               tf.window_label("bin_start", minutes).alias("time_window"),
+                               F.col("prediction").alias(label)))
     return reduce(DataFrame.unionAll, out)

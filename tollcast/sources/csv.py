@@ -95,11 +95,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """
     if isinstance(schema, str) and schema in SCHEMAS:
         schema = SCHEMAS[schema]
-    reader = (spark.read.option("header", header)
-              .option("quote", '"').option("escape", '"')
-              .option("mode", "FAILFAST")
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-              .option("dateFormat", "yyyy-MM-dd"))
+    reader = _options(spark.read, header).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
@@ -107,6 +103,42 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
+def _options(reader, header: bool):
+    return (reader.option("header", header).option("quote", '"').option("escape", '"')
+            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("dateFormat", "yyyy-MM-dd"))
+
+
+def read_csv_rejects(spark: SparkSession, path: str, schema: T.StructType | str,
+                     header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 that goes on over bad lines: (rows, rejects).
+
+    ``rejects`` has the file, the line as it is, and the reason: the columns
+    whose text does not fit their type, or that the line has not the schema's
+    number of fields.  Every line is in one of the two.
+    """
+    if isinstance(schema, str):
+        schema = SCHEMAS.get(schema) or T.StructType.fromDDL(schema)
+    names = schema.fieldNames()
+    raw = T.StructType([*schema.fields, T.StructField("_line", T.StringType())])
+    reader = (_options(spark.read, header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line")
+              .option("columnPruning", False).option("enforceSchema", True))
+    lines = reader.schema(raw).csv(path).withColumn("_file", F.input_file_name())
+    # always true, and it names every column: whether a line is bad must not depend on the
+    # columns that a query selects
+    whole = F.xxhash64(*[F.col(f"`{n}`") for n in names]).bitwiseOR(F.lit(1)) != 0
+    lines = lines.filter(whole)
+    rows = lines.filter(F.col("_line").isNull()).select(*[F.col(f"`{n}`") for n in names])
+    texts = ", ".join(f"`{n}` STRING" for n in [*names, "_more"])
+    split = F.from_csv("_line", F.lit(texts), {"quote": '"', "escape": '"'})
+    bad = [F.when(F.col("_t").getField(n).isNotNull() & F.col(f"`{n}`").isNull(), F.lit(n)) for n in names]
+    found = lines.filter(F.col("_line").isNotNull()).withColumn("_t", split)
+    wrong = F.concat_ws(", ", *bad)
+    rejects = found.select(F.col("_file").alias("file"), F.col("_line").alias("line"),
+                           F.when(wrong != "", F.concat(F.lit("bad "), wrong))
+                           .otherwise(F.lit("number of fields")).alias("reason"))
+    return rows, rejects
+
+
 def write_csv(df: DataFrame, path: str, key_cols: list[str] | tuple = (),
               mode: str = "overwrite") -> None:
     """CSV sink (S3): key columns first, header row, one folder of part files."""
