@@ -75,16 +75,29 @@ def _positions(text: Column, matches: Column, pattern: str) -> Column:
 def hot_range(candidate: Column, window: int, threshold: Column) -> Column:
     """Struct (start, stop) of the windows at or above the threshold, NULL fields if none."""
     plogp = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 1)])
-    chars = F.transform(F.sequence(F.lit(1), F.length(candidate)), lambda i: F.substring(candidate, i, F.lit(1)))
-    # characters as numbers of the candidate's own alphabet, so the counts are a short array
-    coded = F.transform(chars, lambda c: F.array_position(F.array_distinct(chars), c).cast("int"))
-    state = F.struct(coded.alias("code"), F.array_repeat(F.lit(0), F.size(F.array_distinct(chars))).alias("count"),
+    chars = F.filter(F.split(candidate, ""), lambda c: c != "")
+
+    # the run's characters, alphabet and threshold are bound once, as the fields of an array's one element, and
+    # the characters become numbers of that alphabet, so the cost is linear in the run's length
+    def bound(x: Column) -> Column:
+        code = F.transform(x["chars"], lambda c: F.array_position(x["alphabet"], c).cast("int"))
+        return F.struct(code.alias("code"), F.size(x["alphabet"]).alias("letters"), x["threshold"].alias("threshold"))
+
+    once = F.array(F.struct(chars.alias("chars"), F.array_distinct(chars).alias("alphabet"),
+                            threshold.alias("threshold")))
+    return F.element_at(F.transform(F.transform(once, bound), lambda x: _slide(x, window, plogp)), 1)
+
+
+def _slide(run: Column, window: int, plogp: Column) -> Column:
+    """The hot range of a run given as numbers (code) of an alphabet of so many letters, and its threshold."""
+    code, threshold = run["code"], run["threshold"]
+    state = F.struct(F.array_repeat(F.lit(0), run["letters"]).alias("count"),
                      F.lit(0.0).alias("sum"), F.lit(None).cast("int").alias("start"),
                      F.lit(None).cast("int").alias("stop"))
 
     def slide(acc: Column, i: Column) -> Column:
-        enter = F.element_at(acc["code"], i)
-        leave = F.when(i > window, F.element_at(acc["code"], F.greatest(i - window, F.lit(1)))).otherwise(0)
+        enter = F.element_at(code, i)
+        leave = F.when(i > window, F.element_at(code, F.greatest(i - window, F.lit(1)))).otherwise(0)
         had = F.element_at(acc["count"], enter)
         lost = F.when(leave > 0, F.element_at(acc["count"], F.greatest(leave, F.lit(1)))).otherwise(0)
         # equal characters entering and leaving change nothing
@@ -96,11 +109,11 @@ def hot_range(candidate: Column, window: int, threshold: Column) -> Column:
         counts = F.when(same, acc["count"]).otherwise(F.transform(
             acc["count"], lambda c, k: c + F.when(k + 1 == enter, 1).when(k + 1 == leave, -1).otherwise(0)))
         hot = (i >= window) & (F.lit(math.log2(window)) - new / window >= threshold)
-        return F.struct(acc["code"].alias("code"), counts.alias("count"), new.alias("sum"),
+        return F.struct(counts.alias("count"), new.alias("sum"),
                         F.when(acc["start"].isNotNull() | ~hot, acc["start"]).otherwise(i - window).alias("start"),
                         F.when(hot, i).otherwise(acc["stop"]).alias("stop"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), state, slide,
+    return F.aggregate(F.sequence(F.lit(1), F.size(code)), state, slide,
                        lambda acc: F.struct(acc["start"].alias("start"), acc["stop"].alias("stop")))
 
 
