@@ -53,3 +53,21 @@ def test_odd_rows(odd_documents, no_documents):
     assert len(rows) == odd_documents.count()
     assert {r.n_tokens for r in rows if r.doc_id in (1, 2)} == {0}
     assert count_tokens(no_documents).collect() == []
+
+
+def test_long_words(both):
+    """A word of 400,000 letters, and long runs of one or two letters, each in seconds."""
+    import time
+    counter, library = both
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(400_000)), "a" * 100_001, "ab" * 50_000,
+             "".join(rnd.choice("aab") for _ in range(50_000)), "\u00e9\u597d" * 20_000]
+    t0 = time.time()
+    assert counter.counts(texts) == expected(library, texts)
+    assert time.time() - t0 < 60
+
+
+def test_long_and_short_sequences_are_merged_alike(both):
+    merger, rnd = both[0].merger, random.Random(8)
+    words = ["".join(rnd.choice("aabcdeinst ") for _ in range(rnd.randrange(1, 200))).encode() for _ in range(300)]
+    assert [merger.count_long(w) for w in words] == merger._count(words).tolist()

@@ -7,7 +7,10 @@ known pair leaves the arrays, and its surviving symbols are its token count.
 
 Pre-tokens are independent of each other, so a count is computed once per
 distinct pre-token and kept in a table of the Python worker (emptied beyond
-``CACHE_ENTRIES``); a document's count is the sum over its pre-tokens.
+``CACHE_ENTRIES``); a document's count is the sum over its pre-tokens.  A
+sequence of more than ``LONG_SEQUENCE`` symbols is merged alone: its symbols
+stay in place, linked to their neighbours, and a round brings up to date only
+the pairs beside its merges.
 
 Defined cases: a NULL text counts as empty (0 bytes, 0 tokens); repeated rows
 are counted once each; the added special string inside a text is one token,
@@ -32,6 +35,7 @@ PRETOKEN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]
 CACHE_ENTRIES = 1_000_000
 #: Pre-tokens merged together, and characters matched in one go.
 BATCH_CHARS = 4_000_000
+LONG_SEQUENCE = 2_000
 LONG_TEXT_CHARS = 4_000_000
 
 _NONE = np.iinfo(np.int32).max
@@ -68,8 +72,53 @@ class RankMerger:
         self.keys, self.rank, self.made = key[order], order.astype(np.int32), made[order]
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
 
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank (or none) of each pair, and the symbol it makes."""
+        key = (left << self.bits) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], _NONE).astype(np.int32), self.made[at]
+
+    def count_long(self, sequence: bytes) -> int:
+        """Surviving symbols of one long byte string."""
+        symbol = self.first[np.frombuffer(sequence, np.uint8)]
+        n = alive = len(symbol)
+        there = np.ones(n, bool)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank, made = np.full(n, _NONE, np.int32), np.zeros(n, np.int64)
+        rank[:-1], made[:-1] = self._look_up(symbol[:-1], symbol[1:])
+        while True:
+            low = rank.min()
+            if low == _NONE:
+                return alive
+            p = np.flatnonzero(rank == low)
+            # of overlapping places of a pair (x, x), every second one from the left
+            starts = np.r_[True, after[p[:-1]] != p[1:]]
+            run = np.maximum.accumulate(np.where(starts, np.arange(len(p)), 0))
+            p = p[(np.arange(len(p)) - run) % 2 == 0]
+            gone = after[p]
+            symbol[p], rank[gone], there[gone] = made[p], _NONE, False
+            after[p] = after[gone]
+            has = after[p] < n
+            before[after[p[has]]] = p[has]
+            rank[p] = _NONE
+            alive -= len(p)
+            for q in (p[has], before[p[before[p] >= 0]]):
+                rank[q], made[q] = self._look_up(symbol[q], symbol[after[q]])
+            if alive * 2 < len(symbol):  # close the gaps
+                symbol, rank, made, n = symbol[there], rank[there], made[there], alive
+                there = np.ones(n, bool)
+                after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+
     def count(self, sequences: list[bytes]) -> np.ndarray:
         """Surviving symbols of each (non-empty) byte string."""
+        is_long = np.fromiter((len(s) > LONG_SEQUENCE for s in sequences), bool, len(sequences))
+        out = np.zeros(len(sequences), np.int64)
+        for i in np.flatnonzero(is_long).tolist():
+            out[i] = self.count_long(sequences[i])
+        out[~is_long] = self._count([s for s in sequences if len(s) <= LONG_SEQUENCE])
+        return out
+
+    def _count(self, sequences: list[bytes]) -> np.ndarray:
         lens = np.fromiter(map(len, sequences), np.int64, len(sequences))
         out = np.zeros(len(sequences), np.int64)
         ids = np.arange(len(sequences))
