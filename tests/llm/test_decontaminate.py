@@ -25,8 +25,8 @@ def plain_matches(text, items, threshold=D.THRESHOLD, least=D.OVERLAP):
                      / (f + D.K1 * (1 - D.B + D.B * len(ws) / mean)) for w, f in Counter(ws).items()}
             s = sum(v for w, v in score.items() if w in held) / sum(score.values())
             q, a = D.question_and_answer(t)
-            if len(ws) < D.SHINGLE and len(ws) != len(doc):
-                continue
+            if len(ws) < D.SHINGLE:  # as one run of words
+                q, a = ws, []
             if s >= threshold - 1e-9 and all(D.overlap(x, passage, D.shingles(passage)) >= least for x in (q, a)):
                 out[item] = max(out.get(item, 0), min(s, 1.0))
     return out
@@ -79,10 +79,20 @@ def test_odd_rows(spark, odd_documents, no_documents):
          (3, None), (4, ""), (5, "one"), (6, "!!"), (7, "this row")], "item_id long, text string")
     rows = D.contaminated(odd_documents.withColumnRenamed("lang", "item_id"), items).collect()
     # two repeated rows and a copy, each with both repeated items; the row and the item without ids
-    assert Counter((r.doc_id, r.item_id) for r in rows) == {(4, 1): 4, (5, 1): 2, (None, None): 1, (7, 5): 1}
+    assert Counter((r.doc_id, r.item_id) for r in rows) == {(4, 1): 4, (5, 1): 2, (None, None): 1, (7, 5): 1,
+                                                               (None, 7): 1}
     kept = D.drop_contaminated(odd_documents, items).collect()
     assert sorted(r.doc_id for r in kept) == [1, 2, 3, 6, 8]
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.contaminated(odd_documents, none).collect() == []
     assert D.drop_contaminated(odd_documents, none).count() == odd_documents.count()
     assert D.contaminated(no_documents, items).collect() == []
+
+
+def test_short_items_inside_longer_documents(spark):
+    docs = spark.createDataFrame([(1, "He asked: Who wrote it? Anna. And then more words came after that."),
+                                  (2, "Anna wrote it, and who asked? He did."), (3, "Who wrote it? Anna."),
+                                  (4, "Who wrote " + "filler words " * 40 + "it Anna")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "Who wrote it? Anna."), (2, "a much longer item of more than five words here")],
+                                  "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in D.contaminated(docs, items).collect()} == {(1, 1), (3, 1)}

@@ -15,7 +15,8 @@ Every task runs over the whole text of its documents:
 * each hit is verified: at least ``overlap`` of the five-word shingles of the
   item's question (all sentences but the last) and of its answer (the last
   one) must stand in the passage; a part of fewer words must stand there as
-  it is, and a whole item of fewer words must be the whole text.
+  it is, and so must a whole item of fewer words, question and answer as one
+  run.
 
 The index goes to the tasks in blocks of at most ``block_bytes`` of item text;
 the documents are read once for each block.  Term statistics are those of all
@@ -192,10 +193,9 @@ class ItemIndex:
             passage = words[t][a:a + 2 * self.span]
             held = shingles(passage)
             for k, score in hits:
-                size = sum(map(len, self.parts[k]))
-                if size < SHINGLE and size != len(words[t]):
-                    continue
-                q, ans = (overlap(part, passage, held) for part in self.parts[k])
+                whole = self.parts[k][0] + self.parts[k][1]
+                short = len(whole) < SHINGLE  # stands as one run of words or not at all
+                q, ans = (overlap(whole if short else part, passage, held) for part in self.parts[k])
                 if q >= least and ans >= least and score > best[t].get(k, (0, 0.0))[1]:
                     best[t][k] = (self.ids[k], min(score, 1.0), q, ans, a, len(passage))
         return [list(b.values()) for b in best]
