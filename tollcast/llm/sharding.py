@@ -81,7 +81,10 @@ def propagate(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         better = (cells.join(best, "key").filter("best > own")
                   .select("key", "shard", F.col("best.c").alias("c"), F.col("best.shard").alias("to")))
         wish = F.max(F.struct(F.col("c"), F.xxhash64("key").alias("h"), F.col("key"), F.col("to"), F.col("size")))
-        wishes = (placed.join(better, ["key", "shard"]).groupBy("id").agg(wish.alias("w"))
+        # a key that has settled in one shard is one cell: its rows meet the cell's wish in SALTS parts too
+        parts = better.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        split = placed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+        wishes = (split.join(parts, ["key", "shard", "salt"]).groupBy("id").agg(wish.alias("w"))
                   .select("id", "w.key", "w.to", "w.size"))
         want = written(wishes.select("id", "to", F.when(F.col("size") > large, _unit("id", F.lit(r))).otherwise(
             _unit("key", F.lit(r))).alias("draw")), f"wishes-{r}")
