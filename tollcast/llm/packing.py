@@ -6,7 +6,13 @@ room is within the round's slack are emitted; the others go up a tree, where
 the underfull bins of ``fan_in`` children are packed again as single items.
 Slack grows by round, the root emits all.  A node passes on at most
 ``max_open`` bins, those with the most room, and emits the others as they are,
-so no task's input grows with the corpus and every piece is placed.
+so no task's input grows with the corpus and every piece is placed.  The bound
+costs no sequence: best fit never opens a bin for an item of at most half the
+capacity while a bin is half empty, so a call leaves at most one bin that is
+at most half full, and any two others do not fit together.  A node's bins come
+from few calls, so it holds few half-empty ones; each of them needs one
+partner, and the bins with the most room, which are passed on, hold one if any
+bin does.
 
 Every round is written to the shared checkpoint folder before it is read by
 the next one, so a lost task repeats its own round only and all readers see
