@@ -186,7 +186,8 @@ def forest_grid(estimator, train: DataFrame, valid: DataFrame, grid: dict, label
     rows = written(valid.select(features, F.col(label).alias("label"), F.monotonically_increasing_id().alias("row")),
                    "validation")
     for own in _fits(grid, ("numTrees", "maxDepth")):
-        values = {**own, "numTrees": trees[-1], "maxDepth": depths[-1]}
+        # node ids are kept beside the rows, so a level costs no walk from the root
+        values = {**own, "numTrees": trees[-1], "maxDepth": depths[-1], "cacheNodeIds": True}
         model = models.fit(estimator.copy({estimator.getParam(k): v for k, v in values.items()}), train)
         cuts = written(_nodes(model, spark).groupBy("tree").applyInPandas(
             _cut_tree(depths), "tree int, leaf long, cuts array<double>"), "forest-cuts")

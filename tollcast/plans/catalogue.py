@@ -1090,6 +1090,9 @@ WITH {_SQL_LR}
 SELECT l_orderkey, l_partkey, l_suppkey, round(y, 8) AS label, true AS scored, true AS beats_mean FROM p"""
 
 
+#: Partitions of the rows that the grids are fitted on: each level of a fit shuffles every node's
+#: statistics once a partition.
+TUNE_PARTITIONS = 8
 #: A number made of a line's keys; eight tenths of its last digits train.
 _LINE_NUMBER = "l_orderkey * 31 + l_partkey * 17 + l_suppkey"
 
@@ -1098,7 +1101,7 @@ def _parts(spark, d):
     """Lines fitted on and lines that validate, as training frames."""
     rows = _tree_frame(spark, d)
     train, valid = tuning.holdout(rows, F.expr(_LINE_NUMBER))
-    return models.training_frame(train, _LINE_KEYS), valid
+    return models.training_frame(train, _LINE_KEYS, TUNE_PARTITIONS), valid
 
 
 def _tuned(spark, d, grid, errors, exact: bool = False) -> DataFrame:
