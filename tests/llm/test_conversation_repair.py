@@ -131,8 +131,8 @@ def own_best(rows):
 
 def test_audits_against_enumeration():
     rnd = random.Random(1)
-    for n in range(5):
-        for _ in range(25):
+    for n, times in enumerate((1, 25, 40, 40, 3)):
+        for _ in range(times):
             rows = marks(rnd, n)
             assert own_best(rows) == min(every_audit(rows)) == plain_best(rows)
 
