@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import math
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -182,10 +181,10 @@ def judge(docs: DataFrame, min_posterior: float = 0.5, doc_id: str = "doc_id",
     if found:
         seen = np.array([list(map(int, r["pattern"].split(","))) for r in found], float)
         model = LabelModel(len(names)).fit(seen, np.array([r["n"] for r in found], float))
-        chance = dict(zip((r["pattern"] for r in found), model.posterior(seen).tolist()))
-        table = F.create_map(*map(F.lit, chain.from_iterable(chance.items())))
-        posterior = table[F.col("pattern")]
+        chance = list(zip((r["pattern"] for r in found), model.posterior(seen).tolist()))
     else:
-        posterior = F.lit(None).cast("double")
-    out = voted.withColumns({"posterior": posterior, "base_failed": base_failed})
+        chance = []
+    table = docs.sparkSession.createDataFrame(chance, "pattern string, posterior double")
+    # at most 3**rules rows: a proven bound, so the broadcast is safe
+    out = voted.join(F.broadcast(table), "pattern", "left").withColumn("base_failed", base_failed)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= min_posterior))
