@@ -27,7 +27,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_partitions
 from ..sources.tables import written
 from . import models
 from .profile import pair_moments
@@ -183,8 +183,8 @@ def forest_grid(estimator, train: DataFrame, valid: DataFrame, grid: dict, label
     """(point, error) of forests: one fit of the most and deepest trees for the other values."""
     spark, out = train.sparkSession, []
     trees, depths = sorted(grid["numTrees"]), sorted(grid["maxDepth"])
-    rows = written(valid.select(features, F.col(label).alias("label"), F.monotonically_increasing_id().alias("row")),
-                   "validation")
+    rows = written(valid.select(features, F.col(label).alias("label"), F.monotonically_increasing_id().alias("row"))
+                   .repartition(shuffle_partitions(spark), "row"), "validation")
     for own in _fits(grid, ("numTrees", "maxDepth")):
         # node ids are kept beside the rows, so a level costs no walk from the root
         values = {**own, "numTrees": trees[-1], "maxDepth": depths[-1], "cacheNodeIds": True}
