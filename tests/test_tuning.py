@@ -113,3 +113,18 @@ def test_tune_queries_have_every_declared_point(spark, monkeypatch, name, fits):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{SF001}/lineitem.parquet'")
     points = con.execute(catalogue.ORACLE_SQL[query]).df()[list(declared)]
     assert len(points) == len(points.drop_duplicates()) == n
+
+
+def test_linear_points_on_the_feature_table(spark):
+    """Elastic-net points on all numeric features of a job equal the library's fits."""
+    from tollcast.plans import catalogue, modeling
+    rows = modeling.training_rows(catalogue.q_volume_features(spark, SF001), ["event_type"], "volume")
+    numbers = modeling.numeric_columns(rows, without=("volume", "event_type"))
+    assert len(numbers) > 40
+    train, valid = tuning.holdout(rows, F.expr("floor(unix_timestamp(window_start) / 1200)"))
+    train, valid = (VectorAssembler(inputCols=numbers, outputCol="features").transform(x).withColumn(
+        "label", F.col("volume").cast("double")) for x in (train, valid))
+    grid = {"maxIter": [20], "regParam": [0.1], "fitIntercept": [False, True], "elasticNetParam": [0.0, 0.3]}
+    for p, error in tuning.linear_grid(train, valid, numbers, "label", grid):
+        model = models.linear_regression(**{**p, "maxIter": 500, "tol": 1e-10}).fit(train)
+        assert error == pytest.approx(rmse(model, valid), rel=2e-3), p

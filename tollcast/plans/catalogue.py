@@ -1418,10 +1418,10 @@ def _model_facts(m: DataFrame, exact: str | None = None) -> DataFrame:
 
 
 def q_volume_model(spark: SparkSession, d: str) -> DataFrame:
-    """Task 2 as a whole, on all numeric features, and a linear model on two of them that SQL can solve."""
+    """Task 2 as a whole, on the key one-hot encoded and all numeric features, and a linear model on two of them that SQL can solve."""
     m = modeling.fit_and_report(
         q_volume_features(spark, d), ["event_type"], "volume", MODEL_CUTOFF,
-        options=modeling.ModelOptions(**TREES, linear_subset=["lag1", "temperature"]))
+        options=modeling.ModelOptions(**TREES, categories=("event_type",), linear_subset=["lag1", "temperature"]))
     return _model_facts(m, "linear_subset")
 
 
@@ -1582,6 +1582,87 @@ SELECT x.a AS col_a, x.b AS col_b, round(x.c, 6) AS corr FROM u"""
 SQL_CORR_FEATURES = _sql_corr_features()
 
 
+# ------------------------------------- linear grids on the feature tables
+
+#: Tenths of the 20-minute windows that the linear grids are fitted on; a window's keys stay together.
+_WINDOW_NUMBER = "floor(unix_timestamp(window_start) / 1200)"
+
+
+def _tuned_features(features_: DataFrame, key: str, label: str, grid: dict) -> DataFrame:
+    """A row for each point of a linear grid on all numeric features; the error of the points
+    without an L1 part, which SQL can solve."""
+    rows = modeling.training_rows(features_, [key], label)
+    train, valid = tuning.holdout(rows, F.expr(_WINDOW_NUMBER))
+    numbers = modeling.numeric_columns(rows, without=(label, key))
+    out = tuning.table(rows.sparkSession, grid, tuning.linear_grid(train, valid, numbers, label, grid))
+    facts = valid.agg(F.struct(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("dev"))).scalar()
+    ridge = F.col("elasticNetParam") == "0.0"
+    return out.select(*grid, F.when(ridge, _r(F.col("rmse"), R4)).alias("rmse"),
+                      train.agg(F.count(F.lit(1))).scalar().alias("n_train"), facts.getField("n").alias("n_valid"),
+                      F.when(ridge, F.col("rmse") < facts.getField("dev")).alias("beats_mean"))
+
+
+def q_tune_lr_features(spark: SparkSession, d: str) -> DataFrame:
+    """Task 1's linear grid on all numeric columns of its feature table."""
+    return _tuned_features(q_travel_time_features(spark, d), "user_id", "avg_travel_time", models.LR_GRID)
+
+
+def q_tune_lr_volume_features(spark: SparkSession, d: str) -> DataFrame:
+    """Task 2's linear grid on all numeric columns of its feature table."""
+    return _tuned_features(q_volume_features(spark, d), "event_type", "volume", models.LR_GRID_VOLUME)
+
+
+def _sql_linear_features(features_sql: str, label: str, numbers: list, grid: dict) -> str:
+    """The ridge points by Gauss-Jordan elimination of the normal equations, a pivot a step."""
+    k = len(numbers)
+    values = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" for c in [*numbers, label])
+    names = ", ".join(f'"{n}"' for n in grid)
+    return f"""
+WITH RECURSIVE f AS ({features_sql}),
+r AS (SELECT [{values}] AS v,
+             (CAST(epoch(strptime(substr(time_window, 2, 19), '%Y-%m-%d %H:%M:%S')) AS BIGINT) // 1200) % 10 < 8 AS early
+      FROM f WHERE split = 'train' AND {label} IS NOT NULL),
+pt AS ({_sql_points(grid)}),
+sy AS (SELECT DISTINCT "regParam" AS reg, "fitIntercept" AS ic FROM pt),
+ix AS (SELECT unnest(range(1, {k + 2})) AS i),
+m AS (SELECT i, avg(v[i]) AS mean, stddev_samp(v[i]) AS dev FROM r, ix WHERE early GROUP BY i),
+c AS (SELECT a.i AS i, b.i AS j, covar_pop(v[a.i], v[b.i]) AS cov FROM r, ix a, ix b
+      WHERE early AND a.i <= {k} GROUP BY 1, 2),
+e AS (SELECT 0 AS p, reg, ic, i, list(cell ORDER BY j) AS line
+      FROM (SELECT reg, ic, c.i, c.j,
+                   CASE WHEN mi.dev > 1e-12 * abs(mi.mean) AND mj.dev > 1e-12 * abs(mj.mean)
+                        THEN (cov + CASE WHEN ic = 'True' THEN 0 ELSE mi.mean * mj.mean END) / (mi.dev * mj.dev)
+                             + CASE WHEN c.i = c.j THEN CAST(reg AS DOUBLE) / my.dev ELSE 0 END
+                        WHEN c.i = c.j THEN 1.0 ELSE 0.0 END AS cell
+            FROM c JOIN m mi ON mi.i = c.i JOIN m mj ON mj.i = c.j JOIN m my ON my.i = {k + 1}, sy)
+      GROUP BY reg, ic, i
+      UNION ALL
+      SELECT p + 1, reg, ic, i,
+             CASE WHEN i = p + 1 THEN [x / line[p + 1] for x in line]
+                  ELSE [line[q] - lead_line[q] * line[p + 1] / lead_line[p + 1] for q in range(1, {k + 2})] END
+      FROM (SELECT *, first_value(line) OVER (PARTITION BY reg, ic ORDER BY i <> p + 1) AS lead_line FROM e WHERE p < {k})),
+w AS (SELECT reg, ic, list(w ORDER BY i) AS ws, CASE WHEN ic = 'True' THEN any_value(my) - sum(w * mean) ELSE 0 END AS b
+      FROM (SELECT reg, ic, e.i, m.mean, my.mean AS my,
+                   CASE WHEN m.dev > 1e-12 * abs(m.mean) THEN line[{k + 1}] * my.dev / m.dev ELSE 0 END AS w
+            FROM e JOIN m ON m.i = e.i JOIN m my ON my.i = {k + 1} WHERE p = {k}) GROUP BY reg, ic),
+z AS (SELECT reg, ic, sqrt(avg((v[{k + 1}] - list_dot_product(v[1:{k}], ws) - b) ^ 2)) AS rmse
+      FROM r, w WHERE NOT early GROUP BY reg, ic),
+g AS (SELECT count(*) FILTER (early) AS n_train, count(*) FILTER (NOT early) AS n_valid,
+             stddev_pop(v[{k + 1}]) FILTER (NOT early) AS sd FROM r)
+SELECT {names}, CASE WHEN "elasticNetParam" = '0.0' THEN round(rmse, 4) END AS rmse, n_train, n_valid,
+       CASE WHEN "elasticNetParam" = '0.0' THEN rmse < sd END AS beats_mean
+FROM pt JOIN z ON z.reg = pt."regParam" AND z.ic = pt."fitIntercept", g"""
+
+
+_CALENDAR_COLS = cal.WEEKDAYS + [f"hour__{h}" for h in range(24)] + [f"minute_{m}" for m in cal.BIN_MINUTES]
+_WEATHER_COLS = ["temperature", "wind_speed", "n_obs"]
+SQL_TUNE_LR_FEATURES = _sql_linear_features(
+    SQL_TRAVEL_TIME_FEATURES, "avg_travel_time", _LAG_COLS + _CALENDAR_COLS + ["is_holiday"] + _WEATHER_COLS + _RF_COLS,
+    models.LR_GRID)
+SQL_TUNE_LR_VOLUME_FEATURES = _sql_linear_features(
+    SQL_VOLUME_FEATURES, "volume", _LAG_COLS + _CALENDAR_COLS + ["holiday"] + _WEATHER_COLS, models.LR_GRID_VOLUME)
+
+
 # ------------------------------------------------------------- registry
 
 QUERIES = {
@@ -1613,6 +1694,7 @@ QUERIES = {
     "travel_time_model": q_travel_time_model, "time_holdout": q_time_holdout,
     "corr_features": q_corr_features, "volume_forecast": q_volume_forecast,
     "travel_time_forecast": q_travel_time_forecast, "bin_augmented": q_bin_augmented,
+    "tune_lr_features": q_tune_lr_features, "tune_lr_volume_features": q_tune_lr_volume_features,
     "src_csv_rejects": q_src_csv_rejects, "onehot_open": q_onehot_open, "profile_merge": q_profile_merge,
 }
 
@@ -1649,5 +1731,6 @@ ORACLE_SQL = {
     "travel_time_model": SQL_TRAVEL_TIME_MODEL, "time_holdout": SQL_TIME_HOLDOUT,
     "corr_features": SQL_CORR_FEATURES, "volume_forecast": SQL_VOLUME_FORECAST,
     "travel_time_forecast": SQL_TRAVEL_TIME_FORECAST, "bin_augmented": SQL_BIN_AUGMENTED,
+    "tune_lr_features": SQL_TUNE_LR_FEATURES, "tune_lr_volume_features": SQL_TUNE_LR_VOLUME_FEATURES,
     "src_csv_rejects": SQL_SRC_CSV_REJECTS, "onehot_open": SQL_ONEHOT_OPEN, "profile_merge": SQL_PROFILE_MERGE,
 }
