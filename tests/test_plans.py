@@ -26,10 +26,10 @@ def test_scan_pruning_and_pushdown(spark):
 
 def test_lags_use_balanced_buckets_not_key_windows(spark):
     f = _formatted(C.q_lags_by_key(spark, SF001))
-    assert "hashpartitioning(_key" in f and "_bkt" in f
+    assert "hashpartitioning(_key" in f and "_b0" in f
     # windows over data are partitioned by key and bucket, those over the key alone see summaries
     for line in f.splitlines():
-        if line.startswith("Arguments:") and "windowspecdefinition(" in line and "_bkt" not in line:
+        if line.startswith("Arguments:") and "windowspecdefinition(" in line and "_b0" not in line:
             raise AssertionError(line)
 
 
@@ -119,9 +119,9 @@ def test_single_task_windows_only_over_summaries(spark):
             for of, spec in re.findall(r"(\w+)(?:#\d+L?[^()]*)?\)? windowspecdefinition\(([^()]*)", line):
                 first = spec.split(", ")[0]
                 if re.search(r" (ASC|DESC)", first):  # no partition columns before the order
-                    assert first.startswith("_bkt#"), line
+                    assert first.startswith("_b0#"), line
                     assert re.search(r"_(tail|head|lastv|firstv|cnt|sofar|markat)", line), line
                     single.append(q.__name__)
                 else:
-                    assert first.startswith(("_key#", "_bkt#")), line
+                    assert first.startswith(("_key#", "_b0#")), line
     assert "q_lags_global" in single and not {"q_sentinel_repair", "q_locf_grid"} & set(single)

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tollcast.operators.sequence import add_sequence, ordered_scan
+from tollcast.operators.sequence import add_sequence, ordered_scan, time_levels
 
 
 def _rows(seed, sizes):
@@ -116,3 +116,78 @@ def test_weighted_sequence(spark):
     df = spark.range(0, 300).selectExpr("id", "(id * 37) % 300 AS o", "id % 4 AS w")
     out = add_sequence(df, ["o"], num_partitions=5, weight="w").toPandas().sort_values("o")
     assert out["_seq"].tolist() == (out["w"].cumsum() - out["w"]).tolist()
+
+
+def _tied_rows(seed, n):
+    """Half of all rows in one hour of one key, a third of those at one instant."""
+    import datetime as dt
+    rnd, rows = random.Random(seed), []
+    hot = dt.datetime(2024, 1, 1, 5)
+    for i in range(n):
+        if i % 2:
+            ts, key = hot + dt.timedelta(seconds=0 if i % 3 == 0 else rnd.randint(0, 3599)), 1
+        else:
+            ts, key = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 200_000)), rnd.choice((1, 2, 3))
+        rows.append((i, key, ts, None if rnd.random() < 0.4 else float(rnd.randint(0, 100))))
+    return rows
+
+
+def _levels(kind):
+    time = time_levels("t", "id", 16)
+    return {"seconds": time[:2], "ties": time, "one": time[:1],
+            "days": [[F.to_date("t")], [F.hour("t")], *time[1:]]}[kind]
+
+
+@pytest.mark.parametrize("kind", ["one", "seconds", "ties", "days"])
+def test_levels_match_pandas(spark, kind):
+    rows = _tied_rows(3, 600)
+    df = spark.createDataFrame(rows, "id long, k long, t timestamp_ntz, v double")
+    df = df.withColumn("m", F.coalesce(F.col("v") < 15, F.lit(False)))
+    scan = {"lags": {"l1": ("v", 1), "l3": ("v", 3), "l9": ("v", 9)}, "leads": {"n1": ("v", 1), "n4": ("v", 4)},
+            "ffill": {"fi": ("v", True), "fe": ("v", False)}, "bfill": {"bi": ("v", True), "be": ("v", False)},
+            "since": {"n": ("m", "v")}}
+    got = ordered_scan(df, ["k"], ["t", "id"], levels=_levels(kind), **scan).toPandas()
+    got = got.sort_values(["k", "t", "id"]).reset_index(drop=True)
+    pdf, exp = _expected(rows)
+    exp["n4"], exp["l9"] = pdf.groupby("k")["v"].shift(-4), pdf.groupby("k")["v"].shift(9)
+    assert list(got["id"]) == list(pdf["id"])
+    for c in exp.columns:
+        assert _same(got[c], exp[c]), c
+    flat = ordered_scan(df, ["k"], ["t", "id"], buckets=[F.lit(0)], since=scan["since"]).toPandas()
+    flat = flat.sort_values(["k", "t", "id"]).reset_index(drop=True)
+    assert flat["n"].notna().any() and _same(got["n"], flat["n"])
+
+
+def test_levels_with_null_keys_and_ties(spark):
+    rows = [(None if i % 5 == 0 else i, None if i % 2 else 7, i) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "id long, k long, v long").withColumn("t", F.lit("2024-01-01").cast("timestamp_ntz"))
+    out = ordered_scan(df, ["k"], ["t", "id", "v"], levels=time_levels("t", "id", 4), lags={"l": ("v", 1)}).collect()
+    for key in (None, 7):
+        mine = sorted((r for r in out if r.k == key), key=lambda r: (r.id is not None, r.id or 0, r.v))
+        assert [r.l for r in mine] == [None] + [r.v for r in mine][:-1]
+
+
+def test_levels_spread_a_hot_hour(spark):
+    """A key's hour with half of all rows, a third of them at one instant: no task holds more than a few per cent."""
+    n, parts = 40_000, 64
+    ts = F.expr("timestamp_ntz '2024-01-01 05:00:00' + make_dt_interval(0, 0, 0, "
+                "CASE WHEN id % 2 = 0 THEN id * 7 WHEN id % 3 = 0 THEN 0 ELSE id % 3600 END)")
+    df = spark.range(n).select("id", F.when(F.col("id") % 2 == 0, F.col("id") % 97).otherwise(1).alias("k"), ts.alias("t"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+        def largest(**cut):
+            out = ordered_scan(df, ["k"], ["t", "id"], lags={"l": ("id", 1)}, **cut)
+            # the look-up is used, or the scan would be pruned
+            sizes = out.groupBy(F.spark_partition_id().alias("p")).agg(
+                F.count(F.lit(1)).alias("rows"), F.max("l")).toPandas()["rows"]
+            assert sizes.sum() == n
+            return sizes.max() / n
+
+        assert largest(bucket_hours=1) > 0.45
+        assert largest(levels=time_levels("t", "id", 64)) < 0.05
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -12,7 +12,10 @@ integer), and works in two levels:
    and leads, the last and first non-NULL values, row counts.  Running values
    over a key's summaries are its carries, which one join brings back.
 
-A task holds buckets, never a whole key.  Buckets are computed from the rows
+A task holds buckets, never a whole key.  Where one bucket may be hot itself,
+``levels`` cut it further (seconds of an hour, ranges of a tie-breaker among
+rows of one instant), and the carries are combined upwards level by level and
+handed down again.  Buckets are computed from the rows
 alone, so the plan is lazy: no job, no sampling and no cached frame, and any
 recomputation gives the same rows.  Keys and buckets are compared as structs,
 in which NULL equals NULL.  The order must be unique (add a tie-breaker such
@@ -99,11 +102,82 @@ def bucket_columns(df: DataFrame, order, hours: int = BUCKET_HOURS,
     raise ValueError("name bucket columns for an order without a time or an integer first")
 
 
+def time_levels(ts: str, tie: str | None = None, width: int = BUCKET_WIDTH) -> list[list[Column]]:
+    """Levels of an order by time: hours, seconds and, where rows share an instant, ranges of
+    ``width`` of the integer ``tie`` that comes next in the order."""
+    out = [[F.to_date(ts), F.hour(ts)], [F.minute(ts), F.floor(F.second(ts)).cast("int")]]
+    if tie:
+        out.append([F.col(ts), F.floor(F.col(tie) / F.lit(width)).cast("long")])
+    return out
+
+
+def _is_prefix(name: str) -> bool:
+    """Whether a summary column tells of what came before a row (else of what comes after)."""
+    return not name.startswith(("_head", "_firstv"))
+
+
+def _added(names, near, far, k_lag: int, k_lead: int) -> dict[str, Column]:
+    """Summaries of two neighbouring stretches as one, the nearer to a row and the farther;
+    ``near`` and ``far`` give a summary column by name."""
+    out = {}
+    for c in names:
+        if c == "_tail":
+            both = F.concat(far(c), near(c))
+            out[c] = F.slice(both, F.greatest(F.size(both) - k_lag + 1, F.lit(1)), k_lag)
+        elif c == "_head":
+            out[c] = F.slice(F.concat(near(c), far(c)), 1, k_lead)
+        elif c.startswith("_cnt"):
+            out[c] = far(c) + near(c)
+        elif c.startswith("_markat"):
+            out[c] = F.coalesce(far(c.replace("_markat", "_cnt")) + near(c), far(c))
+        else:
+            out[c] = F.coalesce(near(c), far(c))
+    return out
+
+
+def _carries(summary: DataFrame, levels: list[str], names: list[str], k_lag: int, k_lead: int) -> DataFrame:
+    """For each summary row, what all rows of its key before it (or after it) sum up to.
+
+    Running values among the rows of one bucket of the level above, then that
+    bucket's own summary from its last (first) row, whose carries come from one
+    level further up and are handed down by a join.  A task holds the summaries
+    of one bucket of the level above; at the top, those of a key.
+    """
+    *upper, last = levels
+    w = Window.partitionBy("_key", *upper).orderBy(last)
+    wd = Window.partitionBy("_key", *upper).orderBy(F.col(last).desc())
+    earlier, later = (x.rowsBetween(Window.unboundedPreceding, -1) for x in (w, wd))
+    summary = summary.withColumns({f"_sofar{c[4:]}": F.coalesce(F.sum(c).over(earlier), F.lit(0))
+                                   for c in names if c.startswith("_cnt")})
+    inner = {}
+    for c in names:
+        if c == "_tail":
+            inner[c] = F.flatten(F.collect_list(c).over(w.rowsBetween(-k_lag, -1)))
+        elif c == "_head":
+            inner[c] = F.flatten(F.collect_list(c).over(w.rowsBetween(1, k_lead)))
+        elif c.startswith("_cnt"):
+            inner[c] = F.col(f"_sofar{c[4:]}")
+        elif c.startswith("_markat"):
+            inner[c] = F.last(F.col(f"_sofar{c[7:]}") + F.col(c), ignorenulls=True).over(earlier)
+        else:
+            inner[c] = F.last(c, ignorenulls=True).over(earlier if _is_prefix(c) else later)
+    if not upper:
+        return summary.select("_key", last, *[x.alias(c) for c, x in inner.items()])
+    within = summary.withColumns({f"_in{c}": x for c, x in inner.items()})
+    upto = _added(names, F.col, lambda c: F.col(f"_in{c}"), k_lag, k_lead)
+    whole = within.groupBy("_key", *upper).agg(*[
+        (F.max_by if _is_prefix(c) else F.min_by)(x, F.col(last)).alias(c) for c, x in upto.items()])
+    outer = _carries(whole, upper, names, k_lag, k_lead)
+    outer = outer.select("_key", *upper, *[F.col(c).alias(f"_out{c}") for c in names])
+    down = _added(names, lambda c: F.col(f"_in{c}"), lambda c: F.col(f"_out{c}"), k_lag, k_lead)
+    return within.join(outer, ["_key", *upper]).select("_key", *levels, *[x.alias(c) for c, x in down.items()])
+
+
 def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
                  leads: dict | None = None, ffill: dict | None = None,
                  bfill: dict | None = None, since: dict | None = None,
                  buckets: list | None = None, bucket_hours: int = BUCKET_HOURS,
-                 bucket_width: int = BUCKET_WIDTH) -> DataFrame:
+                 bucket_width: int = BUCKET_WIDTH, levels: list | None = None) -> DataFrame:
     """Positional look-ups within each key, in ``order``.
 
     ``lags``/``leads``: ``{out: (column, k)}`` value ``k`` rows back/ahead in
@@ -117,20 +191,25 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
     ``keys`` may be empty: the scan then runs over the whole table's order, and
     its summaries (a row for each bucket) are the one thing that meets in a task.
     ``buckets``: columns that rise with ``order``; default ``bucket_columns``.
+    ``levels``: such columns from coarse to fine, each a list that rises with
+    ``order`` among rows equal in the lists before it (``time_levels``); rows
+    meet by the finest, and summaries of a level by the one above it.
     """
     lags, leads, ffill, bfill, since = (x or {} for x in (lags, leads, ffill, bfill, since))
     orig = [F.col(f"`{c}`") for c in df.columns]
     made = {f"_o{i}": c for i, c in enumerate(order) if isinstance(c, Column)}
     df = df.withColumns(made) if made else df
     order = [f"_o{i}" if isinstance(c, Column) else c for i, c in enumerate(order)]
-    parts = buckets or bucket_columns(df, order, bucket_hours, bucket_width)
+    levels = levels or [buckets or bucket_columns(df, order, bucket_hours, bucket_width)]
+    cut = [f"_b{i}" for i in range(len(levels))]
+    at = ["_key", *cut]
     s = df.withColumns({
         "_key": F.struct(*_cols(keys)) if keys else F.struct(F.lit(0).alias("all")),
-        "_bkt": F.struct(*[c.alias(f"b{i}") for i, c in enumerate(parts)])})
+        **{b: F.struct(*[c.alias(f"c{i}") for i, c in enumerate(parts)]) for b, parts in zip(cut, levels)}})
 
-    w = Window.partitionBy("_key", "_bkt").orderBy(*order)
-    wd = Window.partitionBy("_key", "_bkt").orderBy(*[F.col(c).desc() for c in order])
-    whole = Window.partitionBy("_key", "_bkt")
+    w = Window.partitionBy(*at).orderBy(*order)
+    wd = Window.partitionBy(*at).orderBy(*[F.col(c).desc() for c in order])
+    whole = Window.partitionBy(*at)
     upto, before = (w.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
     onward, after = (wd.rowsBetween(Window.unboundedPreceding, e) for e in (0, -1))
 
@@ -154,7 +233,7 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
         s = s.withColumns({f"_m{i}": F.max(F.when(F.col(mark), F.col(f"_c{i}"))).over(upto)
                            for i, (mark, _) in enumerate(since.values())})
 
-    # one summary row per (key, bucket)
+    # one summary row per (key, bucket); _carries says how they add up
     lag_src, lead_src = (list(dict.fromkeys(c for c, _ in x.values())) for x in (lags, leads))
     f_src, b_src = (list(dict.fromkeys(c for c, _ in x.values())) for x in (ffill, bfill))
     rn, n = F.col("_rn"), F.col("_n")
@@ -172,26 +251,10 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
              for i, c in enumerate(b_src)]
     for i, (_, counted) in enumerate(since.values()):
         aggs += [F.count(counted).alias(f"_cnt{i}"), F.max(f"_m{i}").alias(f"_markat{i}")]
-    summary = s.groupBy("_key", "_bkt").agg(*aggs)
-
-    # running values over a key's summaries
-    sw = Window.partitionBy("_key").orderBy("_bkt")
-    swd = Window.partitionBy("_key").orderBy(F.col("_bkt").desc())
-    earlier, later = (x.rowsBetween(Window.unboundedPreceding, -1) for x in (sw, swd))
-    carries: dict[str, Column] = {}
-    if lags:
-        carries["_tail"] = F.flatten(F.collect_list("_tail").over(sw.rowsBetween(-k_lag, -1)))
-    if leads:
-        carries["_head"] = F.flatten(F.collect_list("_head").over(sw.rowsBetween(1, k_lead)))
-    carries |= {f"_lastv{i}": F.last(f"_lastv{i}", ignorenulls=True).over(earlier) for i in range(len(f_src))}
-    carries |= {f"_firstv{i}": F.last(f"_firstv{i}", ignorenulls=True).over(later) for i in range(len(b_src))}
-    if since:
-        summary = summary.withColumns({f"_sofar{i}": F.coalesce(F.sum(f"_cnt{i}").over(earlier), F.lit(0))
-                                       for i in range(len(since))})
-        carries |= {f"_since{i}": F.col(f"_sofar{i}") - F.last(
-            F.col(f"_sofar{i}") + F.col(f"_markat{i}"), ignorenulls=True).over(earlier) for i in range(len(since))}
-    carry = summary.select("_key", "_bkt", *[c.alias(name) for name, c in carries.items()])
-    s = s.join(carry, ["_key", "_bkt"], "left")
+    summary = s.groupBy(*at).agg(*aggs)
+
+    names = [c for c in summary.columns if c not in at]
+    s = s.join(_carries(summary, cut, names, k_lag, k_lead), at, "left")
 
     outs = []
     for i, (out, (src, k)) in enumerate(lags.items()):
@@ -207,5 +270,5 @@ def ordered_scan(df: DataFrame, keys, order, *, lags: dict | None = None,
     for i, (out, (src, _)) in enumerate(bfill.items()):
         outs.append(F.coalesce(F.col(f"_h{i}"), F.col(f"_firstv{b_src.index(src)}")["v"]).alias(out))
     for i, out in enumerate(since):
-        outs.append(F.coalesce(F.col(f"_c{i}") - F.col(f"_m{i}"), F.col(f"_since{i}") + F.col(f"_c{i}")).alias(out))
+        outs.append(F.coalesce(F.col(f"_c{i}") - F.col(f"_m{i}"), F.col(f"_cnt{i}") - F.col(f"_markat{i}") + F.col(f"_c{i}")).alias(out))
     return s.select(*orig, *outs)

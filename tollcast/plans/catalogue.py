@@ -16,6 +16,7 @@ from ..functions import calendar as cal
 from ..functions import timefns as tf
 from ..operators import (align, bins, encode, fill, joins, lags, metrics, models, profile, repair, routes,
                          states, tuning)
+from ..operators.sequence import time_levels
 from ..session import scratch_path
 from ..sources import csv as csvsrc
 from ..sources import inspect as insp
@@ -351,6 +352,13 @@ def q_seq_repair_twice(spark: SparkSession, d: str) -> DataFrame:
     return _repair_out(r)
 
 
+def q_seq_repair_levels(spark: SparkSession, d: str) -> DataFrame:
+    """The same repair with a key's hours cut into seconds, and instants by event."""
+    r = repair.outlier_repair(_repair_input(spark, d), "value", T_REPAIR, keys=["user_id"],
+                              order=["ts", "event_id"], out="repaired", levels=time_levels("ts", "event_id"))
+    return _repair_out(r)
+
+
 def _sql_repair_pass(name: str, src: str, t: float) -> str:
     """Recursive CTE: row by row per user, exactly the W2 recurrence."""
     return f"""
@@ -427,6 +435,17 @@ def q_sentinel_repair(spark: SparkSession, d: str) -> DataFrame:
     return _repair_out(r)
 
 
+def q_lags_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Lags over the events of a type, of which there are few: a key's hours are cut into seconds."""
+    out = lags.add_lags(si.events(spark, d).select("event_id", "event_type", "ts", "value"), "value", 7,
+                        partition_by=["event_type"], order=["ts", "event_id"], levels=time_levels("ts", "event_id"))
+    return out.select("event_id", "event_type", "value", *_LAG_COLS)
+
+
+SQL_LAGS_LEVELS = f"""
+SELECT event_id, event_type, value, {", ".join(f"lag(value, {i}) OVER w AS lag{i}" for i in range(1, 8))}
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)"""
+
 SQL_SENTINEL_REPAIR = f"""
 WITH x AS (
   SELECT event_id, user_id, ts,
@@ -1694,6 +1713,7 @@ QUERIES = {
     "travel_time_model": q_travel_time_model, "time_holdout": q_time_holdout,
     "corr_features": q_corr_features, "volume_forecast": q_volume_forecast,
     "travel_time_forecast": q_travel_time_forecast, "bin_augmented": q_bin_augmented,
+    "lags_levels": q_lags_levels, "seq_repair_levels": q_seq_repair_levels,
     "tune_lr_features": q_tune_lr_features, "tune_lr_volume_features": q_tune_lr_volume_features,
     "src_csv_rejects": q_src_csv_rejects, "onehot_open": q_onehot_open, "profile_merge": q_profile_merge,
 }
@@ -1731,6 +1751,7 @@ ORACLE_SQL = {
     "travel_time_model": SQL_TRAVEL_TIME_MODEL, "time_holdout": SQL_TIME_HOLDOUT,
     "corr_features": SQL_CORR_FEATURES, "volume_forecast": SQL_VOLUME_FORECAST,
     "travel_time_forecast": SQL_TRAVEL_TIME_FORECAST, "bin_augmented": SQL_BIN_AUGMENTED,
+    "lags_levels": SQL_LAGS_LEVELS, "seq_repair_levels": SQL_SEQ_REPAIR,
     "tune_lr_features": SQL_TUNE_LR_FEATURES, "tune_lr_volume_features": SQL_TUNE_LR_VOLUME_FEATURES,
     "src_csv_rejects": SQL_SRC_CSV_REJECTS, "onehot_open": SQL_ONEHOT_OPEN, "profile_merge": SQL_PROFILE_MERGE,
 }
