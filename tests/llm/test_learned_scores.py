@@ -1,3 +1,6 @@
+import bisect
+import math
+import string
 import zlib
 
 import numpy as np
@@ -54,6 +57,40 @@ def test_sizes_are_those_of_plain_compression(monkeypatch):
     assert C.size_difference(None, good, bad) == (0, 0)
 
 
+def straight(x, xs, ys):
+    """Linear between the points, flat beyond them."""
+    if x <= xs[0]:
+        return ys[0]
+    if x >= xs[-1]:
+        return ys[-1]
+    k = bisect.bisect_right(xs, x) - 1
+    return ys[k] if xs[k + 1] == xs[k] else ys[k] + (ys[k + 1] - ys[k]) * (x - xs[k]) / (xs[k + 1] - xs[k])
+
+
+def test_compression_scores_of_the_whole_table_against_plain_python(spark, tables):
+    """The registered query, and every score from the model's numbers by plain compression."""
+    from tollcast.llm.queries import QUERIES
+    docs, labels = tables
+    model = C.learn(docs.filter(fold("doc_id", 3) != 1), labels.filter(fold("doc_id", 3) != 1))
+    packers = [zstandard.ZstdCompressor(level=C.LEVEL, dict_data=zstandard.ZstdCompressionDict(d),
+                                        write_checksum=False, write_content_size=False, write_dict_id=False)
+               for d in (model.good, model.bad)]
+
+    def plain(text):
+        chunks = [text[i:i + C.CHUNK_CHARS].encode() for i in range(0, len(text), C.CHUNK_CHARS)]
+        good, bad = (sum(len(p.compress(c)) for c in chunks) for p in packers)
+        x = (bad - good + C.PRIOR_BYTES * model.usual) / (sum(map(len, chunks)) + C.PRIOR_BYTES)
+        smooth = 1 / (1 + math.exp(-max(-30, min(30, model.slope * x + model.offset))))
+        return (1 - C.FINE) * straight(x, *model.curve) + C.FINE * smooth
+
+    texts = {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
+    rows = QUERIES["op8_quality_classifier"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert r.score == pytest.approx(plain(texts[r.doc_id]), abs=1e-9), r.doc_id
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
 def test_isotonic_is_the_best_rising_fit():
     from pyspark.ml.regression import IsotonicRegression  # noqa: F401  (same rule, other code)
     rng = np.random.default_rng(2)
@@ -91,6 +128,97 @@ def test_toxicity_features():
     assert clean["lexicon_rate"] == clean["hidden_rate"] == clean["obfuscation_rate"] == 0
 
 
+def plain_features(text, weights):
+    """The toxicity features by their definitions, a character and a word at a time."""
+    def letter(c):
+        return c.isalnum() and not c.isdecimal()
+
+    def runs(w, signs):
+        """(start, end) of the longest runs of digits and ``signs``."""
+        at, out = 0, []
+        while at < len(w):
+            end = at
+            while end < len(w) and (w[end].isdecimal() or w[end] in signs):
+                end += 1
+            if end > at:
+                out.append((at, end))
+            at = max(end, at + 1)
+        return out
+
+    def obfuscated(w):
+        between = any(a > 0 and b < len(w) and letter(w[a - 1]) and letter(w[b]) for a, b in runs(w, "@$!|*._-"))
+        before = any(a == 0 and b < len(w) and letter(w[b]) for a, b in runs(w, "@$!|"))
+        behind = any(a > 0 and b == len(w) and letter(w[a - 1]) for a, b in runs(w, "@$"))
+        return between or before or behind
+
+    def stretched(w):
+        return any(a == b == c for a, b, c in zip(w, w[1:], w[2:]))
+
+    def plain_form(w):
+        w = "".join(dict(zip("013457@$!|", "oieastasil")).get(c, c) for c in w)
+        kept = []
+        for i, c in enumerate(w):
+            k = i
+            while k > 0 and w[k - 1] == c:
+                k -= 1
+            end = i
+            while end + 1 < len(w) and w[end + 1] == c:
+                end += 1
+            if k == i or end - k + 1 < 3:
+                kept.append(c)
+        return "".join(c for c in kept if letter(c))
+
+    def weight(w):
+        return max(v for k, v in [("", 0.0), *weights.items()]
+                   if k == "" or k == w or (k.endswith("*") and len(w) > len(k) - 1 and len(k) - 1 in T.STEMS
+                                            and w.startswith(k[:-1])))
+
+    text = text or ""
+    words = text.lower().split()
+    if not words:
+        return [0.0] * len(T.FEATURES)
+    cores = [w.strip(string.punctuation + "«»“”„’…") for w in words]
+    shown = [weight(w) for w in cores]
+    hidden = [0.0 if s or not (obfuscated(w) or stretched(w)) else weight(plain_form(w)) for w, s in zip(cores, shown)]
+    hit = [max(a, b) for a, b in zip(shown, hidden)]
+    you = [w in T.SECOND_PERSON for w in cores]
+    near = [h > 0 and any(y for j, y in enumerate(you) if j != i and abs(i - j) <= T.NEAR) for i, h in enumerate(hit)]
+    n, chars = len(words), len(text)
+    small = [("a", "z"), ("ß", "ö"), ("ø", "ÿ")]
+    capitals = sum(letter(c) and c != "_" and not any(a <= c <= b for a, b in small) for c in text)
+    return [math.log1p(n), sum(s > 0 for s in shown) / n, sum(hit) / n, max(hit), math.log1p(sum(h > 0 for h in hit)),
+            sum(h > 0 for h in hidden) / n, sum(near) / n, sum(w in T.SECOND_PERSON for w in words) / n,
+            capitals / chars, sum(w.isupper() and len(w) > 2 for w in text.split()) / n,
+            sum(c == "!" for c in text) / chars, sum(c in string.punctuation for c in text) / chars,
+            sum(map(obfuscated, cores)) / n, sum(stretched(w) and w.isalpha() for w in cores) / n]
+
+
+def test_toxicity_scores_of_the_whole_table_against_plain_python(spark, tables, odd_documents):
+    """Features and scores of the registered query's rows, from the model's entries, trees and curve."""
+    from pyspark.ml.linalg import Vectors
+    from tollcast.llm.queries import QUERIES
+    docs, labels = tables
+    model = T.learn(docs.filter(fold("doc_id", 5) != 0), labels.filter(fold("doc_id", 5) != 0))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    rows = T.score(docs, model).collect()
+    asked = {r.doc_id: r.score for r in QUERIES["op9_toxicity"](spark, SF).collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(asked) == sorted(texts)
+    xs, ys = (list(map(float, v)) for v in (model.curve.boundaries, model.curve.predictions))
+    memo = {}
+    for r in rows:
+        want = plain_features(texts[r.doc_id], model.weights)
+        assert r.features == pytest.approx(want, abs=1e-12), r.doc_id
+        key = tuple(r.features)
+        if key not in memo:
+            p = float(model.trees.predictProbability(Vectors.dense(key))[1])
+            memo[key] = (1 - T.FINE) * straight(p, xs, ys) + T.FINE * p
+        assert r.score == pytest.approx(memo[key], abs=1e-9)
+        assert asked[r.doc_id] == pytest.approx(r.score, abs=1e-9)
+    tricky = ["You IDIOT, you 1d10t! sc.um idiooot", "a!!b 12ab ab12 x__y _z -a- 5 55 é9 ÄÖÜ ß 0x0 l33t$ $tup1d", "wwwow!!!  YOU\tur"]
+    for t in tricky + [r.text for r in odd_documents.collect()]:
+        assert list(T.text_features(t, T.Lexicon(model.weights))) == pytest.approx(plain_features(t, model.weights), abs=1e-12), t
+
+
 @pytest.mark.parametrize("module,column", [(C, "quality"), (T, "toxic")])
 def test_odd_rows(spark, module, column, tables, odd_documents, no_documents):
     docs, labels = tables
