@@ -20,6 +20,7 @@ from ..operators.sequence import time_levels
 from ..session import scratch_path
 from ..sources import csv as csvsrc
 from ..sources import inspect as insp
+from ..sources import keyed
 from ..sources.tables import table, written
 from . import features, modeling
 from . import standins as si
@@ -813,6 +814,16 @@ SELECT o.o_orderkey, o.o_custkey, o.o_totalprice,
 FROM orders o LEFT JOIN rf ON rf.o_orderkey = o.o_orderkey"""
 
 
+def q_feature_join_stored(spark: SparkSession, d: str) -> DataFrame:
+    """The same join between tables stored by key."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    facts = keyed.store_facts(o, "orders_by_key", ["o_orderkey"])
+    routes_ = keyed.store_features(_route_features(spark, d), "routes_by_key", ["o_orderkey"])
+    j = keyed.stored_join(facts, routes_, ["o_orderkey"])
+    return j.select("o_orderkey", "o_custkey", "o_totalprice",
+                    *[F.col(c).cast("double").alias(c) for c in _RF_COLS])
+
+
 # -------------------------------------------------- alignment, imputation
 
 _TRAIN_COLS = ["event_id", "user_id", "value", "lag1", "label"]
@@ -1713,7 +1724,7 @@ QUERIES = {
     "travel_time_model": q_travel_time_model, "time_holdout": q_time_holdout,
     "corr_features": q_corr_features, "volume_forecast": q_volume_forecast,
     "travel_time_forecast": q_travel_time_forecast, "bin_augmented": q_bin_augmented,
-    "lags_levels": q_lags_levels, "seq_repair_levels": q_seq_repair_levels,
+    "feature_join_stored": q_feature_join_stored, "lags_levels": q_lags_levels, "seq_repair_levels": q_seq_repair_levels,
     "tune_lr_features": q_tune_lr_features, "tune_lr_volume_features": q_tune_lr_volume_features,
     "src_csv_rejects": q_src_csv_rejects, "onehot_open": q_onehot_open, "profile_merge": q_profile_merge,
 }
@@ -1751,7 +1762,7 @@ ORACLE_SQL = {
     "travel_time_model": SQL_TRAVEL_TIME_MODEL, "time_holdout": SQL_TIME_HOLDOUT,
     "corr_features": SQL_CORR_FEATURES, "volume_forecast": SQL_VOLUME_FORECAST,
     "travel_time_forecast": SQL_TRAVEL_TIME_FORECAST, "bin_augmented": SQL_BIN_AUGMENTED,
-    "lags_levels": SQL_LAGS_LEVELS, "seq_repair_levels": SQL_SEQ_REPAIR,
+    "feature_join_stored": SQL_FEATURE_JOIN, "lags_levels": SQL_LAGS_LEVELS, "seq_repair_levels": SQL_SEQ_REPAIR,
     "tune_lr_features": SQL_TUNE_LR_FEATURES, "tune_lr_volume_features": SQL_TUNE_LR_VOLUME_FEATURES,
     "src_csv_rejects": SQL_SRC_CSV_REJECTS, "onehot_open": SQL_ONEHOT_OPEN, "profile_merge": SQL_PROFILE_MERGE,
 }
