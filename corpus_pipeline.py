@@ -27,22 +27,36 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component stays, that of the smallest doc_id."""
+    """One document of each SimHash component stays, that of the smallest doc_id.
+
+    NULL texts, empty ones and those without a word have the fingerprint zero and are
+    linked like any other; a NULL doc_id comes last, ties go by the texts' hash, and of
+    rows that repeat the kept doc_id and text one stays."""
     return simhash.one_per_component(docs, shingle_words=3, max_bits=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    NULL and empty texts hold none and stay; rows are judged one by one, so repeated rows
+    go or stay together; items without a word match nothing, and an empty benchmark
+    removes nothing."""
     return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; every document stays."""
+    """Secrets are replaced by a mark; every document stays.
+
+    NULL texts stay NULL, empty ones empty; spans that overlap become one mark, those
+    that only touch one each; repeated rows change alike."""
     return secrets.redact(docs, parts=True)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece with its sequence and place there."""
+    """A row per piece with its sequence and place there.
+
+    A NULL or empty text is a piece of the end id alone; repeated rows are packed each for
+    itself; ties between bins may fall either way, as sequence numbers carry no meaning."""
     return packing.pack_documents(docs, capacity=1024, end_id=2)
 
 
