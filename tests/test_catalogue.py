@@ -15,7 +15,8 @@ from tollcast.sources.tables import DRIVER_TABLES
 from conftest import SF001
 
 # Fits of many models: checked by tools/oracle_check.py rather than in every test run.
-SLOW = {"tune_lr", "tune_lr_volume", "tune_gbt", "tune_gbt_volume", "tune_rf", "tune_rf_volume"}
+SLOW = {"tune_lr", "tune_lr_volume", "tune_gbt", "tune_gbt_volume", "tune_rf", "tune_rf_volume",
+        "tune_lr_features", "tune_lr_volume_features"}
 
 
 def _norm(v):

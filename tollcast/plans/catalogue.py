@@ -1619,17 +1619,15 @@ _WINDOW_NUMBER = "floor(unix_timestamp(window_start) / 1200)"
 
 
 def _tuned_features(features_: DataFrame, key: str, label: str, grid: dict) -> DataFrame:
-    """A row for each point of a linear grid on all numeric features; the error of the points
-    without an L1 part, which SQL can solve."""
+    """A row for each point of a linear grid on all numeric features, with its error."""
     rows = modeling.training_rows(features_, [key], label)
     train, valid = tuning.holdout(rows, F.expr(_WINDOW_NUMBER))
     numbers = modeling.numeric_columns(rows, without=(label, key))
     out = tuning.table(rows.sparkSession, grid, tuning.linear_grid(train, valid, numbers, label, grid))
     facts = valid.agg(F.struct(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("dev"))).scalar()
-    ridge = F.col("elasticNetParam") == "0.0"
-    return out.select(*grid, F.when(ridge, _r(F.col("rmse"), R4)).alias("rmse"),
+    return out.select(*grid, _r(F.col("rmse"), R4).alias("rmse"),
                       train.agg(F.count(F.lit(1))).scalar().alias("n_train"), facts.getField("n").alias("n_valid"),
-                      F.when(ridge, F.col("rmse") < facts.getField("dev")).alias("beats_mean"))
+                      (F.col("rmse") < facts.getField("dev")).alias("beats_mean"))
 
 
 def q_tune_lr_features(spark: SparkSession, d: str) -> DataFrame:
@@ -1643,45 +1641,66 @@ def q_tune_lr_volume_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _sql_linear_features(features_sql: str, label: str, numbers: list, grid: dict) -> str:
-    """The ridge points by Gauss-Jordan elimination of the normal equations, a pivot a step."""
+    """Points without an L1 part by Gauss-Jordan elimination of the normal equations, a pivot a
+    step; the others by as many sweeps of coordinate descent as the operator makes."""
     k = len(numbers)
     values = ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE)" for c in [*numbers, label])
     names = ", ".join(f'"{n}"' for n in grid)
+    places = ", ".join(f"[{j}.0::DOUBLE]" for j in range(1, k + 1))
+    at = "CAST(e[1] AS INTEGER)"
+    rest = f"(gm[{at}][{k + 1}] - list_dot_product(gm[{at}][1:{k}], b) + gm[{at}][{at}] * b[{at}])"
+    moved = f"sign({rest}) * greatest(abs({rest}) - l1, 0.0) / (gm[{at}][{at}] + l2)"
     return f"""
 WITH RECURSIVE f AS ({features_sql}),
 r AS (SELECT [{values}] AS v,
              (CAST(epoch(strptime(substr(time_window, 2, 19), '%Y-%m-%d %H:%M:%S')) AS BIGINT) // 1200) % 10 < 8 AS early
       FROM f WHERE split = 'train' AND {label} IS NOT NULL),
 pt AS ({_sql_points(grid)}),
-sy AS (SELECT DISTINCT "regParam" AS reg, "fitIntercept" AS ic FROM pt),
 ix AS (SELECT unnest(range(1, {k + 2})) AS i),
 m AS (SELECT i, avg(v[i]) AS mean, stddev_samp(v[i]) AS dev FROM r, ix WHERE early GROUP BY i),
 c AS (SELECT a.i AS i, b.i AS j, covar_pop(v[a.i], v[b.i]) AS cov FROM r, ix a, ix b
       WHERE early AND a.i <= {k} GROUP BY 1, 2),
-e AS (SELECT 0 AS p, reg, ic, i, list(cell ORDER BY j) AS line
-      FROM (SELECT reg, ic, c.i, c.j,
+h AS (SELECT ic, i, list(cell ORDER BY j) AS line
+      FROM (SELECT ic, c.i, c.j,
                    CASE WHEN mi.dev > 1e-12 * abs(mi.mean) AND mj.dev > 1e-12 * abs(mj.mean)
                         THEN (cov + CASE WHEN ic = 'True' THEN 0 ELSE mi.mean * mj.mean END) / (mi.dev * mj.dev)
-                             + CASE WHEN c.i = c.j THEN CAST(reg AS DOUBLE) / my.dev ELSE 0 END
                         WHEN c.i = c.j THEN 1.0 ELSE 0.0 END AS cell
-            FROM c JOIN m mi ON mi.i = c.i JOIN m mj ON mj.i = c.j JOIN m my ON my.i = {k + 1}, sy)
-      GROUP BY reg, ic, i
+            FROM c JOIN m mi ON mi.i = c.i JOIN m mj ON mj.i = c.j,
+                 (SELECT DISTINCT "fitIntercept" AS ic FROM pt))
+      GROUP BY ic, i),
+sy AS (SELECT DISTINCT "regParam" AS reg, "fitIntercept" AS ic, "elasticNetParam" AS alpha,
+              CAST("regParam" AS DOUBLE) * CAST("elasticNetParam" AS DOUBLE) / dev AS l1,
+              CAST("regParam" AS DOUBLE) * (1 - CAST("elasticNetParam" AS DOUBLE)) / dev AS l2
+       FROM pt, m WHERE m.i = {k + 1}),
+e AS (SELECT 0 AS p, reg, h.ic, i, [line[q] + CASE WHEN q = i THEN l2 ELSE 0 END for q in range(1, {k + 2})] AS line
+      FROM h JOIN sy ON sy.ic = h.ic WHERE l1 = 0
       UNION ALL
       SELECT p + 1, reg, ic, i,
              CASE WHEN i = p + 1 THEN [x / line[p + 1] for x in line]
                   ELSE [line[q] - lead_line[q] * line[p + 1] / lead_line[p + 1] for q in range(1, {k + 2})] END
       FROM (SELECT *, first_value(line) OVER (PARTITION BY reg, ic ORDER BY i <> p + 1) AS lead_line FROM e WHERE p < {k})),
-w AS (SELECT reg, ic, list(w ORDER BY i) AS ws, CASE WHEN ic = 'True' THEN any_value(my) - sum(w * mean) ELSE 0 END AS b
-      FROM (SELECT reg, ic, e.i, m.mean, my.mean AS my,
-                   CASE WHEN m.dev > 1e-12 * abs(m.mean) THEN line[{k + 1}] * my.dev / m.dev ELSE 0 END AS w
-            FROM e JOIN m ON m.i = e.i JOIN m my ON my.i = {k + 1} WHERE p = {k}) GROUP BY reg, ic),
-z AS (SELECT reg, ic, sqrt(avg((v[{k + 1}] - list_dot_product(v[1:{k}], ws) - b) ^ 2)) AS rmse
-      FROM r, w WHERE NOT early GROUP BY reg, ic),
+hm AS (SELECT ic, list(line ORDER BY i) AS gm FROM h GROUP BY ic),
+it AS (SELECT 0 AS sweep, reg, ic, alpha, l1, l2, [0.0::DOUBLE for q in range({k})] AS b FROM sy WHERE l1 > 0
+       UNION ALL
+       SELECT sweep + 1, reg, it.ic, alpha, l1, l2,
+              list_reduce([{places}], lambda b, e: [CASE WHEN q = {at} THEN {moved} ELSE b[q] END for q in range(1, {k + 1})], b)
+       FROM it JOIN hm ON hm.ic = it.ic WHERE sweep < {max(grid["maxIter"]) * tuning.SWEEPS}),
+solved AS (SELECT reg, ic, '0.0' AS alpha, CAST(NULL AS INTEGER) AS sweep, list(line[{k + 1}] ORDER BY i) AS b
+           FROM e WHERE p = {k} GROUP BY reg, ic
+           UNION ALL
+           SELECT reg, ic, alpha, sweep, b FROM it WHERE sweep IN ({", ".join(str(n * tuning.SWEEPS) for n in grid["maxIter"])})),
+w AS (SELECT reg, ic, alpha, sweep, list(w ORDER BY i) AS ws,
+             CASE WHEN ic = 'True' THEN any_value(my) - sum(w * mean) ELSE 0 END AS b
+      FROM (SELECT s.*, m.i, m.mean, my.mean AS my,
+                   CASE WHEN m.dev > 1e-12 * abs(m.mean) THEN s.b[m.i] * my.dev / m.dev ELSE 0 END AS w
+            FROM solved s, m JOIN m my ON my.i = {k + 1} WHERE m.i <= {k}) GROUP BY reg, ic, alpha, sweep),
+z AS (SELECT reg, ic, alpha, sweep, sqrt(avg((v[{k + 1}] - list_dot_product(v[1:{k}], ws) - b) ^ 2)) AS rmse
+      FROM r, w WHERE NOT early GROUP BY reg, ic, alpha, sweep),
 g AS (SELECT count(*) FILTER (early) AS n_train, count(*) FILTER (NOT early) AS n_valid,
              stddev_pop(v[{k + 1}]) FILTER (NOT early) AS sd FROM r)
-SELECT {names}, CASE WHEN "elasticNetParam" = '0.0' THEN round(rmse, 4) END AS rmse, n_train, n_valid,
-       CASE WHEN "elasticNetParam" = '0.0' THEN rmse < sd END AS beats_mean
-FROM pt JOIN z ON z.reg = pt."regParam" AND z.ic = pt."fitIntercept", g"""
+SELECT {names}, round(rmse, 4) AS rmse, n_train, n_valid, rmse < sd AS beats_mean
+FROM pt JOIN z ON z.reg = pt."regParam" AND z.ic = pt."fitIntercept" AND z.alpha = pt."elasticNetParam"
+     AND coalesce(z.sweep = CAST(pt."maxIter" AS INTEGER) * {tuning.SWEEPS}, true), g"""
 
 
 _CALENDAR_COLS = cal.WEEKDAYS + [f"hour__{h}" for h in range(24)] + [f"minute_{m}" for m in cal.BIN_MINUTES]
