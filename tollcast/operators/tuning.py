@@ -12,6 +12,8 @@ A grid point that is a part of a larger fit needs no fit of its own:
   other parameters.  (A forest fitted for such a point alone would draw other
   rows and columns; it has the same distribution.)
 
+Where all rows fall into few cells, trees are fitted on these (``operators.cells``).
+
 The number of fits is the product of the other parameters' values: none for a
 linear grid, one per depth for boosted trees, one per ``maxBins`` for forests.
 ``refit`` fits the best point on all rows, as a train/validation split does.
@@ -23,13 +25,14 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path, shuffle_partitions
 from ..sources.tables import written
-from . import models
+from . import cells, models
 from .profile import pair_moments
 
 #: Sweeps of coordinate descent in one iteration of the declared ``maxIter``.
@@ -135,14 +138,71 @@ def _fits(grid: dict, shared) -> list[dict]:
     return points({k: v for k, v in grid.items() if k not in shared})
 
 
-def boosted_grid(estimator, train: DataFrame, valid: DataFrame, grid: dict) -> list[tuple[dict, float]]:
-    """(point, error) of boosted trees: one fit of the most iterations for the other values."""
-    most, out = max(grid["maxIter"]), []
+def _with(estimator, values: dict):
+    return estimator.copy({estimator.getParam(k): v for k, v in values.items()})
+
+
+class _Parts:
+    """The cells of both parts for each ``maxBins``: a pass over the rows of each, made once."""
+
+    def __init__(self, train: DataFrame, valid: DataFrame, label: str, features: str):
+        self.train, self.valid, self.label, self.features, self.known = train, valid, label, features, {}
+
+    def binning(self, max_bins: int):
+        if max_bins not in self.known:
+            self.known[max_bins] = [cells.binning(self.train, max_bins, self.features)]
+        return self.known[max_bins][0]
+
+    def cells(self, max_bins: int) -> tuple[DataFrame, DataFrame]:
+        binning = self.binning(max_bins)
+        if len(self.known[max_bins]) == 1:
+            self.known[max_bins] += [written(binning.cells(part, self.label), "cells") for part in (self.train, self.valid)]
+        return tuple(self.known[max_bins][1:])
+
+
+def _squared(prediction: Column) -> Column:
+    """Of cells and their predictions: the root mean squared error of their rows."""
+    return F.sqrt(F.sum(F.col("ss") + F.col("n") * F.pow(F.col("mean") - prediction, F.lit(2))) / F.sum("n"))
+
+
+def _boosted_errors(model, valid: DataFrame, iterations, features: str) -> list[float]:
+    """The error on weighted cells after each of ``iterations``, by the predictions of the cells' leaves."""
+    spark, weights = valid.sparkSession, [float(w) for w in model.treeWeights]
+    own = _nodes(model, spark).groupBy("tree").applyInPandas(
+        _cut_tree([model.getMaxDepth()]), "tree int, leaf long, cuts array<double>")
+    names = [c for c in valid.columns if c.startswith("_bin")]
+    rows = VectorAssembler(inputCols=names, outputCol=features).transform(valid)
+    leaves = model.setLeafCol("leaves").transform(rows).select(
+        "cell", F.posexplode(vector_to_array(F.col("leaves"))).alias("tree", "leaf"))
+    found = leaves.withColumn("leaf", F.col("leaf").cast("long")).join(own, ["tree", "leaf"])
+    weight = F.element_at(F.array(*map(F.lit, weights)), F.col("tree") + 1)
+    sums = found.groupBy("cell").agg(*[F.sum(F.when(F.col("tree") < k, weight * F.col("cuts")[0])).alias(f"p{k}")
+                                       for k in iterations])
+    return list(valid.join(sums, "cell").agg(*[_squared(F.col(f"p{k}")) for k in iterations]).first())
+
+
+def boosted_grid(estimator, train: DataFrame, valid: DataFrame, grid: dict, label: str = "label",
+                 features: str = "features", frame=None) -> list[tuple[dict, float]]:
+    """(point, error) of boosted trees: one fit of the most iterations for the other values.
+
+    Fitted on the rows' cells where these are few (``operators.cells``), else on
+    ``frame`` of the rows (default: as they are).
+    """
+    most, out, parts = max(grid["maxIter"]), [], _Parts(train, valid, label, features)
     for own in _fits(grid, ("maxIter",)):
-        values = {**own, "maxIter": most}
-        model = models.fit(estimator.copy({estimator.getParam(k): v for k, v in values.items()}), train)
-        after = model.evaluateEachIteration(valid, "squared")
-        out += [({**own, "maxIter": k}, float(np.sqrt(after[k - 1]))) for k in grid["maxIter"]]
+        e = _with(estimator, {**own, "maxIter": most})
+        binning = parts.binning(e.getMaxBins()) if cells.by_weights(e) else None
+        if binning:
+            fitted, seen = parts.cells(e.getMaxBins())
+            # a bin holds a whole number: as many splits as the rows' bins have
+            e = e.copy({e.maxBins: max(e.getMaxBins(), *binning.sizes)})
+            model = cells.fit_weighted(e, fitted, len(binning.cuts), label, features)
+            after = _boosted_errors(model, seen, grid["maxIter"], features)
+        else:
+            model = models.fit(e, frame(train) if frame else train)
+            each = model.evaluateEachIteration(valid, "squared")
+            after = [np.sqrt(each[k - 1]) for k in grid["maxIter"]]
+        out += [({**own, "maxIter": k}, float(x)) for k, x in zip(grid["maxIter"], after)]
     return out
 
 
@@ -178,28 +238,59 @@ def _cut_tree(depths):
     return run
 
 
+def _forest_cells(estimator, parts: _Parts, binning, trees, depths) -> list[tuple[int, int, float]]:
+    """(trees, depth, error) of a forest grown from the draws of cells."""
+    _, seen = parts.cells(estimator.getMaxBins())
+    own = cells.forest(estimator, parts.train, binning, trees[-1], depths, parts.label)
+    points_ = [(t, d) for t in trees for d in depths]
+    sums = own.join(seen.select("cell"), "cell").groupBy("cell").agg(*[
+        (F.sum(F.when(F.col("tree") < t, F.col("cuts")[depths.index(d)])) / t).alias(f"p{i}")
+        for i, (t, d) in enumerate(points_)])
+    error = seen.join(sums, "cell").agg(*[_squared(F.col(f"p{i}")) for i in range(len(points_))]).first()
+    return [(t, d, e) for (t, d), e in zip(points_, error)]
+
+
+def _forest_rows(estimator, train: DataFrame, rows: DataFrame, trees, depths) -> list[tuple[int, int, float]]:
+    """(trees, depth, error) of the library's forest, fitted on rows."""
+    spark = train.sparkSession
+    # node ids are kept beside the rows, so a level costs no walk from the root
+    model = models.fit(_with(estimator, {"cacheNodeIds": True}), train)
+    cuts = written(_nodes(model, spark).groupBy("tree").applyInPandas(
+        _cut_tree(depths), "tree int, leaf long, cuts array<double>"), "forest-cuts")
+    leaves = model.setLeafCol("leaves").transform(rows).select(
+        "row", F.posexplode(vector_to_array(F.col("leaves"))).alias("tree", "leaf"))
+    found = leaves.withColumn("leaf", F.col("leaf").cast("long")).join(cuts, ["tree", "leaf"])
+    points_ = [(t, d) for t in trees for d in depths]
+    sums = found.groupBy("row").agg(*[
+        F.sum(F.when(F.col("tree") < t, F.col("cuts")[depths.index(d)])).alias(f"s{i}")
+        for i, (t, d) in enumerate(points_)])
+    error = sums.join(rows.select("row", "label"), "row").agg(*[
+        F.sqrt(F.avg(F.pow(F.col("label") - F.col(f"s{i}") / t, F.lit(2)))).alias(f"e{i}")
+        for i, (t, _) in enumerate(points_)]).first()
+    return [(t, d, e) for (t, d), e in zip(points_, error)]
+
+
 def forest_grid(estimator, train: DataFrame, valid: DataFrame, grid: dict, label: str = "label",
-                features: str = "features") -> list[tuple[dict, float]]:
-    """(point, error) of forests: one fit of the most and deepest trees for the other values."""
-    spark, out = train.sparkSession, []
+                features: str = "features", frame=None, few: int = cells.FEW_ROWS) -> list[tuple[dict, float]]:
+    """(point, error) of forests: one fit of the most and deepest trees for the other values.
+
+    More than ``few`` rows of few cells are drawn and grown by cells
+    (``operators.cells``); else the library fits on ``frame`` of the rows.
+    """
+    spark, out, rows = train.sparkSession, [], None
     trees, depths = sorted(grid["numTrees"]), sorted(grid["maxDepth"])
-    rows = written(valid.select(features, F.col(label).alias("label"), F.monotonically_increasing_id().alias("row"))
-                   .repartition(shuffle_partitions(spark), "row"), "validation")
+    many = len(train.select(F.lit(1)).head(few + 1)) > few
+    parts = _Parts(train, valid, label, features)
     for own in _fits(grid, ("numTrees", "maxDepth")):
-        # node ids are kept beside the rows, so a level costs no walk from the root
-        values = {**own, "numTrees": trees[-1], "maxDepth": depths[-1], "cacheNodeIds": True}
-        model = models.fit(estimator.copy({estimator.getParam(k): v for k, v in values.items()}), train)
-        cuts = written(_nodes(model, spark).groupBy("tree").applyInPandas(
-            _cut_tree(depths), "tree int, leaf long, cuts array<double>"), "forest-cuts")
-        leaves = model.setLeafCol("leaves").transform(rows).select(
-            "row", F.posexplode(vector_to_array(F.col("leaves"))).alias("tree", "leaf"))
-        found = leaves.withColumn("leaf", F.col("leaf").cast("long")).join(cuts, ["tree", "leaf"])
-        cells = [(t, d) for t in trees for d in depths]
-        sums = found.groupBy("row").agg(*[
-            F.sum(F.when(F.col("tree") < t, F.col("cuts")[depths.index(d)])).alias(f"s{i}")
-            for i, (t, d) in enumerate(cells)])
-        error = sums.join(rows.select("row", "label"), "row").agg(*[
-            F.sqrt(F.avg(F.pow(F.col("label") - F.col(f"s{i}") / t, F.lit(2)))).alias(f"e{i}")
-            for i, (t, _) in enumerate(cells)]).first()
-        out += [({**own, "numTrees": t, "maxDepth": d}, error[f"e{i}"]) for i, (t, d) in enumerate(cells)]
+        e = _with(estimator, {**own, "numTrees": trees[-1], "maxDepth": depths[-1]})
+        binning = parts.binning(e.getMaxBins()) if many and cells.by_draws(e) else None
+        if binning:
+            errors = _forest_cells(e, parts, binning, trees, depths)
+        else:
+            if rows is None:
+                rows = written(valid.select(features, F.col(label).alias("label"),
+                                            F.monotonically_increasing_id().alias("row"))
+                               .repartition(shuffle_partitions(spark), "row"), "validation")
+            errors = _forest_rows(e, frame(train) if frame else train, rows, trees, depths)
+        out += [({**own, "numTrees": t, "maxDepth": d}, x) for t, d, x in errors]
     return out
