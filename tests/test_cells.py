@@ -73,3 +73,11 @@ def test_many_features_are_no_cells(spark):
         spark.range(50).select(*[(F.col("id") * 1.0).alias(n) for n in names]))
     assert cells.binning(df, 32) is None
     assert cells.thresholds({1.0: 2, 3.0: 1}, 8) == [2.0]
+
+
+def test_training_partitions_grow_with_the_rows(rows, monkeypatch):
+    """Would have failed before: sixteen partitions, whatever the rows."""
+    assert models.training_frame(rows, ["id"]).rdd.getNumPartitions() == models.TRAIN_PARTITIONS
+    monkeypatch.setattr(models, "TRAIN_ROWS", 100)
+    assert models.training_frame(rows, ["id"]).rdd.getNumPartitions() == 60
+    assert models.training_frame(rows, ["id"], 4).rdd.getNumPartitions() == 4
