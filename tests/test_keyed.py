@@ -45,3 +45,12 @@ def test_a_hot_key_lies_in_many_buckets(spark):
     stored = keyed.store_facts(facts, "hot", ["k"], buckets=32, salts=64)
     sizes = stored.groupBy(F.input_file_name().alias("f")).count().toPandas()["count"]
     assert sizes.sum() == 20_000 and len(sizes) == 32 and sizes.max() < 20_000 / 8
+
+
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    """Would have failed before: eight buckets, whatever the rows."""
+    facts, features = spark.range(50), spark.range(90)
+    assert keyed.buckets_for(facts, features) == keyed.BUCKETS
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 10)
+    assert keyed.buckets_for(facts, features) == 90 * keyed.SALTS // 10
+    assert keyed.buckets_for(spark.range(10_001), features) == 1001

@@ -24,6 +24,13 @@ from ..session import scratch_path
 BUCKETS = 8
 SALTS = 8
 SALT = "_salt"
+#: Stored rows that a bucket holds on average, where ``buckets_for`` chooses.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(facts: DataFrame, features: DataFrame, salts: int = SALTS) -> int:
+    """So many buckets that neither table's rows in one of them, which a task sorts, grow with the tables."""
+    return max(BUCKETS, -(-max(facts.count(), features.count() * salts) // BUCKET_ROWS))
 
 
 def _store(df: DataFrame, name: str, keys, buckets: int) -> DataFrame:
