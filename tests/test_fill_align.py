@@ -159,3 +159,19 @@ def test_bin_count_augmented(spark):
     # 55-minute offset is the 15-minute grid (:15, :35, :55), left label
     assert ("55/left", _ts(7, 55), 2) in got and ("55/left", _ts(8, 15), 1) in got
     assert sum(v for s, _, v in got if s == "55/left") == 3
+
+
+@pytest.mark.parametrize("hours", [None, (6, 7)])
+def test_fill_by_window_equals_the_scan(spark, hours):
+    """Rows outside the expected hours, NULL values and a NULL key; other columns are kept."""
+    rows = [(None if k == 3 else k, f"2024-01-0{1 + i % 3} {5 + i * j % 4:02d}:{20 * (i % 3):02d}:00", None if i % 4 == 0 else float(i), j)
+            for k in (1, 2, 3) for j in (1, 3) for i in range(k, 20, 2)]
+    rows = list({r[:2]: r for r in rows}.values())
+    df = spark.createDataFrame(rows, "k long, b string, v double, other long").selectExpr(
+        "k", "CAST(b AS timestamp_ntz) AS bin_start", "v", "other")
+    a, b = (fill.locf_fill(df, ["k"], "v", hours=hours, method=m) for m in ("scan", "window"))
+    assert a.columns == b.columns
+    got = [sorted(map(repr, x.collect())) for x in (a, b)]
+    assert got[0] == got[1] and len(got[1]) > len(rows)
+    with pytest.raises(ValueError):
+        fill.locf_fill(df, [], "v", method="window")

@@ -177,3 +177,25 @@ def test_no_row_is_lost_and_null_keys_repair(spark, key):
         out = outlier_repair(df, "x", 600.0, keys=["k"], order=["pos"], out="y", passes=passes).orderBy("pos").collect()
         assert len(out) == len(rows)
         assert [r.y for r in out[:3]] == [100.0, 150.0, 200.0] and out[4].y == 900.0
+
+
+def _staged(df):
+    from tollcast.sources.tables import written
+    return written(df, "test-scan")
+
+
+@pytest.mark.parametrize("passes", [1, 2])
+@pytest.mark.parametrize("whole", [0, 10, 1000])
+def test_whole_keys_and_a_written_scan_repair_alike(spark, passes, whole):
+    """Small keys in one window each, larger ones cut, outliers alone joined: the same rows."""
+    import random
+    rnd = random.Random(passes)
+    rows = [(i, k, i * 7200, rnd.choice([None, float("nan"), 5.0, 50.0, 150.0, 400.0, 9000.0, float("inf")]))
+            for i, k in enumerate(rnd.choice([1, 1, 1, 1, 2, 3, None]) for _ in range(300))]
+    df = spark.createDataFrame(rows, "id long, k long, s long, v double").selectExpr(
+        "id", "k", "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s) AS t", "v")
+    plain = outlier_repair(df, "v", 100.0, ["k"], ["t", "id"], passes=passes)
+    fast = outlier_repair(df, "v", 100.0, ["k"], ["t", "id"], passes=passes, stage=_staged, whole_keys=whole)
+    assert fast.columns == plain.columns
+    a, b = ({r.id: (r.k, r.t, repr(r.v)) for r in x.collect()} for x in (plain, fast))
+    assert a == b and len(b) == 300

@@ -191,3 +191,33 @@ def test_levels_spread_a_hot_hour(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("whole", [1, 20, 1000])
+def test_whole_keys_match_cut_ones(spark, whole):
+    rows = [(i, None if k == 4 else k, t, v, bool(v is not None and v < 15))
+            for i, k, t, v in _rows(whole, [(1, 150), (2, 3), (3, 40), (4, 9)])]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v double, m boolean")
+    scan = {"lags": {"l3": ("v", 3)}, "leads": {"n2": ("v", 2)}, "ffill": {"fi": ("v", True), "fe": ("v", False)},
+            "bfill": {"bi": ("v", True), "be": ("v", False)}, "since": {"n": ("m", "v")}}
+    a, b = (sorted(map(repr, ordered_scan(df, ["k"], ["t", "id"], bucket_width=30, whole_keys=n, **scan).collect()))
+            for n in (0, whole))
+    assert a == b and len(b) == 202
+
+
+def test_a_large_key_is_cut_and_small_ones_have_no_summaries(spark):
+    """Many keys of a few rows each: no bucket is made for them."""
+    from tollcast.operators import sequence
+    seen, original = [], sequence._carries
+
+    def watched(summary, *args):
+        seen.append(summary.count())
+        return original(summary, *args)
+    df = spark.range(4000).selectExpr("IF(id < 1000, -1, id % 600) AS k", "id * 1000 AS t", "id", "double(id) AS v")
+    sequence._carries = watched
+    try:
+        out = ordered_scan(df, ["k"], ["t"], lags={"l": ("v", 1)}, bucket_width=100_000, whole_keys=100)
+    finally:
+        sequence._carries = original
+    assert seen == [10]
+    assert out.count() == 4000 and out.filter("l IS NULL").count() == 601
