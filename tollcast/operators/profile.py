@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequence import add_sequence
@@ -72,6 +73,10 @@ def profile(df: DataFrame, cols, exact: bool = True, quantiles=QUANTILES,
     return base.join(qs, "col_name")
 
 
+#: What a task tells of a pair of columns.
+_MOMENTS = "i int, j int, n double, sx double, sy double, cxx double, cyy double, cxy double"
+
+
 def _pair_moments(k: int):
     """Per task, for each pair of columns: rows where both are there, sums, and centred products.
 
@@ -112,9 +117,41 @@ def pair_moments(df: DataFrame, cols) -> DataFrame:
     """
     cols = list(cols)
     numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    parts = numbers.mapInPandas(_pair_moments(len(cols)), "i int, j int, n double, sx double, sy double, "
-                                "cxx double, cyy double, cxy double").filter("n > 0")
+    return _added_moments(numbers.mapInPandas(_pair_moments(len(cols)), _MOMENTS))
+
+
+def _array_moments():
+    """``_pair_moments`` of arrays of equal length without missing values: rows of a matrix as they come."""
+    def run(batches):
+        n, total, shift, k = 0, None, None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            if shift is None:
+                shift, k = x.mean(axis=0), x.shape[1]
+                total = np.zeros((k + 1, k))
+            x = x - shift
+            n, total = n + len(x), total + np.vstack([x.sum(axis=0), x.T @ x])
+        if not n:
+            return
+        s, c = total[0], total[1:] - np.outer(total[0], total[0]) / n
+        i, j = np.divmod(np.arange(k * k), k)
+        own, sums = np.diag(c), s + n * shift
+        out = pd.DataFrame({"i": i, "j": j, "n": float(n), "sx": sums[i], "sy": sums[j],
+                            "cxx": own[i], "cyy": own[j], "cxy": c.ravel()}).astype({"i": "int32", "j": "int32"})
+        yield pa.RecordBatch.from_pandas(out, preserve_index=False)
+    return run
+
+
+def array_moments(df: DataFrame, values: Column) -> DataFrame:
+    """``pair_moments`` of the places of an array of doubles, equally long in all rows and without NULLs."""
+    return _added_moments(df.select(values.alias("x")).mapInArrow(_array_moments(), _MOMENTS))
+
 
+def _added_moments(parts: DataFrame) -> DataFrame:
+    """The moments of all tasks as one."""
+    parts = parts.filter("n > 0")
     pair = Window.partitionBy("i", "j")  # a row a task
     parts = parts.withColumns({f"m{a}": F.col(f"s{a}") / F.col("n") - F.sum(f"s{a}").over(pair) / F.sum("n").over(pair)
                                for a in "xy"})

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path, shuffle_partitions
 from ..sources.tables import written
 from . import cells, models
-from .profile import pair_moments
+from .profile import array_moments, pair_moments
 
 #: Sweeps of coordinate descent in one iteration of the declared ``maxIter``.
 SWEEPS = 10
@@ -65,12 +65,12 @@ def refit(estimator, grid: dict, errors: DataFrame, frame: DataFrame):
 
 # ------------------------------------------------------------------ linear
 
-def moments(df: DataFrame, cols) -> tuple[float, np.ndarray, np.ndarray]:
+def moments(df: DataFrame, cols, vector: Column | None = None) -> tuple[float, np.ndarray, np.ndarray]:
     """(rows, means, centred products) of columns without NULLs; one pass, columns² numbers
-    to the driver."""
+    to the driver.  ``vector``: an array of doubles that holds the columns."""
     k = len(cols)
     n, mean, products = 0.0, np.zeros(k), np.zeros((k, k))
-    for r in pair_moments(df, cols).collect():
+    for r in (pair_moments(df, cols) if vector is None else array_moments(df, vector)).collect():
         products[r["i"], r["j"]] = r["xy"]
         if r["i"] == r["j"]:
             n, mean[r["i"]] = r["n"], r["sx"] / r["n"]
@@ -123,10 +123,15 @@ def linear_error(part, coef: np.ndarray, intercept: float) -> float:
     return float(np.sqrt(max(w @ c @ w, 0.0) / n + (w @ mean - intercept) ** 2))
 
 
-def linear_grid(train: DataFrame, valid: DataFrame, features, label: str, grid: dict) -> list[tuple[dict, float]]:
-    """(point, error) of every point of a linear regression's grid, from one pass over each part."""
+def linear_grid(train: DataFrame, valid: DataFrame, features, label: str, grid: dict,
+                vector: str | None = None) -> list[tuple[dict, float]]:
+    """(point, error) of every point of a linear regression's grid, from one pass over each part.
+
+    ``vector``: the column of an array of doubles that holds all ``features``.
+    """
     cols = [*features, label]
-    a, b = moments(train, cols), moments(valid, cols)
+    values = F.concat(vector, F.array(F.col(label).cast("double"))) if vector else None
+    a, b = moments(train, cols, values), moments(valid, cols, values)
     return [(p, linear_error(b, *linear_point(a, p["regParam"], p["elasticNetParam"], p["fitIntercept"],
                                               p["maxIter"]))) for p in points(grid)]
 
