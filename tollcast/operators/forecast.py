@@ -9,6 +9,9 @@ block, its lags as an array), so a job has as many steps as the longest block,
 whatever the keys.  The state is written at every step: no step is computed
 twice, and a lost executor costs a part of one step.
 
+``forecast_in_place`` is the same where the models are functions of arrays: all
+steps of a block are made where its key's row lies, without a join between them.
+
 A key with fewer observed values than lags has NULL lags, which the caller
 fills like those of the training rows; NULL keys are keys; a block without any
 observation before it has NULL lags throughout; observed rows after the last
@@ -17,13 +20,16 @@ block are not used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import timefns as tf
 from ..sources.tables import written
 from .lags import add_lags
 
@@ -101,3 +107,69 @@ def recursive_forecast(grid: DataFrame, origins: DataFrame, predict: Callable[[D
         empty = grid.withColumns({c: F.lit(None).cast("double") for c in [*lags, prediction]})
         return empty
     return reduce(DataFrame.unionAll, out)
+
+
+def listed_windows(spark: SparkSession, listed, bin_col: str = "bin_start") -> DataFrame:
+    """A row for each of the listed windows (``blocks``)."""
+    return spark.range(1).select(F.explode(F.array(*[_time(w) for w, _, _ in listed])).alias(bin_col))
+
+
+def forecast_in_place(key_table: DataFrame, origins: DataFrame, predict: Callable, keys, listed, models, n_lags: int,
+                      label: str, minutes: int = 20) -> DataFrame:
+    """(model, keys, time_window, ``label``): the listed windows (``blocks``) of every key by each model.
+
+    ``key_table``: keys and ``_of_key``, an array of what a model knows of a key (or NULL).
+    ``predict(model, lags, windows, of_key)``: predictions of rows by their lags (a row of the
+    array for each lag, NaN where missing), their windows' places in the list, and their keys.
+    """
+    keys, models = list(keys), list(models)
+    starts = list(dict.fromkeys(b for _, _, b in listed))
+    steps = [[i for i, (_, _, b) in enumerate(listed) if b == start] for start in starts]
+    label_of = F.array(*[tf.window_label(_time(w), minutes) for w, _, _ in listed])
+    blocks_ = F.array(*[F.struct(F.lit(i).alias("_at"), _time(b).alias("block")) for i, b in enumerate(starts)])
+    rows = key_table.withColumn("_key", _key(keys)).select("*", F.inline(blocks_))
+    rows = rows.join(origins, ["_key", "block"], "left").select(*keys, "_at", "lags", "_of_key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matrix(column, size: int) -> np.ndarray:
+            """An array of each row, NaN where it or a value is missing."""
+            out = np.full((len(column), size), np.nan)
+            there = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+            if len(there):
+                values = column.flatten().to_numpy(zero_copy_only=False)
+                out[there] = values.astype(float).reshape(len(there), -1)
+            return out
+
+        for b in batches:
+            at, n = b.column("_at").to_numpy(zero_copy_only=False), b.num_rows
+            first = matrix(b.column("lags"), n_lags).T
+            held = b.column("_of_key")
+            size = len(held.flatten()) // max(held.is_valid().sum().as_py(), 1)
+            of_key = matrix(held, size)
+            columns = []
+            for model in models:
+                out = np.full((n, max(map(len, steps))), np.nan)
+                for i, own in enumerate(steps):
+                    here = np.flatnonzero(at == i)
+                    lags = first[:, here]
+                    for step, window in enumerate(own if len(here) else []):
+                        z = predict(model, lags, np.full(len(here), window), of_key[here])
+                        out[here, step] = z
+                        lags = np.concatenate([z[None], lags[:-1]])
+                ends = np.arange(n + 1, dtype=np.int32) * out.shape[1]
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(out.reshape(-1))))
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], b.column("_at"), *columns],
+                                             [*keys, "_at", *[f"_p{i}" for i in range(len(models))]])
+
+    types = {f.name: f.dataType.simpleString() for f in key_table.schema.fields}
+    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "_at int", *[f"_p{i} array<double>" for i in range(len(models))]])
+    done = rows.mapInArrow(run, schema)
+    places = F.array(*[F.array(*[F.lit(i) for i in own]) for own in steps])
+
+    def listed_of(model: str, predictions: Column) -> Column:
+        return F.transform(places[F.col("_at")], lambda w, i: F.struct(
+            F.lit(model).alias("model"), w.alias("w"), predictions[i].alias(label)))
+
+    each = F.explode(F.flatten(F.array(*[listed_of(m, F.col(f"_p{i}")) for i, m in enumerate(models)]))).alias("x")
+    return done.select(*keys, each).select(F.col("x")["model"].alias("model"), *keys,
+                                           label_of[F.col("x")["w"]].alias("time_window"), F.col("x")[label].alias(label))
