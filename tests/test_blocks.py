@@ -53,9 +53,10 @@ def test_boosted_trees_are_those_of_the_library(spark, monkeypatch):
     assert made.df.count() > 20 and [len(c) for c in made.cuts[3:7]] == [3, 1, 15, 0]
     bytes_of_row = made.df.select([F.octet_length(c) for c in ("lags", "window", "combination", "combinations", "y")]).collect()
     assert sum(map(sum, bytes_of_row)) / rows.rows.count() < 24
-    held, trees = blocks.boosted(made, e)
-    found = blocks.errors(held, trees[:1])
-    held.df.unpersist()
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    trees = blocks.boosted(made, e)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+    found = blocks.errors(made, trees, trees[:1])
     assert len(trees) == 5
     for r in want:
         got = found["boosted_trees", r["early"]]
@@ -79,14 +80,14 @@ def test_forest_draws_rows_and_features(spark, monkeypatch):
     mean = rows.rows.agg(F.avg("y")).first()[0]
     assert np.mean([t["value"][1] for t in trees]) == pytest.approx(mean, rel=0.02)
     library = e.fit(_vectors(rows)).transform(_vectors(rows)).agg(*metrics.aggregates("y")).first()
-    got = blocks.errors(made, trees)["random_forest", True]
+    got = blocks.errors(made, [], trees)["random_forest", True]
     assert got["r2"] > 0.8 and got["rmse"] == pytest.approx(library["rmse"], rel=0.1)
     again = blocks.forest(made, e)
     assert all(np.array_equal(a[c], b[c]) for a, b in zip(trees, again) for c in ("feature", "cut", "value"))
     # one tree of all rows is the library's
     one = models.random_forest("y", numTrees=1, maxDepth=4, bootstrap=False)
     want = one.fit(_vectors(rows)).transform(_vectors(rows)).agg(*metrics.aggregates("y")).first()
-    assert blocks.errors(made, blocks.forest(made, one))["random_forest", True]["rmse"] == pytest.approx(want["rmse"], rel=1e-9)
+    assert blocks.errors(made, [], blocks.forest(made, one))["random_forest", True]["rmse"] == pytest.approx(want["rmse"], rel=1e-9)
 
 
 def test_many_values_are_told_by_points():
@@ -99,6 +100,24 @@ def test_many_values_are_told_by_points():
     assert u.tolist() == [1.0, 3.0] and c.tolist() == [5.0, 3.0]
 
 
+def test_model_fits_no_trees_on_vectors(spark, monkeypatch):
+    """The library's trees hold every row with all features, and read it in every pass."""
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+
+    def no_fit(self, *a, **b):
+        raise AssertionError("fitted on rows")
+
+    monkeypatch.setattr(GBTRegressor, "_fit", no_fit)
+    monkeypatch.setattr(RandomForestRegressor, "_fit", no_fit)
+    o = modeling.ModelOptions(gbt={"maxIter": 2, "maxDepth": 2}, rf={"numTrees": 3, "maxDepth": 2})
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    out = modeling.fit_and_report_vectors(_rows(spark), ["k"], "y", "2024-01-10 06:40:00", options=o).collect()
+    assert len(out) == 6 and all(r["n"] > 0 and r["r2"] > 0 for r in out)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+    with pytest.raises(ValueError, match="no rows"):
+        blocks.blocked(_rows(spark).rows, _rows(spark).windows, LAGS, "y", F.lit(False), 32)
+
+
 def test_forecast_in_place_is_that_by_steps(spark):
     ts = [(T0 + timedelta(minutes=20 * i)).strftime("%Y-%m-%d %H:%M:%S") for i in range(300)]
     rnd = random.Random(3)
